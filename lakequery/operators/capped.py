@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakequery.functions.encode import NATIVE_TYPE
-from lakequery.operators.numbering import number_rows
+from lakequery.operators.numbering import ONE_TASK_LIMIT, number_rows
 
 DEFAULT_LIMIT = 1000
 
-# Above this cap rows are numbered in place of `limit`, which would pull them all into one task.
-ONE_TASK_LIMIT = 1_000_000
-
 
 class ColumnMeta(NamedTuple):
     name: str
@@ -37,9 +34,14 @@ def resolve_limit(limit: int | None) -> int:
     return int(limit)
 
 
+def query(spark: SparkSession, sql: str, limit: int | None = None) -> DataFrame:
+    """The result of one SQL statement, capped; SQL itself is Spark's."""
+    return cap(spark.sql(sql), limit)
+
+
 def cap(df: DataFrame, limit: int | None = None) -> DataFrame:
     """The first ``limit`` rows in result order; 0 keeps the columns and no rows."""
     n = resolve_limit(limit)
     if n <= ONE_TASK_LIMIT:
         return df.limit(n)
-    return number_rows(df, name="_lq_row").where(F.col("_lq_row") < n).drop("_lq_row")
+    return number_rows(df, name="_lq_row").where(F.col("_lq_row") < n).orderBy("_lq_row").drop("_lq_row")

@@ -13,6 +13,9 @@ from lakequery.storage import scratch_dir
 
 DEFAULT_BATCH_SIZE = 200
 
+# Above this many rows a cap is a filter on row numbers; `limit` would pull them into one task.
+ONE_TASK_LIMIT = 1_000_000
+
 # monotonically_increasing_id keeps the partition above this bit and the position below it.
 _POSITION_BITS = 33
 _HASHED = "_lq_hash"
@@ -102,8 +105,12 @@ def with_batch_id(
     limit: int | None = None,
 ) -> DataFrame:
     """Add ``row_ord`` and ``batch_id``, so each chunk of the result is a group a job can use."""
+    if limit is not None and limit <= ONE_TASK_LIMIT:
+        if order:
+            df = df.orderBy(*[quoted(name) for name in order], content_hash(df))
+        df = df.limit(max(limit, 0))
     numbered = number_rows(df, order)
     if limit is not None:
-        numbered = numbered.where(F.col("row_ord") < max(int(limit), 0))
+        numbered = numbered.where(F.col("row_ord") < limit)
     size = resolve_batch_size(batch_size)
     return numbered.withColumn("batch_id", F.expr(f"row_ord div {size}"))

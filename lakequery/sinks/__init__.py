@@ -1,0 +1 @@
+"""Export of results as datasets or single files."""

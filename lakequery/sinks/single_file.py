@@ -1,0 +1,143 @@
+"""Exports as one file at one path, for results small enough for one task."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from lakequery.functions.encode import EMBEDDED, quoted
+from lakequery.sinks.dataset import DECLARED, export_frame, write_parts
+from lakequery.sinks.formats import (
+    APPEND,
+    CSV,
+    CSV_OPTIONS,
+    JSON,
+    ExportError,
+    SaveResult,
+    check_append,
+    parse_format,
+    parse_mode,
+)
+from lakequery.storage import Storage, scratch_dir
+
+_ORDER = "_lq_order"
+
+
+def byte_bound(spark: SparkSession) -> int:
+    """One task writes a file no larger than what one task would read of it."""
+    setting = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
+
+
+def write_file(
+    df: DataFrame,
+    file_type: str,
+    path: str,
+    mode: str | None = None,
+    dialect: str = EMBEDDED,
+    typing: str = DECLARED,
+) -> SaveResult:
+    """Export ``df`` to the single file ``path``, in result order.
+
+    All tasks write the rows to scratch and their text is measured on the way. Only when that,
+    with what an append keeps, is within ``byte_bound`` does one task make the file; a larger
+    result is refused with the target untouched and belongs in the dataset layout.
+    """
+    spark = df.sparkSession
+    file_format, save_mode = parse_format(file_type), parse_mode(mode)
+    check_append(spark, file_format, save_mode, path)
+    storage = Storage(spark)
+    path = storage.qualify(path)
+    if storage.exists(path) and not storage.is_file(path):
+        raise ExportError(f"{path} is a directory; export to it with layout='dataset'")
+    kept = storage.size(path) if save_mode == APPEND else 0
+    frame = export_frame(df, file_format, dialect, typing)
+    seen = Observation()
+    staged = scratch_dir(spark, "file")
+    (
+        frame.withColumn(_ORDER, F.monotonically_increasing_id())
+        .observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(_text_bytes(frame)), F.lit(0)).alias("bytes"),
+        )
+        .write.parquet(staged)
+    )
+    measured = seen.get
+    if measured["bytes"] + kept > byte_bound(spark):
+        raise ExportError(
+            f"{path} would be larger than one task should write; use layout='dataset'"
+        )
+    rows = spark.read.parquet(staged)
+    part = f"{path}.{uuid.uuid4().hex}"
+    if kept and file_format == CSV:
+        _csv_extended(spark, rows, path, part)
+    elif file_format == JSON:
+        _json_array(rows, path if kept else None, part)
+    else:
+        one = rows.coalesce(1).sortWithinPartitions(_ORDER).drop(_ORDER)
+        write_parts(one, file_format, part)
+    _publish(storage, part, path)
+    return SaveResult(path, file_format, measured["rows"])
+
+
+def _text_bytes(frame: DataFrame) -> Column:
+    cells = [F.octet_length(F.coalesce(quoted(c).cast("string"), F.lit(""))) + 1 for c in frame.columns]
+    return sum(cells[1:], cells[0]).cast("long")
+
+
+def _lines(spark: SparkSession, path: str, rank: int) -> DataFrame:
+    """Lines of a text file with what restores their order after any split."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        "value",
+        F.lit(rank).alias("rank"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+
+
+def _csv_extended(spark: SparkSession, rows: DataFrame, path: str, part: str) -> None:
+    """The old file's lines, header and all, then the new rows without a header."""
+    added = scratch_dir(spark, "rows")
+    one = rows.coalesce(1).sortWithinPartitions(_ORDER).drop(_ORDER)
+    one.write.options(**CSV_OPTIONS).csv(added)
+    both = _lines(spark, path, 0).union(_lines(spark, added, 1))
+    ordered = both.coalesce(1).sortWithinPartitions("rank", "block", "line")
+    ordered.select("value").write.text(part)
+
+
+def _json_array(rows: DataFrame, existing: str | None, part: str) -> None:
+    """One compact array; ``existing`` is the array file it extends."""
+    if existing:
+        rows = _array_items(rows.sparkSession, existing).unionByName(rows)
+    ordered = F.array_sort(F.collect_list(F.struct(_ORDER, "value")))
+    items = F.array_join(F.transform(ordered, lambda item: item["value"]), ",")
+    array = rows.agg(F.concat(F.lit("["), items, F.lit("]")).alias("value"))
+    array.coalesce(1).write.text(part)
+
+
+def _array_items(spark: SparkSession, path: str) -> DataFrame:
+    """What an array file holds between its brackets, as one row ahead of all new ones."""
+    text = F.regexp_replace("value", r"^\s+|\s+$", "")
+    array = spark.read.option("wholetext", True).text(path).select(text.alias("text"))
+    bracketed = (F.length("text") > 1) & F.col("text").startswith("[") & F.col("text").endswith("]")
+    refused = F.raise_error(F.lit(f"cannot append JSON to {path}: it is not a JSON array"))
+    inner = F.regexp_replace(F.expr("substring(text, 2, length(text) - 2)"), r"^\s+|\s+$", "")
+    items = array.select(
+        F.lit(-1).cast("long").alias(_ORDER),
+        F.when(bracketed, inner).otherwise(refused).alias("value"),
+    )
+    return items.where(F.col("value") != "")
+
+
+def _publish(storage: Storage, part: str, path: str) -> None:
+    """Put the one data file of ``part`` at ``path``, both on one file system."""
+    files = [entry.path for entry in storage.children(part) if "/part-" in entry.path]
+    if len(files) == 1:
+        storage.delete(path)
+        storage.rename(files[0], path)
+    storage.delete(part)
+    if len(files) != 1:
+        raise ExportError(f"{path} does not fit one file; use layout='dataset'")

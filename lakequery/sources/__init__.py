@@ -1,0 +1 @@
+"""Files and databases as frames."""

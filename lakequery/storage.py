@@ -68,6 +68,16 @@ class Storage:
             raise OSError(f"could not rename {source} to {target}")
 
 
+    def write_text(self, path: str, text: str) -> None:
+        """Create or replace a small file."""
+        fs, p = self._resolve(path)
+        stream = fs.create(p, True)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+
+
 _made: list[str] = []
 
 
