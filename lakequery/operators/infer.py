@@ -19,30 +19,27 @@ SPARK_TYPES = {
 }
 DEFAULT_SAMPLE_ROWS = 200
 
-_MAX_INT64_DIGITS = 19
 _UINT64_MAX = "18446744073709551615"
+_LONG_WHOLE = tuple(f"DECIMAL({digits},0)" for digits in range(19, 39))
 
 
 def value_class(value: Column, token: Column) -> Column:
     """Class of a JSON value: bool, int, big (above int64, within uint64), float, text; else null.
 
     The variant names the type. It cannot tell ``9223372036854775808`` from the same number with
-    ``.0``, so only integer-looking decimals that long look at the raw token.
+    ``.0``; only whole decimals that long look at the raw token, so no other row pays for it.
     """
     kind = F.schema_of_variant(value)
     unsigned = token.rlike(r"^[0-9]+$") & (
-        (F.length(token) == _MAX_INT64_DIGITS)
-        | ((F.length(token) == len(_UINT64_MAX)) & (token <= _UINT64_MAX))
+        (F.length(token) < len(_UINT64_MAX)) | (F.lpad(token, len(_UINT64_MAX), "0") <= _UINT64_MAX)
     )
     return (
         F.when(kind == "VOID", None)
         .when(kind == "BIGINT", "int")
         .when(kind == "BOOLEAN", "bool")
         .when(kind == "DOUBLE", "float")
-        .when(
-            kind.startswith("DECIMAL"),
-            F.when(kind.endswith(",0)") & unsigned, "big").otherwise("float"),
-        )
+        .when(kind.isin(*_LONG_WHOLE), F.when(unsigned, "big").otherwise("float"))
+        .when(kind.startswith("DECIMAL"), "float")
         .otherwise("text")
     )
 
@@ -68,12 +65,11 @@ def infer_types(
     order = quoted(ord_col) if ord_col else F.monotonically_increasing_id()
     pairs = df.select(
         order.alias("ord"),
-        F.from_json(quoted(json_col), "map<string,string>").alias("tokens"),
+        quoted(json_col).alias("json"),
         F.explode(F.from_json(quoted(json_col), "map<string,variant>")).alias("key", "value"),
     )
-    classes = pairs.select(
-        "key", "ord", value_class(F.col("value"), F.col("tokens")[F.col("key")]).alias("class")
-    ).where(F.col("class").isNotNull() | F.col("key").isNotNull())
+    token = F.from_json("json", "map<string,string>")[F.col("key")]
+    classes = pairs.select("key", "ord", value_class(F.col("value"), token).alias("class"))
 
     def seen(*names: str) -> Column:
         return F.coalesce(F.bool_or(F.col("class").isin(*names)), F.lit(False))
@@ -117,30 +113,25 @@ def project_typed(df: DataFrame, json_col: str, types: Mapping[str, str]) -> Dat
     Values are matched by class, not by whether a cast would work: the string ``"5"`` in an Int64
     column is null. Other columns of ``df`` pass through.
     """
-    variants = T.StructType([T.StructField(name, T.VariantType()) for name in types])
-    texts = T.StructType(
-        [T.StructField(name, T.StringType()) for name, kind in types.items() if kind == UTF8]
-    )
-    kept = [c for c in df.columns if c not in types and c != json_col]
-    parsed = df.select(
-        *[quoted(c) for c in kept],
-        F.from_json(quoted(json_col), variants).alias("_lq_variants"),
-        (F.from_json(quoted(json_col), texts) if texts.fields else F.lit(None)).alias("_lq_texts"),
-    )
+    fields = [
+        T.StructField(name, T.StringType() if kind == UTF8 else T.VariantType())
+        for name, kind in types.items()
+    ]
+    kept = [quoted(c) for c in df.columns if c not in types and c != json_col]
+    parsed = df.select(*kept, F.from_json(quoted(json_col), T.StructType(fields)).alias("_lq_row"))
     out = []
     for name, kind in types.items():
-        if kind == UTF8:
-            out.append(F.col("_lq_texts")[name].alias(name))
-            continue
-        value = F.col("_lq_variants")[name]
-        actual = F.schema_of_variant(value)
-        fits = {
-            BOOL: actual == "BOOLEAN",
-            INT64: actual == "BIGINT",
-            FLOAT64: actual.isin("BIGINT", "DOUBLE") | actual.startswith("DECIMAL"),
-        }[kind]
-        out.append(F.when(fits, F.try_variant_get(value, "$", SPARK_TYPES[kind].simpleString())).alias(name))
-    return parsed.select(*[quoted(c) for c in kept], *out)
+        value = F.col("_lq_row")[name]
+        if kind != UTF8:
+            actual = F.schema_of_variant(value)
+            fits = {
+                BOOL: actual == "BOOLEAN",
+                INT64: actual == "BIGINT",
+                FLOAT64: actual.isin("BIGINT", "DOUBLE") | actual.startswith("DECIMAL"),
+            }[kind]
+            value = F.when(fits, F.try_variant_get(value, "$", SPARK_TYPES[kind].simpleString()))
+        out.append(value.alias(name))
+    return parsed.select(*kept, *out)
 
 
 def normalize(df: DataFrame, dialect: str = EMBEDDED) -> DataFrame:

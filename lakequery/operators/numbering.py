@@ -47,13 +47,14 @@ def spread_sort(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` sorted by ``order``, with rows of one key free to fill many partitions.
 
     Ties fall to a hash of the row, then to the row's place in its input partition. Each input
-    partition is sorted before places are given, so copies of one row always get the same set of
-    places and a rerun task sends the same rows to the same partitions.
+    partition is first sorted by hash (one long, so a radix sort), which brings copies of a row
+    together: they always get the same set of places, and a rerun task sends the same rows to the
+    same partitions whatever order its input arrived in.
     """
     keys = [quoted(name) for name in order]
     placed = (
         df.withColumn(_HASHED, content_hash(df))
-        .sortWithinPartitions(*keys, _HASHED)
+        .sortWithinPartitions(_HASHED)
         .withColumn(_PLACE, F.monotonically_increasing_id())
     )
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,18 +35,31 @@ class QueryBatch:
     rows: list[dict]
 
 
-@dataclass
 class QueryResult:
-    """A capped result. ``df`` is lazy; ``rows`` runs it and completes its log entry."""
+    """A capped result: ``rows`` for a client, ``df`` for further work on the cluster."""
 
-    columns: list[ColumnMeta]
-    df: DataFrame
-    _run: object = field(repr=False)
-    execution_time_ms: int | None = None
+    def __init__(self, session: Session, sql: str, df: DataFrame, view_name: str | None):
+        self.columns = columns(df)
+        self.execution_time_ms: int | None = None
+        self._session, self._sql, self._df, self._view_name = session, sql, df, view_name
+
+    @property
+    def df(self) -> DataFrame:
+        """The lazy frame. Taking it logs the statement without a row count, as none is known."""
+        self._session.log.append(QUERY, self._sql, self._view_name)
+        return self._df
 
     def rows(self) -> list[dict]:
-        """At most ``limit`` row objects, encoded."""
-        return self._run(self)
+        """Run the statement and log it: at most ``limit`` encoded row objects."""
+
+        def collect() -> list[dict]:
+            lines = row_json(self._df, self._session.dialect).toLocalIterator()
+            return [json.loads(line[0]) for line in lines]
+
+        rows, self.execution_time_ms = self._session._logged(
+            QUERY, self._sql, self._view_name, collect, len
+        )
+        return rows
 
 
 class Session:
@@ -81,16 +94,7 @@ class Session:
     def query(self, sql: str, limit: int | None = None, view_name: str | None = None) -> QueryResult:
         """The first ``limit`` rows (1000 unless given) of a statement."""
         df = self._analysed(QUERY, sql, view_name)
-        capped = cap(df, limit)
-
-        def run(result: QueryResult) -> list[dict]:
-            def collect() -> list[dict]:
-                return [json.loads(r[0]) for r in row_json(capped, self.dialect).toLocalIterator()]
-
-            rows, result.execution_time_ms = self._logged(QUERY, sql, view_name, collect, len)
-            return rows
-
-        return QueryResult(columns(df), capped, run)
+        return QueryResult(self, sql, cap(df, limit), view_name)
 
     def query_stream(
         self,

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import math
 import re
 import uuid
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from xml.sax.saxutils import escape, quoteattr
+from itertools import chain
+from xml.sax.saxutils import escape
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -27,7 +28,8 @@ SLICE = 4_096
 # A workbook is closed early once its sheet holds this much XML, so that files stay readable.
 MAX_SHEET_BYTES = 256 << 20
 
-_NOT_XML = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f￾￿]|_(?=x[0-9A-Fa-f]{4}_)")
+_RARE = r"[\x00-\x08\x0b-\x1f\x{fffe}\x{ffff}]|_x[0-9A-Fa-f]{4}_"
+_NOT_XML = re.compile("[\x00-\x08\x0b-\x1f\ufffe\uffff]|_(?=x[0-9A-Fa-f]{4}_)")
 
 # The smallest set of package parts a workbook needs.
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -76,25 +78,47 @@ def column_letters(index: int) -> str:
     return letters
 
 
-def text_cell(ref: str, value: str) -> str:
-    if len(value) > MAX_CELL_CHARS // 2 and len(value.encode("utf-16-le")) // 2 > MAX_CELL_CHARS:
-        raise SheetLimitError(f"Excel cell text exceeds {MAX_CELL_CHARS} characters")
-    safe = _NOT_XML.sub(lambda m: f"_x{ord(m.group()):04X}_", value)
-    safe = escape(safe, {"\r": "_x000D_"})
-    return f'<c r={quoteattr(ref)} t="inlineStr"><is><t xml:space="preserve">{safe}</t></is></c>'
+def escape_text(value: str) -> str:
+    """XML text, with what XML cannot hold in the worksheet format's ``_xHHHH_`` form."""
+    return escape(_NOT_XML.sub(lambda m: f"_x{ord(m.group()):04X}_", value))
 
 
-def cell(ref: str, value) -> str:
-    if value is None:
-        return ""
-    if isinstance(value, bool):
-        return f'<c r="{ref}" t="b"><v>{int(value)}</v></c>'
-    if isinstance(value, str):
-        return text_cell(ref, value)
-    number = float(value)
-    if math.isfinite(number):
-        return f'<c r="{ref}"><v>{number!r}</v></c>'
-    return text_cell(ref, "NaN" if math.isnan(number) else "inf" if number > 0 else "-inf")
+def _escaped(texts: pa.StringArray) -> pa.StringArray:
+    lengths = pc.utf8_length(texts)
+    if (pc.max(lengths).as_py() or 0) > MAX_CELL_CHARS // 2:
+        for value in texts.filter(pc.greater(lengths, MAX_CELL_CHARS // 2)).to_pylist():
+            if len(value.encode("utf-16-le")) // 2 > MAX_CELL_CHARS:
+                raise SheetLimitError(f"Excel cell text exceeds {MAX_CELL_CHARS} characters")
+    if pc.any(pc.match_substring_regex(texts, _RARE)).as_py():
+        return pa.array([None if v is None else escape_text(v) for v in texts.to_pylist()], pa.string())
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        texts = pc.replace_substring(texts, plain, entity)
+    return texts
+
+
+def _joined(*parts) -> pa.StringArray:
+    return pc.binary_join_element_wise(*parts, "")
+
+
+def text_cells(refs: pa.StringArray, texts: pa.StringArray) -> pa.StringArray:
+    open_cell, close_cell = '" t="inlineStr"><is><t xml:space="preserve">', "</t></is></c>"
+    return _joined('<c r="', refs, open_cell, _escaped(texts), close_cell)
+
+
+def cells(letters: str, rows: pa.StringArray, values: pa.Array) -> pa.StringArray:
+    """One column of cells, as XML; blank where the value is null."""
+    refs = _joined(letters, rows)
+    if pa.types.is_boolean(values.type):
+        made = _joined('<c r="', refs, '" t="b"><v>', pc.cast(values.cast(pa.int8()), pa.string()), "</v></c>")
+    elif pa.types.is_string(values.type) or pa.types.is_large_string(values.type):
+        made = text_cells(refs, values.cast(pa.string()))
+    else:
+        made = _joined('<c r="', refs, '"><v>', pc.cast(values, pa.string()), "</v></c>")
+        if pa.types.is_floating(values.type) and not pc.all(pc.is_finite(values)).as_py():
+            # How numbers without a JSON form are spelled.
+            spelled = pc.if_else(pc.is_nan(values), "NaN", pc.if_else(pc.greater(values, 0), "inf", "-inf"))
+            made = pc.if_else(pc.is_finite(values), made, text_cells(refs, spelled))
+    return pc.fill_null(made, "")
 
 
 class Workbook:
@@ -110,21 +134,20 @@ class Workbook:
         self._letters = [column_letters(i) for i in range(len(names))]
         self.rows = self.bytes = 0
         self._write(f'{_HEAD}<worksheet xmlns="{_MAIN}"><sheetData>')
-        self.add([names])
+        self.add(pa.RecordBatch.from_arrays([pa.array([n], pa.string()) for n in names], names))
 
     def _write(self, text: str) -> None:
         data = text.encode("utf-8")
         self.bytes += len(data)
         self._sheet.write(data)
 
-    def add(self, rows) -> None:
-        out = []
-        for row in rows:
-            self.rows += 1
-            n = self.rows
-            cells = "".join(cell(f"{letter}{n}", v) for letter, v in zip(self._letters, row))
-            out.append(f'<row r="{n}">{cells}</row>')
-        self._write("".join(out))
+    def add(self, batch: pa.RecordBatch) -> None:
+        first = self.rows + 1
+        self.rows += batch.num_rows
+        rows = pc.cast(pa.array(range(first, self.rows + 1), pa.int64()), pa.string())
+        columns = [cells(letters, rows, c) for letters, c in zip(self._letters, batch.columns)]
+        lines = _joined('<row r="', rows, '">', *columns, "</row>")
+        self._write("".join(lines.to_pylist()))
 
     @property
     def full(self) -> bool:
@@ -153,14 +176,14 @@ class XlsxWriter(DataSourceArrowWriter):
         self.names = schema.fieldNames()
         self.temporary = f"{self.path}/_temporary-{uuid.uuid4().hex}"
 
-    def _write_workbook(self, name: str, batches: Iterator[list]) -> None:
+    def _write_workbook(self, name: str, batches: Iterator[pa.RecordBatch]) -> None:
         """Fill one workbook, leaving in ``batches`` what does not fit."""
         fs, base = open_filesystem(self.temporary)
         fs.create_dir(base, recursive=True)
         with fs.open_output_stream(f"{base}/{name}") as sink:
             book = Workbook(sink, self.names)
-            for rows in batches:
-                book.add(rows)
+            for batch in batches:
+                book.add(batch)
                 if book.full:
                     break
             book.close()
@@ -168,13 +191,13 @@ class XlsxWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         task = TaskContext.get()
         written = Written()
-        slices = _row_slices(iterator)
+        slices = _slices(iterator)
         for first in slices:
             name = (
                 f"part-{task.partitionId():05d}-{len(written.files):05d}"
                 f"-{task.taskAttemptId()}-{uuid.uuid4().hex}.xlsx"
             )
-            self._write_workbook(name, _chain(first, slices))
+            self._write_workbook(name, chain([first], slices))
             written.files.append(name)
         return written
 
@@ -195,16 +218,10 @@ class XlsxWriter(DataSourceArrowWriter):
             fs.delete_dir(temporary)
 
 
-def _row_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE):
-            part = batch.slice(start, SLICE)
-            yield list(zip(*(column.to_pylist() for column in part.columns)))
-
-
-def _chain(first: list, rest: Iterator[list]) -> Iterator[list]:
-    yield first
-    yield from rest
+            yield batch.slice(start, SLICE)
 
 
 class XlsxDataSource(DataSource):

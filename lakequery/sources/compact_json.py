@@ -97,7 +97,9 @@ def _string_array(line: str, what: str) -> list[str]:
 
 def _header(spark: SparkSession, path: str | list[str]) -> tuple[str, str] | None:
     """The header lines all files share; None when no file has a line."""
+    # Only paths are selected, so no content is read; few tasks then open many files each.
     files = spark.read.format("binaryFile").load(path).select("path")
+    files = files.coalesce(4 * spark.sparkContext.defaultParallelism)
     heads = files.mapInArrow(_heads, "path string, names string, types string")
     distinct = heads.where(F.col("names").isNotNull()).groupBy("names", "types").agg(
         F.min("path").alias("path")
