@@ -50,10 +50,13 @@ class QueryResult:
         return self._df
 
     def rows(self) -> list[dict]:
-        """Run the statement and log it: at most ``limit`` encoded row objects."""
+        """Run the statement and log it: at most ``limit`` encoded row objects, in memory.
+
+        A client that wants many rows should page them with ``query_stream`` instead.
+        """
 
         def collect() -> list[dict]:
-            lines = row_json(self._df, self._session.dialect).toLocalIterator()
+            lines = row_json(self._df, self._session.dialect).collect()
             return [json.loads(line[0]) for line in lines]
 
         rows, self.execution_time_ms = self._session._logged(
@@ -77,7 +80,7 @@ class Session:
         timer = Timer()
         try:
             result = work()
-        except (PySparkException, ValueError, OSError) as error:
+        except Exception as error:
             self.log.append(operation, sql, view_name, error=str(error), duration_ms=timer.ms)
             raise
         self.log.append(operation, sql, view_name, rows_of(result), duration_ms=timer.ms)
@@ -123,7 +126,10 @@ class Session:
             if rows or not sent:
                 sent += len(rows)
                 yield QueryBatch(meta, rows)
-        except PySparkException as error:
+        except GeneratorExit:  # the reader has seen enough
+            self.log.append(QUERY_STREAM, sql, view_name, sent, duration_ms=timer.ms)
+            raise
+        except Exception as error:
             self.log.append(QUERY_STREAM, sql, view_name, error=str(error), duration_ms=timer.ms)
             raise
         self.log.append(QUERY_STREAM, sql, view_name, sent, duration_ms=timer.ms)

@@ -121,7 +121,7 @@ def _json_array(rows: DataFrame, existing: str | None, part: str) -> None:
 def _array_items(spark: SparkSession, path: str) -> DataFrame:
     """What an array file holds between its brackets, as one row ahead of all new ones."""
     text = F.regexp_replace("value", r"^\s+|\s+$", "")
-    array = spark.read.option("wholetext", True).text(path).select(text.alias("text"))
+    array = spark.read.text(path, wholetext=True).select(text.alias("text"))
     bracketed = (F.length("text") > 1) & F.col("text").startswith("[") & F.col("text").endswith("]")
     refused = F.raise_error(F.lit(f"cannot append JSON to {path}: it is not a JSON array"))
     inner = F.regexp_replace(F.expr("substring(text, 2, length(text) - 2)"), r"^\s+|\s+$", "")

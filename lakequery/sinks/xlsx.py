@@ -180,13 +180,17 @@ class XlsxWriter(DataSourceArrowWriter):
         """Fill one workbook, leaving in ``batches`` what does not fit."""
         fs, base = open_filesystem(self.temporary)
         fs.create_dir(base, recursive=True)
-        with fs.open_output_stream(f"{base}/{name}") as sink:
-            book = Workbook(sink, self.names)
-            for batch in batches:
-                book.add(batch)
-                if book.full:
-                    break
-            book.close()
+        try:
+            with fs.open_output_stream(f"{base}/{name}") as sink:
+                book = Workbook(sink, self.names)
+                for batch in batches:
+                    book.add(batch)
+                    if book.full:
+                        break
+                book.close()
+        except BaseException:
+            fs.delete_file(f"{base}/{name}")
+            raise
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         task = TaskContext.get()

@@ -178,12 +178,15 @@ def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .where(F.col("line") != "")
     )
     data = _data_lines(lines, header, kinds)
+    # Spark's parsers stop after the first JSON value of a text. Inside an object, text that follows
+    # the array is an error, and "end" is only seen when the array was the whole line.
+    wrapped = F.concat(F.lit('{"row":'), "line", F.lit(',"end":0}'))
     values = data.select(
-        "line", F.try_variant_get(F.try_parse_json("line"), "$", "array<variant>").alias("cells")
-    )
+        "line", F.from_json(wrapped, "row array<variant>, end int").alias("parsed")
+    ).select("line", "parsed.end", F.col("parsed.row").alias("cells"))
     checked = values.select(
         F.when(
-            F.col("cells").isNull(),
+            F.col("cells").isNull() | F.col("end").isNull(),
             F.raise_error(F.concat(F.lit("Failed to parse row as a JSON array: "), "line")),
         )
         .when(

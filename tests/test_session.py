@@ -1,0 +1,154 @@
+import uuid
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+
+from lakequery import Session
+from lakequery.operators import capped, numbering
+from lakequery.operators.capped import cap, columns
+from lakequery.statements import SessionInfo
+
+FOUR = "SELECT * FROM VALUES (1, 'alice'), (2, 'bob'), (3, 'carol'), (4, 'dave') AS t(id, name) ORDER BY id"
+
+
+@pytest.fixture
+def session(spark, tmp_path):
+    return Session(spark, str(tmp_path / "log"))
+
+
+def log_rows(session):
+    return [row.asDict() for row in session.log.table().orderBy("created_at").collect()]
+
+
+def test_ping(session):
+    result = session.query("SELECT 1 AS ping, 'spark' AS engine", view_name="ping")
+    assert result.rows() == [{"ping": 1, "engine": "spark"}]
+    assert [tuple(c) for c in result.columns] == [("ping", "int"), ("engine", "string")]
+    assert result.execution_time_ms >= 0
+
+
+def test_limit_stops_early(session):
+    result = session.query("SELECT * FROM VALUES (1), (2), (3) AS t(id)", limit=2)
+    assert [row["id"] for row in result.rows()] == [1, 2]
+
+
+def test_default_limit_is_1000(session):
+    assert len(session.query("SELECT id FROM range(1500)").rows()) == 1000
+
+
+def test_limit_zero_keeps_columns(session):
+    result = session.query(FOUR, limit=0)
+    assert result.rows() == []
+    assert [c.name for c in result.columns] == ["id", "name"]
+
+
+def test_negative_limit_is_refused(session):
+    with pytest.raises(ValueError):
+        session.query(FOUR, limit=-1)
+
+
+def test_large_cap_is_a_filter_on_row_numbers(spark, monkeypatch):
+    monkeypatch.setattr(capped, "ONE_TASK_LIMIT", 10)
+    df = spark.sql("SELECT id FROM range(0, 5000, 1, 7) ORDER BY id DESC")
+    assert [row[0] for row in cap(df, 1234).collect()] == list(range(4999, 4999 - 1234, -1))
+
+
+def test_stream_batches_honour_limit(session):
+    batches = list(session.query_stream(FOUR, batch_size=2, limit=3, view_name="stream"))
+    assert [len(b.rows) for b in batches] == [2, 1]
+    assert batches[0].rows[0] == {"id": 1, "name": "alice"}
+    assert batches[1].rows[0] == {"id": 3, "name": "carol"}
+    assert all([c.name for c in b.columns] == ["id", "name"] for b in batches)
+    logged = log_rows(session)[-1]
+    assert (logged["operation"], logged["row_count"], logged["view_name"]) == ("queryStream", 3, "stream")
+
+
+def test_full_batches_have_no_empty_tail(session):
+    assert [len(b.rows) for b in session.query_stream(FOUR, batch_size=2)] == [2, 2]
+
+
+def test_default_batch_size_is_200_and_least_is_1(session):
+    sizes = [len(b.rows) for b in session.query_stream("SELECT id FROM range(450)")]
+    assert sizes == [200, 200, 50]
+    assert [len(b.rows) for b in session.query_stream(FOUR, batch_size=0)] == [1, 1, 1, 1]
+
+
+def test_empty_result_streams_one_chunk_with_columns(session):
+    (batch,) = session.query_stream("SELECT id FROM range(0)")
+    assert batch.rows == [] and [c.name for c in batch.columns] == ["id"]
+
+
+def test_log_records_success_and_error(session):
+    session.query("SELECT 1 AS id", view_name="step_1").rows()
+    with pytest.raises(AnalysisException):
+        session.query("SELECT * FROM no_such_table", view_name="step_error")
+    with pytest.raises(PySparkException):
+        session.query("SELECT raise_error('boom') AS x", view_name="run_error").rows()
+    good, bad, failed = log_rows(session)
+    assert (good["view_name"], good["status"], good["row_count"]) == ("step_1", "success", 1)
+    assert good["error"] is None and good["operation"] == "query" and good["sql"] == "SELECT 1 AS id"
+    assert good["duration_ms"] >= 0
+    assert (bad["view_name"], bad["status"], bad["row_count"]) == ("step_error", "error", None)
+    assert "no_such_table" in bad["error"]
+    assert failed["status"] == "error" and "boom" in failed["error"]
+    assert {row["session_id"] for row in (good, bad, failed)} == {session.info().session_id}
+
+
+def test_taking_the_frame_is_logged(session):
+    assert session.query("SELECT 1 AS id").df.count() == 1
+    assert log_rows(session)[0]["row_count"] is None
+
+
+def test_session_info(session, tmp_path):
+    info = session.info()
+    assert isinstance(info, SessionInfo) and uuid.UUID(info.session_id).version == 4
+    assert info.path == str(tmp_path / "log")
+
+
+def test_view_names(session):
+    name = session.log.name
+    assert [name(None), name(" kept "), name("  "), name("")] == ["view_1", "kept", "view_2", "view_3"]
+
+
+def test_empty_log_is_a_table(session):
+    assert session.log.table().count() == 0
+
+
+def test_columns_keep_repeated_names(spark):
+    assert [c.name for c in columns(spark.sql("SELECT 1 AS a, 'x' AS a"))] == ["a", "a"]
+
+
+def test_views_live_as_long_as_the_session(session, spark):
+    session.query("CREATE OR REPLACE TEMP VIEW kept AS SELECT 7 AS n").rows()
+    assert session.query("SELECT n FROM kept").rows() == [{"n": 7}]
+    assert "kept" in [row["tableName"] for row in session.query("SHOW TABLES").rows()]
+
+
+def test_environment_functions(session):
+    assert session.query("SELECT current_database() AS db, current_schema() AS s").rows() == [
+        {"db": "default", "s": "default"}
+    ]
+
+
+def test_batches_are_a_frame(session):
+    df = session.batches("SELECT id FROM range(0, 1000, 1, 5)", 64, order=["id"])
+    got = {r["batch_id"]: r["count"] for r in df.groupBy("batch_id").count().collect()}
+    assert got == {i: 64 for i in range(15)} | {15: 40}
+
+
+def test_numbering_needs_distinct_names(spark):
+    with pytest.raises(ValueError):
+        numbering.number_rows(spark.sql("SELECT 1 AS a, 2 AS a"))
+    with pytest.raises(ValueError):
+        numbering.number_rows(spark.sql("SELECT 1 AS row_ord"))
+
+
+def test_stream_errors_and_early_stops_are_logged(session):
+    with pytest.raises(Exception, match="boom"):
+        list(session.query_stream("SELECT raise_error('boom') AS x", view_name="bad"))
+    stream = session.query_stream(FOUR, batch_size=1, view_name="stopped")
+    next(stream)
+    stream.close()
+    bad, stopped = log_rows(session)
+    assert bad["status"] == "error" and "boom" in bad["error"]
+    assert (stopped["status"], stopped["row_count"]) == ("success", 1)
