@@ -20,11 +20,13 @@ SPARK_TYPES = {
 DEFAULT_SAMPLE_ROWS = 200
 
 _UINT64_MAX = "18446744073709551615"
+# Classes of JSON values: booleans, integers of int64, integers above it, other numbers, the rest.
+_FLAG, _INT, _BIG, _FLOAT, _OTHER = range(1, 6)
 _LONG_WHOLE = tuple(f"DECIMAL({digits},0)" for digits in range(19, 39))
 
 
 def value_class(value: Column, token: Column) -> Column:
-    """Class of a JSON value: bool, int, big (above int64, within uint64), float, text; else null.
+    """Class of a JSON value, null for null. Numbers, not names, so that folding stays in hash maps.
 
     The variant names the type. It cannot tell ``9223372036854775808`` from the same number with
     ``.0``; only whole decimals that long look at the raw token, so no other row pays for it.
@@ -35,12 +37,12 @@ def value_class(value: Column, token: Column) -> Column:
     )
     return (
         F.when(kind == "VOID", None)
-        .when(kind == "BIGINT", "int")
-        .when(kind == "BOOLEAN", "bool")
-        .when(kind == "DOUBLE", "float")
-        .when(kind.isin(*_LONG_WHOLE), F.when(unsigned, "big").otherwise("float"))
-        .when(kind.startswith("DECIMAL"), "float")
-        .otherwise("text")
+        .when(kind == "BIGINT", _INT)
+        .when(kind == "BOOLEAN", _FLAG)
+        .when(kind == "DOUBLE", _FLOAT)
+        .when(kind.isin(*_LONG_WHOLE), F.when(unsigned, _BIG).otherwise(_FLOAT))
+        .when(kind.startswith("DECIMAL"), _FLOAT)
+        .otherwise(_OTHER)
     )
 
 
@@ -71,22 +73,22 @@ def infer_types(
     token = F.from_json("json", "map<string,string>")[F.col("key")]
     classes = pairs.select("key", "ord", value_class(F.col("value"), token).alias("class"))
 
-    def seen(*names: str) -> Column:
-        return F.coalesce(F.bool_or(F.col("class").isin(*names)), F.lit(False))
+    def seen(*classes: int) -> Column:
+        return F.coalesce(F.bool_or(F.col("class").isin(*classes)), F.lit(False))
 
     folded = classes.groupBy("key").agg(
-        seen("text").alias("text"),
-        seen("bool").alias("bool"),
-        seen("int").alias("int"),
-        seen("int", "big", "float").alias("number"),
-        seen("big", "float").alias("wide"),
+        seen(_OTHER).alias("other"),
+        seen(_FLAG).alias("flag"),
+        seen(_INT).alias("int"),
+        seen(_INT, _BIG, _FLOAT).alias("number"),
+        seen(_BIG, _FLOAT).alias("wide"),
         F.min_by("class", F.when(F.col("class").isNotNull(), F.col("ord"))).alias("first"),
     )
-    is_text = F.col("text") | (F.col("bool") & F.col("number")) | (F.col("first") == "big")
+    is_text = F.col("other") | (F.col("flag") & F.col("number")) | (F.col("first") == _BIG)
     decided = folded.select(
         F.col("key").alias("column_name"),
         F.when(is_text, UTF8)
-        .when(F.col("bool"), BOOL)
+        .when(F.col("flag"), BOOL)
         .when(F.col("wide"), FLOAT64)
         .when(F.col("int"), INT64)
         .otherwise(UTF8)

@@ -1,16 +1,17 @@
-"""Session documents as data. Events stand in for statements, users for their sessions."""
+"""Session documents as data. Events stand in for statements, fifty of them to a session."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.plans.registry import plan, views
+from lakequery.operators.numbering import with_batch_id
+from lakequery.plans.registry import plan, table
 from lakequery.statements import named_views, read_sessions, session_summary, time_text
 from lakequery.storage import scratch_dir
 
 _STATEMENTS = """
-    SELECT event_id, concat(user_id, '-', event_id DIV 50) AS session_id,
+    SELECT row_ord, concat('s', batch_id) AS session_id,
            CASE WHEN event_type IN ('view', 'click') THEN concat(' ', event_type, ' ') ELSE ' ' END AS view_name,
            CASE event_type WHEN 'view' THEN 'queryStream' WHEN 'purchase' THEN 'save' ELSE 'query' END
              AS operation,
@@ -18,18 +19,19 @@ _STATEMENTS = """
            CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status,
            CASE WHEN event_type = 'error' THEN props END AS error,
            props AS sql, date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") AS created_at
-    FROM events
+    FROM statement_events
 """
 
 
 def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the documents and read them back; a session spans at most 50 event ids."""
-    views(spark, sf_dir, "events")
+    """Write the documents and read them back. Row numbers bound each one to 50 statements."""
+    events = table(spark, sf_dir, "events")
+    with_batch_id(events, 50, ["event_id"]).createOrReplaceTempView("statement_events")
     fields = ["view_name", "operation", "sql", "created_at", "row_count", "status", "error"]
     statements = spark.sql(_STATEMENTS).groupBy("session_id").agg(
         F.min("created_at").alias("created_at"),
         F.max("created_at").alias("updated_at"),
-        F.array_sort(F.collect_list(F.struct("event_id", *fields))).alias("views"),
+        F.array_sort(F.collect_list(F.struct("row_ord", *fields))).alias("views"),
     )
     path = scratch_dir(spark, "sessions")
     statements.write.json(path)
@@ -37,9 +39,8 @@ def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _NUMBERED = """
-    SELECT user_id || '-' || (event_id // 50) AS session_id, event_type, event_id, ts,
-           row_number() OVER (PARTITION BY user_id, event_id // 50 ORDER BY event_id) - 1 AS position
-    FROM events
+    SELECT 's' || (place // 50) AS session_id, place % 50 AS position, event_type, event_id, ts
+    FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS place FROM events)
 """
 
 
@@ -67,14 +68,14 @@ def session_flatten(spark, sf_dir):
 
 
 @plan(
-    """
-    SELECT user_id || '-' || (event_id // 50) AS session_id,
+    f"""
+    SELECT session_id,
            CASE event_type WHEN 'view' THEN 'queryStream' WHEN 'purchase' THEN 'save' ELSE 'query' END
              AS operation,
            CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status,
            count(*) AS statements,
            CAST(coalesce(sum(CASE WHEN event_type != 'error' THEN event_id END), 0) AS BIGINT) AS total_rows
-    FROM events GROUP BY ALL
+    FROM ({_NUMBERED}) GROUP BY ALL
     """
 )
 def session_statement_counts(spark, sf_dir):

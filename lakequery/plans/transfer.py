@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from itertools import islice
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -107,25 +108,30 @@ def orc_roundtrip(spark, sf_dir):
 _SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
 
+_ROWS_AT_A_TIME = 5_000
+
+
+def _workbook_rows(content: bytes):
+    """Cell text of each row below the header; a blank cell is null."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book, book.open("xl/worksheets/sheet1.xml") as sheet:
+        letters = None
+        for _, node in ElementTree.iterparse(sheet):
+            if node.tag == f"{_SHEET}row":
+                cells = {c.get("r").rstrip("0123456789"): "".join(c.itertext()) for c in node}
+                if letters is None:
+                    letters = list(cells)
+                else:
+                    yield [cells.get(letter) for letter in letters]
+                node.clear()
+
+
 def _sheet_rows(batches):
-    """Text of every cell below the header of each workbook; blank cells are null."""
+    schema = pa.schema([("cells", pa.list_(pa.string()))])
     for batch in batches:
         for content in batch.column("content"):
-            rows = []
-            with zipfile.ZipFile(io.BytesIO(content.as_py())) as book:
-                with book.open("xl/worksheets/sheet1.xml") as sheet:
-                    width = 0
-                    for _, node in ElementTree.iterparse(sheet):
-                        if node.tag != f"{_SHEET}row":
-                            continue
-                        cells = {c.get("r").rstrip("0123456789"): "".join(c.itertext()) for c in node}
-                        width = width or len(cells)
-                        letters = [chr(65 + i) for i in range(width)]
-                        rows.append([cells.get(letter) for letter in letters])
-                        node.clear()
-            yield pa.RecordBatch.from_pydict(
-                {"cells": rows[1:]}, pa.schema([("cells", pa.list_(pa.string()))])
-            )
+            rows = _workbook_rows(content.as_py())
+            while part := list(islice(rows, _ROWS_AT_A_TIME)):
+                yield pa.RecordBatch.from_pydict({"cells": part}, schema)
 
 
 @plan("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -194,16 +200,17 @@ def compact_json_scan(spark, sf_dir):
     placed = customer.select(line.alias("line"), place.alias("place"))
     headed = F.when(F.col("place") == 0, F.array(F.lit(names), F.lit(types), F.col("line")))
     path = scratch_dir(spark, "compact")
-    placed.select(F.explode(headed.otherwise(F.array("line"))).alias("value")).write.text(path)
+    lines = placed.select(F.explode(headed.otherwise(F.array("line"))).alias("value"))
+    lines.write.option("maxRecordsPerFile", 0).text(path)
     return read_compact_json(spark, path)
 
 
 @plan("SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY event_type")
 def stream_save(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    files, target = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-out")
-    events.repartition(4, "event_id").write.parquet(files)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(files)
+    path, target = f"{sf_dir}/events.parquet", scratch_dir(spark, "stream-out")
+    schema = spark.read.parquet(path).schema
+    # A stream takes one file only by a pattern; the pattern also matches a directory of files.
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
     save_stream(stream, "parquet", target, scratch_dir(spark, "stream-state"), dialect=EMBEDDED)
     saved = spark.read.parquet(target)
     return saved.groupBy("event_type").agg(

@@ -6,15 +6,15 @@ import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from lakequery.functions.encode import EMBEDDED, row_json
-from lakequery.operators.capped import ColumnMeta, cap, columns
+from lakequery.operators.capped import ColumnMeta, cap, columns, resolve_limit
 from lakequery.operators.numbering import resolve_batch_size, with_batch_id
 from lakequery.sinks.dataset import DECLARED, write_dataset
 from lakequery.sinks.formats import ExportError, SaveResult
 from lakequery.sinks.single_file import write_file
+from lakequery.sources.jdbc import Database, Partitioning, read_database
 from lakequery.statements import (
     QUERY,
     QUERY_STREAM,
@@ -66,11 +66,21 @@ class QueryResult:
 
 
 class Session:
-    """SQL over one Spark session. Statements are logged when they run or fail."""
+    """SQL over one Spark session, or in ``database`` where one is given.
 
-    def __init__(self, spark: SparkSession, log_path: str | None = None, dialect: str = EMBEDDED):
+    Statements are logged when they run or fail.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        log_path: str | None = None,
+        dialect: str | None = None,
+        database: Database | None = None,
+    ):
         self.spark = spark
-        self.dialect = dialect
+        self.database = database
+        self.dialect = dialect or (database.dialect if database else EMBEDDED)
         self.log = StatementLog(spark, log_path or scratch_dir(spark, "statements"))
 
     def info(self) -> SessionInfo:
@@ -86,18 +96,27 @@ class Session:
         self.log.append(operation, sql, view_name, rows_of(result), duration_ms=timer.ms)
         return result, timer.ms
 
-    def _analysed(self, operation: str, sql: str, view_name: str | None) -> DataFrame:
+    def _frame(
+        self, sql: str, limit: int | None = None, partition: Partitioning | None = None
+    ) -> DataFrame:
+        if self.database is None:
+            return self.spark.sql(sql)
+        return read_database(self.spark, self.database, sql, partition, limit)
+
+    def _capped(
+        self, operation: str, sql: str, limit: int | None, view_name: str | None
+    ) -> DataFrame:
+        rows = resolve_limit(limit)
         timer = Timer()
         try:
-            return self.spark.sql(sql)
-        except PySparkException as error:
+            return cap(self._frame(sql, rows), rows)
+        except Exception as error:
             self.log.append(operation, sql, view_name, error=str(error), duration_ms=timer.ms)
             raise
 
     def query(self, sql: str, limit: int | None = None, view_name: str | None = None) -> QueryResult:
         """The first ``limit`` rows (1000 unless given) of a statement."""
-        df = self._analysed(QUERY, sql, view_name)
-        return QueryResult(self, sql, cap(df, limit), view_name)
+        return QueryResult(self, sql, self._capped(QUERY, sql, limit, view_name), view_name)
 
     def query_stream(
         self,
@@ -110,13 +129,13 @@ class Session:
 
         An empty result yields one chunk, which carries the columns.
         """
-        df = self._analysed(QUERY_STREAM, sql, view_name)
-        return self._chunks(df, sql, resolve_batch_size(batch_size), limit, view_name)
+        df = self._capped(QUERY_STREAM, sql, limit, view_name)
+        return self._chunks(df, sql, resolve_batch_size(batch_size), view_name)
 
-    def _chunks(self, df, sql, size, limit, view_name) -> Iterator[QueryBatch]:
+    def _chunks(self, df, sql, size, view_name) -> Iterator[QueryBatch]:
         meta, rows, sent, timer = columns(df), [], 0, Timer()
         try:
-            lines = row_json(cap(df, limit), self.dialect).toLocalIterator(prefetchPartitions=True)
+            lines = row_json(df, self.dialect).toLocalIterator(prefetchPartitions=True)
             for line in lines:
                 rows.append(json.loads(line[0]))
                 if len(rows) == size:
@@ -140,9 +159,10 @@ class Session:
         batch_size: int | None = None,
         limit: int | None = None,
         order: list[str] | None = None,
+        partition: Partitioning | None = None,
     ) -> DataFrame:
         """The same chunks as a frame with ``batch_id``, for jobs that work on them in parallel."""
-        return with_batch_id(self.spark.sql(sql), batch_size, order, limit)
+        return with_batch_id(self._frame(sql, None, partition), batch_size, order, limit)
 
     def save(
         self,
@@ -153,13 +173,14 @@ class Session:
         view_name: str | None = None,
         layout: str = "dataset",
         typing: str = DECLARED,
+        partition: Partitioning | None = None,
     ) -> SaveResult:
-        """Export a whole result, without a row cap."""
+        """Export a whole result, without a row cap; ``partition`` shares out a database's rows."""
 
         def work() -> SaveResult:
             if layout not in _LAYOUTS:
                 raise ExportError(f"unknown layout: {layout} (one of {', '.join(_LAYOUTS)})")
-            df = self.spark.sql(sql)
+            df = self._frame(sql, None, partition)
             return _LAYOUTS[layout](df, file_type, path, mode, self.dialect, typing)
 
         return self._logged(SAVE, sql, view_name, work, lambda saved: saved.row_count)[0]

@@ -14,7 +14,6 @@ from lakequery.operators.infer import (
     normalize,
     project_typed,
 )
-from lakequery.operators.numbering import number_rows
 from lakequery.sinks.formats import (
     APPEND,
     CSV,
@@ -66,10 +65,13 @@ def export_frame(
 
 
 def _inferred(df: DataFrame, dialect: str) -> DataFrame:
-    rows = number_rows(row_json(df, dialect), name="row_ord")
-    found = infer_types(rows, "row", df.columns, "row_ord", DEFAULT_SAMPLE_ROWS)
-    kinds = {r["column_name"]: r["column_type"] for r in found.collect()}  # one row per column
-    return project_typed(rows, "row", {name: kinds[name] for name in df.columns}).drop("row_ord")
+    """Types from the first rows, which ``take`` finds without running the whole result."""
+    rows = row_json(df, dialect)
+    first = enumerate(row[0] for row in rows.take(DEFAULT_SAMPLE_ROWS))
+    sample = df.sparkSession.createDataFrame(list(first), "ord long, row string")
+    found = infer_types(sample, "row", df.columns, "ord").collect()  # one row per column
+    kinds = {row["column_name"]: row["column_type"] for row in found}
+    return project_typed(rows, "row", {name: kinds[name] for name in df.columns})
 
 
 def write_parts(frame: DataFrame, file_format: str, path: str) -> None:
@@ -127,31 +129,43 @@ def write_dataset(
 ) -> SaveResult:
     """Export every row of ``df`` to the directory ``path``.
 
-    An overwrite first commits the new parts beside the old ones and only then deletes the old, so
-    a failed job leaves the target as it was, a result may read the data it replaces, and nothing
-    is renamed, which object stores would turn into a copy.
+    An overwrite replaces the old data only after the new is complete, so a failed job leaves the
+    target as it was and a result may read the data it replaces.
     """
     spark = df.sparkSession
     file_format, save_mode = parse_format(file_type), parse_mode(mode)
     check_append(spark, file_format, save_mode, path)
     storage = Storage(spark)
-    path = storage.qualify(path)
-    single = storage.is_file(path) and storage.size(path) > 0
-    if single and save_mode == APPEND:
-        raise ExportError(f"{path} is one file; append to it with layout='file'")
-    if save_mode == APPEND and file_format == JSON and storage.size(path) > 0:
-        check_json_rows(df, path)
+    path = storage.qualify(path).rstrip("/")
+    if save_mode == APPEND and storage.size(path) > 0:
+        if storage.is_file(path):
+            raise ExportError(f"{path} is one file; append to it with layout='file'")
+        if file_format == JSON:
+            check_json_rows(df, path)
     frame, seen = counted(export_frame(df, file_format, dialect, typing))
-    if storage.is_file(path):
-        staging = f"{path}.{uuid.uuid4().hex}"
-        write_parts(frame, file_format, staging)
-        storage.delete(path)
-        storage.rename(staging, path)
+    if save_mode == OVERWRITE and storage.exists(path):
+        _replace(storage, frame, file_format, path)
     else:
-        old = superseded(storage, path) if save_mode == OVERWRITE else []
         write_parts(frame, file_format, path)
-        for child in old:
-            storage.delete(child)
     return SaveResult(path, file_format, seen.get["rows"])
 
 
+
+
+def _replace(storage: Storage, frame: DataFrame, file_format: str, path: str) -> None:
+    """Swap in a finished directory where that is a rename; else add the new, then drop the old."""
+    if storage.renames_cheaply(path):
+        token = uuid.uuid4().hex
+        staging, old = f"{path}.{token}.new", f"{path}.{token}.old"
+        try:
+            write_parts(frame, file_format, staging)
+        except BaseException:
+            storage.delete(staging)
+            raise
+        storage.rename(path, old)
+        storage.rename(staging, path)
+        storage.delete(old)
+    else:
+        old_parts = [path] if storage.is_file(path) else superseded(storage, path)
+        write_parts(frame, file_format, path)
+        storage.delete_all(old_parts)

@@ -6,6 +6,7 @@ import re
 import uuid
 import zipfile
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import chain
 from xml.sax.saxutils import escape
@@ -28,6 +29,8 @@ SLICE = 4_096
 # A workbook is closed early once its sheet holds this much XML, so that files stay readable.
 MAX_SHEET_BYTES = 256 << 20
 
+MOVES_IN_FLIGHT = 16
+
 _RARE = r"[\x00-\x08\x0b-\x1f\x{fffe}\x{ffff}]|_x[0-9A-Fa-f]{4}_"
 _NOT_XML = re.compile("[\x00-\x08\x0b-\x1f\ufffe\uffff]|_(?=x[0-9A-Fa-f]{4}_)")
 
@@ -212,8 +215,8 @@ class XlsxWriter(DataSourceArrowWriter):
             self._write_workbook(names[0], iter(()))
         fs, temporary = open_filesystem(self.temporary)
         target = open_filesystem(self.path)[1]
-        for name in names:
-            fs.move(f"{temporary}/{name}", f"{target}/{name}")
+        with ThreadPoolExecutor(MOVES_IN_FLIGHT) as pool:
+            list(pool.map(lambda name: fs.move(f"{temporary}/{name}", f"{target}/{name}"), names))
         fs.delete_dir(temporary)
 
     def abort(self, messages: list[Written | None]) -> None:

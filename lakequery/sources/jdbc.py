@@ -21,6 +21,16 @@ _FAMILIES = {
     "clickhouse": ("clickhouse", "com.clickhouse.jdbc.ClickHouseDriver", 8123),
 }
 DATABASES = tuple(_FAMILIES)
+
+# The statement that lists the tables of the current database or schema. A statement
+# such as SHOW TABLES cannot be a derived table, so each family's metadata table is read instead.
+_TABLE_LISTS = {
+    "mysql": "SELECT table_name FROM information_schema.tables WHERE table_schema = DATABASE()",
+    "postgresql": (
+        "SELECT table_name FROM information_schema.tables WHERE table_schema = current_schema()"
+    ),
+    "clickhouse": "SELECT name AS table_name FROM system.tables WHERE database = currentDatabase()",
+}
 FETCH_SIZE = 10_000
 
 
@@ -55,6 +65,11 @@ class Database:
         """The encoding that fits this database's values."""
         return {"mysql": "mysql", "postgresql": "postgres", "clickhouse": "json"}[self._family]
 
+    @property
+    def tables_sql(self) -> str:
+        """A statement whose rows name the tables."""
+        return _TABLE_LISTS[self._family]
+
     @property
     def _family(self) -> str:
         return _FAMILIES[self.kind][0]

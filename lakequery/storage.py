@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+# Schemes whose directories can be renamed as one metadata operation.
+CHEAP_RENAME = ("file", "hdfs", "viewfs", "abfs", "abfss", "ofs")
+CALLS_IN_FLIGHT = 32
+
+
 @dataclass(frozen=True)
 class Entry:
     """One child of a directory."""
@@ -60,6 +67,15 @@ class Storage:
         if fs.exists(p) and not fs.delete(p, True):
             raise OSError(f"could not delete {path}")
 
+    def delete_all(self, paths: list[str]) -> None:
+        """Delete many paths; each call waits on the store, so several are in flight."""
+        with ThreadPoolExecutor(CALLS_IN_FLIGHT) as pool:
+            list(pool.map(self.delete, paths))
+
+    def renames_cheaply(self, path: str) -> bool:
+        """Whether renaming a directory is one metadata operation, not a copy of its data."""
+        return self._resolve(path)[0].getScheme() in CHEAP_RENAME
+
     def rename(self, source: str, target: str) -> None:
         fs, src = self._resolve(source)
         dst = self._jvm.org.apache.hadoop.fs.Path(target)
@@ -94,12 +110,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     ``spark.checkpoint.dir`` names that folder. Only a local session may go without it, because
     there the machine's temporary folder is visible to every task.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="lakequery-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
     path = f"{base.rstrip('/')}/lakequery/{label}-{uuid.uuid4().hex}"
     _made.append(path)
     return path
+
+
+@cache
+def _temporary_folder() -> str:
+    return tempfile.mkdtemp(prefix="lakequery-")
+
+
+def _local_folder(spark: SparkSession) -> str:
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _temporary_folder()

@@ -53,8 +53,7 @@ def save_stream(
     if not storage.exists(f"{checkpoint}/offsets"):
         check_append(spark, file_format, save_mode, path)
         if save_mode == OVERWRITE:
-            for child in superseded(storage, path):
-                storage.delete(child)
+            storage.delete_all(superseded(storage, path))
     first = columns(df)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

@@ -152,3 +152,28 @@ def test_stream_errors_and_early_stops_are_logged(session):
     bad, stopped = log_rows(session)
     assert bad["status"] == "error" and "boom" in bad["error"]
     assert (stopped["status"], stopped["row_count"]) == ("success", 1)
+
+
+def test_statements_can_run_in_a_database(spark, tmp_path, monkeypatch):
+    """What reaches the reader, since no database server may be started here."""
+    from lakequery import session as module
+    from lakequery.sources.jdbc import Database, Partitioning
+
+    asked = []
+
+    def reader(spark, database, sql, partition=None, limit=None):
+        asked.append((database.kind, sql, partition, limit))
+        return spark.sql("SELECT TIMESTAMP_NTZ'2024-01-02 03:04:05' AS t, 1 AS n").limit(limit or 1)
+
+    monkeypatch.setattr(module, "read_database", reader)
+    session = Session(spark, str(tmp_path / "log"), database=Database("mysql", "h", "d"))
+    assert session.query("SELECT a", 7).rows() == [{"t": "2024-01-02 03:04:05", "n": 1}]
+    assert len(list(session.query_stream("SELECT b"))) == 1
+    share = Partitioning("n", 8, 0, 100)
+    assert session.save("SELECT c", "csv", str(tmp_path / "c"), partition=share).row_count == 1
+    assert asked == [
+        ("mysql", "SELECT a", None, 7),
+        ("mysql", "SELECT b", None, 1000),
+        ("mysql", "SELECT c", share, None),
+    ]
+    assert [row["operation"] for row in log_rows(session)] == ["query", "queryStream", "save"]

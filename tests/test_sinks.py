@@ -3,6 +3,7 @@ import io
 import json
 import os
 import zipfile
+from types import SimpleNamespace
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -11,11 +12,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakequery import Session
+from lakequery import storage as storage_module
 from lakequery.sinks import single_file, xlsx
 from lakequery.sinks.dataset import write_dataset
 from lakequery.sinks.formats import ExportError, SaveResult, parse_format, parse_mode
 from lakequery.sinks.single_file import write_file
 from lakequery.sources.csv import read_csv
+from lakequery.storage import Storage
 
 FORMATS = ["csv", "excel", "json", "orc", "parquet"]
 NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -313,3 +316,38 @@ def test_count_needs_no_second_job(spark, people, tmp_path):
     jobs = tracker.getJobIdsForGroup("export")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(jobs) == 1
+
+
+def test_overwrite_where_a_rename_would_copy(spark, people, tmp_path, monkeypatch):
+    """Object stores get the new parts first and lose the old ones after."""
+    monkeypatch.setattr(Storage, "renames_cheaply", lambda self, path: False)
+    path = str(tmp_path / "t")
+    write_dataset(people, "json", path)
+    first = data_files(path)
+    write_dataset(spark.read.json(path).where("id = 1"), "json", path)
+    assert [r["id"] for r in spark.read.json(path).collect()] == [1]
+    assert not {f for f in first if "/part-" in f} & set(data_files(path))
+    with pytest.raises(PySparkException, match="boom"):
+        write_dataset(spark.sql("SELECT raise_error('boom') AS x"), "json", path)
+    assert [r["id"] for r in spark.read.json(path).collect()] == [1]
+
+
+def test_no_leftovers_beside_a_target(people, tmp_path):
+    for _ in range(2):
+        write_dataset(people, "csv", str(tmp_path / "t"))
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_scratch_without_a_setting_needs_a_local_session(spark, monkeypatch):
+    monkeypatch.setattr(storage_module, "_temporary_folder", lambda: "/tmp/local")
+    base = spark.conf.get("spark.checkpoint.dir")
+    fake = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: default),
+        sparkContext=SimpleNamespace(master="yarn"),
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage_module.scratch_dir(fake, "x")
+    fake.sparkContext.master = "local[2]"
+    assert storage_module.scratch_dir(fake, "x").startswith("/tmp/local/lakequery/x-")
+    assert storage_module.scratch_dir(spark, "x").startswith(base)
+    del storage_module._made[-2:]

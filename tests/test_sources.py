@@ -202,6 +202,12 @@ def test_partitioned_reads():
     )
 
 
+def test_table_lists():
+    assert "DATABASE()" in Database("doris", "h").tables_sql
+    assert "current_schema()" in Database("supabase", "h").tables_sql
+    assert "system.tables" in Database("clickhouse", "h").tables_sql
+
+
 def test_unknown_database():
     with pytest.raises(ValueError):
         Database("sqlserver", "h")
