@@ -25,13 +25,13 @@ _FLAG, _INT, _BIG, _FLOAT, _OTHER = range(1, 6)
 _LONG_WHOLE = tuple(f"DECIMAL({digits},0)" for digits in range(19, 39))
 
 
-def value_class(value: Column, token: Column) -> Column:
+def value_class(kind: Column, token: Column) -> Column:
     """Class of a JSON value, null for null. Numbers, not names, so that folding stays in hash maps.
 
-    The variant names the type. It cannot tell ``9223372036854775808`` from the same number with
-    ``.0``; only whole decimals that long look at the raw token, so no other row pays for it.
+    ``kind`` is the type its variant has. That cannot tell ``9223372036854775808`` from the same
+    number with ``.0``; only whole decimals that long look at the raw token, so no other row pays
+    for it.
     """
-    kind = F.schema_of_variant(value)
     unsigned = token.rlike(r"^[0-9]+$") & (
         (F.length(token) < len(_UINT64_MAX)) | (F.lpad(token, len(_UINT64_MAX), "0") <= _UINT64_MAX)
     )
@@ -70,8 +70,9 @@ def infer_types(
         quoted(json_col).alias("json"),
         F.explode(F.from_json(quoted(json_col), "map<string,variant>")).alias("key", "value"),
     )
+    kinds = pairs.select("key", "ord", "json", F.schema_of_variant("value").alias("kind"))
     token = F.from_json("json", "map<string,string>")[F.col("key")]
-    classes = pairs.select("key", "ord", value_class(F.col("value"), token).alias("class"))
+    classes = kinds.select("key", "ord", value_class(F.col("kind"), token).alias("class"))
 
     def seen(*classes: int) -> Column:
         return F.coalesce(F.bool_or(F.col("class").isin(*classes)), F.lit(False))
@@ -129,7 +130,7 @@ def project_typed(df: DataFrame, json_col: str, types: Mapping[str, str]) -> Dat
             fits = {
                 BOOL: actual == "BOOLEAN",
                 INT64: actual == "BIGINT",
-                FLOAT64: actual.isin("BIGINT", "DOUBLE") | actual.startswith("DECIMAL"),
+                FLOAT64: actual.rlike("^(BIGINT|DOUBLE|DECIMAL)"),
             }[kind]
             value = F.when(fits, F.try_variant_get(value, "$", SPARK_TYPES[kind].simpleString()))
         out.append(value.alias(name))

@@ -57,7 +57,8 @@ def infer_mixed(spark, sf_dir):
            max(CASE WHEN event_id % 2 = 1 THEN event_id + 0.5 ELSE event_id END)::DOUBLE AS top_half,
            count(CASE WHEN user_id % 2 = 0 THEN 1 END) AS true_flags,
            CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS loose_numbers,
-           min(CASE WHEN event_type = 'error' THEN 'e' ELSE user_id::VARCHAR END) AS least_loose,
+           sum(CASE WHEN event_type = 'error' THEN 1 ELSE length(user_id::VARCHAR) END)::BIGINT
+             AS loose_chars,
            count(CASE WHEN event_id % 3 = 0 THEN 1 END) AS odd_flags
     FROM events GROUP BY event_type
     """
@@ -65,24 +66,19 @@ def infer_mixed(spark, sf_dir):
 def project_typed_rows(spark, sf_dir):
     """Each key read under a type that only some of its values have."""
     views(spark, sf_dir, "events")
-    rows = spark.sql(_MIXED)
-    halves = project_typed(
-        rows, "row", {"half": INT64, "flag": BOOL, "loose": UTF8, "odd": BOOL}
-    ).select("event_id", "event_type", F.col("half").alias("whole_half"), "flag", "loose", "odd")
-    numbers = project_typed(rows, "row", {"half": FLOAT64, "loose": INT64}).select(
-        "event_type", "half", "loose"
-    )
-    by_class = halves.groupBy("event_type").agg(
+    rows = spark.sql(_MIXED).withColumn("again", F.col("row"))
+    first = project_typed(rows, "row", {"half": INT64, "flag": BOOL, "loose": UTF8, "odd": BOOL})
+    renamed = first.withColumnsRenamed({"half": "whole_half", "loose": "loose_text"})
+    both = project_typed(renamed, "again", {"half": FLOAT64, "loose": INT64})
+    return both.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("whole_half").alias("whole_halves"),
+        F.max("half").alias("top_half"),
         F.count_if("flag").alias("true_flags"),
-        F.min("loose").alias("least_loose"),
+        F.count("loose").alias("loose_numbers"),
+        F.sum(F.length("loose_text")).alias("loose_chars"),
         F.count("odd").alias("odd_flags"),
     )
-    by_number = numbers.groupBy("event_type").agg(
-        F.max("half").alias("top_half"), F.count("loose").alias("loose_numbers")
-    )
-    return by_class.join(by_number, "event_type")
 
 
 @plan(

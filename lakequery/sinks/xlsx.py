@@ -104,8 +104,9 @@ def _joined(*parts) -> pa.StringArray:
 
 
 def text_cells(refs: pa.StringArray, texts: pa.StringArray) -> pa.StringArray:
-    open_cell, close_cell = '" t="inlineStr"><is><t xml:space="preserve">', "</t></is></c>"
-    return _joined('<c r="', refs, open_cell, _escaped(texts), close_cell)
+    spaced = pc.any(pc.match_substring_regex(texts, r"^\s|\s$|\n|\t|  ")).as_py()
+    text = '<t xml:space="preserve">' if spaced else "<t>"
+    return _joined('<c r="', refs, f'" t="inlineStr"><is>{text}', _escaped(texts), "</t></is></c>")
 
 
 def cells(letters: str, rows: pa.StringArray, values: pa.Array) -> pa.StringArray:
@@ -130,7 +131,7 @@ class Workbook:
     def __init__(self, sink, names: list[str]):
         if len(names) > MAX_COLUMNS:
             raise SheetLimitError("Excel column count exceeds worksheet limits")
-        self._zip = zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=3)
+        self._zip = zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=1)
         for name, body in _PARTS.items():
             self._zip.writestr(name, _HEAD + body)
         self._sheet = self._zip.open("xl/worksheets/sheet1.xml", "w")
