@@ -13,12 +13,17 @@ from pyspark.sql import types as T
 EMBEDDED, MYSQL, POSTGRES, JSON = "embedded", "mysql", "postgres", "json"
 DIALECTS = (EMBEDDED, MYSQL, POSTGRES, JSON)
 
-# Field metadata key that keeps the type a source had before Spark widened it.
+# Field metadata keys that keep the type a source had before Spark widened it: this library's own,
+# and the one Spark's JDBC reader sets.
 NATIVE_TYPE = "native_type"
+_JDBC_TYPE = "jdbcClientType"
 
 # Unsigned 64-bit names, whose decimal(20,0) carrier stays a JSON number.
 UNSIGNED_64 = ("ubigint", "uint64", "bigint unsigned")
 
+# Database types that hold JSON and reach Spark as text.
+JSON_TEXT = ("json", "jsonb")
+
 MICROS_PER_SECOND = 1_000_000
 _UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
 _NUMERIC_AS_IS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -26,6 +31,11 @@ _TEXT = (T.StringType, T.CharType, T.VarcharType)
 _TIME = getattr(T, "TimeType", None)
 
 
+def native_type(field: T.StructField) -> str | None:
+    """The name a column's type has at its source, where one is known."""
+    return field.metadata.get(NATIVE_TYPE) or field.metadata.get(_JDBC_TYPE)
+
+
 def _is_time(dtype: T.DataType) -> bool:
     return _TIME is not None and isinstance(dtype, _TIME)
 
@@ -38,6 +48,18 @@ def _clock_micros(c: Column) -> Column:
     return (hours * 3600 + minutes * 60) * MICROS_PER_SECOND + seconds
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
+def _even_fraction(text: Column) -> Column:
+    """Date-time text with no, three or six fraction digits; Spark's own drops trailing zeros."""
+    fraction = F.substring_index(text, ".", -1)
+    digits = F.when(F.length(fraction) > 3, 6).otherwise(3)
+    padded = F.concat(F.substring_index(text, ".", 1), F.lit("."), F.rpad(fraction, digits, F.lit("0")))
+    return F.when(F.contains(text, F.lit(".")), padded).otherwise(text)
+
+
 def _interval(c: Column, dtype: T.DataType) -> Column:
     zero = F.lit(0)
     months, days, nanos = zero, zero, F.lit(0).cast("long")
@@ -74,10 +96,13 @@ class Encoder:
             return c
         if isinstance(dtype, (T.FloatType, T.DoubleType)):
             return c.cast("double")
+        native = (native or "").lower()
+        if native in JSON_TEXT and isinstance(dtype, _TEXT) and self.dialect in (MYSQL, POSTGRES):
+            return F.coalesce(F.try_parse_json(c), c.cast("variant"))
         if isinstance(dtype, (T.BooleanType, T.VariantType, *_NUMERIC_AS_IS, *_TEXT)):
             return c
         if isinstance(dtype, T.DecimalType):
-            return c if (native or "").lower() in UNSIGNED_64 else c.cast("string")
+            return c if native in UNSIGNED_64 else c.cast("string")
         if isinstance(dtype, T.BinaryType):
             return F.concat(F.lit("0x"), F.lower(F.hex(c)))
         if isinstance(dtype, T.NullType):
@@ -111,7 +136,7 @@ class Encoder:
             )
         if isinstance(dtype, T.StructType):
             fields = [
-                self.value(c[f.name], f.dataType, f.metadata.get(NATIVE_TYPE)).alias(f.name)
+                self.value(c[f.name], f.dataType, native_type(f)).alias(f.name)
                 for f in dtype.fields
             ]
             return F.when(c.isNotNull(), F.struct(*fields)) if fields else c
@@ -120,15 +145,21 @@ class Encoder:
     def _relational(self, c: Column, dtype: T.DataType) -> Column:
         if isinstance(dtype, T.DateType):
             return c.cast("string")
-        if isinstance(dtype, T.TimestampNTZType):
-            return self._with_fraction(c, "yyyy-MM-dd HH:mm:ss")
+        if isinstance(dtype, T.TimestampNTZType) or _is_time(dtype):
+            return _even_fraction(c.cast("string"))
         if isinstance(dtype, T.TimestampType):
-            utc = c if self.utc else F.to_utc_timestamp(c, self.timezone)
-            return F.concat(self._with_fraction(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
-        if _is_time(dtype):
-            return self._time_text(c)
+            text = _even_fraction(self._utc(c).cast("string"))
+            return F.concat(F.replace(text, F.lit(" "), F.lit("T")), F.lit("+00:00"))
         return self._unsupported(c, dtype)
 
+    def _utc(self, c: Column) -> Column:
+        """A timestamp as zoneless UTC, past any clock change of the session zone."""
+        if self.utc:
+            return c.cast("timestamp_ntz")
+        seconds = F.unix_micros(c).cast("decimal(20,0)") / F.lit(MICROS_PER_SECOND)
+        zero = F.lit(0)
+        return _epoch() + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+
     @staticmethod
     def _unsupported(c: Column, dtype: T.DataType) -> Column:
         return F.when(c.isNotNull(), F.lit(f"<unsupported:{dtype.simpleString()}>"))
@@ -139,27 +170,9 @@ class Encoder:
             return F.unix_micros(c)
         if self.utc:
             return F.unix_micros(c.cast("timestamp"))
-        days = F.unix_date(c.cast("date")).cast("long")
-        return days * (86_400 * MICROS_PER_SECOND) + _clock_micros(c)
-
-    @staticmethod
-    def _with_fraction(c: Column, pattern: str) -> Column:
-        """Date-time text with no, three or six fraction digits, the fewest that are exact."""
-        fraction = F.pmod(F.unix_micros(c.cast("timestamp")), F.lit(MICROS_PER_SECOND))
-        return (
-            F.when(fraction == 0, F.date_format(c, pattern))
-            .when(fraction % 1000 == 0, F.date_format(c, pattern + ".SSS"))
-            .otherwise(F.date_format(c, pattern + ".SSSSSS"))
-        )
-
-    @staticmethod
-    def _time_text(c: Column) -> Column:
-        fraction = F.pmod(_clock_micros(c), F.lit(MICROS_PER_SECOND))
-        text = c.cast("string")
-        digits = F.when(fraction % 1000 == 0, 3).otherwise(6)
-        return F.when(fraction == 0, F.substring(text, 1, 8)).otherwise(
-            F.rpad(text, digits + 9, "0")
-        )
+        since = c - _epoch()
+        days = F.extract(F.lit("DAY"), since).cast("long")
+        return days * (86_400 * MICROS_PER_SECOND) + _clock_micros(since)
 
     # -- non-finite numbers ------------------------------------------------------------------
 
@@ -185,12 +198,12 @@ class Encoder:
 
     def spelled(self, c: Column, dtype: T.DataType) -> Column:
         """An encoded value with its infinities spelled out, numbers kept as numbers."""
-        if isinstance(dtype, T.DoubleType):
+        if isinstance(dtype, (T.FloatType, T.DoubleType)):
             return (
                 F.when(c == float("inf"), F.parse_json(F.lit('"inf"')))
                 .when(c == float("-inf"), F.parse_json(F.lit('"-inf"')))
                 .when(F.isnan(c), F.parse_json(F.lit('"NaN"')))
-                .otherwise(c.cast("variant"))
+                .otherwise(c.cast("double").cast("variant"))
             )
         if isinstance(dtype, T.ArrayType):
             return F.transform(c, lambda item: self.spelled(item, dtype.elementType))
@@ -237,7 +250,7 @@ def encode(df: DataFrame, dialect: str = EMBEDDED) -> DataFrame:
     df = last_wins(df)
     return df.select(
         *[
-            encoder.value(quoted(f.name), f.dataType, f.metadata.get(NATIVE_TYPE)).alias(f.name)
+            encoder.value(quoted(f.name), f.dataType, native_type(f)).alias(f.name)
             for f in df.schema.fields
         ]
     )
@@ -253,7 +266,7 @@ def json_text(df: DataFrame, dialect: str = EMBEDDED) -> tuple[DataFrame, Column
     df = last_wins(df)
     encoded = encode(df, dialect).schema
     values = [
-        (f.name, encoder.value(quoted(f.name), f.dataType, f.metadata.get(NATIVE_TYPE)), e.dataType)
+        (f.name, encoder.value(quoted(f.name), f.dataType, native_type(f)), e.dataType)
         for f, e in zip(df.schema.fields, encoded.fields)
     ]
     options = {"ignoreNullFields": "false"}
@@ -296,7 +309,8 @@ def cell_text(c: Column, dtype: T.DataType, encoder: Encoder, native: str | None
         infinite = encoder.has_infinity(c, dtype)
         if infinite is None:
             return plain
-        spelled = encoder.spelled(value, _encoded_type(dtype))
+        shape = dtype if encoder.dialect == JSON else _encoded_type(dtype)
+        spelled = encoder.spelled(value, shape)
         return F.when(F.coalesce(infinite, F.lit(False)), F.to_json(spelled, options)).otherwise(plain)
     return value.cast("string")
 
@@ -325,6 +339,6 @@ def stringify(df: DataFrame, dialect: str = EMBEDDED, nulls: str | None = "") ->
     encoder = Encoder.of(df, dialect)
     cells = []
     for f in df.schema.fields:
-        text = cell_text(quoted(f.name), f.dataType, encoder, f.metadata.get(NATIVE_TYPE))
+        text = cell_text(quoted(f.name), f.dataType, encoder, native_type(f))
         cells.append((text if nulls is None else F.coalesce(text, F.lit(nulls))).alias(f.name))
     return df.select(*cells)

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.functions.encode import NATIVE_TYPE
+from lakequery.functions.encode import native_type
 from lakequery.operators.numbering import ONE_TASK_LIMIT, number_rows
 
 DEFAULT_LIMIT = 1000
@@ -21,7 +21,7 @@ class ColumnMeta(NamedTuple):
 def columns(df: DataFrame) -> list[ColumnMeta]:
     """Name and type of each column, repeated names included; a source's own type name wins."""
     return [
-        ColumnMeta(f.name, f.metadata.get(NATIVE_TYPE) or f.dataType.simpleString())
+        ColumnMeta(f.name, native_type(f) or f.dataType.simpleString())
         for f in df.schema.fields
     ]
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakequery.functions.encode import EMBEDDED, Encoder, cell_text, last_wins, quoted, NATIVE_TYPE
+from lakequery.functions.encode import EMBEDDED, Encoder, cell_text, last_wins, native_type, quoted
 
 BOOL, INT64, FLOAT64, UTF8 = "Bool", "Int64", "Float64", "Utf8"
 SPARK_TYPES = {
@@ -155,5 +155,5 @@ def normalize(df: DataFrame, dialect: str = EMBEDDED) -> DataFrame:
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
             out.append(c.cast("double").alias(f.name))
         else:
-            out.append(cell_text(c, f.dataType, encoder, f.metadata.get(NATIVE_TYPE)).alias(f.name))
+            out.append(cell_text(c, f.dataType, encoder, native_type(f)).alias(f.name))
     return df.select(*out)

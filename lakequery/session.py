@@ -159,10 +159,18 @@ class Session:
         batch_size: int | None = None,
         limit: int | None = None,
         order: list[str] | None = None,
+        view_name: str | None = None,
         partition: Partitioning | None = None,
     ) -> DataFrame:
-        """The same chunks as a frame with ``batch_id``, for jobs that work on them in parallel."""
-        return with_batch_id(self._frame(sql, None, partition), batch_size, order, limit)
+        """The same chunks as a frame with ``batch_id``, for jobs that work on them in parallel.
+
+        Without ``limit`` they hold the whole result.
+        """
+
+        def work() -> DataFrame:
+            return with_batch_id(self._frame(sql, None, partition), batch_size, order, limit)
+
+        return self._logged(QUERY_STREAM, sql, view_name, work, lambda df: None)[0]
 
     def save(
         self,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,7 +15,6 @@ from lakequery.operators.infer import (
 from lakequery.sinks.formats import (
     APPEND,
     CSV,
-    CSV_OPTIONS,
     EXCEL,
     JSON,
     ORC,
@@ -26,6 +23,7 @@ from lakequery.sinks.formats import (
     ExportError,
     SaveResult,
     check_append,
+    csv_options,
     parse_format,
     parse_mode,
 )
@@ -78,7 +76,7 @@ def write_parts(frame: DataFrame, file_format: str, path: str) -> None:
     """Add part files to ``path`` from a frame made by ``export_frame``."""
     writer = frame.write.mode("append")
     if file_format == CSV:
-        writer.option("header", True).options(**CSV_OPTIONS).csv(path)
+        writer.option("header", True).options(**csv_options(frame)).csv(path)
     elif file_format == JSON:
         writer.text(path)
     elif file_format == ORC:
@@ -155,8 +153,7 @@ def write_dataset(
 def _replace(storage: Storage, frame: DataFrame, file_format: str, path: str) -> None:
     """Swap in a finished directory where that is a rename; else add the new, then drop the old."""
     if storage.renames_cheaply(path):
-        token = uuid.uuid4().hex
-        staging, old = f"{path}.{token}.new", f"{path}.{token}.old"
+        staging, old = storage.beside(path, "new"), storage.beside(path, "old")
         try:
             write_parts(frame, file_format, staging)
         except BaseException:

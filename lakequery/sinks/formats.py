@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from lakequery.storage import Storage
 
@@ -33,6 +33,11 @@ CSV_OPTIONS = {
 }
 
 
+def csv_options(frame: DataFrame) -> dict[str, str]:
+    """Options for a frame of cell texts; a lone empty cell is quoted, as a blank line is no row."""
+    return CSV_OPTIONS | ({"emptyValue": '""'} if len(frame.columns) == 1 else {})
+
+
 class ExportError(ValueError):
     """An export asked for something its format or target does not allow."""
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +10,11 @@ from lakequery.sinks.dataset import DECLARED, export_frame, write_parts
 from lakequery.sinks.formats import (
     APPEND,
     CSV,
-    CSV_OPTIONS,
     JSON,
     ExportError,
     SaveResult,
     check_append,
+    csv_options,
     parse_format,
     parse_mode,
 )
@@ -71,7 +69,7 @@ def write_file(
             f"{path} would be larger than one task should write; use layout='dataset'"
         )
     rows = spark.read.parquet(staged)
-    part = f"{path}.{uuid.uuid4().hex}"
+    part = storage.beside(path, "parts")
     if kept and file_format == CSV:
         _csv_extended(spark, rows, path, part)
     elif file_format == JSON:
@@ -102,7 +100,7 @@ def _csv_extended(spark: SparkSession, rows: DataFrame, path: str, part: str) ->
     """The old file's lines, header and all, then the new rows without a header."""
     added = scratch_dir(spark, "rows")
     one = rows.coalesce(1).sortWithinPartitions(_ORDER).drop(_ORDER)
-    one.write.options(**CSV_OPTIONS).csv(added)
+    one.write.options(**csv_options(one)).csv(added)
     both = _lines(spark, path, 0).union(_lines(spark, added, 1))
     ordered = both.coalesce(1).sortWithinPartitions("rank", "block", "line")
     ordered.select("value").write.text(part)

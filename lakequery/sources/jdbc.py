@@ -107,9 +107,8 @@ class Database:
             "user": self.username,
             "password": self.password,
             "fetchsize": str(FETCH_SIZE),
-            "pushDownPredicate": "true",
-            "pushDownLimit": "true",
-            "pushDownAggregate": "true",
+            # Zoneless timestamps stay zoneless, as their text has no offset.
+            "preferTimestampNTZ": "true",
         }
         search_path = (self.schema or "").strip()
         if search_path and self._family == "postgresql":
@@ -144,7 +143,11 @@ def read_database(
     partition: Partitioning | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """The result of one statement as a frame; ``limit`` is applied by the database."""
+    """The result of one statement as a frame; ``limit`` is applied by the database.
+
+    The statement becomes a derived table, and some databases ignore ORDER BY in one that has no
+    LIMIT of its own. A statement whose order decides which rows are first should carry its LIMIT.
+    """
     if limit is not None:
         sql = f"SELECT * FROM ({sql.strip().rstrip(';')}) capped LIMIT {int(limit)}"
         partition = None

@@ -40,6 +40,11 @@ class Storage:
         fs, p = self._resolve(path)
         return fs.makeQualified(p).toString()
 
+    def beside(self, path: str, suffix: str) -> str:
+        """A new name in the same directory, which readers of that directory skip."""
+        parent, name = path.rstrip("/").rsplit("/", 1)
+        return f"{parent}/_{name}.{uuid.uuid4().hex}.{suffix}"
+
     def exists(self, path: str) -> bool:
         fs, p = self._resolve(path)
         return fs.exists(p)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakequery.functions.encode import NATIVE_TYPE, encode, row_json, stringify
+from lakequery.operators.capped import columns
 
 
 def one(spark, expression, dialect="embedded"):
@@ -153,3 +154,46 @@ def test_stringify(spark):
 def test_float_widening_is_exact(spark):
     value = one(spark, "CAST(3.4028235e38 AS FLOAT)")
     assert math.isclose(value, 3.4028234663852886e38, rel_tol=0)
+
+
+def test_clock_changes_of_the_session_zone_do_not_show(spark):
+    """02:30 does not exist in New York on this day, and 01:30 in November happens twice."""
+    sql = (
+        "SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00' AS gap, TIMESTAMP_NTZ'2024-11-03 01:30:00.5' AS fold,"
+        " TIMESTAMP'2024-03-10T02:30:00Z' AS zoned, TIMESTAMP'1900-01-01T00:00:00.000001Z' AS old,"
+        " TIMESTAMP_NTZ'1900-01-01 00:00:00.25' AS older"
+    )
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = {d: json.loads(row_json(spark.sql(sql), d).first()[0]) for d in ("embedded", "postgres")}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    expected = {d: json.loads(row_json(spark.sql(sql), d).first()[0]) for d in ("embedded", "postgres")}
+    assert got == expected
+    assert got["postgres"] == {
+        "gap": "2024-03-10 02:30:00",
+        "fold": "2024-11-03 01:30:00.500",
+        "zoned": "2024-03-10T02:30:00+00:00",
+        "old": "1900-01-01T00:00:00.000001+00:00",
+        "older": "1900-01-01 00:00:00.250",
+    }
+
+
+def test_pass_through_dialect_spells_infinities(spark):
+    df = spark.sql("SELECT map('k', CAST('-Infinity' AS FLOAT)) AS m, array(CAST('NaN' AS DOUBLE)) AS a")
+    assert json.loads(row_json(df, "json").first()[0]) == {"m": {"k": "-inf"}, "a": ["NaN"]}
+    assert stringify(df, "json").first()["m"] == '{"k":"-inf"}'
+
+
+def test_types_named_by_a_database(spark):
+    df = spark.sql("SELECT '{\"a\":[1]}' AS j, 'not json' AS k, 5BD AS u, 'x' AS s").select(
+        F.col("j").alias("j", metadata={"jdbcClientType": "JSON"}),
+        F.col("k").alias("k", metadata={"jdbcClientType": "jsonb"}),
+        F.col("u").cast("decimal(20,0)").alias("u", metadata={"jdbcClientType": "BIGINT UNSIGNED"}),
+        F.col("s").alias("s", metadata={"jdbcClientType": "VARCHAR"}),
+    )
+    expected = {"j": {"a": [1]}, "k": "not json", "u": 5, "s": "x"}
+    assert json.loads(row_json(df, "mysql").first()[0]) == expected
+    assert json.loads(row_json(df, "embedded").first()[0]) == expected | {"j": '{"a":[1]}'}
+    assert stringify(df, "postgres").first().asDict() == {"j": '{"a":[1]}', "k": "not json", "u": "5", "s": "x"}
+    assert [c.data_type for c in columns(df)] == ["JSON", "jsonb", "BIGINT UNSIGNED", "VARCHAR"]

@@ -241,6 +241,15 @@ def test_csv_text_survives(spark, tmp_path):
     assert [r["t"] for r in read.orderBy("i").collect()] == texts
 
 
+def test_lone_empty_cells_stay_rows(spark, tmp_path):
+    df = spark.sql("SELECT * FROM VALUES ('a'), (NULL), (''), ('b') AS t(v)")
+    write_dataset(df, "csv", str(tmp_path / "d"))
+    assert read_csv(spark, str(tmp_path / "d")).count() == 4
+    for mode in (None, "append"):
+        write_file(df, "csv", str(tmp_path / "f"), mode)
+    assert open(tmp_path / "f").read() == 'v\n' + 'a\n""\n""\nb\n' * 2
+
+
 def test_columnar_types(spark, tmp_path):
     df = spark.sql("SELECT 1 AS i, 1.5BD AS d, true AS b, DATE'1970-01-02' AS day, array(1) AS l")
     for name in ("parquet", "orc"):
