@@ -26,7 +26,8 @@ def columns(df: DataFrame) -> list[ColumnMeta]:
     ]
 
 
-def resolve_limit(limit: int | None) -> int:
+def row_cap(limit: int | None) -> int:
+    """The cap to use: 1000 unless given; 0 asks for the columns alone."""
     if limit is None:
         return DEFAULT_LIMIT
     if int(limit) < 0:
@@ -41,7 +42,7 @@ def query(spark: SparkSession, sql: str, limit: int | None = None) -> DataFrame:
 
 def cap(df: DataFrame, limit: int | None = None) -> DataFrame:
     """The first ``limit`` rows in result order; 0 keeps the columns and no rows."""
-    n = resolve_limit(limit)
+    n = row_cap(limit)
     if n <= ONE_TASK_LIMIT:
         return df.limit(n)
     return number_rows(df, name="_lq_row").where(F.col("_lq_row") < n).orderBy("_lq_row").drop("_lq_row")

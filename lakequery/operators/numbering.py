@@ -16,13 +16,17 @@ DEFAULT_BATCH_SIZE = 200
 # Above this many rows a cap is a filter on row numbers; `limit` would pull them into one task.
 ONE_TASK_LIMIT = 1_000_000
 
+# Offsets hold one row per partition and are broadcast up to this many (16 bytes each).
+BROADCAST_PARTITIONS = 1_000_000
+
 # monotonically_increasing_id keeps the partition above this bit and the position below it.
 _POSITION_BITS = 33
 _HASHED = "_lq_hash"
 _PLACE = "_lq_place"
 
 
-def resolve_batch_size(batch_size: int | None) -> int:
+def chunk_size(batch_size: int | None) -> int:
+    """Rows per chunk: 200 unless given, and never less than one."""
     return max(DEFAULT_BATCH_SIZE if batch_size is None else int(batch_size), 1)
 
 
@@ -91,10 +95,12 @@ def number_rows(df: DataFrame, order: list[str] | None = None, name: str = "row_
         [(row["_lq_part"], start) for row, start in zip(counts, starts)],
         "_lq_part int, _lq_start long",
     )
+    if len(counts) <= BROADCAST_PARTITIONS:
+        offsets = F.broadcast(offsets)
     position = F.col(_PLACE).bitwiseAND((1 << _POSITION_BITS) - 1)
     return (
         fixed.withColumn("_lq_part", part)
-        .join(F.broadcast(offsets), "_lq_part")
+        .join(offsets, "_lq_part")
         .select(*[quoted(c) for c in df.columns], (F.col("_lq_start") + position).alias(name))
     )
 
@@ -113,5 +119,5 @@ def with_batch_id(
     numbered = number_rows(df, order)
     if limit is not None:
         numbered = numbered.where(F.col("row_ord") < limit)
-    size = resolve_batch_size(batch_size)
+    size = chunk_size(batch_size)
     return numbered.withColumn("batch_id", F.expr(f"row_ord div {size}"))

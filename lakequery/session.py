@@ -9,8 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from lakequery.functions.encode import EMBEDDED, row_json
-from lakequery.operators.capped import ColumnMeta, cap, columns, resolve_limit
-from lakequery.operators.numbering import resolve_batch_size, with_batch_id
+from lakequery.operators.capped import ColumnMeta, cap, columns, row_cap
+from lakequery.operators.numbering import ONE_TASK_LIMIT, chunk_size, with_batch_id
 from lakequery.sinks.dataset import DECLARED, write_dataset
 from lakequery.sinks.formats import ExportError, SaveResult
 from lakequery.sinks.single_file import write_file
@@ -38,10 +38,13 @@ class QueryBatch:
 class QueryResult:
     """A capped result: ``rows`` for a client, ``df`` for further work on the cluster."""
 
-    def __init__(self, session: Session, sql: str, df: DataFrame, view_name: str | None):
+    def __init__(
+        self, session: Session, sql: str, df: DataFrame, limit: int, view_name: str | None
+    ):
         self.columns = columns(df)
         self.execution_time_ms: int | None = None
-        self._session, self._sql, self._df, self._view_name = session, sql, df, view_name
+        self._session, self._sql, self._view_name = session, sql, view_name
+        self._df, self._limit = df, limit
 
     @property
     def df(self) -> DataFrame:
@@ -52,8 +55,11 @@ class QueryResult:
     def rows(self) -> list[dict]:
         """Run the statement and log it: at most ``limit`` encoded row objects, in memory.
 
-        A client that wants many rows should page them with ``query_stream`` instead.
+        Results too large to hold are refused; ``query_stream`` pages them and ``df`` leaves them
+        on the cluster.
         """
+        if self._limit > ONE_TASK_LIMIT:
+            raise ValueError(f"rows() holds at most {ONE_TASK_LIMIT} rows; use query_stream or df")
 
         def collect() -> list[dict]:
             lines = row_json(self._df, self._session.dialect).collect()
@@ -106,7 +112,7 @@ class Session:
     def _capped(
         self, operation: str, sql: str, limit: int | None, view_name: str | None
     ) -> DataFrame:
-        rows = resolve_limit(limit)
+        rows = row_cap(limit)
         timer = Timer()
         try:
             return cap(self._frame(sql, rows), rows)
@@ -116,7 +122,8 @@ class Session:
 
     def query(self, sql: str, limit: int | None = None, view_name: str | None = None) -> QueryResult:
         """The first ``limit`` rows (1000 unless given) of a statement."""
-        return QueryResult(self, sql, self._capped(QUERY, sql, limit, view_name), view_name)
+        df = self._capped(QUERY, sql, limit, view_name)
+        return QueryResult(self, sql, df, row_cap(limit), view_name)
 
     def query_stream(
         self,
@@ -130,7 +137,7 @@ class Session:
         An empty result yields one chunk, which carries the columns.
         """
         df = self._capped(QUERY_STREAM, sql, limit, view_name)
-        return self._chunks(df, sql, resolve_batch_size(batch_size), view_name)
+        return self._chunks(df, sql, chunk_size(batch_size), view_name)
 
     def _chunks(self, df, sql, size, view_name) -> Iterator[QueryBatch]:
         meta, rows, sent, timer = columns(df), [], 0, Timer()

@@ -91,7 +91,7 @@ def _escaped(texts: pa.StringArray) -> pa.StringArray:
     if (pc.max(lengths).as_py() or 0) > MAX_CELL_CHARS // 2:
         for value in texts.filter(pc.greater(lengths, MAX_CELL_CHARS // 2)).to_pylist():
             if len(value.encode("utf-16-le")) // 2 > MAX_CELL_CHARS:
-                raise SheetLimitError(f"Excel cell text exceeds {MAX_CELL_CHARS} characters")
+                raise SheetLimitError(f"a cell holds at most {MAX_CELL_CHARS} characters of text")
     if pc.any(pc.match_substring_regex(texts, _RARE)).as_py():
         return pa.array([None if v is None else escape_text(v) for v in texts.to_pylist()], pa.string())
     for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
@@ -113,14 +113,16 @@ def cells(letters: str, rows: pa.StringArray, values: pa.Array) -> pa.StringArra
     """One column of cells, as XML; blank where the value is null."""
     refs = _joined(letters, rows)
     if pa.types.is_boolean(values.type):
-        made = _joined('<c r="', refs, '" t="b"><v>', pc.cast(values.cast(pa.int8()), pa.string()), "</v></c>")
+        bits = pc.cast(values.cast(pa.int8()), pa.string())
+        made = _joined('<c r="', refs, '" t="b"><v>', bits, "</v></c>")
     elif pa.types.is_string(values.type) or pa.types.is_large_string(values.type):
         made = text_cells(refs, values.cast(pa.string()))
     else:
         made = _joined('<c r="', refs, '"><v>', pc.cast(values, pa.string()), "</v></c>")
         if pa.types.is_floating(values.type) and not pc.all(pc.is_finite(values)).as_py():
             # How numbers without a JSON form are spelled.
-            spelled = pc.if_else(pc.is_nan(values), "NaN", pc.if_else(pc.greater(values, 0), "inf", "-inf"))
+            signed = pc.if_else(pc.greater(values, 0), "inf", "-inf")
+            spelled = pc.if_else(pc.is_nan(values), "NaN", signed)
             made = pc.if_else(pc.is_finite(values), made, text_cells(refs, spelled))
     return pc.fill_null(made, "")
 
@@ -130,7 +132,7 @@ class Workbook:
 
     def __init__(self, sink, names: list[str]):
         if len(names) > MAX_COLUMNS:
-            raise SheetLimitError("Excel column count exceeds worksheet limits")
+            raise SheetLimitError(f"a sheet holds {MAX_COLUMNS} columns, not {len(names)}")
         self._zip = zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=1)
         for name, body in _PARTS.items():
             self._zip.writestr(name, _HEAD + body)

@@ -89,9 +89,9 @@ def _string_array(line: str, what: str) -> list[str]:
     try:
         values = json.loads(line)
     except json.JSONDecodeError as error:
-        raise CompactJsonError(f"Failed to parse {what} as a JSON array: {error}") from None
+        raise CompactJsonError(f"{what} line is not JSON ({error}): {line}") from None
     if not isinstance(values, list) or not all(isinstance(v, str) for v in values):
-        raise CompactJsonError(f"Failed to parse {what} as a JSON array of strings: {line}")
+        raise CompactJsonError(f"{what} line is not an array of strings: {line}")
     return values
 
 
@@ -109,9 +109,9 @@ def _header(spark: SparkSession, path: str | list[str]) -> tuple[str, str] | Non
         return None
     for row in rows:
         if row["types"] is None:
-            raise CompactJsonError(f"Incomplete header: {row['path']} has names but no types")
+            raise CompactJsonError(f"{row['path']} ends before the line of column types")
     if len(rows) > 1:
-        raise CompactJsonError(f"Headers differ: {rows[0]['path']} and {rows[1]['path']}")
+        raise CompactJsonError(f"{rows[0]['path']} and {rows[1]['path']} have different headers")
     return rows[0]["names"], rows[0]["types"]
 
 
@@ -163,10 +163,10 @@ def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     header = _header(spark, path)
     if header is None:
         return spark.createDataFrame([], T.StructType([]))
-    names = _string_array(header[0], "column names")
-    types = _string_array(header[1], "column types")
+    names = _string_array(header[0], "column name")
+    types = _string_array(header[1], "column type")
     if len(names) != len(types):
-        raise CompactJsonError(f"Header has {len(names)} column names but {len(types)} column types")
+        raise CompactJsonError(f"the header names {len(names)} columns and types {len(types)}")
     kinds = [spark_type(t) for t in types]
     lines = (
         spark.read.text(path)
@@ -187,15 +187,15 @@ def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     checked = values.select(
         F.when(
             F.col("cells").isNull() | F.col("end").isNull(),
-            F.raise_error(F.concat(F.lit("Failed to parse row as a JSON array: "), "line")),
+            F.raise_error(F.concat(F.lit("line is not one JSON array: "), "line")),
         )
         .when(
             F.size("cells") != len(names),
             F.raise_error(
                 F.concat(
-                    F.lit("Row has "),
+                    F.lit(f"expected {len(names)} values, found "),
                     F.size("cells").cast("string"),
-                    F.lit(f" values but the header defines {len(names)} columns: "),
+                    F.lit(": "),
                     "line",
                 )
             ),

@@ -47,6 +47,11 @@ def test_negative_limit_is_refused(session):
         session.query(FOUR, limit=-1)
 
 
+def test_rows_are_not_held_without_bound(session):
+    with pytest.raises(ValueError, match="query_stream"):
+        session.query(FOUR, limit=2_000_000).rows()
+
+
 def test_large_cap_is_a_filter_on_row_numbers(spark, monkeypatch):
     monkeypatch.setattr(capped, "ONE_TASK_LIMIT", 10)
     df = spark.sql("SELECT id FROM range(0, 5000, 1, 7) ORDER BY id DESC")

@@ -1,7 +1,10 @@
+import csv
 import glob
 import io
 import json
 import os
+import random
+import re
 import zipfile
 from types import SimpleNamespace
 from xml.etree import ElementTree
@@ -78,11 +81,11 @@ def test_row_count_and_result_name(people, tmp_path, layout, name):
 def test_file_append_csv_and_json(spark, tmp_path):
     first = spark.sql("SELECT 1 AS id, 'al\nice' AS name")
     second = spark.sql("SELECT 2 AS id, NULL AS name UNION ALL SELECT 3, 'q\"uote,'")
-    csv, array = str(tmp_path / "a.csv"), str(tmp_path / "a.json")
-    for path, name in ((csv, "csv"), (array, "json")):
+    table, array = str(tmp_path / "a.csv"), str(tmp_path / "a.json")
+    for path, name in ((table, "csv"), (array, "json")):
         assert write_file(first, name, path, "append").row_count == 1
         assert write_file(second, name, path, "append").row_count == 2
-    assert open(csv).read() == 'id,name\n1,"al\nice"\n2,\n3,"q""uote,"\n'
+    assert open(table).read() == 'id,name\n1,"al\nice"\n2,\n3,"q""uote,"\n'
     assert [r["id"] for r in json.load(open(array))] == [1, 2, 3]
 
 
@@ -360,3 +363,29 @@ def test_scratch_without_a_setting_needs_a_local_session(spark, monkeypatch):
     assert storage_module.scratch_dir(fake, "x").startswith("/tmp/local/lakequery/x-")
     assert storage_module.scratch_dir(spark, "x").startswith(base)
     del storage_module._made[-2:]
+
+
+def test_random_text_survives_every_text_format(spark, tmp_path):
+    """Whole cells come back from CSV, JSON and Excel, whatever characters they hold."""
+    generator = random.Random(7)
+    alphabet = ['"', ",", "\n", "\r", "\\", "'", " ", "\t", "#", "a", "é", "☃", "😀", "<", "&", "_x0041_", "{", "["]
+    texts = ["".join(generator.choices(alphabet, k=generator.randint(1, 12))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(3)
+    for name in ("csv", "json", "xlsx"):
+        write_dataset(df, name, str(tmp_path / name))
+    write_file(df, "csv", str(tmp_path / "one.csv"))
+    write_file(df, "csv", str(tmp_path / "one.csv"), "append")
+    want = dict(enumerate(texts))
+    for path in ("csv", "one.csv"):
+        read = read_csv(spark, str(tmp_path / path), "i int, t string").collect()
+        assert {r["i"]: r["t"] for r in read} == want and len(read) == (3000 if path == "csv" else 6000)
+    assert {r["i"]: r["t"] for r in spark.read.json(str(tmp_path / "json")).collect()} == want
+    with open(tmp_path / "one.csv", newline="") as file:
+        lines = list(csv.reader(file))
+    assert lines[0] == ["i", "t"] and {int(i): t for i, t in lines[1:]} == want
+    cells = {}
+    for book in glob.glob(str(tmp_path / "xlsx" / "*.xlsx")):
+        for row in sheet(book)[1:]:
+            (_, i), (_, t) = row.values()
+            cells[int(i)] = re.sub("_x([0-9A-F]{4})_", lambda m: chr(int(m.group(1), 16)), t)
+    assert cells == want

@@ -117,11 +117,11 @@ def test_type_names():
 @pytest.mark.parametrize(
     "text, message",
     [
-        ('["a","b"]\n["Int8"]\n', "2 column names but 1 column types"),
-        ('["a","b"]\n', "Incomplete header"),
-        ("not json\n[]\n", "Failed to parse column names"),
-        ('["a"]\n{"a":1}\n', "Failed to parse column types"),
-        ('["a"]\n[1]\n', "Failed to parse column types"),
+        ('["a","b"]\n["Int8"]\n', "names 2 columns and types 1"),
+        ('["a","b"]\n', "ends before the line of column types"),
+        ("not json\n[]\n", "column name line is not JSON"),
+        ('["a"]\n{"a":1}\n', "column type line is not an array of strings"),
+        ('["a"]\n[1]\n', "column type line is not an array of strings"),
     ],
 )
 def test_bad_headers(spark, tmp_path, text, message):
@@ -132,27 +132,27 @@ def test_bad_headers(spark, tmp_path, text, message):
 @pytest.mark.parametrize(
     "line, message",
     [
-        ('[1,"x"]', "Row has 2 values but the header defines 3 columns"),
-        ('[1,"x",2,3]', "Row has 4 values"),
-        ('{"id":1}', "Failed to parse row"),
-        ("[1,2", "Failed to parse row"),
-        ('[1,"x",2] x', "Failed to parse row"),
-        ('[1,"x",2]]', "Failed to parse row"),
-        ('[1,"x",2]}', "Failed to parse row"),
-        ('[1,"x",2],[1]', "Failed to parse row"),
-        ("7", "Failed to parse row"),
+        ('[1,"x"]', "expected 3 values, found 2"),
+        ('[1,"x",2,3]', "found 4"),
+        ('{"id":1}', "line is not one JSON array"),
+        ("[1,2", "line is not one JSON array"),
+        ('[1,"x",2] x', "line is not one JSON array"),
+        ('[1,"x",2]]', "line is not one JSON array"),
+        ('[1,"x",2]}', "line is not one JSON array"),
+        ('[1,"x",2],[1]', "line is not one JSON array"),
+        ("7", "line is not one JSON array"),
     ],
 )
 def test_bad_rows(spark, tmp_path, line, message):
     df = read_compact_json(spark, write(tmp_path / "a", TYPED + ROWS + line + "\n"))
-    with pytest.raises(PySparkException, match=message.replace("[", r"\[")):
+    with pytest.raises(PySparkException, match=message):
         df.collect()
 
 
 def test_different_headers_are_an_error(spark, tmp_path):
     write(tmp_path / "a", TYPED + ROWS)
     write(tmp_path / "b", '["id","name","rank"]\n["UInt64","String","Float64"]\n')
-    with pytest.raises(CompactJsonError, match="Headers differ"):
+    with pytest.raises(CompactJsonError, match="different headers"):
         read_compact_json(spark, str(tmp_path))
 
 
