@@ -61,9 +61,10 @@ def infer_mixed(spark, sf_dir):
              AS loose_chars,
            count(CASE WHEN event_id % 3 = 0 THEN 1 END) AS odd_flags
     FROM events GROUP BY event_type
-    """
+    """,
+    name="project_typed",
 )
-def project_typed_rows(spark, sf_dir):
+def typed_rows(spark, sf_dir):
     """Each key read under a type that only some of its values have."""
     views(spark, sf_dir, "events")
     rows = spark.sql(_MIXED).withColumn("again", F.col("row"))

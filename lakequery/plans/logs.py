@@ -12,7 +12,8 @@ from lakequery.storage import scratch_dir
 
 _STATEMENTS = """
     SELECT row_ord, concat('s', batch_id) AS session_id,
-           CASE WHEN event_type IN ('view', 'click') THEN concat(' ', event_type, ' ') ELSE ' ' END AS view_name,
+           CASE WHEN event_type IN ('view', 'click') THEN concat(' ', event_type, ' ') ELSE ' ' END
+             AS view_name,
            CASE event_type WHEN 'view' THEN 'queryStream' WHEN 'purchase' THEN 'save' ELSE 'query' END
              AS operation,
            CASE WHEN event_type != 'error' THEN CAST(event_id AS BIGINT) END AS row_count,
@@ -76,9 +77,10 @@ def session_flatten(spark, sf_dir):
            count(*) AS statements,
            CAST(coalesce(sum(CASE WHEN event_type != 'error' THEN event_id END), 0) AS BIGINT) AS total_rows
     FROM ({_NUMBERED}) GROUP BY ALL
-    """
+    """,
+    name="session_summary",
 )
-def session_statement_counts(spark, sf_dir):
+def statement_counts(spark, sf_dir):
     return session_summary(_sessions(spark, sf_dir))
 
 

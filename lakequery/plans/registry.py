@@ -12,13 +12,14 @@ PLANS: dict[str, Plan] = {}
 ORACLES: dict[str, str] = {}
 
 
-def plan(sql: str | None = None) -> Callable[[Plan], Plan]:
-    """Register a query under its function name, with its SQL twin where one exists."""
+def plan(sql: str | None = None, name: str | None = None) -> Callable[[Plan], Plan]:
+    """Register a query, under its function name unless given one, with its SQL twin if any."""
 
     def register(run: Plan) -> Plan:
-        PLANS[run.__name__] = run
+        key = name or run.__name__
+        PLANS[key] = run
         if sql is not None:
-            ORACLES[run.__name__] = sql
+            ORACLES[key] = sql
         return run
 
     return register

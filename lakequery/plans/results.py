@@ -88,8 +88,7 @@ def sql_plan(name: str, tables: list[str], sql: str, oracle: str | None = None)
         views(spark, sf_dir, *tables)
         return spark.sql(sql)
 
-    run.__name__ = name
-    plan(oracle or sql)(run)
+    plan(oracle or sql, name)(run)
 
 
 sql_plan(

@@ -35,6 +35,14 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, schema)
 
 
+@plan("SELECT page_id, url, html FROM pages")
+def csv_pages(spark, sf_dir):
+    """Markup is full of quotes, commas and line breaks."""
+    path = scratch_dir(spark, "csv")
+    write_dataset(table(spark, sf_dir, "pages"), "csv", path)
+    return read_csv(spark, path, "page_id long, url string, html string")
+
+
 @plan("SELECT * FROM customer")
 def csv_append(spark, sf_dir):
     path = scratch_dir(spark, "csv")
@@ -74,6 +82,25 @@ def json_roundtrip(spark, sf_dir):
     return spark.read.schema(_ORDERS).json(path)
 
 
+@plan("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def json_documents(spark, sf_dir):
+    path = scratch_dir(spark, "json")
+    documents = table(spark, sf_dir, "documents")
+    write_dataset(documents, "json", path)
+    return spark.read.schema(documents.schema).json(path)
+
+
+@plan(
+    """
+    SELECT conv_id, turn, role, text FROM conversations
+    """
+)
+def orc_conversations(spark, sf_dir):
+    path = scratch_dir(spark, "orc")
+    write_dataset(table(spark, sf_dir, "conversations"), "orc", path)
+    return spark.read.orc(path)
+
+
 @plan(_ORDERS_ENCODED)
 def json_append(spark, sf_dir):
     path = scratch_dir(spark, "json")

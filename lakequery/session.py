@@ -44,13 +44,13 @@ class QueryResult:
         self.columns = columns(df)
         self.execution_time_ms: int | None = None
         self._session, self._sql, self._view_name = session, sql, view_name
-        self._df, self._limit = df, limit
+        self._whole, self._limit = df, limit
 
     @property
     def df(self) -> DataFrame:
         """The lazy frame. Taking it logs the statement without a row count, as none is known."""
         self._session.log.append(QUERY, self._sql, self._view_name)
-        return self._df
+        return cap(self._whole, self._limit)
 
     def rows(self) -> list[dict]:
         """Run the statement and log it: at most ``limit`` encoded row objects, in memory.
@@ -62,8 +62,8 @@ class QueryResult:
             raise ValueError(f"rows() holds at most {ONE_TASK_LIMIT} rows; use query_stream or df")
 
         def collect() -> list[dict]:
-            lines = row_json(self._df, self._session.dialect).collect()
-            return [json.loads(line[0]) for line in lines]
+            lines = cap(row_json(self._whole, self._session.dialect), self._limit)
+            return [json.loads(line[0]) for line in lines.collect()]
 
         rows, self.execution_time_ms = self._session._logged(
             QUERY, self._sql, self._view_name, collect, len
@@ -109,21 +109,19 @@ class Session:
             return self.spark.sql(sql)
         return read_database(self.spark, self.database, sql, partition, limit)
 
-    def _capped(
-        self, operation: str, sql: str, limit: int | None, view_name: str | None
-    ) -> DataFrame:
-        rows = row_cap(limit)
+    def _analysed(self, operation: str, sql: str, limit: int, view_name: str | None) -> DataFrame:
         timer = Timer()
         try:
-            return cap(self._frame(sql, rows), rows)
+            return self._frame(sql, limit)
         except Exception as error:
             self.log.append(operation, sql, view_name, error=str(error), duration_ms=timer.ms)
             raise
 
     def query(self, sql: str, limit: int | None = None, view_name: str | None = None) -> QueryResult:
         """The first ``limit`` rows (1000 unless given) of a statement."""
-        df = self._capped(QUERY, sql, limit, view_name)
-        return QueryResult(self, sql, df, row_cap(limit), view_name)
+        rows = row_cap(limit)
+        df = self._analysed(QUERY, sql, rows, view_name)
+        return QueryResult(self, sql, df, rows, view_name)
 
     def query_stream(
         self,
@@ -136,14 +134,17 @@ class Session:
 
         An empty result yields one chunk, which carries the columns.
         """
-        df = self._capped(QUERY_STREAM, sql, limit, view_name)
-        return self._chunks(df, sql, chunk_size(batch_size), view_name)
+        most = row_cap(limit)
+        df = self._analysed(QUERY_STREAM, sql, most, view_name)
+        return self._chunks(df, sql, chunk_size(batch_size), most, view_name)
 
-    def _chunks(self, df, sql, size, view_name) -> Iterator[QueryBatch]:
+    def _chunks(
+        self, df: DataFrame, sql: str, size: int, most: int, view_name: str | None
+    ) -> Iterator[QueryBatch]:
         meta, rows, sent, timer = columns(df), [], 0, Timer()
         try:
-            lines = row_json(df, self.dialect).toLocalIterator(prefetchPartitions=True)
-            for line in lines:
+            lines = cap(row_json(df, self.dialect), most)
+            for line in lines.toLocalIterator(prefetchPartitions=True):
                 rows.append(json.loads(line[0]))
                 if len(rows) == size:
                     sent += size

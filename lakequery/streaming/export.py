@@ -42,7 +42,8 @@ def save_stream(
 
     Each micro-batch owns the directory ``batch_id=N`` and one count file beside it. A batch that
     is replayed after a failure replaces both, so rows are stored and counted once. A failed batch
-    ends the export with its error; the same ``checkpoint`` resumes it.
+    ends the export with its error; the same ``checkpoint`` resumes it. A new stream that
+    overwrites starts by dropping what the target holds.
     """
     spark = df.sparkSession
     file_format, save_mode = parse_format(file_type), parse_mode(mode)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 
 from lakequery import Session
+from lakequery.functions.encode import row_json
 from lakequery.operators import capped, numbering
 from lakequery.operators.capped import cap, columns
 from lakequery.statements import SessionInfo
@@ -182,3 +183,31 @@ def test_statements_can_run_in_a_database(spark, tmp_path, monkeypatch):
         ("mysql", "SELECT c", share, None),
     ]
     assert [row["operation"] for row in log_rows(session)] == ["query", "queryStream", "save"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_filters_and_columns_reach_the_scan(session, spark, small):
+    spark.read.parquet(f"{small}/lineitem.parquet").createOrReplaceTempView("lineitem")
+    sql = "SELECT l_orderkey, l_tax FROM lineitem WHERE l_partkey = 7 ORDER BY l_tax"
+    plan = plan_of(row_json(session.query(sql).df))
+    assert "PushedFilters: [IsNotNull(l_partkey), EqualTo(l_partkey,7)]" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_tax:double>" in plan
+    assert "TakeOrderedAndProject(limit=1000" in plan and "rangepartitioning" not in plan
+
+
+def test_top_rows_are_encoded_after_they_are_chosen(session, spark, small):
+    spark.read.parquet(f"{small}/orders.parquet").createOrReplaceTempView("orders")
+    df = spark.sql("SELECT * FROM orders ORDER BY o_totalprice DESC")
+    assert "TakeOrderedAndProject(limit=10" in plan_of(cap(row_json(df), 10))
+
+
+def test_types_without_a_file_form_can_be_capped_by_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(capped, "ONE_TASK_LIMIT", 3)
+    session = Session(spark, str(tmp_path / "log"))
+    sql = "SELECT id, NULL AS n, make_interval(0, 1) AS i FROM range(10) ORDER BY id"
+    rows = session.query(sql, limit=5).rows()
+    assert [r["id"] for r in rows] == [0, 1, 2, 3, 4]
+    assert rows[0]["n"] is None and rows[0]["i"] == {"months": 1, "days": 0, "nanos": 0}
