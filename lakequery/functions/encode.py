@@ -84,7 +84,6 @@ class Encoder:
             raise ValueError(f"unknown dialect: {dialect}, use one of {', '.join(DIALECTS)}")
         self.dialect = dialect
         self.utc = timezone in _UTC_NAMES
-        self.timezone = timezone
 
     @classmethod
     def of(cls, df: DataFrame, dialect: str) -> Encoder:
@@ -256,34 +255,28 @@ def encode(df: DataFrame, dialect: str = EMBEDDED) -> DataFrame:
     )
 
 
-def json_text(df: DataFrame, dialect: str = EMBEDDED) -> tuple[DataFrame, Column]:
-    """``df`` without repeated names, and the JSON object of each of its rows.
+def row_json(df: DataFrame, dialect: str = EMBEDDED, name: str = "row") -> DataFrame:
+    """One column holding each row as a JSON object keyed by column name, nulls kept.
 
     ``to_json`` already writes NaN as text but spells infinities its own way. A row that holds one
     takes a second form built on variants, so all other rows keep the cheap path.
     """
     encoder = Encoder.of(df, dialect)
     df = last_wins(df)
-    encoded = encode(df, dialect).schema
-    values = [
-        (f.name, encoder.value(quoted(f.name), f.dataType, native_type(f)), e.dataType)
-        for f, e in zip(df.schema.fields, encoded.fields)
-    ]
-    options = {"ignoreNullFields": "false"}
-    if not values:
-        return df, F.lit("{}")
-    plain = F.to_json(F.struct(*[value.alias(name) for name, value, _ in values]), options)
-    infinite = any_of([encoder.has_infinity(quoted(f.name), f.dataType) for f in df.schema.fields])
-    if infinite is None:
-        return df, plain
-    spelled = F.struct(*[encoder.spelled(value, dtype).alias(name) for name, value, dtype in values])
-    return df, F.when(infinite, F.to_json(spelled, options)).otherwise(plain)
+    if not df.columns:
+        return df.select(F.lit("{}").alias(name))
+    fields, shapes = df.schema.fields, encode(df, dialect).schema.fields
+    values = [encoder.value(quoted(f.name), f.dataType, native_type(f)) for f in fields]
+    text = _object_text([value.alias(f.name) for value, f in zip(values, fields)])
+    infinite = any_of([encoder.has_infinity(quoted(f.name), f.dataType) for f in fields])
+    if infinite is not None:
+        spelled = [encoder.spelled(v, s.dataType).alias(s.name) for v, s in zip(values, shapes)]
+        text = F.when(infinite, _object_text(spelled)).otherwise(text)
+    return df.select(text.alias(name))
 
 
-def row_json(df: DataFrame, dialect: str = EMBEDDED, name: str = "row") -> DataFrame:
-    """One column holding each row as a JSON object keyed by column name, nulls kept."""
-    df, text = json_text(df, dialect)
-    return df.select(text.alias(name))
+def _object_text(members: list[Column]) -> Column:
+    return F.to_json(F.struct(*members), {"ignoreNullFields": "false"})
 
 
 def cell_text(c: Column, dtype: T.DataType, encoder: Encoder, native: str | None = None) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakequery.functions.encode import EMBEDDED, row_json, stringify
@@ -95,7 +95,7 @@ def counted(frame: DataFrame) -> tuple[DataFrame, Observation]:
     return frame.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _names_of(path: str) -> str:
+def _name_of(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
@@ -104,16 +104,15 @@ def superseded(storage: Storage, path: str) -> list[str]:
     return [
         entry.path
         for entry in storage.children(path)
-        if _names_of(entry.path) != "_SUCCESS" and not _names_of(entry.path).startswith("_temporary")
+        if _name_of(entry.path) != "_SUCCESS" and not _name_of(entry.path).startswith("_temporary")
     ]
 
 
-def check_json_rows(df: DataFrame, path: str) -> None:
+def check_json_rows(spark: SparkSession, path: str) -> None:
     """An append must extend JSON rows, so look at the first line that is there."""
-    first = (
-        df.sparkSession.read.text(path).where(F.trim("value") != "").select(F.ltrim("value")).take(1)
-    )
-    if first and not first[0][0].startswith("{"):
+    lines = spark.read.text(path).select(F.ltrim("value").alias("line"))
+    first = lines.where("line != ''").first()
+    if first and not first["line"].startswith("{"):
         raise ExportError(f"cannot append JSON to {path}: it does not hold JSON rows")
 
 
@@ -139,7 +138,7 @@ def write_dataset(
         if storage.is_file(path):
             raise ExportError(f"{path} is one file; append to it with layout='file'")
         if file_format == JSON:
-            check_json_rows(df, path)
+            check_json_rows(spark, path)
     frame, seen = counted(export_frame(df, file_format, dialect, typing))
     if save_mode == OVERWRITE and storage.exists(path):
         _replace(storage, frame, file_format, path)
@@ -149,7 +148,6 @@ def write_dataset(
 
 
 
-
 def _replace(storage: Storage, frame: DataFrame, file_format: str, path: str) -> None:
     """Swap in a finished directory where that is a rename; else add the new, then drop the old."""
     if storage.renames_cheaply(path):

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import chain
+from urllib.parse import quote
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
@@ -165,8 +166,9 @@ class Workbook:
         self._zip.close()
 
 
-def open_filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
+def open_filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a qualified path as Spark prints it, and the path within."""
+    return pafs.FileSystem.from_uri(quote(re.sub("^s3[an]://", "s3://", path), safe="/:@"))
 
 
 @dataclass

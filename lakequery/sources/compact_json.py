@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import json
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -60,13 +62,9 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list] = {"path": [], "names": [], "types": []}
         for uri in batch.column("path").to_pylist():
             fs, path = open_filesystem(uri)
-            lines: list[str] = []
-            with fs.open_input_stream(path) as stream, pa.input_stream(stream) as buffered:
-                for raw in _iter_lines(buffered):
-                    if raw.strip():
-                        lines.append(raw.strip())
-                    if len(lines) == 2:
-                        break
+            with fs.open_input_stream(path) as stream:  # unpacked by its extension
+                text = (line.strip() for line in io.TextIOWrapper(stream, encoding="utf-8"))
+                lines = list(islice(filter(None, text), 2))
             found["path"].append(uri)
             found["names"].append(lines[0] if lines else None)
             found["types"].append(lines[1] if len(lines) > 1 else None)
@@ -75,16 +73,6 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _iter_lines(stream, block: int = 1 << 16) -> Iterator[str]:
-    rest = b""
-    while chunk := stream.read(block):
-        *whole, rest = (rest + chunk).split(b"\n")
-        for line in whole:
-            yield line.decode("utf-8")
-    if rest:
-        yield rest.decode("utf-8")
-
-
 def _string_array(line: str, what: str) -> list[str]:
     try:
         values = json.loads(line)

@@ -1,9 +1,11 @@
+import gzip
 import json
 
 import pytest
 from pyspark.errors import PySparkException
 
 from lakequery.operators.capped import cap, columns
+from lakequery.sinks.dataset import write_dataset
 from lakequery.sources.compact_json import CompactJsonError, read_compact_json, spark_type
 from lakequery.sources.csv import register_csv
 from lakequery.sources.jdbc import Database, Partitioning, bounds_sql
@@ -216,3 +218,13 @@ def test_unknown_database():
 def test_scratch_follows_the_checkpoint_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(f"{base}/lakequery/x-")
+
+
+def test_odd_paths_and_packed_files(spark, tmp_path):
+    folder = tmp_path / "a b%20c=é#1"
+    folder.mkdir()
+    with gzip.open(folder / "rows x.txt.gz", "wt") as file:
+        file.write(TYPED + ROWS)
+    assert read_compact_json(spark, str(folder)).selectExpr("sum(score)").first()[0] == 276.7
+    saved = write_dataset(spark.range(5), "xlsx", str(folder / "book s"))
+    assert saved.row_count == 5 and list((folder / "book s").glob("*.xlsx"))
