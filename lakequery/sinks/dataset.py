@@ -132,7 +132,7 @@ def write_dataset(
     spark = df.sparkSession
     file_format, save_mode = parse_format(file_type), parse_mode(mode)
     check_append(spark, file_format, save_mode, path)
-    storage = Storage(spark)
+    storage, given = Storage(spark), path
     path = storage.qualify(path).rstrip("/")
     if save_mode == APPEND and storage.size(path) > 0:
         if storage.is_file(path):
@@ -144,7 +144,7 @@ def write_dataset(
         _replace(storage, frame, file_format, path)
     else:
         write_parts(frame, file_format, path)
-    return SaveResult(path, file_format, seen.get["rows"])
+    return SaveResult(given, file_format, seen.get["rows"])
 
 
 

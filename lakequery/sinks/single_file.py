@@ -46,7 +46,7 @@ def write_file(
     spark = df.sparkSession
     file_format, save_mode = parse_format(file_type), parse_mode(mode)
     check_append(spark, file_format, save_mode, path)
-    storage = Storage(spark)
+    storage, given = Storage(spark), path
     path = storage.qualify(path)
     if storage.exists(path) and not storage.is_file(path):
         raise ExportError(f"{path} is a directory; export to it with layout='dataset'")
@@ -78,7 +78,7 @@ def write_file(
         one = rows.coalesce(1).sortWithinPartitions(_ORDER).drop(_ORDER)
         write_parts(one, file_format, part)
     _publish(storage, part, path)
-    return SaveResult(path, file_format, measured["rows"])
+    return SaveResult(given, file_format, measured["rows"])
 
 
 def _text_bytes(frame: DataFrame) -> Column:

@@ -121,8 +121,10 @@ def read_sessions(
     """Session documents as one row per statement, with its position in the document.
 
     Each file is one document; ``multi_line=False`` reads files that hold one document per line.
+    A malformed document fails the query.
     """
-    documents = spark.read.schema(SESSION_SCHEMA).option("multiLine", multi_line).json(paths)
+    reader = spark.read.schema(SESSION_SCHEMA).option("mode", "FAILFAST")
+    documents = reader.option("multiLine", multi_line).json(paths)
     return documents.select("session_id", F.posexplode("views").alias("position", "view")).select(
         "session_id",
         "position",

@@ -48,7 +48,7 @@ def save_stream(
     spark = df.sparkSession
     file_format, save_mode = parse_format(file_type), parse_mode(mode)
     distinct_names(df)
-    storage = Storage(spark)
+    storage, given = Storage(spark), path
     path = storage.qualify(path)
     counts = f"{path}/{_COUNTS}/{_stream_key(checkpoint)}"
     if not storage.exists(f"{checkpoint}/offsets"):
@@ -69,7 +69,7 @@ def save_stream(
     writer.trigger(**(trigger or {"availableNow": True})).start().awaitTermination()
     if not storage.exists(counts):
         write_batch(spark.createDataFrame([], df.schema), 0)
-    return SaveResult(path, file_format, stream_row_count(spark, counts))
+    return SaveResult(given, file_format, stream_row_count(spark, counts))
 
 
 def _stream_key(checkpoint: str) -> str:

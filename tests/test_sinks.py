@@ -57,7 +57,7 @@ def test_format_and_mode_names():
 def test_one_file_per_format(people, tmp_path, name):
     path = tmp_path / "deep" / f"out.{name}"
     saved = write_file(people, name, str(path))
-    assert saved == SaveResult(f"file:{path}", name, 2)
+    assert saved == SaveResult(str(path), name, 2)
     data = path.read_bytes()
     if name == "csv":
         assert data == b"id,name,score\n1,alice,98\n2,bob,87\n"

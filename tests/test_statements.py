@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakequery.statements import named_views, read_sessions, session_summary, time_text
@@ -57,3 +58,10 @@ def test_blank_names_are_numbered_per_session(spark):
     df = spark.createDataFrame(rows, "session_id string, position int, view_name string")
     got = named_views(df).orderBy("session_id", "position").collect()
     assert [r["view_name"] for r in got] == ["x", "view_1", "y", "view_2", "view_3", "z"] * 2
+
+
+def test_malformed_documents_are_not_skipped(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(document("s1", view("a", rows=3))))
+    (tmp_path / "b.json").write_text('{"session_id": "s2", "views": [')
+    with pytest.raises(Exception, match="Malformed records"):
+        read_sessions(spark, str(tmp_path)).collect()
