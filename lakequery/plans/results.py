@@ -139,9 +139,11 @@ sql_plan(
     "sql_join_agg",
     ["nation", "customer", "orders"],
     """
-    SELECT n_name, count(*) AS orders_placed,
-           CAST(sum(CAST(o_totalprice * 100 + 0.5 AS BIGINT)) AS BIGINT) AS cents
-    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    SELECT n_name, sum(placed) AS orders_placed, sum(spent) AS cents
+    FROM (
+      SELECT o_custkey, count(*) AS placed, sum(CAST(o_totalprice * 100 + 0.5 AS BIGINT)) AS spent
+      FROM orders GROUP BY o_custkey) AS per_customer
+    JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
     GROUP BY n_name
     """,
     """
@@ -155,11 +157,11 @@ sql_plan(
     "sql_window",
     ["orders"],
     """
-    SELECT o_custkey, o_orderkey, place FROM (
+    SELECT o_custkey, o_orderkey, CAST(r AS BIGINT) AS place FROM (
       SELECT o_custkey, o_orderkey,
-             row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place
+             row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r
       FROM orders) AS ranked
-    WHERE place <= 3
+    WHERE r <= 3
     """,
 )
 sql_plan(
@@ -167,10 +169,10 @@ sql_plan(
     ["customer", "orders", "supplier"],
     """
     SELECT 'never ordered' AS kind, c_custkey AS key FROM (
-      SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) AS idle
+      SELECT c_custkey FROM customer EXCEPT SELECT DISTINCT o_custkey FROM orders) AS idle
     UNION ALL
     SELECT 'shared key' AS kind, c_custkey AS key FROM (
-      SELECT c_custkey FROM customer INTERSECT SELECT s_suppkey FROM supplier) AS shared
+      SELECT c_custkey FROM customer INTERSECT SELECT DISTINCT s_suppkey FROM supplier) AS shared
     """,
 )
 sql_plan(

@@ -7,7 +7,7 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakequery.operators.numbering import number_rows
@@ -29,6 +29,9 @@ SESSION_SCHEMA = (
 )
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
+# Rows of one session that a lookup of its first row handles together.
+_CHUNK_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class SessionInfo:
@@ -149,15 +152,28 @@ def session_summary(statements: DataFrame) -> DataFrame:
 def named_views(statements: DataFrame, order: str = "position") -> DataFrame:
     """Apply the naming rule to a log: blank names are numbered per session, in ``order``.
 
-    Numbers come from one dense numbering of the blank rows and the least number of each session,
-    so a session that wrote most of the log is still spread over many tasks.
+    All blank rows get one dense numbering in session order; a row's index is its number less that
+    of its session's first row. First numbers are looked up by session and chunk of numbers, so
+    even a session that wrote most of the log is never one group of rows.
     """
     blank = F.coalesce(F.trim("view_name"), F.lit("")) == ""
     given = statements.where(~blank).withColumn("view_name", F.trim("view_name"))
-    numbered = number_rows(statements.where(blank), ["session_id", order], "_lq_view")
-    first = numbered.groupBy("session_id").agg(F.min("_lq_view").alias("_lq_first"))
-    index = F.col("_lq_view") - F.col("_lq_first") + 1
-    generated = numbered.join(first, "session_id").withColumn(
-        "view_name", F.concat(F.lit("view_"), index.cast("string"))
+    numbered = number_rows(statements.where(blank), ["session_id", order], "_lq_view").withColumn(
+        "_lq_chunk", F.expr(f"_lq_view div {_CHUNK_ROWS}")
+    )
+    by_session = Window.partitionBy("_lq_session")  # one row per chunk a session has rows in
+    firsts = (
+        numbered.groupBy(
+            F.col("session_id").alias("_lq_session"), F.col("_lq_chunk").alias("_lq_part")
+        )
+        .agg(F.min("_lq_view").alias("_lq_low"))
+        .select("_lq_session", "_lq_part", F.min("_lq_low").over(by_session).alias("_lq_first"))
+    )
+    found = numbered.join(
+        firsts,
+        F.col("session_id").eqNullSafe(F.col("_lq_session"))
+        & (F.col("_lq_chunk") == F.col("_lq_part")),
     )
+    index = F.col("_lq_view") - F.col("_lq_first") + 1
+    generated = found.withColumn("view_name", F.concat(F.lit("view_"), index.cast("string")))
     return given.unionByName(generated.select(*statements.columns))

@@ -41,3 +41,16 @@ def test_query_agrees_with_sql(spark, duck, small, name):
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns[0] == "o_orderkey" and df.count() == 1000
+
+
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE"}
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_types_and_plan(spark, duck, small, name):
+    df = entry_points.queries()[name](spark, small)
+    described = duck.execute(f"DESCRIBE {entry_points.oracle_sql()[name]}").fetchall()
+    assert {c: SQL_TYPES[t] for c, t in df.dtypes} == {row[0]: row[1] for row in described}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert slow not in plan

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lakequery import statements as statements_module
 from lakequery.statements import named_views, read_sessions, session_summary, time_text
 
 
@@ -65,3 +66,11 @@ def test_malformed_documents_are_not_skipped(spark, tmp_path):
     (tmp_path / "b.json").write_text('{"session_id": "s2", "views": [')
     with pytest.raises(Exception, match="Malformed records"):
         read_sessions(spark, str(tmp_path)).collect()
+
+
+def test_a_session_may_span_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(statements_module, "_CHUNK_ROWS", 7)
+    rows = [("hot", i, None) for i in range(60)] + [(f"s{i}", 0, "") for i in range(20)] + [(None, 0, "")]
+    df = spark.createDataFrame(rows, "session_id string, position int, view_name string")
+    got = {(r["session_id"], r["position"]): r["view_name"] for r in named_views(df).collect()}
+    assert got == {(s, p): f"view_{p + 1}" for s, p, _ in rows}
