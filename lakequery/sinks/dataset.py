@@ -95,16 +95,12 @@ def counted(frame: DataFrame) -> tuple[DataFrame, Observation]:
     return frame.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _name_of(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[-1]
-
-
 def superseded(storage: Storage, path: str) -> list[str]:
     """Data a finished overwrite replaces; commit markers are rewritten in place."""
     return [
         entry.path
         for entry in storage.children(path)
-        if _name_of(entry.path) != "_SUCCESS" and not _name_of(entry.path).startswith("_temporary")
+        if entry.name != "_SUCCESS" and not entry.name.startswith("_temporary")
     ]
 
 

@@ -9,7 +9,6 @@ from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import chain
-from urllib.parse import quote
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
@@ -19,6 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from lakequery.storage import open_filesystem
+
 # Limits of the worksheet format.
 MAX_ROWS = 1_048_576
 MAX_COLUMNS = 16_384
@@ -166,11 +167,6 @@ class Workbook:
         self._zip.close()
 
 
-def open_filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a qualified path as Spark prints it, and the path within."""
-    return pafs.FileSystem.from_uri(quote(re.sub("^s3[an]://", "s3://", path), safe="/:@"))
-
-
 @dataclass
 class Written(WriterCommitMessage):
     files: list[str] = field(default_factory=list)

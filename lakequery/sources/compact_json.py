@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakequery.functions.encode import NATIVE_TYPE
-from lakequery.sinks.xlsx import open_filesystem
+from lakequery.storage import open_filesystem
 
 # The type names a header may use and the Spark type that holds each.
 _TYPES = {

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cache
+from urllib.parse import quote
 
+from pyarrow import fs as pafs
 from pyspark.sql import SparkSession
 
 
@@ -23,6 +26,10 @@ class Entry:
     path: str
     is_dir: bool
 
+    @property
+    def name(self) -> str:
+        return self.path.rstrip("/").rsplit("/", 1)[-1]
+
 
 class Storage:
     """The few file-system calls the sinks need, for any scheme Spark can reach."""
@@ -77,6 +84,10 @@ class Storage:
         with ThreadPoolExecutor(CALLS_IN_FLIGHT) as pool:
             list(pool.map(self.delete, paths))
 
+    def rename_all(self, moves: dict[str, str]) -> None:
+        with ThreadPoolExecutor(CALLS_IN_FLIGHT) as pool:
+            list(pool.map(self.rename, moves.keys(), moves.values()))
+
     def renames_cheaply(self, path: str) -> bool:
         """Whether renaming a directory is one metadata operation, not a copy of its data."""
         return self._resolve(path)[0].getScheme() in CHEAP_RENAME
@@ -99,6 +110,11 @@ class Storage:
             stream.close()
 
 
+def open_filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """For Python code in tasks: the file system of a qualified path as Spark prints it."""
+    return pafs.FileSystem.from_uri(quote(re.sub("^s3[an]://", "s3://", path), safe="/:@"))
+
+
 _made: list[str] = []
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +22,6 @@ from lakequery.sinks.formats import (
 )
 from lakequery.storage import Storage
 
-_COUNTS = "_row_counts"
-
 
 def check_columns(first: list[ColumnMeta], later: list[ColumnMeta]) -> None:
     """Every chunk must have the names and types of the first; one without columns passes."""
@@ -29,6 +29,55 @@ def check_columns(first: list[ColumnMeta], later: list[ColumnMeta]) -> None:
         raise ExportError(f"Inconsistent columns in a streaming export: {later} after {first}")
 
 
+@dataclass
+class StreamTarget:
+    """A dataset directory that one streaming query adds micro-batches to, each exactly once.
+
+    A batch is staged in a hidden folder of the query. Its manifest, with the row count and the
+    names its files are about to get, is stored before the files are moved beside the others. A
+    batch that runs again first removes what its old manifest names, so it replaces itself.
+    """
+
+    spark: SparkSession
+    path: str
+    checkpoint: str
+    file_format: str
+    dialect: str
+
+    @cached_property
+    def storage(self) -> Storage:
+        return Storage(self.spark)
+
+    @cached_property
+    def query_id(self) -> str:
+        """The identity Spark gave the query when its checkpoint was made."""
+        metadata = self.spark.read.text(f"{self.checkpoint}/metadata").first()[0]
+        return json.loads(metadata)["id"]
+
+    @property
+    def work(self) -> str:
+        return f"{self.path}/_stream-{self.query_id}"
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        staged, manifest = f"{self.work}/staged", f"{self.work}/manifests/{batch_id}.json"
+        saved = write_dataset(batch, self.file_format, staged, OVERWRITE, self.dialect)
+        if self.storage.exists(manifest):
+            old = json.loads(self.spark.read.text(manifest).first()[0])
+            self.storage.delete_all([f"{self.path}/{name}" for name in old["files"]])
+        moves = {
+            entry.path: f"part-{self.query_id}-{batch_id:08d}-{entry.name.removeprefix('part-')}"
+            for entry in self.storage.children(staged)
+            if entry.name.startswith("part-")
+        }
+        record = {"batch_id": batch_id, "rows": saved.row_count, "files": list(moves.values())}
+        self.storage.write_text(manifest, json.dumps(record))
+        self.storage.rename_all({old: f"{self.path}/{name}" for old, name in moves.items()})
+
+    def row_count(self) -> int:
+        manifests = self.spark.read.schema("rows long").json(f"{self.work}/manifests")
+        return int(manifests.agg(F.sum("rows")).first()[0] or 0)
+
+
 def save_stream(
     df: DataFrame,
     file_type: str,
@@ -38,20 +87,18 @@ def save_stream(
     dialect: str = EMBEDDED,
     trigger: dict | None = None,
 ) -> SaveResult:
-    """Run a streaming frame into ``path`` and return the rows it holds from this stream.
+    """Run a streaming frame into the dataset ``path``; the result counts this stream's rows.
 
-    Each micro-batch owns the directory ``batch_id=N`` and one count file beside it. A batch that
-    is replayed after a failure replaces both, so rows are stored and counted once. A failed batch
-    ends the export with its error; the same ``checkpoint`` resumes it. A new stream that
-    overwrites starts by dropping what the target holds.
+    A failed batch ends the export with its error and the same ``checkpoint`` resumes it, without
+    storing or counting a row twice. A new stream that overwrites starts by dropping what the
+    target holds.
     """
     spark = df.sparkSession
     file_format, save_mode = parse_format(file_type), parse_mode(mode)
     distinct_names(df)
-    storage, given = Storage(spark), path
-    path = storage.qualify(path)
-    counts = f"{path}/{_COUNTS}/{_stream_key(checkpoint)}"
-    if not storage.exists(f"{checkpoint}/offsets"):
+    storage = Storage(spark)
+    target = StreamTarget(spark, storage.qualify(path), checkpoint, file_format, dialect)
+    if not storage.exists(f"{checkpoint}/metadata"):
         check_append(spark, file_format, save_mode, path)
         if save_mode == OVERWRITE:
             storage.delete_all(superseded(storage, path))
@@ -59,24 +106,10 @@ def save_stream(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         check_columns(first, columns(batch))
-        target = f"{path}/stream={_stream_key(checkpoint)}/batch_id={batch_id}"
-        saved = write_dataset(batch, file_format, target, OVERWRITE, dialect)
-        storage.write_text(
-            f"{counts}/{batch_id}.json", json.dumps({"batch_id": batch_id, "rows": saved.row_count})
-        )
+        target.write(batch, batch_id)
 
     writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer.trigger(**(trigger or {"availableNow": True})).start().awaitTermination()
-    if not storage.exists(counts):
-        write_batch(spark.createDataFrame([], df.schema), 0)
-    return SaveResult(given, file_format, stream_row_count(spark, counts))
-
-
-def _stream_key(checkpoint: str) -> str:
-    """A stream is known by its checkpoint, so several may append to one target."""
-    return checkpoint.rstrip("/").rsplit("/", 1)[-1]
-
-
-def stream_row_count(spark: SparkSession, counts: str) -> int:
-    total = spark.read.schema("batch_id long, rows long").json(counts).agg(F.sum("rows")).first()[0]
-    return int(total or 0)
+    if not storage.exists(f"{target.work}/manifests"):
+        target.write(spark.createDataFrame([], df.schema), 0)
+    return SaveResult(path, file_format, target.row_count())

@@ -1,4 +1,5 @@
 import glob
+import shutil
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -6,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lakequery import Session
 from lakequery.operators.capped import columns
+from lakequery.sinks.dataset import write_dataset
 from lakequery.sinks.formats import ExportError
+from lakequery.storage import Storage
 from lakequery.streaming.export import check_columns, save_stream
 
 
@@ -28,10 +31,12 @@ def test_export(spark, files, tmp_path, name):
     out = str(tmp_path / "out")
     saved = save_stream(stream(spark, files), name, out, str(tmp_path / "state"))
     assert (saved.file_type, saved.row_count) == ("excel" if name == "xlsx" else name, 1000)
-    assert len(glob.glob(f"{out}/stream=state/batch_id=*")) == 4
+    parts = glob.glob(f"{out}/part-*")
+    assert len({p.rsplit("/part-", 1)[1][37:45] for p in parts}) == 4  # batches
     if name in ("json", "orc", "parquet"):
         read = spark.read.format(name).load(out)
         assert read.select("id").distinct().count() == 1000 == read.count()
+        assert read.columns == ["id", "name"]
 
 
 def test_resume_counts_each_batch_once(spark, files, tmp_path):
@@ -63,7 +68,7 @@ def test_empty_stream_keeps_columns(spark, tmp_path):
     (tmp_path / "in").mkdir()
     saved = save_stream(stream(spark, str(tmp_path / "in")), "parquet", str(tmp_path / "out"), str(tmp_path / "s"))
     read = spark.read.parquet(str(tmp_path / "out"))
-    assert saved.row_count == 0 == read.count() and read.columns[:2] == ["id", "name"]
+    assert saved.row_count == 0 == read.count() and read.columns == ["id", "name"]
 
 
 def test_modes(spark, files, tmp_path):
@@ -91,3 +96,36 @@ def test_session_logs_the_stream(spark, files, tmp_path):
     session.save_stream(stream(spark, files), "csv", str(tmp_path / "out"), str(tmp_path / "s"), view_name="live")
     row = session.log.table().first()
     assert (row["view_name"], row["operation"], row["row_count"]) == ("live", "save", 1000)
+
+
+def test_streams_and_exports_share_a_dataset(spark, files, tmp_path):
+    """Checkpoints may have one name, and one may be made anew; no batch replaces another's."""
+    out = str(tmp_path / "out")
+    write_dataset(spark.sql("SELECT -1L AS id, 'first' AS name"), "json", out)
+    for folder in ("a", "b"):
+        saved = save_stream(stream(spark, files), "json", out, str(tmp_path / folder / "state"), "append")
+        assert saved.row_count == 1000
+    shutil.rmtree(tmp_path / "b")
+    assert save_stream(stream(spark, files), "json", out, str(tmp_path / "b" / "state"), "append").row_count == 1000
+    write_dataset(spark.sql("SELECT -2L AS id, 'last' AS name"), "json", out, "append")
+    read = spark.read.json(out)
+    assert read.count() == 3002 and read.where("id < 0").count() == 2
+    assert read.columns == ["id", "name"]
+
+
+def test_crash_while_files_are_moved(spark, files, tmp_path, monkeypatch):
+    """Some files of a batch are in place when the driver dies; the rerun leaves no copy."""
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    whole = Storage.rename_all
+
+    def dies(self, moves):
+        whole(self, dict(list(moves.items())[:1]))
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(Storage, "rename_all", dies)
+    with pytest.raises(StreamingQueryException, match="driver lost"):
+        save_stream(stream(spark, files, 4), "parquet", out, state)
+    monkeypatch.setattr(Storage, "rename_all", whole)
+    assert save_stream(stream(spark, files, 4), "parquet", out, state).row_count == 1000
+    read = spark.read.parquet(out)
+    assert read.count() == 1000 == read.select("id").distinct().count()
