@@ -35,6 +35,7 @@ _TYPES = {
     "datetime": "timestamp_ntz",
     "datetime64": "timestamp_ntz",
 }
+_BLANK = " \t\r\n"
 _WRAPPER = re.compile(r"^(?:Nullable|LowCardinality)\((.*)\)$")
 _DECIMAL = re.compile(r"^Decimal\((\d+),\s*(\d+)\)$")
 _ARRAY = re.compile(r"^Array\((.*)\)$")
@@ -50,7 +51,8 @@ def spark_type(name: str) -> str:
     while wrapped := _WRAPPER.match(name):
         name = wrapped.group(1).strip()
     if decimal := _DECIMAL.match(name):
-        return f"decimal({decimal.group(1)},{decimal.group(2)})" if int(decimal.group(1)) <= 38 else "string"
+        precision, scale = decimal.groups()
+        return f"decimal({precision},{scale})" if int(precision) <= 38 else "string"
     if array := _ARRAY.match(name):
         return f"array<{spark_type(array.group(1))}>"
     return _TYPES.get(name.split("(", 1)[0].lower(), "string")
@@ -63,7 +65,7 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for uri in batch.column("path").to_pylist():
             fs, path = open_filesystem(uri)
             with fs.open_input_stream(path) as stream:  # unpacked by its extension
-                text = (line.strip() for line in io.TextIOWrapper(stream, encoding="utf-8"))
+                text = (line.strip(_BLANK) for line in io.TextIOWrapper(stream, encoding="utf-8"))
                 lines = list(islice(filter(None, text), 2))
             found["path"].append(uri)
             found["names"].append(lines[0] if lines else None)
@@ -159,7 +161,7 @@ def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     lines = (
         spark.read.text(path)
         .select(
-            F.btrim("value", F.lit(" \t\r\n")).alias("line"),
+            F.btrim("value", F.lit(_BLANK)).alias("line"),
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("start"),
         )
