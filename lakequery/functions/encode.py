@@ -54,10 +54,10 @@ def _epoch() -> Column:
 
 def _even_fraction(text: Column) -> Column:
     """Date-time text with no, three or six fraction digits; Spark's own drops trailing zeros."""
-    fraction = F.substring_index(text, ".", -1)
-    digits = F.when(F.length(fraction) > 3, 6).otherwise(3)
-    padded = F.concat(F.substring_index(text, ".", 1), F.lit("."), F.rpad(fraction, digits, F.lit("0")))
-    return F.when(F.contains(text, F.lit(".")), padded).otherwise(text)
+    point = F.instr(text, ".")
+    short = F.pmod(point - F.octet_length(text), F.lit(3))
+    zeros = F.when(short == 1, "0").when(short == 2, "00").otherwise("")
+    return F.when(point == 0, text).otherwise(F.concat(text, zeros))
 
 
 def _interval(c: Column, dtype: T.DataType) -> Column:
