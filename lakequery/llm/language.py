@@ -12,6 +12,7 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -63,6 +64,7 @@ def words(text: str | None) -> Counter:
     return found
 
 
+@lru_cache(100_000)
 def word_buckets(word: str) -> np.ndarray:
     """The buckets of the word's n-grams, with its ends marked; very long words count whole."""
     marked = f"<{word}>"

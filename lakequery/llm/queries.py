@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakequery.llm import language, pii, secrets
+from lakequery.llm import ann, language, packing, pii, secrets, warc
 
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,11 +22,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
