@@ -1,36 +1,31 @@
 """Language identification by hierarchical discrimination: family first, then pairs within it.
 
 A text is the mean of its words, a word the mean of its hashed character n-grams, so that every
-linear score of a text is a mean of scores of words and a task scores each distinct word once.
+linear score of a text is a mean of scores of words and a batch scores each distinct word once.
 One-versus-rest linear support vector machines choose the language family; one-versus-one machines
 vote among the languages of that family.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import keep_rows, map_columns
+from lakequery.llm.common import keep_rows, map_columns, slices
 
 BUCKETS = 4096
-GRAMS = (1, 2, 3, 4)
+MAX_GRAM = 4
 # Sizes of the sample that the machines are fitted on.
 ROWS_PER_LANGUAGE = 1000
 MAX_LANGUAGES = 200
 EPOCHS = 12
 PENALTY = 1e-4
-# A word's scores are kept per task; the table starts anew at this size.
-CACHED_WORDS = 200_000
 # Steepness of the map from margins to scores, and the least margin of the best family that the
 # pipeline keeps: below it every family's machine puts the text clearly on the other side.
 SLOPE = 3.0
@@ -53,40 +48,69 @@ FAMILIES = {
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
-_WORD = re.compile(r"[^\W\d_]+")
+# Multipliers of the n-gram hash, one per place.
+PLACES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint64)
 
 
-def words(text: str | None) -> Counter:
-    """Lower-case runs of letters with their counts."""
-    found = Counter(_WORD.findall((text or "").lower()))
-    for word in [w for w in found if not any(map(str.isalpha, w))]:
-        del found[word]
+@dataclass
+class Words:
+    """The distinct lower-case words of some texts, and each text's words as places among them."""
+
+    distinct: pa.Array
+    index: np.ndarray
+    bounds: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str | None]) -> Words:
+        lower = pc.utf8_lower(pa.array([text or "" for text in texts], pa.string()))
+        letters = pc.utf8_trim(pc.replace_substring_regex(lower, r"[^\p{L}]+", " "), " ")
+        split = pc.split_pattern(letters, " ")
+        coded = split.flatten().dictionary_encode()
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        real = pc.utf8_length(coded.dictionary).to_numpy(zero_copy_only=False) > 0
+        kept = real[index] if len(index) else np.zeros(0, bool)
+        bounds = np.concatenate([[0], np.cumsum(kept)])[split.offsets.to_numpy()]
+        return cls(coded.dictionary, index[kept], bounds)
+
+    def counts(self) -> np.ndarray:
+        return np.diff(self.bounds)
+
+    def grams(self) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the n-grams of all distinct words with their ends marked, and whose they are."""
+        marked = pc.binary_join_element_wise("<", self.distinct, ">", "")
+        sizes = pc.utf8_length(marked).to_numpy(zero_copy_only=False).astype(np.int64)
+        points = np.frombuffer("".join(marked.to_pylist()).encode("utf-32-le"), "<u4").astype(np.uint64)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))
+        buckets, owners = [], []
+        rolled = np.zeros(len(points), np.uint64)
+        for n in range(1, MAX_GRAM + 1):
+            size = max(0, len(points) - n + 1)
+            rolled = rolled[:size] + (points[n - 1 :] + np.uint64(1)) * PLACES[n - 1]
+            mixed = (rolled + np.uint64(n)) * np.uint64(0xFF51AFD7ED558CCD)
+            inside = left[:size] >= n
+            buckets.append((mixed >> np.uint64(40))[inside] % np.uint64(BUCKETS))
+            owners.append(owner[:size][inside])
+        return np.concatenate(buckets).astype(np.int64), np.concatenate(owners)
+
+
+def features(texts: list[str | None]) -> list[np.ndarray]:
+    """For each text the mean over its words of their mean n-gram vectors; zeros without words."""
+    words = Words.of(texts)
+    buckets, owners = words.grams()
+    order = np.argsort(owners, kind="stable")
+    sizes = np.bincount(owners, minlength=len(words.distinct))
+    ends = np.cumsum(sizes)
+    found = []
+    for start, end in zip(words.bounds, words.bounds[1:]):
+        seen, times = np.unique(words.index[start:end], return_counts=True)
+        lengths = sizes[seen]
+        places = np.repeat(ends[seen] - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
+        share = np.repeat(times / np.maximum(1, lengths), lengths) / max(1, end - start)
+        found.append(np.bincount(buckets[order[places]], share, BUCKETS))
     return found
 
 
-@lru_cache(100_000)
-def word_buckets(word: str) -> np.ndarray:
-    """The buckets of the word's n-grams, with its ends marked; very long words count whole."""
-    marked = f"<{word}>"
-    return np.array(
-        [
-            zlib.crc32(marked[i : i + n].encode()) % BUCKETS
-            for n in GRAMS
-            for i in range(max(1, len(marked) - n + 1))
-        ]
-    )
-
-
-def features(text: str | None) -> np.ndarray:
-    """The mean over words of their mean n-gram vectors, or zeros without words."""
-    total, n = np.zeros(BUCKETS), 0
-    for word, count in words(text).items():
-        buckets = word_buckets(word)
-        total += np.bincount(buckets, minlength=BUCKETS) * (count / len(buckets))
-        n += count
-    return total / max(1, n)
-
-
 def fit_svm(x: np.ndarray, positive: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
     """An averaged linear support vector machine by subgradient steps on the hinge loss.
 
@@ -125,8 +149,19 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
 
-    def word_scores(self, word: str) -> np.ndarray:
-        return self.weights[word_buckets(word)].mean(0)
+    def scores(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Every machine's output for each whole text; None without words."""
+        words = Words.of(texts)
+        buckets, owners = words.grams()
+        n = len(words.distinct)
+        sizes = np.maximum(1, np.bincount(owners, minlength=n))
+        counts = words.counts()
+        means = np.empty((len(texts), self.weights.shape[1]))
+        for k, column in enumerate(self.weights.T):
+            of_words = np.bincount(owners, column[buckets], n) / sizes
+            sums = np.concatenate([[0], np.cumsum(of_words[words.index])])[words.bounds]
+            means[:, k] = np.diff(sums) / np.maximum(1, counts) + self.bias[k]
+        return [mean if count else None for mean, count in zip(means, counts)]
 
     def decide(self, scores: np.ndarray) -> tuple[str, float]:
         """The language of a text with these machine outputs, and how sure that is, 0 to 1."""
@@ -197,7 +232,7 @@ def train(docs: DataFrame) -> Model | None:
         schema,
         lambda c: {
             "lang": c["lang"],
-            "x": [features(t).astype(np.float16).tobytes() for t in c["text"]],
+            "x": [x.astype(np.float16).tobytes() for x in features(c["text"])],
         },
     ).limit(2 * ROWS_PER_LANGUAGE * len(counts)).collect()
     rows = sorted((r.lang, bytes(r.x)) for r in rows)
@@ -207,37 +242,13 @@ def train(docs: DataFrame) -> Model | None:
     return fit([lang for lang, _ in rows], x)
 
 
-class Predictor:
-    """Scores whole texts in a task, keeping the scores of words it has seen."""
-
-    def __init__(self, model: Model | None):
-        self.model = model
-        self.seen: dict[str, np.ndarray] = {}
-
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        scores = self.scores(text)
-        return ("und", 0.0) if scores is None else self.model.decide(scores)
-
-    def known(self, text: str | None) -> bool:
-        """Whether the text has letters and some family's machine does not clearly refuse it."""
-        if self.model is None:
-            return bool(words(text))
-        scores = self.scores(text)
-        return scores is not None and scores[: len(self.model.families)].max() > MIN_MARGIN
-
-    def scores(self, text: str | None) -> np.ndarray | None:
-        """Every machine's output for the whole text."""
-        found = words(text)
-        if self.model is None or not found:
-            return None
-        if len(self.seen) > CACHED_WORDS:
-            self.seen.clear()
-        seen, model = self.seen, self.model
-        for word in found.keys() - seen.keys():
-            seen[word] = model.word_scores(word)
-        counts = np.fromiter(found.values(), float, len(found))
-        rows = np.stack([seen[word] for word in found])
-        return counts @ rows / counts.sum() + model.bias
+def scored(model: Model | None, texts: list[str | None]) -> list[np.ndarray | None]:
+    """Machine outputs of whole texts, a few megabytes of text at a time."""
+    if model is None:
+        return [None] * len(texts)
+    return [
+        row for rows in slices([t or "" for t in texts]) for row in model.scores(texts[rows.start : rows.stop])
+    ]
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -249,10 +260,10 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())]
     )
-    predictor = Predictor(model)
 
     def run(c: dict[str, list]) -> dict[str, list]:
-        found = [predictor(text) for text in c["text"]]
+        outputs = scored(model, c["text"])
+        found = [("und", 0.0) if output is None else model.decide(output) for output in outputs]
         return {
             "doc_id": c["doc_id"],
             "held_out": c["held_out"],
@@ -292,6 +303,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     only the texts without letters go.
     """
     rows = with_fold(docs)
-    predictor = Predictor(train(rows.where(~F.col("held_out") & F.col("doc_id").isNotNull())))
+    model = train(rows.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+
+    def keep(texts: list) -> list[bool]:
+        if model is None:
+            return [bool(n) for n in Words.of(texts).counts()]
+        families = len(model.families)
+        return [x is not None and x[:families].max() > MIN_MARGIN for x in scored(model, texts)]
 
-    return keep_rows(docs, "text", lambda texts: [predictor.known(text) for text in texts])
+    return keep_rows(docs, "text", keep)

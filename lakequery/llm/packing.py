@@ -13,7 +13,6 @@ import math
 import os
 import re
 import zlib
-from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -23,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import documents, map_columns, stored
+from lakequery.llm.common import documents, map_columns, slices, stored
 
 CAPACITY = 4096
 END_ID = 1
@@ -118,7 +117,6 @@ class ChunkTokenizer:
 # Where the vocabulary's rules cut lower-case ASCII, and ASCII punctuation.
 BORDERS = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-SLICE_BYTES = 8 << 20
 
 
 @cache
@@ -126,18 +124,6 @@ def chunk_tokenizer(path: str) -> ChunkTokenizer:
     return ChunkTokenizer(path)
 
 
-def slices(texts: list[str]) -> Iterator[range]:
-    """Neighbouring texts of a few megabytes together; a longer one stands alone."""
-    start, size = 0, 0
-    for k, text in enumerate(texts):
-        if size and size + len(text) > SLICE_BYTES:
-            yield range(start, k)
-            start, size = k, 0
-        size += len(text)
-    if start < len(texts):
-        yield range(start, len(texts))
-
-
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Every document's tokens cut at ``capacity``: doc_id, piece, start, length, ids_crc32.
 
