@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm import ann, decontaminate, language, licenses, near_duplicates, packing, pii, secrets, warc
+from lakequery.llm import ann, decontaminate, language, licenses, near_duplicates, packing, pii, secrets, suffix_dedup, warc
 
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +54,11 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.find_classes(spark, table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"), with_text=False)
+
+
 @query
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(spark, table(spark, sf_dir, "documents"))
