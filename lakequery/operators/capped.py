@@ -1,16 +1,12 @@
-"""Capped results and their column metadata."""
+"""Results, capped where a limit is asked for, and their column metadata."""
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakequery.functions.encode import native_type
-from lakequery.operators.numbering import ONE_TASK_LIMIT, number_rows
-
-DEFAULT_LIMIT = 1000
 
 
 class ColumnMeta(NamedTuple):
@@ -26,23 +22,19 @@ def columns(df: DataFrame) -> list[ColumnMeta]:
     ]
 
 
-def row_cap(limit: int | None) -> int:
-    """The cap to use: 1000 unless given; 0 asks for the columns alone."""
-    if limit is None:
-        return DEFAULT_LIMIT
-    if int(limit) < 0:
+def row_cap(limit: int | None) -> int | None:
+    """The cap to use, if any; 0 asks for the columns alone."""
+    if limit is not None and int(limit) < 0:
         raise ValueError(f"limit must not be negative: {limit}")
-    return int(limit)
+    return None if limit is None else int(limit)
 
 
 def query(spark: SparkSession, sql: str, limit: int | None = None) -> DataFrame:
-    """The result of one SQL statement, capped; SQL itself is Spark's."""
+    """The result of one SQL statement, whole unless a limit is given; SQL itself is Spark's."""
     return cap(spark.sql(sql), limit)
 
 
 def cap(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """The first ``limit`` rows in result order; 0 keeps the columns and no rows."""
+    """The first ``limit`` rows in result order, or all of them; 0 keeps the columns and no rows."""
     n = row_cap(limit)
-    if n <= ONE_TASK_LIMIT:
-        return df.limit(n)
-    return number_rows(df, name="_lq_row").where(F.col("_lq_row") < n).orderBy("_lq_row").drop("_lq_row")
+    return df if n is None else df.limit(n)

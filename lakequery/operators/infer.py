@@ -17,7 +17,6 @@ SPARK_TYPES = {
     FLOAT64: T.DoubleType(),
     UTF8: T.StringType(),
 }
-DEFAULT_SAMPLE_ROWS = 200
 
 _UINT64_MAX = "18446744073709551615"
 # Classes of JSON values: booleans, integers of int64, integers above it, other numbers, the rest.
@@ -51,24 +50,19 @@ def infer_types(
     json_col: str,
     columns: list[str] | None = None,
     ord_col: str | None = None,
-    sample_rows: int | None = None,
 ) -> DataFrame:
     """One row per key of the JSON objects in ``json_col``: ``column_name``, ``column_type``.
 
     The row-order rule reduces to flags and the class of the first value, which merge: each task
     folds its rows to one row per key before anything is shuffled. ``ord_col`` gives the row order
-    and is needed only to know the first value; ``sample_rows`` looks at that many first rows.
-    ``columns`` adds the keys that never hold a value, as text.
+    and is needed only to know the first value. ``columns`` adds the keys that never hold a value,
+    as text. Malformed JSON fails the query; null rows and other values than objects are skipped.
     """
-    if sample_rows is not None:
-        if ord_col is None:
-            raise ValueError("sample_rows needs ord_col, which says which rows come first")
-        df = df.select(json_col, ord_col).orderBy(quoted(ord_col)).limit(sample_rows)
     order = quoted(ord_col) if ord_col else F.monotonically_increasing_id()
     pairs = df.select(
         order.alias("ord"),
         quoted(json_col).alias("json"),
-        F.explode(F.from_json(quoted(json_col), "map<string,variant>")).alias("key", "value"),
+        F.explode(json_object(quoted(json_col), T.MapType(T.StringType(), T.VariantType()))).alias("key", "value"),
     )
     kinds = pairs.select("key", "ord", "json", F.schema_of_variant("value").alias("kind"))
     token = F.from_json("json", "map<string,string>")[F.col("key")]
@@ -105,9 +99,14 @@ def infer_types(
     )
 
 
-def inferred_schema(types: Mapping[str, str]) -> T.StructType:
-    """Inferred types as a Spark schema, every field nullable."""
-    return T.StructType([T.StructField(name, SPARK_TYPES[kind], True) for name, kind in types.items()])
+def json_object(text: Column, kind: T.DataType) -> Column:
+    """The text parsed as a JSON object, or null for another JSON value; malformed text is an error."""
+    form = T.StructType([T.StructField("row", kind), T.StructField("end", T.IntegerType())])
+    # Spark's parsers stop after the first value; inside an object, text that follows is an error.
+    wrapped = F.from_json(F.concat(F.lit('{"row":'), text, F.lit(',"end":0}')), form)
+    bad = text.isNotNull() & wrapped["end"].isNull()
+    said = F.concat(F.lit("row is not one JSON value: "), text)
+    return F.when(bad, F.raise_error(said)).otherwise(wrapped["row"])
 
 
 def project_typed(df: DataFrame, json_col: str, types: Mapping[str, str]) -> DataFrame:
@@ -121,7 +120,7 @@ def project_typed(df: DataFrame, json_col: str, types: Mapping[str, str]) -> Dat
         for name, kind in types.items()
     ]
     kept = [quoted(c) for c in df.columns if c not in types and c != json_col]
-    parsed = df.select(*kept, F.from_json(quoted(json_col), T.StructType(fields)).alias("_lq_row"))
+    parsed = df.select(*kept, json_object(quoted(json_col), T.StructType(fields)).alias("_lq_row"))
     out = []
     for name, kind in types.items():
         value = F.col("_lq_row")[name]

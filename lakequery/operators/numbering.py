@@ -13,12 +13,6 @@ from lakequery.storage import scratch_dir
 
 DEFAULT_BATCH_SIZE = 200
 
-# Above this many rows a cap is a filter on row numbers; `limit` would pull them into one task.
-ONE_TASK_LIMIT = 1_000_000
-
-# Offsets hold one row per partition and are broadcast up to this many (16 bytes each).
-BROADCAST_PARTITIONS = 1_000_000
-
 # monotonically_increasing_id keeps the partition above this bit and the position below it.
 _POSITION_BITS = 33
 _HASHED = "_lq_hash"
@@ -47,15 +41,18 @@ def _unhashable(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.StructType) and any(_unhashable(f.dataType) for f in dtype.fields)
 
 
-def spread_sort(df: DataFrame, order: list[str]) -> DataFrame:
+def spread_sort(df: DataFrame, order: list[str], unique: bool = False) -> DataFrame:
     """``df`` sorted by ``order``, with rows of one key free to fill many partitions.
 
     Ties fall to a hash of the row, then to the row's place in its input partition. Each input
     partition is first sorted by hash (one long, so a radix sort), which brings copies of a row
     together: they always get the same set of places, and a rerun task sends the same rows to the
-    same partitions whatever order its input arrived in.
+    same partitions whatever order its input arrived in. With ``unique`` the caller states that no
+    two rows agree in ``order``, so there are no ties and a plain range sort does.
     """
     keys = [quoted(name) for name in order]
+    if unique:
+        return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     placed = (
         df.withColumn(_HASHED, content_hash(df))
         .sortWithinPartitions(_HASHED)
@@ -68,26 +65,39 @@ def spread_sort(df: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, order: list[str] | None = None, name: str = "row_ord") -> DataFrame:
+def _storable(df: DataFrame) -> tuple[DataFrame, list[tuple[str, T.DataType]]]:
+    """Columns under names by position, in types that files hold, and how to give them back."""
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    fields = [(f.name, f.dataType) for f in df.schema.fields]
+    cells = [
+        F.col(f"_{i}").cast("string").alias(f"_{i}") if isinstance(kind, T.CalendarIntervalType) else F.col(f"_{i}")
+        for i, (_, kind) in enumerate(fields)
+    ]
+    return plain.select(*cells), fields
+
+
+def number_rows(
+    df: DataFrame, order: list[str] | None = None, name: str = "row_ord", unique: bool = False
+) -> DataFrame:
     """Add a dense 0-based number in result order (that of ``df`` itself unless ``order`` is given).
 
     The ordered rows are written once to the shared scratch folder with their place, which fixes
     them against lost executors. One narrow scan of that table then counts rows per partition, and
-    the running sums (one number per partition, never per row) turn places into numbers.
+    the running sums (one number per partition, never per row) turn places into numbers; only those
+    sums are broadcast. Columns of any type and repeated names are kept. ``unique`` says that
+    ``order`` is a key.
     """
     spark = df.sparkSession
-    taken = [c.lower() for c in df.columns]
-    if name in taken or len(set(taken)) < len(taken):
-        raise ValueError(f"numbering needs distinct column names, none of them {name}")
-    ordered = spread_sort(df, order) if order else df
+    if name in [c.lower() for c in df.columns]:
+        raise ValueError(f"there is a column {name} already")
+    ordered, fields = _storable(df)
+    if order:
+        names = [column.lower() for column in df.columns]
+        ordered = spread_sort(ordered, [f"_{names.index(key.lower())}" for key in order], unique)
     path = scratch_dir(spark, "numbered")
-    (
-        ordered.withColumn(_PLACE, F.monotonically_increasing_id())
-        .write.option("maxRecordsPerFile", 0)
-        .parquet(path)
-    )
-    schema = T.StructType([*df.schema.fields, T.StructField(_PLACE, T.LongType())])
-    fixed = spark.read.schema(schema).parquet(path)
+    placed = ordered.withColumn(_PLACE, F.monotonically_increasing_id())
+    placed.write.option("maxRecordsPerFile", 0).parquet(path)
+    fixed = spark.read.schema(placed.schema).parquet(path)
     part = F.shiftright(F.col(_PLACE), _POSITION_BITS).cast("int").alias("_lq_part")
     counts = sorted(fixed.groupBy(part).count().collect())
     starts = [0, *accumulate(row["count"] for row in counts)]
@@ -95,13 +105,15 @@ def number_rows(df: DataFrame, order: list[str] | None = None, name: str = "row_
         [(row["_lq_part"], start) for row, start in zip(counts, starts)],
         "_lq_part int, _lq_start long",
     )
-    if len(counts) <= BROADCAST_PARTITIONS:
-        offsets = F.broadcast(offsets)
     position = F.col(_PLACE).bitwiseAND((1 << _POSITION_BITS) - 1)
+    given_back = [
+        (F.col(f"_{i}").cast("interval") if isinstance(kind, T.CalendarIntervalType) else F.col(f"_{i}")).alias(n)
+        for i, (n, kind) in enumerate(fields)
+    ]
     return (
         fixed.withColumn("_lq_part", part)
-        .join(offsets, "_lq_part")
-        .select(*[quoted(c) for c in df.columns], (F.col("_lq_start") + position).alias(name))
+        .join(F.broadcast(offsets), "_lq_part")
+        .select(*given_back, (F.col("_lq_start") + position).alias(name))
     )
 
 
@@ -110,14 +122,24 @@ def with_batch_id(
     batch_size: int | None = None,
     order: list[str] | None = None,
     limit: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Add ``row_ord`` and ``batch_id``, so each chunk of the result is a group a job can use."""
-    if limit is not None and limit <= ONE_TASK_LIMIT:
-        if order:
-            df = df.orderBy(*[quoted(name) for name in order], content_hash(df))
-        df = df.limit(max(limit, 0))
-    numbered = number_rows(df, order)
+    """Add ``row_ord`` and ``batch_id``, so each chunk of the result is a group a job can use.
+
+    A ``limit`` keeps the rows numbered below it.
+    """
+    numbered = number_rows(df, order, unique=unique)
     if limit is not None:
-        numbered = numbered.where(F.col("row_ord") < limit)
+        numbered = numbered.where(F.col("row_ord") < max(limit, 0))
     size = chunk_size(batch_size)
     return numbered.withColumn("batch_id", F.expr(f"row_ord div {size}"))
+
+
+def pages(df: DataFrame, rows: int) -> DataFrame:
+    """The rows in result order, in partitions of ``rows`` rows each, to be read one by one."""
+    numbered = number_rows(df, name="_lq_row")
+    last = numbered.agg(F.max("_lq_row")).first()[0]
+    count = 1 if last is None else last // rows + 1
+    page = F.expr(f"CAST(_lq_row div {rows} AS INT)")
+    placed = numbered.repartitionById(count, page).sortWithinPartitions("_lq_row")
+    return placed.drop("_lq_row")

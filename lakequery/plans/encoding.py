@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakequery.functions.encode import EMBEDDED, MYSQL, POSTGRES, encode, row_json, stringify
+from lakequery.functions.encode import EMBEDDED, JSON, MYSQL, POSTGRES, encode, row_json, stringify
 from lakequery.plans.registry import plan, table, views
 
 
@@ -190,3 +190,41 @@ def cell_text(spark, sf_dir):
         " user_id % 2 = 0 AS even_user, array(user_id, event_id) AS ids FROM events"
     )
     return stringify(rows, EMBEDDED)
+
+
+@plan(
+    """
+    SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS balance,
+           '0x' || lower(hex(c_name)) AS name, CAST(DATE '2020-01-01' + c_nationkey AS VARCHAR) AS day,
+           '<unsupported:array<string>>' AS tags
+    FROM customer
+    """
+)
+def encode_mysql_types(spark, sf_dir):
+    views(spark, sf_dir, "customer")
+    return encode(spark.sql(_CUSTOMER_TYPES), MYSQL)
+
+
+@plan(
+    """
+    SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS balance,
+           '0x' || lower(hex(c_name)) AS name, CAST(DATE '2020-01-01' + c_nationkey AS VARCHAR) AS day,
+           '<unsupported:array<string>>' AS tags
+    FROM customer
+    """
+)
+def encode_postgres_types(spark, sf_dir):
+    views(spark, sf_dir, "customer")
+    return encode(spark.sql(_CUSTOMER_TYPES), POSTGRES)
+
+
+_CUSTOMER_TYPES = """
+    SELECT c_custkey, CAST(c_acctbal AS DECIMAL(12,2)) AS balance, CAST(c_name AS BINARY) AS name,
+           date_add(DATE'2020-01-01', c_nationkey) AS day, array(c_mktsegment) AS tags
+    FROM customer
+"""
+
+
+@plan("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
+def encode_passthrough(spark, sf_dir):
+    return encode(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), JSON)

@@ -84,13 +84,14 @@ def typed_rows(spark, sf_dir):
 
 @plan(
     """
-    SELECT count(*) AS n, count(CASE WHEN event_id < 500 THEN 1 END) AS kept,
-           max(CASE WHEN event_id < 500 THEN event_id END) AS last_kept, 'bigint' AS column_type
+    SELECT count(*) AS n, count(*) AS kept,
+           max(CASE WHEN event_id < 500 THEN event_id ELSE event_id + 0.5 END)::DOUBLE AS last_kept,
+           CASE WHEN max(event_id) < 500 THEN 'bigint' ELSE 'double' END AS column_type
     FROM events
     """
 )
-def infer_first_batch(spark, sf_dir):
-    """The first 200 rows look whole, so fractions further down become null."""
+def infer_whole_export(spark, sf_dir):
+    """The first rows look whole; the fractions further down are kept all the same."""
     views(spark, sf_dir, "events")
     rows = spark.sql(
         "SELECT parse_json(CASE WHEN event_id < 500 THEN CAST(event_id AS STRING)"
@@ -102,6 +103,6 @@ def infer_first_batch(spark, sf_dir):
     return saved.agg(
         F.count(F.lit(1)).alias("n"),
         F.count("v").alias("kept"),
-        F.max("v").alias("last_kept"),
+        F.max("v").cast("double").alias("last_kept"),
         F.max(F.typeof("v")).alias("column_type"),
     )

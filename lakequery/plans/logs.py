@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakequery.operators.numbering import with_batch_id
-from lakequery.plans.registry import plan, table
+from lakequery.plans.registry import plan, table, views
+from lakequery.session import Session
 from lakequery.statements import named_views, read_sessions, session_summary, time_text
 from lakequery.storage import scratch_dir
 
@@ -95,3 +99,29 @@ def statement_counts(spark, sf_dir):
 )
 def session_view_names(spark, sf_dir):
     return named_views(_sessions(spark, sf_dir)).select("session_id", "position", "view_name")
+
+
+@plan(
+    """
+    SELECT c_nationkey AS nation, 'query' AS operation, 'success' AS status, count(*) AS row_count
+    FROM customer GROUP BY c_nationkey
+    UNION ALL SELECT DISTINCT c_nationkey, 'query', 'error', -1 FROM customer
+    """
+)
+def statement_log(spark, sf_dir):
+    """A statement per nation that counts its customers, and one that fails; then the log itself."""
+    views(spark, sf_dir, "customer")
+    nations = [row[0] for row in table(spark, sf_dir, "nation").select("n_nationkey").collect()]
+    session = Session(spark, scratch_dir(spark, "log"))
+    for nation in nations:
+        customers = f"SELECT c_custkey FROM customer WHERE c_nationkey = {nation}"
+        n = spark.sql(customers).count()
+        if n:
+            session.query(customers, limit=n, view_name=f"good_{nation}").rows()
+            with suppress(PySparkException):
+                failing = f"SELECT raise_error('none') FROM ({customers})"
+                session.query(failing, view_name=f"bad_{nation}").run(lambda df: df.write.format("noop").mode("append").save())
+    named = F.regexp_extract("view_name", "_([0-9]+)$", 1).cast("int")
+    return session.log.table().select(
+        named.alias("nation"), "operation", "status", F.coalesce("row_count", F.lit(-1)).alias("row_count")
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakequery.operators.capped import DEFAULT_LIMIT, query
+from lakequery.operators.capped import query
 from lakequery.operators.numbering import with_batch_id
 from lakequery.plans.registry import plan, table, views
 
@@ -23,6 +23,7 @@ def limited_query(spark, sf_dir):
         spark,
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority "
         "FROM orders ORDER BY o_orderkey",
+        limit=1000,
     )
 
 
@@ -61,7 +62,7 @@ def batch_summary(spark, sf_dir):
 def batch_capped(spark, sf_dir):
     views(spark, sf_dir, "orders")
     top = spark.sql("SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey")
-    return with_batch_id(top, limit=DEFAULT_LIMIT)
+    return with_batch_id(top, limit=1000)
 
 
 @plan(
@@ -81,12 +82,23 @@ def number_duplicates(spark, sf_dir):
     )
 
 
+@plan(
+    """
+    SELECT (row_number() OVER (ORDER BY event_id) - 1) // 333 AS batch_id, event_id FROM events
+    """
+)
+def batch_tail(spark, sf_dir):
+    """A chunk size that leaves a short last chunk, over a key."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    return with_batch_id(events, 333, ["event_id"], unique=True).select("batch_id", "event_id")
+
+
 def sql_plan(name: str, tables: list[str], sql: str, oracle: str | None = None) -> None:
     """Register SQL that runs unchanged, whole, through Spark."""
 
     def run(spark, sf_dir):
         views(spark, sf_dir, *tables)
-        return spark.sql(sql)
+        return query(spark, sql)
 
     plan(oracle or sql, name)(run)
 

@@ -11,10 +11,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lakequery.functions.encode import EMBEDDED
-from lakequery.operators.capped import cap
-from lakequery.plans.registry import plan, table, views
+from lakequery.plans.registry import plan, table
 from lakequery.sinks.dataset import write_dataset
-from lakequery.sinks.single_file import write_file
 from lakequery.sources.compact_json import read_compact_json
 from lakequery.sources.csv import read_csv, register_csv
 from lakequery.storage import scratch_dir
@@ -195,51 +193,96 @@ def save_row_count(spark, sf_dir):
     )
 
 
-@plan(
-    """
-    SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
-    ORDER BY o_totalprice DESC, o_orderkey LIMIT 1000
-    """
-)
-def single_file_export(spark, sf_dir):
-    """A capped report as one JSON array file, written and then extended."""
-    views(spark, sf_dir, "orders")
-    report = spark.sql(
-        "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders"
-        " ORDER BY o_totalprice DESC, o_orderkey"
-    )
-    path = f"{scratch_dir(spark, 'report')}/report.json"
-    top = cap(report)
-    write_file(top.where("o_orderpriority < '3'"), "json", path)
-    write_file(top.where("o_orderpriority >= '3'"), "json", path, "append")
-    schema = "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string"
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def _headed(lines, path: str, names: str, types: str) -> None:
+    """Write a frame of lines so that every part file starts with its two header lines."""
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = lines.select("line", place.alias("place"))
+    headed = F.when(F.col("place") == 0, F.array(F.lit(names), F.lit(types), F.col("line")))
+    every = placed.select(F.explode(headed.otherwise(F.array("line"))).alias("value"))
+    every.write.option("maxRecordsPerFile", 0).text(path)
 
 
 @plan("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def compact_json_scan(spark, sf_dir):
-    """Every part file starts with its two header lines."""
     customer = table(spark, sf_dir, "customer")
     names = '["c_custkey","c_name","c_nationkey","c_acctbal","c_mktsegment"]'
     types = '["Int64","String","Nullable(Int32)","Float64","LowCardinality(String)"]'
     line = F.to_json(F.array(*[F.col(c).cast("variant") for c in customer.columns]))
-    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    placed = customer.select(line.alias("line"), place.alias("place"))
-    headed = F.when(F.col("place") == 0, F.array(F.lit(names), F.lit(types), F.col("line")))
     path = scratch_dir(spark, "compact")
-    lines = placed.select(F.explode(headed.otherwise(F.array("line"))).alias("value"))
-    lines.write.option("maxRecordsPerFile", 0).text(path)
+    _headed(customer.select(line.alias("line")), path, names, types)
     return read_compact_json(spark, path)
 
 
-@plan("SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY event_type")
-def stream_save(spark, sf_dir):
-    path, target = f"{sf_dir}/events.parquet", scratch_dir(spark, "stream-out")
-    schema = spark.read.parquet(path).schema
-    # A stream takes one file only by a pattern; the pattern also matches a directory of files.
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
-    save_stream(stream, "parquet", target, scratch_dir(spark, "stream-state"), dialect=EMBEDDED)
-    saved = spark.read.parquet(target)
+@plan(
+    """
+    SELECT CASE WHEN event_type IN ('click', 'view') THEN NULL ELSE event_id END AS id,
+           CASE event_type WHEN 'click' THEN 'name' WHEN 'view' THEN 'String' ELSE props END AS name
+    FROM events
+    """
+)
+def compact_json_lookalikes(spark, sf_dir):
+    """Two kinds of rows are the very text of a header line; none may be lost."""
+    names, types = '["id","name"]', '["Int64","String"]'
+    line = (
+        F.when(F.col("event_type") == "click", names)
+        .when(F.col("event_type") == "view", types)
+        .otherwise(F.to_json(F.array(F.col("event_id").cast("variant"), F.col("props").cast("variant"))))
+    )
+    path = scratch_dir(spark, "compact")
+    _headed(table(spark, sf_dir, "events").select(line.alias("line")), path, names, types)
+    return read_compact_json(spark, path)
+
+
+@plan(
+    """
+    SELECT l_orderkey, '1701411834604692317316873037158841' || lpad(CAST(l_partkey AS VARCHAR), 5, '0') AS wide,
+           CAST(9000000000000000000 + l_orderkey AS BIGINT) AS long
+    FROM lineitem
+    """
+)
+def compact_json_wide_ints(spark, sf_dir):
+    """Integers of 39 digits as numbers, and of 19 digits as quoted ones."""
+    wide = F.concat(F.lit("1701411834604692317316873037158841"), F.lpad(F.col("l_partkey").cast("string"), 5, "0"))
+    long = (F.lit(9_000_000_000_000_000_000) + F.col("l_orderkey")).cast("string")
+    line = F.concat(F.lit("["), F.col("l_orderkey").cast("string"), F.lit(","), wide, F.lit(',"'), long, F.lit('"]'))
+    path = scratch_dir(spark, "compact")
+    _headed(
+        table(spark, sf_dir, "lineitem").select(line.alias("line")),
+        path,
+        '["l_orderkey","wide","long"]',
+        '["Int64","UInt128","Int64"]',
+    )
+    return read_compact_json(spark, path)
+
+
+def _event_stream(spark, sf_dir):
+    """Events as a stream of many files, several micro-batches of them."""
+    events, path = table(spark, sf_dir, "events"), scratch_dir(spark, "stream-in")
+    events.repartition(12).write.parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 5).parquet(path)
+
+
+def _event_counts(saved):
     return saved.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_id")
     )
+
+
+@plan("SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY event_type")
+def stream_save(spark, sf_dir):
+    """An export that overwrites an earlier one of the same events."""
+    target = scratch_dir(spark, "stream-out")
+    for attempt in ("first", "second"):
+        state = scratch_dir(spark, f"stream-state-{attempt}")
+        save_stream(_event_stream(spark, sf_dir), "parquet", target, state, dialect=EMBEDDED)
+    return _event_counts(spark.read.parquet(target))
+
+
+@plan("SELECT event_type, 2 * count(*) AS n, max(event_id) AS last_id FROM events GROUP BY event_type")
+def stream_append(spark, sf_dir):
+    """Two streams that add to one dataset."""
+    target = scratch_dir(spark, "stream-out")
+    for attempt in ("first", "second"):
+        state = scratch_dir(spark, f"stream-state-{attempt}")
+        save_stream(_event_stream(spark, sf_dir), "json", target, state, "append", EMBEDDED)
+    return _event_counts(spark.read.schema("event_id long, event_type string").json(target))

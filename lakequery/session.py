@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakequery.functions.encode import EMBEDDED, row_json
 from lakequery.operators.capped import ColumnMeta, cap, columns, row_cap
-from lakequery.operators.numbering import ONE_TASK_LIMIT, chunk_size, with_batch_id
+from lakequery.operators.numbering import chunk_size, pages, with_batch_id
 from lakequery.sinks.dataset import DECLARED, write_dataset
-from lakequery.sinks.formats import ExportError, SaveResult
-from lakequery.sinks.single_file import write_file
+from lakequery.sinks.formats import SaveResult
 from lakequery.sources.jdbc import Database, Partitioning, read_database
 from lakequery.statements import (
     QUERY,
@@ -23,10 +23,12 @@ from lakequery.statements import (
     StatementLog,
     Timer,
 )
-from lakequery.storage import scratch_dir
 from lakequery.streaming.export import save_stream
 
-_LAYOUTS = {"dataset": write_dataset, "file": write_file}
+Result = TypeVar("Result")
+
+# Chunks that one task hands to the reader of a paged result at a time.
+PAGE_CHUNKS = 50
 
 
 @dataclass(frozen=True)
@@ -36,30 +38,32 @@ class QueryBatch:
 
 
 class QueryResult:
-    """A capped result: ``rows`` for a client, ``df`` for further work on the cluster."""
+    """A result: ``rows`` for a client, ``run`` and ``df`` for work on the cluster."""
 
     def __init__(
-        self, session: Session, sql: str, df: DataFrame, limit: int, view_name: str | None
+        self, session: Session, sql: str, df: DataFrame, limit: int | None, view_name: str | None
     ):
         self.columns = columns(df)
+        self.df = cap(df, limit)
         self.execution_time_ms: int | None = None
         self._session, self._sql, self._view_name = session, sql, view_name
         self._whole, self._limit = df, limit
 
-    @property
-    def df(self) -> DataFrame:
-        """The lazy frame. Taking it logs the statement without a row count, as none is known."""
-        self._session.log.append(QUERY, self._sql, self._view_name)
-        return cap(self._whole, self._limit)
+    def run(self, action: Callable[[DataFrame], Result]) -> Result:
+        """Hand the frame to ``action``, and log the statement with the outcome of that."""
+        result, self.execution_time_ms = self._session._logged(
+            QUERY, self._sql, self._view_name, lambda: action(self.df), lambda found: None
+        )
+        return result
 
     def rows(self) -> list[dict]:
         """Run the statement and log it: at most ``limit`` encoded row objects, in memory.
 
-        Results too large to hold are refused; ``query_stream`` pages them and ``df`` leaves them
+        Only a result with a limit can be held; ``query_stream`` pages others and ``df`` leaves them
         on the cluster.
         """
-        if self._limit > ONE_TASK_LIMIT:
-            raise ValueError(f"rows() holds at most {ONE_TASK_LIMIT} rows; use query_stream or df")
+        if self._limit is None:
+            raise ValueError("rows() holds the result in memory, so give query() a limit; or use query_stream or df")
 
         def collect() -> list[dict]:
             lines = cap(row_json(self._whole, self._session.dialect), self._limit)
@@ -74,20 +78,30 @@ class QueryResult:
 class Session:
     """SQL over one Spark session, or in ``database`` where one is given.
 
-    Statements are logged when they run or fail.
+    Each statement is logged once, when it has ended, with its outcome. ``close`` writes what the log
+    still holds; a session is also a context manager.
     """
 
     def __init__(
         self,
         spark: SparkSession,
-        log_path: str | None = None,
+        log_path: str,
         dialect: str | None = None,
         database: Database | None = None,
     ):
         self.spark = spark
         self.database = database
         self.dialect = dialect or (database.dialect if database else EMBEDDED)
-        self.log = StatementLog(spark, log_path or scratch_dir(spark, "statements"))
+        self.log = StatementLog(spark, log_path)
+
+    def __enter__(self) -> Session:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.close()
+
+    def close(self) -> None:
+        self.log.flush()
 
     def info(self) -> SessionInfo:
         return self.log.info()
@@ -109,7 +123,13 @@ class Session:
             return self.spark.sql(sql)
         return read_database(self.spark, self.database, sql, partition, limit)
 
-    def _analysed(self, operation: str, sql: str, limit: int, view_name: str | None) -> DataFrame:
+    def _shared(self, partition: Partitioning | None) -> Partitioning | None:
+        """Whole results of a database must be shared out, or one task would read them."""
+        if self.database is not None and partition is None:
+            raise ValueError("a whole result of a database needs partition=Partitioning(...)")
+        return partition
+
+    def _analysed(self, operation: str, sql: str, limit: int | None, view_name: str | None) -> DataFrame:
         timer = Timer()
         try:
             return self._frame(sql, limit)
@@ -118,7 +138,7 @@ class Session:
             raise
 
     def query(self, sql: str, limit: int | None = None, view_name: str | None = None) -> QueryResult:
-        """The first ``limit`` rows (1000 unless given) of a statement."""
+        """The result of a statement: whole and lazy, or its first ``limit`` rows."""
         rows = row_cap(limit)
         df = self._analysed(QUERY, sql, rows, view_name)
         return QueryResult(self, sql, df, rows, view_name)
@@ -130,21 +150,22 @@ class Session:
         limit: int | None = None,
         view_name: str | None = None,
     ) -> Iterator[QueryBatch]:
-        """Chunks of ``batch_size`` rows (200 unless given), the last one shorter.
+        """The whole result in chunks of ``batch_size`` rows (200 unless given), the last one shorter.
 
-        An empty result yields one chunk, which carries the columns.
+        The encoded rows are stored once in the shared folder and read back page by page, so neither
+        a task nor the driver holds more than ``PAGE_CHUNKS`` chunks. An empty result yields one
+        chunk, which carries the columns.
         """
         most = row_cap(limit)
         df = self._analysed(QUERY_STREAM, sql, most, view_name)
-        return self._chunks(df, sql, chunk_size(batch_size), most, view_name)
+        return self._chunks(cap(df, most), sql, chunk_size(batch_size), view_name)
 
     def _chunks(
-        self, df: DataFrame, sql: str, size: int, most: int, view_name: str | None
+        self, df: DataFrame, sql: str, size: int, view_name: str | None
     ) -> Iterator[QueryBatch]:
         meta, rows, sent, timer = columns(df), [], 0, Timer()
         try:
-            lines = cap(row_json(df, self.dialect), most)
-            for line in lines.toLocalIterator(prefetchPartitions=True):
+            for line in pages(row_json(df, self.dialect), size * PAGE_CHUNKS).toLocalIterator():
                 rows.append(json.loads(line[0]))
                 if len(rows) == size:
                     sent += size
@@ -169,14 +190,15 @@ class Session:
         order: list[str] | None = None,
         view_name: str | None = None,
         partition: Partitioning | None = None,
+        unique: bool = False,
     ) -> DataFrame:
         """The same chunks as a frame with ``batch_id``, for jobs that work on them in parallel.
 
-        Without ``limit`` they hold the whole result.
+        ``unique`` says that ``order`` is a key, which spares a sort.
         """
 
         def work() -> DataFrame:
-            return with_batch_id(self._frame(sql, None, partition), batch_size, order, limit)
+            return with_batch_id(self._frame(sql, None, self._shared(partition)), batch_size, order, limit, unique)
 
         return self._logged(QUERY_STREAM, sql, view_name, work, lambda df: None)[0]
 
@@ -187,17 +209,14 @@ class Session:
         path: str,
         mode: str | None = None,
         view_name: str | None = None,
-        layout: str = "dataset",
         typing: str = DECLARED,
         partition: Partitioning | None = None,
     ) -> SaveResult:
         """Export a whole result, without a row cap; ``partition`` shares out a database's rows."""
 
         def work() -> SaveResult:
-            if layout not in _LAYOUTS:
-                raise ExportError(f"unknown layout: {layout} (one of {', '.join(_LAYOUTS)})")
-            df = self._frame(sql, None, partition)
-            return _LAYOUTS[layout](df, file_type, path, mode, self.dialect, typing)
+            df = self._frame(sql, None, self._shared(partition))
+            return write_dataset(df, file_type, path, mode, self.dialect, typing)
 
         return self._logged(SAVE, sql, view_name, work, lambda saved: saved.row_count)[0]
 

@@ -6,15 +6,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakequery.functions.encode import EMBEDDED, row_json, stringify
-from lakequery.operators.infer import (
-    DEFAULT_SAMPLE_ROWS,
-    infer_types,
-    normalize,
-    project_typed,
-)
+from lakequery.operators.infer import infer_types, normalize, project_typed
 from lakequery.sinks.formats import (
     APPEND,
     CSV,
+    CSV_OPTIONS,
     EXCEL,
     JSON,
     ORC,
@@ -28,7 +24,7 @@ from lakequery.sinks.formats import (
     parse_mode,
 )
 from lakequery.sinks.xlsx import XlsxDataSource
-from lakequery.storage import Storage
+from lakequery.storage import Storage, scratch_dir
 
 DECLARED, INFERRED = "declared", "inferred"
 
@@ -48,7 +44,7 @@ def export_frame(
     """``df`` as the columns a format stores.
 
     Columnar formats take the declared types of the result, or with ``typing="inferred"`` those
-    found in its first rows, later misfits becoming null.
+    found in all its rows, so that every value is kept.
     """
     distinct_names(df)
     if typing not in (DECLARED, INFERRED):
@@ -63,11 +59,12 @@ def export_frame(
 
 
 def _inferred(df: DataFrame, dialect: str) -> DataFrame:
-    """Types from the first rows, which ``take`` finds without running the whole result."""
-    rows = row_json(df, dialect)
-    first = enumerate(row[0] for row in rows.take(DEFAULT_SAMPLE_ROWS))
-    sample = df.sparkSession.createDataFrame(list(first), "ord long, row string")
-    found = infer_types(sample, "row", df.columns, "ord").collect()  # one row per column
+    """Types of all rows; the encoded rows are stored once, so the result is computed once."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "encoded")
+    row_json(df, dialect).withColumn("ord", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.schema("row string, ord long").parquet(path)
+    found = infer_types(rows, "row", df.columns, "ord").collect()  # one row per column
+    rows = rows.select("row")
     kinds = {row["column_name"]: row["column_type"] for row in found}
     return project_typed(rows, "row", {name: kinds[name] for name in df.columns})
 
@@ -112,6 +109,14 @@ def check_json_rows(spark: SparkSession, path: str) -> None:
         raise ExportError(f"cannot append JSON to {path}: it does not hold JSON rows")
 
 
+def check_csv_columns(spark: SparkSession, path: str, names: list[str]) -> None:
+    """An append must have the columns, in the order, of the header that is there."""
+    first = spark.read.text(path).where("value != ''").first()
+    there = spark.read.option("header", True).options(**CSV_OPTIONS).csv(path).columns if first else names
+    if there != names:
+        raise ExportError(f"cannot append to {path}: its columns are {there}, not {names}")
+
+
 def write_dataset(
     df: DataFrame,
     file_type: str,
@@ -130,11 +135,13 @@ def write_dataset(
     check_append(spark, file_format, save_mode, path)
     storage, given = Storage(spark), path
     path = storage.qualify(path).rstrip("/")
-    if save_mode == APPEND and storage.size(path) > 0:
+    if save_mode == APPEND and not storage.is_empty(path):
         if storage.is_file(path):
-            raise ExportError(f"{path} is one file; append to it with layout='file'")
+            raise ExportError(f"{path} is one file, not a directory of parts")
         if file_format == JSON:
             check_json_rows(spark, path)
+        else:
+            check_csv_columns(spark, path, df.columns)
     frame, seen = counted(export_frame(df, file_format, dialect, typing))
     if save_mode == OVERWRITE and storage.exists(path):
         _replace(storage, frame, file_format, path)
@@ -143,7 +150,6 @@ def write_dataset(
     return SaveResult(given, file_format, seen.get["rows"])
 
 
-
 def _replace(storage: Storage, frame: DataFrame, file_format: str, path: str) -> None:
     """Swap in a finished directory where that is a rename; else add the new, then drop the old."""
     if storage.renames_cheaply(path):
@@ -154,7 +160,11 @@ def _replace(storage: Storage, frame: DataFrame, file_format: str, path: str) ->
             storage.delete(staging)
             raise
         storage.rename(path, old)
-        storage.rename(staging, path)
+        try:
+            storage.rename(staging, path)
+        except BaseException:
+            storage.rename(old, path)  # the target is as it was
+            raise
         storage.delete(old)
     else:
         old_parts = [path] if storage.is_file(path) else superseded(storage, path)

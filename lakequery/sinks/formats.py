@@ -52,23 +52,24 @@ class SaveResult:
 def parse_format(file_type: str) -> str:
     name = file_type.strip().lower()
     if name not in FORMAT_NAMES:
-        raise ExportError(f"Unsupported save file type: {name} (csv, excel, json, orc or parquet)")
+        raise ExportError(f"no export format is called {name!r}; choose csv, excel, json, orc or parquet")
     return FORMAT_NAMES[name]
 
 
 def parse_mode(mode: str | None) -> str:
     name = (mode or "").strip().lower()
     if name not in MODE_NAMES:
-        raise ExportError(f"Unsupported save mode: {name} (overwrite or append)")
+        raise ExportError(f"no export mode is called {name!r}; choose overwrite or append")
     return MODE_NAMES[name]
 
 
 def check_append(spark: SparkSession, file_format: str, mode: str, path: str) -> None:
     """Refuse, before any job runs, to append where the format or the target forbids it."""
-    if mode != APPEND or Storage(spark).size(path) == 0:
+    if mode != APPEND or Storage(spark).is_empty(path):
         return
     if file_format in APPEND_REFUSED:
         label = APPEND_REFUSED[file_format]
+        # Fixed value: how the refusal begins.
         raise ExportError(
             f"Append mode is not supported for {label} exports: {path} has data already. "
             "Overwrite it, or append as csv or json."

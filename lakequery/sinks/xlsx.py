@@ -28,9 +28,6 @@ MAX_CELL_CHARS = 32_767
 # Rows handed to a workbook at a time.
 SLICE = 4_096
 
-# A workbook is closed early once its sheet holds this much XML, so that files stay readable.
-MAX_SHEET_BYTES = 256 << 20
-
 MOVES_IN_FLIGHT = 16
 
 _RARE = r"[\x00-\x08\x0b-\x1f\x{fffe}\x{ffff}]|_x[0-9A-Fa-f]{4}_"
@@ -140,14 +137,12 @@ class Workbook:
             self._zip.writestr(name, _HEAD + body)
         self._sheet = self._zip.open("xl/worksheets/sheet1.xml", "w")
         self._letters = [column_letters(i) for i in range(len(names))]
-        self.rows = self.bytes = 0
+        self.rows = 0
         self._write(f'{_HEAD}<worksheet xmlns="{_MAIN}"><sheetData>')
         self.add(pa.RecordBatch.from_arrays([pa.array([n], pa.string()) for n in names], names))
 
     def _write(self, text: str) -> None:
-        data = text.encode("utf-8")
-        self.bytes += len(data)
-        self._sheet.write(data)
+        self._sheet.write(text.encode("utf-8"))
 
     def add(self, batch: pa.RecordBatch) -> None:
         first = self.rows + 1
@@ -159,7 +154,7 @@ class Workbook:
 
     @property
     def full(self) -> bool:
-        return self.rows > MAX_ROWS - SLICE or self.bytes >= MAX_SHEET_BYTES
+        return self.rows > MAX_ROWS - SLICE
 
     def close(self) -> None:
         self._write("</sheetData></worksheet>")

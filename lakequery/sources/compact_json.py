@@ -8,7 +8,6 @@ import re
 from collections.abc import Iterator
 from itertools import islice
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,21 +40,36 @@ _DECIMAL = re.compile(r"^Decimal\((\d+),\s*(\d+)\)$")
 _ARRAY = re.compile(r"^Array\((.*)\)$")
 
 
+# Integer types wider than any Spark integer or exact decimal of 38 digits.
+_WIDE = ("int128", "uint128", "int256", "uint256")
+_WHOLE = "^-?[0-9]+$"
+
+
 class CompactJsonError(ValueError):
     """A file's header lines are missing, malformed or differ from those of other files."""
 
 
-def spark_type(name: str) -> str:
-    """The Spark type of a header type name; what has no closer type is text."""
+def _base(name: str) -> str:
+    """The type name without wrappers and parameters, in lower case."""
+    return _unwrapped(name).split("(", 1)[0].lower()
+
+
+def _unwrapped(name: str) -> str:
     name = name.strip()
     while wrapped := _WRAPPER.match(name):
         name = wrapped.group(1).strip()
+    return name
+
+
+def spark_type(name: str) -> str:
+    """The Spark type of a header type name; what has no closer type is text."""
+    name = _unwrapped(name)
     if decimal := _DECIMAL.match(name):
         precision, scale = decimal.groups()
         return f"decimal({precision},{scale})" if int(precision) <= 38 else "string"
     if array := _ARRAY.match(name):
         return f"array<{spark_type(array.group(1))}>"
-    return _TYPES.get(name.split("(", 1)[0].lower(), "string")
+    return _TYPES.get(_base(name), "string")
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,47 +119,53 @@ def _header(spark: SparkSession, path: str | list[str]) -> tuple[str, str] | Non
     return rows[0]["names"], rows[0]["types"]
 
 
-def _skip_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop the first two lines of every file by position; lines of a block arrive in order."""
-    current, seen = None, 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        block = batch.column("block").to_numpy()
-        index = np.arange(len(block))
-        begins = np.concatenate(([block[0] != current], block[1:] != block[:-1]))
-        run_start = np.maximum.accumulate(np.where(begins, index, -seen))
-        place = index - run_start
-        current, seen = block[-1], int(place[-1]) + 1
-        head = batch.column("first_block").to_numpy(zero_copy_only=False) & (place < 2)
-        yield batch.select(["line"]).filter(pa.array(~head))
-
-
-def _data_lines(lines: DataFrame, header: tuple[str, str], kinds: list[str]) -> DataFrame:
-    """Lines below the headers.
-
-    A header line is an array of strings, so where some column cannot hold a string no row can
-    equal one and comparing text is exact. Where every column is text a row may look like a header,
-    and lines are dropped by their place in the file instead.
+def _data_lines(lines: DataFrame, header: tuple[str, str]) -> DataFrame:
+    """Lines below the headers, each exactly as often as the files hold it.
+
+    The headers are the first two lines of a file. Rows may equal them, and lines of equal text are
+    interchangeable, so it is enough to count such lines in every block and give back all but the two
+    that a file starts with.
     """
-    if any(kind != "string" for kind in kinds):
-        return lines.where(~F.col("line").isin(*header)).select("line")
-    placed = lines.select(
-        "line",
-        F.xxhash64("path", "start").alias("block"),
-        (F.col("start") == 0).alias("first_block"),
-    )
-    return placed.mapInArrow(_skip_heads, "line string")
+    like = F.col("line").isin(*header)
+    twice = 2 if header[0] == header[1] else 1
+    counted = lines.where(like).groupBy("path", "start", "line").agg(F.count(F.lit(1)).alias("n"))
+    extra = counted.select(
+        "line", (F.col("n") - F.when(F.col("start") == 0, twice).otherwise(0)).cast("int").alias("n")
+    ).where("n > 0")
+    given_back = extra.select(F.explode(F.array_repeat("line", F.col("n"))).alias("line"))
+    return lines.where(~like).select("line").unionByName(given_back)
+
 
+def _cell(value: Column, token: Column, kind: str, declared: str) -> Column:
+    """The value under its declared type, or null where its class does not fit; nothing is rounded.
 
-def _cell(value: Column, kind: str) -> Column:
+    ``token`` is its text. Integers of 64 bits and more may be quoted, as writers do that to spare
+    readers without them; those above 64 bits unsigned stay text, so no digit is lost.
+    """
+    actual = F.schema_of_variant(value)
+    quoted = actual == "STRING"
+    number = actual.rlike("^(BIGINT|DOUBLE|DECIMAL)")
     if kind.startswith("array<"):
         return F.from_json(F.to_json(value), kind)
-    return F.try_variant_get(value, "$", kind)
+    if kind == "string":
+        if _base(declared) in _WIDE:
+            return F.when((number | quoted) & token.rlike(_WHOLE), token)
+        return F.when(quoted, value.cast("string")).otherwise(F.when(actual != "VOID", token))
+    if kind == "boolean":
+        return F.when(actual == "BOOLEAN", F.try_variant_get(value, "$", kind))
+    if kind in ("float", "double"):
+        return F.when(number | (quoted & token.rlike("(?i)^-?(nan|inf(inity)?)$")), token.try_cast(kind))
+    if kind in ("date", "timestamp_ntz"):
+        return F.when(quoted, token.try_cast(kind))
+    if kind.startswith("decimal") and not kind.endswith(",0)"):
+        exact = token.try_cast(kind)
+        return F.when((number | quoted) & (exact == token.try_cast("decimal(38,18)")), exact)
+    spelled = number if kind in ("tinyint", "smallint", "int") else number | quoted
+    return F.when(spelled & token.rlike(_WHOLE), token.try_cast(kind))
 
 
 def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Typed rows of header-typed JSON line files, in one scan of the data.
+    """Typed rows of header-typed JSON line files; a second, filtered scan looks for rows like headers.
 
     A value its declared type cannot hold becomes null. A row that is not an array, or has too few
     or too many values, fails the query and names the line.
@@ -167,35 +187,29 @@ def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
         )
         .where(F.col("line") != "")
     )
-    data = _data_lines(lines, header, kinds)
+    data = _data_lines(lines, header)
     # Spark's parsers stop after the first JSON value of a text. Inside an object, text that follows
     # the array is an error, and "end" is only seen when the array was the whole line.
     wrapped = F.concat(F.lit('{"row":'), "line", F.lit(',"end":0}'))
-    values = data.select(
-        "line", F.from_json(wrapped, "row array<variant>, end int").alias("parsed")
-    ).select("line", "parsed.end", F.col("parsed.row").alias("cells"))
-    checked = values.select(
-        F.when(
-            F.col("cells").isNull() | F.col("end").isNull(),
-            F.raise_error(F.concat(F.lit("line is not one JSON array: "), "line")),
-        )
-        .when(
-            F.size("cells") != len(names),
-            F.raise_error(
-                F.concat(
-                    F.lit(f"expected {len(names)} values, found "),
-                    F.size("cells").cast("string"),
-                    F.lit(": "),
-                    "line",
-                )
-            ),
-        )
-        .otherwise(F.col("cells"))
-        .alias("cells")
+    parsed = data.select(
+        "line",
+        F.from_json(wrapped, "row array<variant>, end int").alias("parsed"),
+        F.from_json(wrapped, "row array<string>").getField("row").alias("tokens"),
+    ).select("line", "parsed.end", F.col("parsed.row").alias("cells"), "tokens")
+    broken = F.col("cells").isNull() | F.col("end").isNull()
+    said = F.concat(
+        F.when(broken, "line is not one JSON array: ").otherwise(
+            F.concat(F.lit(f"expected {len(names)} values, found "), F.size("cells").cast("string"), F.lit(": "))
+        ),
+        "line",
     )
-    return checked.select(
+    # A filter, not a column: it holds whatever columns are read, and for a count as well.
+    whole = F.when(broken | (F.size("cells") != len(names)), F.raise_error(said).cast("boolean")).otherwise(True)
+    return parsed.where(whole).select(
         *[
-            _cell(F.col("cells")[i], kind).alias(name, metadata={NATIVE_TYPE: declared})
+            _cell(F.col("cells")[i], F.col("tokens")[i], kind, declared).alias(
+                name, metadata={NATIVE_TYPE: declared}
+            )
             for i, (name, kind, declared) in enumerate(zip(names, kinds, types))
         ]
     )

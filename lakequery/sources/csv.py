@@ -16,11 +16,12 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header line; types are detected unless ``schema`` is given.
 
-    Detection reads the data once more, so give a schema for large inputs. Quoted cells may hold
+    A cell its type cannot hold, and a row of the wrong length, fail the query. Detection reads the
+    data once more, so give a schema for large inputs. Quoted cells may hold
     line breaks; ``multi_line=False`` promises they do not and lets tasks share one large file.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line)
-    reader = reader.option("escape", CSV_OPTIONS["escape"])
+    reader = reader.option("escape", CSV_OPTIONS["escape"]).option("mode", "FAILFAST")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+import warnings
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -29,6 +30,9 @@ SESSION_SCHEMA = (
 )
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
+# Rows that wait until they are written together.
+FLUSH_ROWS = 500
+
 # Rows of one session that a lookup of its first row handles together.
 _CHUNK_ROWS = 1_000_000
 
@@ -51,12 +55,18 @@ def parse_time(c: Column) -> Column:
 
 @dataclass
 class StatementLog:
-    """The rows one session adds to the shared log under ``path``, partitioned by day."""
+    """The rows one session adds to the shared log under ``path``, partitioned by day.
+
+    Rows are written in groups: when ``FLUSH_ROWS`` wait, when the table is read, and at ``flush``.
+    A log that cannot be written warns and keeps its rows for the next try; it never hides the
+    outcome of a statement.
+    """
 
     spark: SparkSession
     path: str
     session_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     _generated: int = 0
+    _waiting: list[tuple] = field(default_factory=list)
 
     def name(self, view_name: str | None) -> str:
         """A given name trimmed; a blank one becomes the next generated name."""
@@ -75,30 +85,39 @@ class StatementLog:
         error: str | None = None,
         duration_ms: int | None = None,
     ) -> None:
-        now = datetime.now(timezone.utc)
-        row = (
-            self.session_id,
-            self.name(view_name),
-            operation,
-            sql,
-            now,
-            None if error is not None else row_count,
-            SUCCESS if error is None else ERROR,
-            error,
-            duration_ms,
-        )
-        (
-            self.spark.createDataFrame([row], LOG_SCHEMA)
-            .withColumn("log_date", F.lit(now.date().isoformat()))
-            .coalesce(1)
-            .write.mode("append")
-            .partitionBy("log_date")
-            .parquet(self.path)
+        """Add the row of a statement that has ended."""
+        self._waiting.append(
+            (
+                self.session_id,
+                self.name(view_name),
+                operation,
+                sql,
+                datetime.now(timezone.utc),
+                None if error is not None else row_count,
+                SUCCESS if error is None else ERROR,
+                error,
+                duration_ms,
+            )
         )
+        if len(self._waiting) >= FLUSH_ROWS:
+            try:
+                self.flush()
+            except Exception as failure:
+                warnings.warn(f"the statement log at {self.path} was not written: {failure}", stacklevel=2)
+
+    def flush(self) -> None:
+        """Write the rows that wait, one file a day."""
+        if not self._waiting:
+            return
+        rows = [(*row, row[4].date().isoformat()) for row in self._waiting]
+        frame = self.spark.createDataFrame(rows, f"{LOG_SCHEMA}, log_date string").coalesce(1)
+        frame.write.mode("append").partitionBy("log_date").parquet(self.path)
+        self._waiting.clear()
 
     def table(self) -> DataFrame:
         """The log of all sessions, ``log_date`` included for pruning."""
         schema = f"{LOG_SCHEMA}, log_date string"
+        self.flush()
         if not Storage(self.spark).exists(self.path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path)

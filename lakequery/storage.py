@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import cache
 from urllib.parse import quote
 
 from pyarrow import fs as pafs
@@ -60,6 +58,16 @@ class Storage:
         fs, p = self._resolve(path)
         return fs.exists(p) and fs.getFileStatus(p).isFile()
 
+    def is_empty(self, path: str) -> bool:
+        """Whether there is nothing to append to: no path, an empty file or a folder without parts."""
+        fs, p = self._resolve(path)
+        if not fs.exists(p):
+            return True
+        status = fs.getFileStatus(p)
+        if status.isFile():
+            return status.getLen() == 0
+        return all(entry.name.startswith(("_", ".")) for entry in self.children(path))
+
     def size(self, path: str) -> int:
         """Bytes under a file or directory; 0 when it does not exist."""
         fs, p = self._resolve(path)
@@ -126,23 +134,19 @@ def clear_scratch(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder the cluster shares, for tables that cut lineage.
+    """A fresh path in a folder the cluster shares, for tables that cut lineage.
 
-    ``spark.checkpoint.dir`` names that folder. Only a local session may go without it, because
-    there the machine's temporary folder is visible to every task.
+    ``spark.checkpoint.dir`` names that folder; where it is unset the warehouse serves, which every
+    executor must reach as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     path = f"{base.rstrip('/')}/lakequery/{label}-{uuid.uuid4().hex}"
     _made.append(path)
     return path
 
 
-@cache
-def _temporary_folder() -> str:
-    return tempfile.mkdtemp(prefix="lakequery-")
-
-
-def _local_folder(spark: SparkSession) -> str:
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _temporary_folder()
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one scratch table whose frames are finished."""
+    Storage(spark).delete(path)
+    if path in _made:
+        _made.remove(path)

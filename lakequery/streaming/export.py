@@ -73,6 +73,23 @@ class StreamTarget:
         self.storage.write_text(manifest, json.dumps(record))
         self.storage.rename_all({old: f"{self.path}/{name}" for old, name in moves.items()})
 
+    def began(self) -> bool:
+        """Whether some batch of this query has noted what it replaces or stored a manifest."""
+        return any(self.storage.exists(f"{self.work}/{name}") for name in ("superseded.json", "manifests"))
+
+    def supersede(self) -> None:
+        """Note what the target holds, before the first batch of an overwriting stream."""
+        old = superseded(self.storage, self.path)
+        self.storage.write_text(f"{self.work}/superseded.json", json.dumps(old))
+
+    def drop_superseded(self) -> None:
+        """After the last batch: delete what was noted, of this run or of one that it resumes."""
+        note = f"{self.work}/superseded.json"
+        if self.storage.exists(note):
+            old = json.loads(self.spark.read.option("wholetext", True).text(note).first()[0])
+            self.storage.delete_all([path for path in old if not path.endswith(f"_stream-{self.query_id}")])
+            self.storage.delete(note)
+
     def row_count(self) -> int:
         manifests = self.spark.read.schema("rows long").json(f"{self.work}/manifests")
         return int(manifests.agg(F.sum("rows")).first()[0] or 0)
@@ -90,8 +107,8 @@ def save_stream(
     """Run a streaming frame into the dataset ``path``; the result counts this stream's rows.
 
     A failed batch ends the export with its error and the same ``checkpoint`` resumes it, without
-    storing or counting a row twice. A new stream that overwrites starts by dropping what the
-    target holds.
+    storing or counting a row twice. A stream that overwrites drops what the target held after its
+    last batch; until then, and where a batch fails, the old rows stay readable.
     """
     spark = df.sparkSession
     file_format, save_mode = parse_format(file_type), parse_mode(mode)
@@ -100,16 +117,17 @@ def save_stream(
     target = StreamTarget(spark, storage.qualify(path), checkpoint, file_format, dialect)
     if not storage.exists(f"{checkpoint}/metadata"):
         check_append(spark, file_format, save_mode, path)
-        if save_mode == OVERWRITE:
-            storage.delete_all(superseded(storage, path))
     first = columns(df)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         check_columns(first, columns(batch))
+        if save_mode == OVERWRITE and not target.began():
+            target.supersede()
         target.write(batch, batch_id)
 
     writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer.trigger(**(trigger or {"availableNow": True})).start().awaitTermination()
     if not storage.exists(f"{target.work}/manifests"):
-        target.write(spark.createDataFrame([], df.schema), 0)
+        write_batch(spark.createDataFrame([], df.schema), 0)
+    target.drop_superseded()
     return SaveResult(path, file_format, target.row_count())

@@ -10,7 +10,6 @@ from lakequery.operators.infer import (
     INT64,
     UTF8,
     infer_types,
-    inferred_schema,
     normalize,
     project_typed,
 )
@@ -95,24 +94,14 @@ def test_missing_keys_and_named_columns(spark):
     assert found(spark, rows, columns=["a", "z"]) == {"a": INT64, "z": UTF8}
 
 
-def test_sample_looks_at_first_rows_only(spark):
-    rows = [f'{{"c":{i}}}' for i in range(200)] + ['{"c":"late"}']
-    assert found(spark, rows) == {"c": UTF8}
-    assert found(spark, rows, sample_rows=200) == {"c": INT64}
-    with pytest.raises(ValueError):
-        infer_types(spark.createDataFrame([("{}",)], "row string"), "row", sample_rows=5)
-
-
-def test_schema():
-    schema = inferred_schema({"a": BOOL, "b": INT64, "c": FLOAT64, "d": UTF8})
-    assert schema == T.StructType(
-        [
-            T.StructField("a", T.BooleanType()),
-            T.StructField("b", T.LongType()),
-            T.StructField("c", T.DoubleType()),
-            T.StructField("d", T.StringType()),
-        ]
-    )
+@pytest.mark.parametrize("bad", ['{"c":1', '{"c":1} {"c":2}', "word", ""])
+def test_malformed_rows_are_errors(spark, bad):
+    rows = ['{"c":1}', bad]
+    df = spark.createDataFrame([(row,) for row in rows], "row string")
+    with pytest.raises(Exception, match="not one JSON value"):
+        infer_types(df, "row").collect()
+    with pytest.raises(Exception, match="not one JSON value"):
+        project_typed(df, "row", {"c": INT64}).collect()
 
 
 def test_projection_matches_class_not_castability(spark):

@@ -2,14 +2,15 @@ import uuid
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
 
-from lakequery import Session
+from lakequery import Session, statements
 from lakequery.functions.encode import row_json
-from lakequery.operators import capped, numbering
+from lakequery.operators import numbering
 from lakequery.operators.capped import cap, columns
 from lakequery.statements import SessionInfo
 
-FOUR = "SELECT * FROM VALUES (1, 'alice'), (2, 'bob'), (3, 'carol'), (4, 'dave') AS t(id, name) ORDER BY id"
+FOUR = "SELECT * FROM VALUES (1, 'oak'), (2, 'elm'), (3, 'ash'), (4, 'yew') AS t(id, name) ORDER BY id"
 
 
 @pytest.fixture
@@ -22,7 +23,7 @@ def log_rows(session):
 
 
 def test_ping(session):
-    result = session.query("SELECT 1 AS ping, 'spark' AS engine", view_name="ping")
+    result = session.query("SELECT 1 AS ping, 'spark' AS engine", 5, view_name="ping")
     assert result.rows() == [{"ping": 1, "engine": "spark"}]
     assert [tuple(c) for c in result.columns] == [("ping", "int"), ("engine", "string")]
     assert result.execution_time_ms >= 0
@@ -33,8 +34,11 @@ def test_limit_stops_early(session):
     assert [row["id"] for row in result.rows()] == [1, 2]
 
 
-def test_default_limit_is_1000(session):
-    assert len(session.query("SELECT id FROM range(1500)").rows()) == 1000
+def test_nothing_is_cut_off_unless_asked(session):
+    result = session.query("SELECT id FROM range(2500)")
+    assert result.df.count() == 2500
+    assert "SinglePartition" not in plan_of(result.df)
+    assert sum(len(b.rows) for b in session.query_stream("SELECT id FROM range(2500)")) == 2500
 
 
 def test_limit_zero_keeps_columns(session):
@@ -50,20 +54,21 @@ def test_negative_limit_is_refused(session):
 
 def test_rows_are_not_held_without_bound(session):
     with pytest.raises(ValueError, match="query_stream"):
-        session.query(FOUR, limit=2_000_000).rows()
+        session.query(FOUR).rows()
 
 
-def test_large_cap_is_a_filter_on_row_numbers(spark, monkeypatch):
-    monkeypatch.setattr(capped, "ONE_TASK_LIMIT", 10)
-    df = spark.sql("SELECT id FROM range(0, 5000, 1, 7) ORDER BY id DESC")
-    assert [row[0] for row in cap(df, 1234).collect()] == list(range(4999, 4999 - 1234, -1))
+@pytest.mark.parametrize("limit", [3, 5_000_000])
+def test_a_limit_means_the_same_at_any_size(session, limit):
+    sql = "SELECT id AS a, id AS a, make_interval(0, 1) AS i FROM range(3)"
+    assert len(session.query(sql, limit=limit).rows()) == 3
+    assert session.batches(sql, 2, limit=limit).count() == 3
 
 
 def test_stream_batches_honour_limit(session):
     batches = list(session.query_stream(FOUR, batch_size=2, limit=3, view_name="stream"))
     assert [len(b.rows) for b in batches] == [2, 1]
-    assert batches[0].rows[0] == {"id": 1, "name": "alice"}
-    assert batches[1].rows[0] == {"id": 3, "name": "carol"}
+    assert batches[0].rows[0] == {"id": 1, "name": "oak"}
+    assert batches[1].rows[0] == {"id": 3, "name": "ash"}
     assert all([c.name for c in b.columns] == ["id", "name"] for b in batches)
     logged = log_rows(session)[-1]
     assert (logged["operation"], logged["row_count"], logged["view_name"]) == ("queryStream", 3, "stream")
@@ -85,11 +90,11 @@ def test_empty_result_streams_one_chunk_with_columns(session):
 
 
 def test_log_records_success_and_error(session):
-    session.query("SELECT 1 AS id", view_name="step_1").rows()
+    session.query("SELECT 1 AS id", 9, view_name="step_1").rows()
     with pytest.raises(AnalysisException):
         session.query("SELECT * FROM no_such_table", view_name="step_error")
     with pytest.raises(PySparkException):
-        session.query("SELECT raise_error('boom') AS x", view_name="run_error").rows()
+        session.query("SELECT raise_error('boom') AS x", 9, view_name="run_error").rows()
     good, bad, failed = log_rows(session)
     assert (good["view_name"], good["status"], good["row_count"]) == ("step_1", "success", 1)
     assert good["error"] is None and good["operation"] == "query" and good["sql"] == "SELECT 1 AS id"
@@ -100,9 +105,28 @@ def test_log_records_success_and_error(session):
     assert {row["session_id"] for row in (good, bad, failed)} == {session.info().session_id}
 
 
-def test_taking_the_frame_is_logged(session):
-    assert session.query("SELECT 1 AS id").df.count() == 1
-    assert log_rows(session)[0]["row_count"] is None
+def test_taking_the_frame_logs_nothing_and_running_it_logs_the_outcome(session):
+    result = session.query("SELECT 1 AS id")
+    assert result.df.count() == 1 == result.df.count() and log_rows(session) == []
+    assert result.run(lambda df: df.count()) == 1
+    with pytest.raises(PySparkException, match="boom"):
+        session.query("SELECT raise_error('boom') AS x").run(lambda df: df.collect())
+    assert [(r["status"], r["view_name"]) for r in log_rows(session)] == [("success", "view_1"), ("error", "view_2")]
+
+
+def test_many_statements_make_few_files(session, tmp_path):
+    for n in range(1000):
+        session.log.append("query", f"SELECT {n}", row_count=1)
+    assert session.log.table().count() == 1000
+    assert len(list((tmp_path / "log").rglob("*.parquet"))) == 2
+
+
+def test_a_log_that_cannot_be_written_hides_no_result(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(statements, "FLUSH_ROWS", 1)
+    (tmp_path / "file").write_text("in the way")
+    session = Session(spark, str(tmp_path / "file"))
+    with pytest.warns(UserWarning, match="statement log"):
+        assert session.query("SELECT 1 AS n", 1).rows() == [{"n": 1}]
 
 
 def test_session_info(session, tmp_path):
@@ -125,13 +149,13 @@ def test_columns_keep_repeated_names(spark):
 
 
 def test_views_live_as_long_as_the_session(session, spark):
-    session.query("CREATE OR REPLACE TEMP VIEW kept AS SELECT 7 AS n").rows()
-    assert session.query("SELECT n FROM kept").rows() == [{"n": 7}]
-    assert "kept" in [row["tableName"] for row in session.query("SHOW TABLES").rows()]
+    session.query("CREATE OR REPLACE TEMP VIEW kept AS SELECT 7 AS n", 1).rows()
+    assert session.query("SELECT n FROM kept", 1).rows() == [{"n": 7}]
+    assert "kept" in [row["tableName"] for row in session.query("SHOW TABLES", 99).rows()]
 
 
 def test_environment_functions(session):
-    assert session.query("SELECT current_database() AS db, current_schema() AS s").rows() == [
+    assert session.query("SELECT current_database() AS db, current_schema() AS s", 1).rows() == [
         {"db": "default", "s": "default"}
     ]
 
@@ -142,13 +166,20 @@ def test_batches_are_a_frame(session):
     assert got == {i: 64 for i in range(15)} | {15: 40}
 
 
-def test_numbering_needs_distinct_names(spark):
-    with pytest.raises(ValueError):
-        numbering.number_rows(spark.sql("SELECT 1 AS a, 2 AS a"))
+def test_numbering_keeps_repeated_names_and_refuses_its_own(spark):
+    assert numbering.number_rows(spark.sql("SELECT 1 AS a, 2 AS a")).collect() == [(1, 2, 0)]
     with pytest.raises(ValueError):
         numbering.number_rows(spark.sql("SELECT 1 AS row_ord"))
 
 
+def test_pages_are_small(session, spark):
+    lines = spark.range(0, 10_000, 1, 2)
+    paged = numbering.pages(lines, 1000)
+    sizes = paged.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 10 and {row["count"] for row in sizes} == {1000}
+    assert [row[0] for row in paged.toLocalIterator()] == list(range(10_000))
+
+
 def test_stream_errors_and_early_stops_are_logged(session):
     with pytest.raises(Exception, match="boom"):
         list(session.query_stream("SELECT raise_error('boom') AS x", view_name="bad"))
@@ -175,14 +206,16 @@ def test_statements_can_run_in_a_database(spark, tmp_path, monkeypatch):
     session = Session(spark, str(tmp_path / "log"), database=Database("mysql", "h", "d"))
     assert session.query("SELECT a", 7).rows() == [{"t": "2024-01-02 03:04:05", "n": 1}]
     assert len(list(session.query_stream("SELECT b"))) == 1
+    with pytest.raises(ValueError, match="partition"):
+        session.save("SELECT z", "csv", str(tmp_path / "z"))
     share = Partitioning("n", 8, 0, 100)
     assert session.save("SELECT c", "csv", str(tmp_path / "c"), partition=share).row_count == 1
     assert asked == [
         ("mysql", "SELECT a", None, 7),
-        ("mysql", "SELECT b", None, 1000),
+        ("mysql", "SELECT b", None, None),
         ("mysql", "SELECT c", share, None),
     ]
-    assert [row["operation"] for row in log_rows(session)] == ["query", "queryStream", "save"]
+    assert [row["operation"] for row in log_rows(session)] == ["query", "queryStream", "save", "save"]
 
 
 def plan_of(df):
@@ -192,7 +225,7 @@ def plan_of(df):
 def test_filters_and_columns_reach_the_scan(session, spark, small):
     spark.read.parquet(f"{small}/lineitem.parquet").createOrReplaceTempView("lineitem")
     sql = "SELECT l_orderkey, l_tax FROM lineitem WHERE l_partkey = 7 ORDER BY l_tax"
-    plan = plan_of(row_json(session.query(sql).df))
+    plan = plan_of(row_json(session.query(sql, 1000).df))
     assert "PushedFilters: [IsNotNull(l_partkey), EqualTo(l_partkey,7)]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_tax:double>" in plan
     assert "TakeOrderedAndProject(limit=1000" in plan and "rangepartitioning" not in plan
@@ -202,12 +235,3 @@ def test_top_rows_are_encoded_after_they_are_chosen(session, spark, small):
     spark.read.parquet(f"{small}/orders.parquet").createOrReplaceTempView("orders")
     df = spark.sql("SELECT * FROM orders ORDER BY o_totalprice DESC")
     assert "TakeOrderedAndProject(limit=10" in plan_of(cap(row_json(df), 10))
-
-
-def test_types_without_a_file_form_can_be_capped_by_number(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(capped, "ONE_TASK_LIMIT", 3)
-    session = Session(spark, str(tmp_path / "log"))
-    sql = "SELECT id, NULL AS n, make_interval(0, 1) AS i FROM range(10) ORDER BY id"
-    rows = session.query(sql, limit=5).rows()
-    assert [r["id"] for r in rows] == [0, 1, 2, 3, 4]
-    assert rows[0]["n"] is None and rows[0]["i"] == {"months": 1, "days": 0, "nanos": 0}

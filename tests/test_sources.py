@@ -228,3 +228,31 @@ def test_odd_paths_and_packed_files(spark, tmp_path):
     assert read_compact_json(spark, str(folder)).selectExpr("sum(score)").first()[0] == 276.7
     saved = write_dataset(spark.range(5), "xlsx", str(folder / "book s"))
     assert saved.row_count == 5 and list((folder / "book s").glob("*.xlsx"))
+
+
+def test_a_short_row_fails_even_a_count(spark, tmp_path):
+    (tmp_path / "a.json").write_text('["id","name"]\n["Int64","String"]\n[1,"x"]\n[2]\n')
+    with pytest.raises(Exception, match="expected 2 values, found 1"):
+        read_compact_json(spark, str(tmp_path)).count()
+
+
+def test_rows_like_headers_of_typed_columns_are_kept(spark, tmp_path):
+    lines = ['["id","name"]', '["Int64","String"]', '[1,"x"]', '["id","name"]', '["Int64","String"]', '[2,"y"]']
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    got = read_compact_json(spark, str(tmp_path)).collect()
+    assert sorted(got, key=str) == sorted([(1, "x"), (None, "name"), (None, "String"), (2, "y")], key=str)
+
+
+def test_values_are_matched_by_class_and_never_rounded(spark, tmp_path):
+    wide = "170141183460469231731687303715884105727"
+    header = '["a","b","c","d"]\n["Int64","Int128","Decimal(5,2)","Int32"]\n'
+    rows = [f'[1.5,{wide},1.25,"7"]', f'["7","{wide}",1.255,2]', "[9223372036854775808,1.5,true,4294967296]"]
+    (tmp_path / "a.json").write_text(header + "\n".join(rows))
+    got = {tuple(None if v is None else str(v) for v in r) for r in read_compact_json(spark, str(tmp_path)).collect()}
+    assert got == {(None, wide, "1.25", None), ("7", wide, None, "2"), (None, None, None, None)}
+
+
+def test_bad_cells_of_a_csv_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\nabc,y\n")
+    with pytest.raises(Exception):
+        read_csv(spark, str(tmp_path), "id int, name string").collect()

@@ -129,3 +129,12 @@ def test_crash_while_files_are_moved(spark, files, tmp_path, monkeypatch):
     assert save_stream(stream(spark, files, 4), "parquet", out, state).row_count == 1000
     read = spark.read.parquet(out)
     assert read.count() == 1000 == read.select("id").distinct().count()
+
+
+def test_a_failed_overwrite_leaves_the_old_rows(spark, files, tmp_path):
+    out = str(tmp_path / "out")
+    save_stream(stream(spark, files), "parquet", out, str(tmp_path / "s1"))
+    failing = stream(spark, files).where("raise_error('boom') IS NULL")
+    with pytest.raises(Exception, match="boom"):
+        save_stream(failing, "parquet", out, str(tmp_path / "s2"))
+    assert spark.read.parquet(out).count() == 1000
