@@ -212,15 +212,15 @@ def sorted_classes(block: Block, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     return whole, np.concatenate([[0], np.cumsum(~same)])
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+def blocks_of(batches: Iterator[pa.RecordBatch], bound: int = BLOCK_BYTES) -> Iterator[Block]:
     """Blocks of bounded size; a long document is cut so that each window lies in exactly one piece."""
     held: list[tuple[int, int, bytes]] = []
     size = 0
     for batch in batches:
         for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for start in range(0, max(0, len(data) - LENGTH + 1), BLOCK_BYTES):
-                piece = data[start : start + BLOCK_BYTES + LENGTH - 1]
-                if held and size + len(piece) > BLOCK_BYTES:
+            for start in range(0, max(0, len(data) - LENGTH + 1), bound):
+                piece = data[start : start + bound + LENGTH - 1]
+                if held and size + len(piece) > bound:
                     yield Block(held)
                     held, size = [], 0
                 held.append((doc_id, start, piece))
