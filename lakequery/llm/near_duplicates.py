@@ -5,8 +5,9 @@ of a circle; a second, shifted by k places, gives signature coordinate k as the
 the set. All coordinates of a shingle thus lie next to each other in one table of permuted values.
 
 Documents of equal sets are one class, known by its smallest doc_id. Classes that agree in a band meet
-in a bucket. First each class of a bucket is verified against the smallest one, which connects large
-groups by as many comparisons as they have members. Whatever bucket then still holds several components
+in a bucket. First each class is verified against the smallest one it meets, which connects large groups
+by as many comparisons as they have members, then against the leaders of its other buckets that are not
+in its component by then. Whatever bucket then still holds several components
 has its remaining pairs across components verified, after a sketch has ruled out those far from the
 threshold. Links are confirmed on full sets; components follow by label propagation.
 """
@@ -39,7 +40,7 @@ CIRCLE = 1 << 18
 SKETCH_WORDS = 8
 MIN_EQUAL_BITS = 393
 # Shingles of the members that meet a leader in one group.
-GROUP_SHINGLES = 200_000
+GROUP_SHINGLES = 40_000
 MAX_ROUNDS = 60
 
 # What separates words.
@@ -245,8 +246,14 @@ def find_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     texts = stored(spark, rows.join(wanted, "doc_id", "left_semi"), "candidates")
     sizes = classes.select(F.col("id").alias("doc_id"), "n_shingles")
 
-    stars = shared.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = verified(spark, _comparable(stars, sizes), texts, sizes, "stars")
+    met = shared.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    met = stored(spark, _comparable(met, sizes), "met")
+    # The smallest leader that each class meets connects most; others are tried where it has not.
+    first = stored(spark, met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+    links = verified(spark, first, texts, sizes, "first")
+    labels = stored(spark, _labelled(members, components(spark, links)), "labels")
+    apart = _apart(met, labels).join(first, ["a", "b"], "left_anti")
+    links = links.unionByName(verified(spark, apart, texts, sizes, "others"))
     labels = stored(spark, _labelled(members, components(spark, links)), "labels")
     across = _across(spark, shared, labels, classes)
     more = verified(spark, across, texts, sizes, "across")
@@ -263,6 +270,13 @@ def find_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different components so far."""
+    a = labels.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
+    b = labels.select(F.col("id").alias("b"), F.col("component").alias("of_b"))
+    return pairs.join(a, "a").join(b, "b").where("of_a <> of_b").select("a", "b")
+
+
 def _comparable(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pairs whose set sizes alone do not rule the similarity out."""
     a = sizes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("size_a"))
