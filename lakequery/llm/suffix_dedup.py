@@ -1,7 +1,7 @@
 """Removal of repeated byte strings by blockwise suffix sorting with a difference cover.
 
 A byte goes if some string of ``LENGTH`` bytes that covers it also starts earlier. Sorting all suffixes
-of a corpus is out of reach, so three passes narrow down what is sorted:
+of a corpus is out of reach, so passes over the texts narrow down what is sorted:
 
 1. Each window of ``LENGTH`` bytes has an anchor, its least hashed 16-byte gram, which depends on its
    bytes alone; equal windows have equal anchors. Neighbouring windows of one anchor are a run. Anchors
@@ -12,8 +12,9 @@ of a corpus is out of reach, so three passes narrow down what is sorted:
    block they are sorted one bucket of equal first bytes at a time; suffixes that agree in their first
    ``PERIOD`` bytes are put in order by the ranks of a difference-cover sample, which are made once a
    block: for any two suffixes some short shift lands on two sample positions whose ranks decide. Equal
-   windows are neighbours in that order. Each block's first window of a kind then meets those of other
-   blocks by a 128-bit key.
+   windows are neighbours in that order.
+4. Each block's different windows meet those of other blocks as sorted keys; only windows whose key
+   blocks share become rows, and the first place of each decides.
 
 A block is bounded, so memory is too; partial aggregation takes the copies out before each shuffle.
 """
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,9 @@ LENGTH = 100
 GRAM = 16
 SPAN = LENGTH - GRAM + 1
 BLOCK_BYTES = 2 << 20
-# Bits of the filters for anchors, a fixed size; two filters at most are sent to all tasks.
+# Window keys that meet in one group, about.
+PART_KEYS = 1 << 17
+# Bits of a filter, a fixed size; two filters at most are sent to all tasks.
 FILTER_BITS = 1 << 27
 BUCKET_BITS = 32768
 # A perfect difference set modulo 31; sums of shifts reach 124 bytes, past LENGTH.
@@ -281,18 +285,41 @@ def repeated_runs(rows: DataFrame, bits: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, "g bigint, k bigint, doc_id bigint, lo bigint, hi bigint")
 
 
-def sorted_windows(rows: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Pass 3: windows sorted in their block. Repeats of the block have no key, its firsts have one."""
+def place_hash(doc_ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return mixed(doc_ids.astype(np.uint64) * C1 + starts.astype(np.uint64) * C2)
+
+
+def head_places(rows: DataFrame) -> DataFrame:
+    """The column ``g``: hashes of the places (doc_id, lo), for a filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = place_hash(batch.column("doc_id").to_numpy(), batch.column("lo").to_numpy())
+            yield _batch({"g": hashes.view(np.int64)})
+
+    return rows.select("doc_id", "lo").mapInArrow(run, "g bigint")
+
+
+def windows_in_question(block: Block, bits: np.ndarray) -> np.ndarray:
+    """The window starts of a block's runs whose place the filter holds."""
+    _, first, last = block.runs()
+    kept = held_by(bits, place_hash(*block.place(first)))
+    sizes = (last - first + 1)[kept]
+    return np.repeat(first[kept] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def sorted_windows(rows: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
+    """Pass 3: windows sorted in their block.
+
+    Rows are either repeats within the block (doc_id, lo, hi), or the sorted keys of the block's
+    different windows that fall in one of ``parts`` equal shares of the key range (part, keys).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches):
-            g, first, last = block.runs()
-            kept = held_by(bits, g)
-            sizes = (last - first + 1)[kept]
-            if not len(sizes):
+            ordered, kinds = sorted_classes(block, windows_in_question(block, bits))
+            if not len(ordered):
                 continue
-            starts = np.repeat(first[kept] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-            ordered, kinds = sorted_classes(block, starts)
             doc_ids, offsets = block.place(ordered)
             order = np.lexsort((offsets, doc_ids, kinds))
             is_first = np.ones(len(order), bool)
@@ -300,18 +327,51 @@ def sorted_windows(rows: DataFrame, bits: np.ndarray) -> DataFrame:
             # The same place of the same document, read twice, is no repeat of itself.
             leader = np.maximum.accumulate(np.where(is_first, np.arange(len(order)), 0))
             same = (doc_ids[order] == doc_ids[order[leader]]) & (offsets[order] == offsets[order[leader]])
-            heads, rest = ordered[order[is_first]], ordered[order[~is_first & ~same]]
-            one, two = block.window_keys(heads)
-            ids, at = block.place(heads)
-            yield _batch({"k1": one.view(np.int64), "k2": two.view(np.int64), "doc_id": ids, "lo": at, "hi": at})
-            rest = np.sort(rest)
+            keys = np.sort(block.window_keys(ordered[order[is_first]])[0])
+            cuts = np.searchsorted(keys, np.arange(parts, dtype=np.uint64) << np.uint64(64 - (parts.bit_length() - 1))) if parts > 1 else np.array([0])
+            shares = [(k, share) for k, share in enumerate(np.split(keys, cuts[1:])) if len(share)]
+            yield _window_rows([k for k, _ in shares], [share.tobytes() for _, share in shares], *[np.zeros(0, np.int64)] * 3)
+            rest = np.sort(ordered[order[~is_first & ~same]])
             if len(rest):
                 breaks = np.flatnonzero(np.diff(rest) != 1)
                 low, high = rest[np.append(0, breaks + 1)], rest[np.append(breaks, len(rest) - 1)]
-                ids, at = block.place(low)
                 # A stretch of neighbours never crosses pieces, as the last starts of a piece are no windows.
-                none = pa.nulls(len(low), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, pa.array(ids), pa.array(at), pa.array(at + high - low)], names=["k1", "k2", "doc_id", "lo", "hi"])
+                ids, at = block.place(low)
+                yield _window_rows([], [], ids, at, at + high - low)
+
+    return rows.mapInArrow(run, "part int, keys binary, doc_id bigint, lo bigint, hi bigint")
+
+
+def _window_rows(parts: list[int], keys: list[bytes], ids: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
+    no_keys, no_place = pa.nulls(len(ids), pa.int32()), pa.nulls(len(parts), pa.int64())
+    columns = [
+        pa.concat_arrays([pa.array(parts, pa.int32()), no_keys]),
+        pa.concat_arrays([pa.array(keys, pa.binary()), pa.nulls(len(ids), pa.binary())]),
+        *(pa.concat_arrays([no_place, pa.array(c)]) for c in (ids, low, high)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "keys", "doc_id", "lo", "hi"])
+
+
+def shared_keys(windows: DataFrame) -> DataFrame:
+    """The column ``g``: window keys that more than one block holds."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        keys = np.sort(np.concatenate([np.frombuffer(share, np.uint64) for share in frame["keys"]]))
+        return pd.DataFrame({"g": np.unique(keys[1:][keys[1:] == keys[:-1]]).view(np.int64)})
+
+    return windows.select("part", "keys").groupBy("part").applyInPandas(run, "g bigint")
+
+
+def window_rows(rows: DataFrame, bits: np.ndarray, shared: np.ndarray) -> DataFrame:
+    """Pass 4: both keys and the place of every window in question whose key blocks share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks_of(batches):
+            starts = windows_in_question(block, bits)
+            one, two = block.window_keys(starts)
+            kept = held_by(shared, one)
+            ids, at = block.place(starts[kept])
+            yield _batch({"k1": one[kept].view(np.int64), "k2": two[kept].view(np.int64), "doc_id": ids, "lo": at, "hi": at})
 
     return rows.mapInArrow(run, "k1 bigint, k2 bigint, doc_id bigint, lo bigint, hi bigint")
 
@@ -328,11 +388,19 @@ def repeated_starts(spark: SparkSession, rows: DataFrame) -> DataFrame:
     counted = anchors(rows).groupBy("g").agg(F.sum("n").alias("n")).where("n > 1")
     runs = stored(spark, repeated_runs(rows, filter_of(counted.select("g"))), "runs")
     several = runs.groupBy("g").agg(F.min("k").alias("least"), F.max("k").alias("most")).where("least <> most")
-    windows = stored(spark, sorted_windows(rows, filter_of(several.select("g"))), "windows")
+    place = F.struct("doc_id", "lo", "hi")
+    firsts = runs.groupBy("g", "k").agg(F.min(place).alias("head")).join(several.select("g"), "g", "left_semi")
+    heads = stored(spark, firsts.select("head.*"), "heads")
+    in_question = heads.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0))).first()[0]
+    parts = 1 << max(0, int(in_question // PART_KEYS).bit_length())
+    places = filter_of(head_places(heads))
+    windows = stored(spark, sorted_windows(rows, places, parts), "windows")
+    shared = filter_of(shared_keys(windows.where("part IS NOT NULL")))
+    across = stored(spark, window_rows(rows, places, shared), "across")
     return (
         _later(runs, "g", "k")
-        .unionByName(windows.where("k1 IS NULL").select("doc_id", "lo", "hi"))
-        .unionByName(_later(windows.where("k1 IS NOT NULL"), "k1", "k2"))
+        .unionByName(windows.where("part IS NULL").select("doc_id", "lo", "hi"))
+        .unionByName(_later(across, "k1", "k2"))
     )
 
 
