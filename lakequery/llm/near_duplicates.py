@@ -184,6 +184,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     current = stored(spark, pairs, "edges")
+    if current.isEmpty():
+        return current.select(F.col("a").alias("id"), F.col("b").alias("component"))
     for level in range(MAX_ROUNDS):
         both = current.unionAll(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -207,15 +209,21 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         # Done when it is a set of stars that another round would leave alone.
         hubs = small.select(F.col("b").alias("a")).distinct()
         twice = small.groupBy("a").count().where("count > 1")
-        if small.join(hubs, "a", "left_semi").isEmpty() and twice.isEmpty():
+        if small.join(hubs, "a", "left_semi").select("a").union(twice.select("a")).isEmpty():
             return small.select(F.col("a").alias("id"), F.col("b").alias("component"))
         current = small
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
-def _labelled(ids: DataFrame, stars: DataFrame) -> DataFrame:
-    joined = ids.join(stars, "id", "left")
-    return joined.withColumn("component", F.coalesce("component", "id"))
+def _merged(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (id, component) with the components that ``links`` (a, b) tie together made one.
+
+    Only the graph between components is looked at, which shrinks from step to step.
+    """
+    between = _named(links, labels).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    tied = components(spark, between).select(F.col("id").alias("component"), F.col("component").alias("into"))
+    joined = labels.join(tied, "component", "left")
+    return stored(spark, joined.select("id", F.coalesce("into", "component").alias("component")), "labels")
 
 
 def find_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -246,18 +254,15 @@ def find_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     texts = stored(spark, rows.join(wanted, "doc_id", "left_semi"), "candidates")
     sizes = classes.select(F.col("id").alias("doc_id"), "n_shingles")
 
-    met = shared.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    met = stored(spark, _comparable(met, sizes), "met")
     # The smallest leader that each class meets connects most; others are tried where it has not.
-    first = stored(spark, met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
+    met = shared.where("id <> leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a"))
+    first = stored(spark, _comparable(met, sizes), "first")
     links = verified(spark, first, texts, sizes, "first")
-    labels = stored(spark, _labelled(members, components(spark, links)), "labels")
-    apart = _apart(met, labels).join(first, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(spark, apart, texts, sizes, "others"))
-    labels = stored(spark, _labelled(members, components(spark, links)), "labels")
+    labels = _merged(spark, members.withColumn("component", F.col("id")), links)
+    others = stored(spark, _comparable(_unmet(shared, labels, first), sizes), "others")
+    labels = _merged(spark, labels, verified(spark, others, texts, sizes, "others"))
     across = _across(spark, shared, labels, classes)
-    more = verified(spark, across, texts, sizes, "across")
-    final = components(spark, links.unionByName(more))
+    final = _merged(spark, labels, verified(spark, across, texts, sizes, "across"))
     placed = made.join(classes.select("same", "id"), "same", "left")
     placed = placed.join(final, "id", "left")
     component = F.when(F.col("doc_id").isNull(), None).when(F.col("n_shingles") == 0, F.col("doc_id"))
@@ -270,11 +275,24 @@ def find_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different components so far."""
+def _unmet(shared: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
+    """Members and leaders of one bucket but different components, each pair once, without those tried."""
+    named = shared.select("bucket", "id").join(labels, "id")
+    mixed = (
+        named.groupBy("bucket")
+        .agg(F.min(F.struct("id", "component")).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high")
+        .select("bucket", "head")
+    )
+    pairs = named.join(mixed, "bucket").where("component <> head.component")
+    return pairs.select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+
+
+def _named(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs with the components of their ends so far."""
     a = labels.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
     b = labels.select(F.col("id").alias("b"), F.col("component").alias("of_b"))
-    return pairs.join(a, "a").join(b, "b").where("of_a <> of_b").select("a", "b")
+    return pairs.join(a, "a").join(b, "b")
 
 
 def _comparable(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
