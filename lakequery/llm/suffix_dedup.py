@@ -28,6 +28,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -271,7 +272,10 @@ def anchors(rows: DataFrame) -> DataFrame:
 
 
 def repeated_runs(rows: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Pass 2: anchor, key of the bytes, document and first and last start of each run in question."""
+    """Pass 2: anchor, key of the bytes, document and first and last start of each run in question.
+
+    Of equal runs of a block only the first keeps its keys; the others are repeats already.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches):
@@ -280,11 +284,54 @@ def repeated_runs(rows: DataFrame, bits: np.ndarray) -> DataFrame:
             g, first, last = g[kept], first[kept], last[kept]
             keys = block.keys(first, last - first + LENGTH)
             doc_ids, low = block.place(first)
-            yield _batch({"g": g.view(np.int64), "k": keys.view(np.int64), "doc_id": doc_ids, "lo": low, "hi": low + last - first})
+            order = np.lexsort((low, doc_ids, keys, g))
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(g[order]) != 0) | (np.diff(keys[order]) != 0)
+            # The same place of the same document, read twice, is no repeat of itself.
+            leader = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+            head = np.empty(len(order), bool)
+            head[order] = new | ((doc_ids[order] == doc_ids[leader]) & (low[order] == low[leader]))
+            g, keys = (pa.array(c.view(np.int64), mask=~head) for c in (g, keys))
+            yield pa.RecordBatch.from_arrays(
+                [g, keys, pa.array(doc_ids), pa.array(low), pa.array(low + last - first)], names=["g", "k", "doc_id", "lo", "hi"]
+            )
 
     return rows.mapInArrow(run, "g bigint, k bigint, doc_id bigint, lo bigint, hi bigint")
 
 
+def settled_runs(runs: DataFrame) -> DataFrame:
+    """Of runs in the order of anchor, key and place: repeats, and firsts of which the anchor has several.
+
+    Columns: doc_id, lo, hi and whether it is such a first. A block gives an anchor's equal runs once,
+    so even a passage of very many documents is a bounded number of rows; they stream by in order.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchor = key = place = None
+        waiting: tuple | None = None  # the first run of an anchor, while it is the only one
+        for batch in batches:
+            out: list[tuple] = []
+            for g, k, doc_id, low, high in zip(*(column.to_pylist() for column in batch.columns)):
+                if g != anchor:
+                    waiting = (doc_id, low, high, True)
+                elif k != key:
+                    if waiting:
+                        out.append(waiting)
+                        waiting = None
+                    out.append((doc_id, low, high, True))
+                elif (doc_id, low) != place:  # the same place, read twice, is no repeat of itself
+                    out.append((doc_id, low, high, False))
+                if (g, k) != (anchor, key):
+                    anchor, key, place = g, k, (doc_id, low)
+            if out:
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 3, pa.bool_()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lo", "hi", "head"])
+
+    ordered = runs.where("g IS NOT NULL").repartition("g").sortWithinPartitions("g", "k", "doc_id", "lo")
+    settled = ordered.mapInArrow(run, "doc_id bigint, lo bigint, hi bigint, head boolean")
+    return settled.unionByName(runs.where("g IS NULL").select("doc_id", "lo", "hi", F.lit(False).alias("head")))
+
+
 def place_hash(doc_ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mixed(doc_ids.astype(np.uint64) * C1 + starts.astype(np.uint64) * C2)
 
@@ -387,10 +434,8 @@ def repeated_starts(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """doc_id, lo, hi: all windows that start between lo and hi occur earlier. ``rows``: doc_id, data."""
     counted = anchors(rows).groupBy("g").agg(F.sum("n").alias("n")).where("n > 1")
     runs = stored(spark, repeated_runs(rows, filter_of(counted.select("g"))), "runs")
-    several = runs.groupBy("g").agg(F.min("k").alias("least"), F.max("k").alias("most")).where("least <> most")
-    place = F.struct("doc_id", "lo", "hi")
-    firsts = runs.groupBy("g", "k").agg(F.min(place).alias("head")).join(several.select("g"), "g", "left_semi")
-    heads = stored(spark, firsts.select("head.*"), "heads")
+    settled = stored(spark, settled_runs(runs), "settled")
+    heads = settled.where("head").drop("head")
     in_question = heads.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0))).first()[0]
     parts = 1 << max(0, int(in_question // PART_KEYS).bit_length())
     places = filter_of(head_places(heads))
@@ -398,7 +443,7 @@ def repeated_starts(spark: SparkSession, rows: DataFrame) -> DataFrame:
     shared = filter_of(shared_keys(windows.where("part IS NOT NULL")))
     across = stored(spark, window_rows(rows, places, shared), "across")
     return (
-        _later(runs, "g", "k")
+        settled.where("NOT head").drop("head")
         .unionByName(windows.where("part IS NULL").select("doc_id", "lo", "hi"))
         .unionByName(_later(across, "k1", "k2"))
     )
@@ -430,6 +475,30 @@ def removed(n_bytes: int, ranges: list[dict]) -> list[tuple[int, int]]:
     return [(low, end) for low, end in spans]
 
 
+def digested(rows: DataFrame, touched: np.ndarray, with_text: bool) -> DataFrame:
+    """Size and digest of every row; its bytes travel on only if asked for or if some may have to go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            given, data = batch.column(0), batch.column(1).to_pylist()
+            ids = pc.fill_null(given, LAST_ID)
+            needed = with_text | held_by(touched, place_hash(ids.to_numpy(), np.zeros(len(ids), np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    given,
+                    ids,
+                    pa.array([text if keep else None for text, keep in zip(data, needed)], pa.binary()),
+                    pa.array([len(text) for text in data], pa.int64()),
+                    pa.array([None if keep else hashlib.sha256(text).hexdigest() for text, keep in zip(data, needed)], pa.string()),
+                ],
+                names=["given", "doc_id", "data", "size", "digest"],
+            )
+
+    return rows.mapInArrow(run, "given bigint, doc_id bigint, data binary, size bigint, digest string")
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept.
 
@@ -441,14 +510,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = True)
     rows = docs.select(F.col("doc_id").cast("long").alias("given"), data.alias("data"))
     known = rows.select(F.coalesce("given", F.lit(LAST_ID)).alias("doc_id"), "data")
     ranges = repeated_starts(spark, known.where(F.octet_length("data") >= LENGTH))
-    collected = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    joined = rows.withColumn("doc_id", F.coalesce("given", F.lit(LAST_ID))).join(collected, "doc_id", "left")
+    collected = stored(spark, ranges.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
+    touched = filter_of(head_places(collected.select("doc_id", F.lit(0).cast("long").alias("lo"))))
+    joined = digested(rows, touched, with_text).join(collected, "doc_id", "left")
     schema = RESULT if with_text else RESULT.remove(RESULT.get_field_index("kept"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {name: [] for name in RESULT.names}
-            for given, text, found in zip(*(batch.column(name).to_pylist() for name in ("given", "data", "ranges"))):
+            for given, text, found, size, digest in zip(*(batch.column(name).to_pylist() for name in ("given", "data", "ranges", "size", "digest"))):
+                if text is None:
+                    for name, value in zip(RESULT.names, (given, size, 0, 0, digest, None)):
+                        out[name].append(value)
+                    continue
                 spans = removed(len(text), found or [])
                 at, parts = 0, []
                 for low, end in spans:
