@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakequery.storage import scratch_dir
 
 # How much text Python handles at a time where it works on whole batches.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 # The Spark name of each Arrow type the operators return.
 SPARK_TYPES = {
@@ -72,11 +72,11 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def slices(texts: list[str]) -> Iterator[range]:
+def slices(texts: list[str], bound: int = SLICE_BYTES) -> Iterator[range]:
     """Neighbouring texts of a few megabytes together; a longer one stands alone."""
     start, size = 0, 0
     for k, text in enumerate(texts):
-        if size and size + len(text) > SLICE_BYTES:
+        if size and size + len(text) > bound:
             yield range(start, k)
             start, size = k, 0
         size += len(text)

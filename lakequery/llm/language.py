@@ -26,6 +26,8 @@ ROWS_PER_LANGUAGE = 1000
 MAX_LANGUAGES = 200
 EPOCHS = 12
 PENALTY = 1e-4
+# Text whose n-grams are held at a time, about 60 times its size in memory.
+SLICE_BYTES = 1 << 20
 # Steepness of the map from margins to scores, and the least margin of the best family that the
 # pipeline keeps: below it every family's machine puts the text clearly on the other side.
 SLOPE = 3.0
@@ -232,7 +234,11 @@ def train(docs: DataFrame) -> Model | None:
         schema,
         lambda c: {
             "lang": c["lang"],
-            "x": [x.astype(np.float16).tobytes() for x in features(c["text"])],
+            "x": [
+                x.astype(np.float16).tobytes()
+                for rows in slices([t or "" for t in c["text"]], SLICE_BYTES)
+                for x in features(c["text"][rows.start : rows.stop])
+            ],
         },
     ).limit(2 * ROWS_PER_LANGUAGE * len(counts)).collect()
     rows = sorted((r.lang, bytes(r.x)) for r in rows)
@@ -243,11 +249,11 @@ def train(docs: DataFrame) -> Model | None:
 
 
 def scored(model: Model | None, texts: list[str | None]) -> list[np.ndarray | None]:
-    """Machine outputs of whole texts, a few megabytes of text at a time."""
+    """Machine outputs of whole texts, about a megabyte of text at a time."""
     if model is None:
         return [None] * len(texts)
     return [
-        row for rows in slices([t or "" for t in texts]) for row in model.scores(texts[rows.start : rows.stop])
+        row for rows in slices([t or "" for t in texts], SLICE_BYTES) for row in model.scores(texts[rows.start : rows.stop])
     ]
 
 

@@ -30,7 +30,7 @@ END_ID = 1
 GROUP_PIECES = 2048
 FAN_IN = 8
 # Chunks and parts whose ids a process keeps; a table starts anew at this size.
-CACHED_CHUNKS = 700_000
+CACHED_CHUNKS = 300_000
 
 PIECE = pa.schema(
     [
