@@ -300,7 +300,7 @@ def repeated_runs(rows: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def settled_runs(runs: DataFrame) -> DataFrame:
-    """Of runs in the order of anchor, key and place: repeats, and firsts of which the anchor has several.
+    """Of runs, or windows, in the order of both keys and place: repeats, and firsts of which ``g`` has several.
 
     Columns: doc_id, lo, hi and whether it is such a first. A block gives an anchor's equal runs once,
     so even a passage of very many documents is a bounded number of rows; they stream by in order.
@@ -410,24 +410,22 @@ def shared_keys(windows: DataFrame) -> DataFrame:
 
 
 def window_rows(rows: DataFrame, bits: np.ndarray, shared: np.ndarray) -> DataFrame:
-    """Pass 4: both keys and the place of every window in question whose key blocks share."""
+    """Pass 4: keys and place of the first of each kind of windows of a block whose key blocks share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches):
             starts = windows_in_question(block, bits)
             one, two = block.window_keys(starts)
             kept = held_by(shared, one)
+            one, two = one[kept], two[kept]
             ids, at = block.place(starts[kept])
-            yield _batch({"k1": one[kept].view(np.int64), "k2": two[kept].view(np.int64), "doc_id": ids, "lo": at, "hi": at})
-
-    return rows.mapInArrow(run, "k1 bigint, k2 bigint, doc_id bigint, lo bigint, hi bigint")
-
+            order = np.lexsort((at, ids, two, one))
+            one, two, ids, at = one[order], two[order], ids[order], at[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(one) != 0) | (np.diff(two) != 0)
+            yield _batch({"g": one[new].view(np.int64), "k": two[new].view(np.int64), "doc_id": ids[new], "lo": at[new], "hi": at[new]})
 
-def _later(rows: DataFrame, *key: str) -> DataFrame:
-    """Of rows with equal keys all but those at the first place: doc_id, lo, hi."""
-    place = F.struct("doc_id", "lo")
-    heads = rows.groupBy(*key).agg(F.min(place).alias("head"), F.max(place).alias("tail")).where("head <> tail").drop("tail")
-    return rows.join(heads, list(key)).where(place != F.col("head")).select("doc_id", "lo", "hi")
+    return rows.mapInArrow(run, "g bigint, k bigint, doc_id bigint, lo bigint, hi bigint")
 
 
 def repeated_starts(spark: SparkSession, rows: DataFrame) -> DataFrame:
@@ -445,7 +443,7 @@ def repeated_starts(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return (
         settled.where("NOT head").drop("head")
         .unionByName(windows.where("part IS NULL").select("doc_id", "lo", "hi"))
-        .unionByName(_later(across, "k1", "k2"))
+        .unionByName(settled_runs(across).where("NOT head").drop("head"))
     )
 
 
