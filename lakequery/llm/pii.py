@@ -97,7 +97,8 @@ def stretches(text: str) -> list[tuple[int, int]]:
         if sum("0" <= c <= "9" for c in m[0]) >= MIN_DIGITS:
             found.append(m.span())
     for m in AT_SIGN.finditer(text):
-        tail = MAIL_TAIL.match(text, m.start()) or MAIL_TAIL.match(text, max(0, m.start() - 1))
+        spaced = m.start() > 0 and text[m.start() - 1] == " "
+        tail = MAIL_TAIL.match(text, m.start() - spaced)
         if tail:
             start = tail.start()
             while start > 0 and text[start - 1] in LOCAL and tail.start() - start < MAX_LOCAL:
