@@ -4,6 +4,9 @@ A text is the mean of its words, a word the mean of its hashed character n-grams
 linear score of a text is a mean of scores of words and a batch scores each distinct word once.
 One-versus-rest linear support vector machines choose the language family; one-versus-one machines
 vote among the languages of that family.
+
+Machines only rank languages, and two of them are each other's mirror, so what is in no known language
+is found apart: by how likely the n-grams of a text are in each language, against the labelled texts.
 """
 
 from __future__ import annotations
@@ -28,10 +31,15 @@ EPOCHS = 12
 PENALTY = 1e-4
 # Text whose n-grams are held at a time, about 60 times its size in memory.
 SLICE_BYTES = 1 << 20
-# Steepness of the map from margins to scores, and the least margin of the best family that the
-# pipeline keeps: below it every family's machine puts the text clearly on the other side.
+# Steepness of the map from margins to scores.
 SLOPE = 3.0
-MIN_MARGIN = -0.5
+# Share of a text's n-grams that each language leaves for those it was not seen with; the least spread
+# of a language's texts; how many spreads a text may lie under their middle (labelled texts of the
+# tables reach 14.4); and from how many different words on more of them no longer narrow the spread.
+UNSEEN = 0.05
+LEAST_SPREAD = 0.2
+MAX_SPREADS = 15.0
+FULL_VARIETY = 60
 
 # Languages of the larger families by ISO 639-1 code; any other is its own family.
 FAMILIES = {
@@ -77,6 +85,26 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.bounds)
 
+    def variety(self) -> np.ndarray:
+        """How many words of equal weight each text is worth: fewer, the more they repeat."""
+        n = max(1, len(self.distinct))
+        owner = np.repeat(np.arange(len(self.bounds) - 1), self.counts())
+        pairs, times = np.unique(owner * n + self.index, return_counts=True)
+        squares = np.bincount(pairs // n, times.astype(float) ** 2, len(self.bounds) - 1)
+        return self.counts() ** 2 / np.maximum(1, squares)
+
+    def means(self, weights: np.ndarray) -> np.ndarray:
+        """For each text and column of ``weights`` the mean over its words of their mean weight."""
+        buckets, owners = self.grams()
+        n = len(self.distinct)
+        sizes = np.maximum(1, np.bincount(owners, minlength=n))
+        means = np.empty((len(self.bounds) - 1, weights.shape[1]))
+        for k, column in enumerate(weights.T):
+            of_words = np.bincount(owners, column[buckets], n) / sizes
+            sums = np.concatenate([[0], np.cumsum(of_words[self.index])])[self.bounds]
+            means[:, k] = np.diff(sums) / np.maximum(1, self.counts())
+        return means
+
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of the n-grams of all distinct words with their ends marked, and whose they are."""
         marked = pc.binary_join_element_wise("<", self.distinct, ">", "")
@@ -154,16 +182,8 @@ class Model:
     def scores(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Every machine's output for each whole text; None without words."""
         words = Words.of(texts)
-        buckets, owners = words.grams()
-        n = len(words.distinct)
-        sizes = np.maximum(1, np.bincount(owners, minlength=n))
-        counts = words.counts()
-        means = np.empty((len(texts), self.weights.shape[1]))
-        for k, column in enumerate(self.weights.T):
-            of_words = np.bincount(owners, column[buckets], n) / sizes
-            sums = np.concatenate([[0], np.cumsum(of_words[words.index])])[words.bounds]
-            means[:, k] = np.diff(sums) / np.maximum(1, counts) + self.bias[k]
-        return [mean if count else None for mean, count in zip(means, counts)]
+        means = words.means(self.weights) + self.bias
+        return [mean if count else None for mean, count in zip(means, words.counts())]
 
     def decide(self, scores: np.ndarray) -> tuple[str, float]:
         """The language of a text with these machine outputs, and how sure that is, 0 to 1."""
@@ -211,8 +231,59 @@ def fit(langs: list[str], x: np.ndarray) -> Model | None:
     return Model(sorted(set(langs)), families, pairs, weights, np.array([b for _, b in machines]))
 
 
-def train(docs: DataFrame) -> Model | None:
-    """Fit on at most about ``ROWS_PER_LANGUAGE`` rows of each language, chosen by a hash of doc_id.
+@dataclass
+class Known:
+    """Per language the log-likelihood of each bucket, and the middle and spread of its own texts'.
+
+    A text's likelihood is a mean over words, so it is held against the spread of texts as varied.
+    """
+
+    weights: np.ndarray
+    middle: np.ndarray
+    spread: np.ndarray
+
+    def accepts(self, texts: list[str | None]) -> list[bool]:
+        """Whether each text has words and is as likely in some language as its labelled texts are."""
+        words = Words.of(texts)
+        below = (self.middle - words.means(self.weights)) * _narrowing(words.variety())[:, None]
+        return ((words.counts() > 0) & (below <= MAX_SPREADS * self.spread).any(1)).tolist()
+
+
+def _narrowing(variety: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.clip(variety, 1, FULL_VARIETY))
+
+
+def _likelihood(sums: np.ndarray, rows: int) -> np.ndarray:
+    return np.log((1 - UNSEEN) * sums * (BUCKETS / rows) + UNSEEN)
+
+
+def know(langs: list[str], x: np.ndarray, variety: np.ndarray) -> Known | None:
+    """Learn from rows of features, their languages and how varied each text is.
+
+    Each labelled text is measured against the others of its language. Middle and spread are medians,
+    so junk among the labelled texts does not move them; a lone text is measured against itself.
+    """
+    labels = np.array(langs)
+    weights, middle, spread = [], [], []
+    for language in sorted(set(langs)):
+        rows = np.flatnonzero((labels == language) & (variety > 0))
+        if not len(rows):
+            continue
+        sums = x[rows].sum(0, dtype=np.float64)
+        others, n = (1, len(rows) - 1) if len(rows) > 1 else (0, 1)
+        found = np.array([x[k] @ _likelihood(np.maximum(0, sums - others * x[k]), n) for k in rows])
+        weights.append(_likelihood(sums, len(rows)))
+        middle.append(np.median(found))
+        spread.append(1.4826 * np.median(np.abs(found - middle[-1]) * _narrowing(variety[rows])))
+    if not weights:
+        return None
+    # Few or equal texts show no spread; then that of the other languages holds.
+    least = max(LEAST_SPREAD, float(np.median(spread)))
+    return Known(np.stack(weights, 1), np.array(middle), np.maximum(spread, least))
+
+
+def sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, features and variety of at most about ``ROWS_PER_LANGUAGE`` rows of each language, chosen by a hash of doc_id.
 
     ``docs`` has doc_id, text and lang. Rows without a language teach nothing. Features are made in
     the tasks; the driver gets 8 KB a sampled row. More than ``MAX_LANGUAGES`` languages are an error.
@@ -222,15 +293,15 @@ def train(docs: DataFrame) -> Model | None:
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
-        return None
+        return [], np.zeros((0, BUCKETS), np.float32), np.zeros(0)
     cut = F.lit(None).cast("double")
     for lang, n in counts:
         cut = F.when(F.col("lang") == lang, F.lit(min(1.0, ROWS_PER_LANGUAGE / n))).otherwise(cut)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = labelled.where(place < cut).select("lang", "text")
-    schema = pa.schema([("lang", pa.string()), ("x", pa.binary())])
+    chosen = labelled.where(place < cut).select("lang", "text")
+    schema = pa.schema([("lang", pa.string()), ("x", pa.binary()), ("variety", pa.float64())])
     rows = map_columns(
-        sample,
+        chosen,
         schema,
         lambda c: {
             "lang": c["lang"],
@@ -239,13 +310,22 @@ def train(docs: DataFrame) -> Model | None:
                 for rows in slices([t or "" for t in c["text"]], SLICE_BYTES)
                 for x in features(c["text"][rows.start : rows.stop])
             ],
+            "variety": [
+                float(n)
+                for rows in slices([t or "" for t in c["text"]], SLICE_BYTES)
+                for n in Words.of(c["text"][rows.start : rows.stop]).variety()
+            ],
         },
     ).limit(2 * ROWS_PER_LANGUAGE * len(counts)).collect()
-    rows = sorted((r.lang, bytes(r.x)) for r in rows)
-    if not rows:
-        return None
-    x = np.stack([np.frombuffer(v, np.float16) for _, v in rows]).astype(np.float32)
-    return fit([lang for lang, _ in rows], x)
+    rows = sorted((r.lang, bytes(r.x), r.variety) for r in rows)
+    x = np.array([np.frombuffer(v, np.float16) for _, v, _ in rows], np.float32).reshape(-1, BUCKETS)
+    return [lang for lang, _, _ in rows], x, np.array([n for _, _, n in rows], float)
+
+
+def train(docs: DataFrame) -> Model | None:
+    """All machines, fitted on a sample of the rows with a language."""
+    langs, x, _ = sample(docs)
+    return fit(langs, x)
 
 
 def scored(model: Model | None, texts: list[str | None]) -> list[np.ndarray | None]:
@@ -303,18 +383,18 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without letters, or that every family refuses, go.
+    """Documents in a known language: those without letters, or too unlikely in every language, go.
 
     Rows keep all columns. Where no row has a language to learn from, nothing can be judged, and
     only the texts without letters go.
     """
     rows = with_fold(docs)
-    model = train(rows.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    known = know(*sample(rows.where(~F.col("held_out") & F.col("doc_id").isNotNull())))
 
     def keep(texts: list) -> list[bool]:
-        if model is None:
+        if known is None:
             return [bool(n) for n in Words.of(texts).counts()]
-        families = len(model.families)
-        return [x is not None and x[:families].max() > MIN_MARGIN for x in scored(model, texts)]
+        parts = slices([t or "" for t in texts], SLICE_BYTES)
+        return [kept for rows in parts for kept in known.accepts(texts[rows.start : rows.stop])]
 
     return keep_rows(docs, "text", keep)

@@ -200,3 +200,20 @@ def test_language_edge_cases(spark):
     none = docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
     assert {r.lang_pred for r in language.identify(none).collect()} == {"und"}
     assert language.identify(docs.limit(0)).count() == 0
+
+
+def test_texts_of_no_known_language_go(spark, small):
+    rng = random.Random(5)
+    russian = "это предложение написано чтобы проверить отбор документов где слова совсем другие и буквы тоже".split()
+    chinese = "这是一个用中文写的句子用来检查未知语言的文本是否被正确地拒绝因为字母完全不同"
+    foreign = [
+        " ".join(rng.choices(russian, k=60)),
+        " ".join("".join(rng.choices(chinese, k=6)) for _ in range(40)),
+        " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 10))) for _ in range(60)),
+    ]
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
+    added = spark.createDataFrame([(10**6 + k, text, None) for k, text in enumerate(foreign)], docs.schema)
+    clean = {r.doc_id for r in docs.collect()}
+    for known in (docs, docs.where("lang = 'en'")):  # two families, and one
+        kept = {r.doc_id for r in language.language_stage(spark, known.union(added), "").collect()}
+        assert kept == {r.doc_id for r in known.collect()} <= clean
