@@ -3,12 +3,14 @@
 Pieces are dealt into groups of bounded size, and each group is packed by best-fit decreasing. A
 group's bin count is held against lower bounds from dual-feasible functions: where they meet, no
 packing of those pieces has fewer bins and the group is done. Groups with a gap give up the bins that
-hold their free space, exchange those pieces with other groups, and are packed again, round by round
-among fewer groups, until one group is left or no gap is.
+hold their free space and are packed again: each round deals the open pieces anew into as many groups of
+that size as they fill. Rounds end when one saves no bin; its packing is then dropped for the one before.
+What is left between the bins and the bound of all pieces together is logged.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 import os
 import re
@@ -26,9 +28,8 @@ from lakequery.llm.common import documents, map_columns, slices, stored
 
 CAPACITY = 4096
 END_ID = 1
-# Documents of a group, and groups that merge into one at each further round.
+# Pieces of a group, on average, in every round.
 GROUP_PIECES = 2048
-FAN_IN = 8
 # Chunks and parts whose ids a process keeps; a table starts anew at this size.
 CACHED_CHUNKS = 300_000
 
@@ -41,6 +42,7 @@ PIECE = pa.schema(
         ("ids_crc32", pa.int64()),
     ]
 )
+LOG = logging.getLogger(__name__)
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, copy bigint, grp bigint, bin int, offset bigint, open boolean"
 
 
@@ -184,7 +186,11 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> float:
     the identity; a threshold function that lifts items over ``capacity - t`` to whole bins and drops
     those under ``t``; and rounding functions that round (k + 1) shares down to k.
     """
-    sizes, counts = np.unique(lengths, return_counts=True)
+    return _bound(*np.unique(lengths, return_counts=True), capacity)
+
+
+def _bound(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> float:
+    """The same from the different lengths in rising order and how often each occurs."""
     best = float(sizes @ counts) / capacity
     thresholds = np.unique(np.concatenate([sizes[sizes <= capacity // 2], [capacity // 2]]))
     upper, lower = np.cumsum(counts[::-1])[::-1], np.cumsum(sizes * counts)
@@ -208,16 +214,14 @@ def pack_group(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
     lengths = frame["length"].to_numpy()
     bins, offsets = best_fit_decreasing(lengths, capacity)
     fill = np.bincount(bins, weights=lengths)
-    bound = lower_bound(lengths, capacity)
-    gap = len(fill) - bound
-    # The emptiest bins, until they hold the free space of the gap twice over; none without a gap.
+    gap = len(fill) - math.ceil(lower_bound(lengths, capacity) - 1e-9)
+    # The emptiest bins, until they hold the free space of the gap twice over. Without a gap no packing
+    # of this group has fewer bins, and only its emptiest one may still be shared with other groups.
+    order = np.argsort(fill, kind="stable")
+    spare = np.cumsum(capacity - fill[order])
     open_bins = np.zeros(len(fill), bool)
-    if gap > 1e-9:
-        order = np.argsort(fill, kind="stable")
-        spare = np.cumsum(capacity - fill[order])
-        need = np.searchsorted(spare, 2 * gap * capacity) + 1
-        open_bins[order[:need]] = True
-        open_bins &= fill < capacity
+    open_bins[order[: np.searchsorted(spare, 2 * gap * capacity) + 1]] = True
+    open_bins &= fill < capacity
     return frame.assign(bin=bins, offset=offsets, open=open_bins[bins])
 
 
@@ -227,27 +231,42 @@ def pack(spark: SparkSession, rows: DataFrame, capacity: int = CAPACITY, group:
     Ties of length go by doc_id and piece, so a rerun task packs alike. Rows may repeat.
     """
     keyed = stored(spark, rows.withColumn("copy", F.monotonically_increasing_id()), "pieces")
-    count = keyed.count()
-    groups = max(1, math.ceil(count / group))
-    todo = keyed.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "copy"), F.lit(groups)))
+    # As many rows as there are different lengths, so at most ``capacity``.
+    lengths = np.array(sorted(keyed.groupBy("length").count().collect()), np.int64).reshape(-1, 2)
+    bound = math.ceil(_bound(lengths[:, 0], lengths[:, 1], capacity) - 1e-9)
+    todo, pieces_left, bins_left = keyed, int(lengths[:, 1].sum()), None
     done: list[DataFrame] = []
-    level = 0
+    closed_bins, level, before = 0, 0, None
     while True:
-        packed = stored(spark, _packed(todo, capacity), f"packed-{level}")
-        last = groups == 1
-        closed = packed if last else packed.where(~F.col("open"))
-        done.append(closed.withColumn("level", F.lit(level)))
-        if last or packed.where("open").isEmpty():
+        groups = max(1, math.ceil(pieces_left / group))
+        place = F.pmod(F.xxhash64("doc_id", "piece", "copy", F.lit(level)), F.lit(groups))
+        packed = stored(spark, _packed(todo.withColumn("grp", place), capacity), f"packed-{level}")
+        first = F.col("offset") == 0
+        found = packed.agg(
+            F.count_if(first).alias("bins"),
+            F.count_if(first & F.col("open")).alias("open_bins"),
+            F.count_if("open").alias("open_pieces"),
+        ).first()
+        if before is not None and found.bins >= bins_left:
+            done.append(before.where("open").withColumn("level", F.lit(level - 1)))
+            bins = closed_bins + bins_left
+            break
+        if found.open_bins < 2 or closed_bins + found.bins <= bound:
+            done.append(packed.withColumn("level", F.lit(level)))
+            bins = closed_bins + found.bins
             break
-        groups = math.ceil(groups / FAN_IN)
-        todo = packed.where("open").drop("bin", "offset", "open").withColumn("grp", F.pmod("grp", F.lit(groups)))
+        done.append(packed.where(~F.col("open")).withColumn("level", F.lit(level)))
+        closed_bins += found.bins - found.open_bins
+        before, todo = packed, packed.where("open").drop("grp", "bin", "offset", "open")
+        pieces_left, bins_left = found.open_pieces, found.open_bins
         level += 1
+    LOG.info("%d bins, lower bound %d, after %d rounds", bins, bound, level + 1)
     whole = done[0]
     for part in done[1:]:
         whole = whole.unionByName(part)
     return whole.select(
         *PIECE.names,
-        (F.col("level").cast("long") * (1 << 58) + F.col("grp") * (1 << 26) + F.col("bin")).alias("sequence_id"),
+        (F.col("level").cast("long") * (1 << 50) + F.col("grp") * (1 << 20) + F.col("bin")).alias("sequence_id"),
         "offset",
     )
 

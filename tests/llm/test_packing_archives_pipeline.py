@@ -175,3 +175,16 @@ def test_pipeline_stages_take_empty_and_odd_tables(spark, small):
             assert after.count() <= 3
             if name != "packing":
                 assert after.columns == docs.columns
+
+
+def test_groups_stay_bounded_in_every_round(spark):
+    lengths = np.random.default_rng(3).integers(1000, 2001, 6000)
+    frame = pd.DataFrame({"doc_id": range(6000), "piece": 0, "start": 0, "length": lengths, "ids_crc32": 0})
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    packed = packing.pack(spark, spark.createDataFrame(frame, schema), group=300).collect()
+    assert sorted(r.doc_id for r in packed) == list(range(6000))
+    check_packing(packed, 4096)
+    groups = {}
+    for row in packed:
+        groups[row.sequence_id >> 20] = groups.get(row.sequence_id >> 20, 0) + 1
+    assert max(groups.values()) <= 450
