@@ -1,8 +1,9 @@
 """Secret scans with structural confirmation.
 
-Patterns propose, structure decides: beyond the base patterns, whose matches always stay, a run of
-base64 or hex characters is reported only when it decodes to something with the inner structure of a
-key or a signed token. DER keys must have nested lengths that add up to the byte, SSH keys length
+Patterns propose, structure decides: beyond the base patterns, whose matches always stay, base64 or
+hex characters are reported only when they decode to something with the inner structure of a key or a
+signed token. Keys state their own lengths, so they are read from wherever one may start, inside a run
+or not, over line breaks and written-out escapes of them, for as many bytes as they say. DER keys must have nested lengths that add up to the byte, SSH keys length
 prefixes that do, armoured keys a body that decodes to either, tokens a JSON header naming an
 algorithm. Offsets are code points, ends exclusive.
 """
@@ -14,7 +15,7 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,10 +34,19 @@ BASE_KINDS = ("assign", "access", "hex")
 MIN_VALUE = 6
 
 # Candidates for confirmation. Armour is bounded by its own end line or by what cannot be base64.
-TOKEN = re.compile(r"[A-Za-z0-9_-]{8,}={0,2}\.[A-Za-z0-9_-]{2,}={0,2}\.[A-Za-z0-9_-]*")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-ANY_HEX = re.compile(r"[0-9A-Fa-f]{48,}")
+ARMOUR = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s:,-]|\\+[nrt/])*?)-----END \1-----"
+)
+ESCAPED = re.compile(r"\\+([nrt/])")
+# A whole run that two more parts follow, the places in it where a header may start, and those parts.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++={0,2}(?=\.[A-Za-z0-9_-]{2,}+={0,2}\.)")
+HEADER = re.compile(r"(?=eyJ|ewo|eyA|ew0|IHsi)")
+TOKEN_REST = re.compile(r"\.[A-Za-z0-9_-]{2,}={0,2}\.[A-Za-z0-9_-]*")
+# A SEQUENCE with long-form length, or with a short one, and the OpenSSH magic start so.
+BASE64_START = re.compile(r"(?=M[C-I][A-Za-z0-9+/_-]{14}|b3BlbnNzaC1rZXktdjEA)")
+HEX_START = re.compile(r"(?=30[0-9A-Fa-f]{14}|6[Ff]70656[Ee]737368)")
+BASE64_LINE, HEX_LINE = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[0-9A-Fa-f]+")
+BREAK = re.compile(r"(?:[ \t]*(?:\\+[nr]|[\r\n]))+[ \t]*")
 # The order of kinds that share a start.
 KINDS = (*BASE_KINDS, "jwt", "private_key", "der_key", "ssh_key")
 
@@ -168,27 +178,89 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der_key" if is_der_key(data) else "ssh_key" if is_ssh_key(data) else None
 
 
+def _taken(text: str, start: int, count: int, line: re.Pattern) -> tuple[str, int] | None:
+    """The next ``count`` characters of lines like ``line`` without the breaks between, and their end."""
+    parts, at = [], start
+    while True:
+        m = line.match(text, at, at + count) if at + count <= len(text) else None
+        if not m:
+            return None
+        parts.append(m[0])
+        at, count = m.end(), count - len(m[0])
+        if not count:
+            return "".join(parts), at
+        broken = BREAK.match(text, at)
+        if not broken:
+            return None
+        at = broken.end()
+
+
+def key_at(text: str, start: int, line: re.Pattern) -> tuple[str, int] | None:
+    """Kind and end of the key that starts here in base64 or hex, as ``line`` says, if there is one."""
+    in_hex, end = line is HEX_LINE, start
+
+    def first(size: int) -> bytes | None:
+        nonlocal end
+        taken = _taken(text, start, 2 * size if in_hex else -(-4 * size // 3), line)
+        if taken is None:
+            return None
+        end = taken[1]
+        return bytes.fromhex(taken[0]) if in_hex else decode64(taken[0])[:size]
+
+    head = first(8)
+    if head is None:
+        return None
+    size = der_size(head) if head[0] == 0x30 else ssh_size(first)
+    data = first(size) if size else None
+    kind = _key_kind(data)
+    if kind is None:
+        return None
+    pad = 0 if in_hex else -size % 3
+    return kind, end + pad * (text[end : end + pad] == "=" * pad)
+
+
+def der_size(head: bytes) -> int | None:
+    """Bytes of the SEQUENCE that starts so, if its first item may be a version or an algorithm."""
+    size = head[1] & 0x7F if head[1] & 0x80 else 0
+    if size > 4 or head[1] == 0x80 or head[2 + size] not in (0x02, 0x30):
+        return None
+    return 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
+
+
+def ssh_size(first: Callable[[int], bytes | None]) -> int | None:
+    """Bytes of the OpenSSH key whose first bytes ``first`` gives, from its length prefixes."""
+    size = len(SSH_MAGIC)
+    for skipped in (0, 0, 0, 4, 0):  # cipher, kdf, its options; after the number of keys public and private ones
+        size += skipped
+        data = first(size + 4)
+        if data is None:
+            return None
+        size += 4 + int.from_bytes(data[size:], "big")
+    return size
+
+
 def confirmed_spans(text: str) -> Iterator[Span]:
     """Spans whose decoded content has the structure of a key or a token."""
     armoured = []
     for m in ARMOUR.finditer(text) if "-----BEGIN " in text else ():
-        body = "".join(line for line in m[2].split("\n") if ":" not in line)
+        lines = ESCAPED.sub(lambda e: "/" if e[1] == "/" else "\n", m[2]).split("\n")
+        body = "".join(line for line in lines if ":" not in line)
         if "ENCRYPTED" in m[1] or "Proc-Type" in m[2] or _key_kind(decode64("".join(body.split()))):
             armoured.append(m.span())
             yield "private_key", *m.span()
     for m in TOKEN.finditer(text) if "ey" in text or "ew" in text or "IHsi" in text else ():
-        if is_signed_token(m[0].partition(".")[0]):
-            yield "jwt", *m.span()
-    for m in BASE64.finditer(text):
-        # A SEQUENCE with long-form length, or with a short one, and the OpenSSH magic start so.
-        if m[0].startswith(("MI", "MC", "MD", "ME", "MF", "MG", "MH", "b3BlbnNzaC1rZXktdjEA")):
-            inside = any(a <= m.start() and m.end() <= b for a, b in armoured)
-            if not inside and (kind := _key_kind(decode64(m[0]))):
-                yield kind, *m.span()
-    for m in ANY_HEX.finditer(text):
-        if m[0].startswith(("30", "6f70656e737368", "6F70656E737368")) and len(m[0]) % 2 == 0:
-            if kind := _key_kind(bytes.fromhex(m[0])):
-                yield kind, *m.span()
+        for start in HEADER.finditer(text, m.start(), m.end()):
+            if m.end() - start.start() >= 8 and is_signed_token(text[start.start() : m.end()]):
+                yield "jwt", start.start(), TOKEN_REST.match(text, m.end()).end()
+                break
+    for starts, line in ((BASE64_START, BASE64_LINE), (HEX_START, HEX_LINE)):
+        past = 0
+        for m in starts.finditer(text):
+            if m.start() < past or any(a <= m.start() < b for a, b in armoured):
+                continue
+            if found := key_at(text, m.start(), line):
+                kind, past = found
+                yield kind, m.start(), past
 
 
 def joined(spans: list[Span]) -> str:

@@ -217,3 +217,26 @@ def test_texts_of_no_known_language_go(spark, small):
     for known in (docs, docs.where("lang = 'en'")):  # two families, and one
         kept = {r.doc_id for r in language.language_stage(spark, known.union(added), "").collect()}
         assert kept == {r.doc_id for r in known.collect()} <= clean
+
+
+WRAPPED = [base64.b64encode(data).decode() for data in (RSA, PKCS8, SSH)]
+
+
+@pytest.mark.parametrize("coded", WRAPPED)
+@pytest.mark.parametrize("line", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    "])
+def test_keys_over_lines_and_escapes(coded, line):
+    lines = line.join(coded[k : k + 24] for k in range(0, len(coded), 24))
+    assert [(a, b) for _, a, b in secrets.scan_text(f"é {lines} x")[1]] == [(2, 2 + len(lines))]
+    glued = f"key_{lines}"
+    assert [(a, b) for _, a, b in secrets.scan_text(glued)[1]] == [(4, len(glued))]
+    armoured = f"-----BEGIN PRIVATE KEY-----{line}{lines}{line}-----END PRIVATE KEY-----"
+    assert secrets.scan_text('{"private": "' + armoured + '"}')[1] == [("private_key", 13, 13 + len(armoured))]
+    assert not secrets.scan_text(f"{lines[:-30]} x")[1]
+
+
+def test_keys_and_tokens_glued_to_what_is_in_front():
+    part = lambda value: base64.urlsafe_b64encode(json.dumps(value).encode()).decode().rstrip("=")
+    token = f"{part({'alg': 'HS256'})}.{part({'s': 1})}.c2ln"
+    for front in ("Authorization_", "headers_.", "eyJ_", "a.b."):
+        assert secrets.scan_text(front + token)[1] == [("jwt", len(front), len(front + token))]
+    assert secrets.scan_text("ab" + RSA.hex())[1][-1] == ("der_key", 2, 2 + 2 * len(RSA))
