@@ -141,21 +141,31 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 
 def item_seeds(items: DataFrame, least: int) -> DataFrame:
-    """seed, item_id and the item's word count. Items shorter than a tile have one seed of their own."""
-    schema = pa.schema([("item_id", pa.int64()), ("n_words", pa.int32()), ("size", pa.int32()), ("seed", pa.list_(pa.int64()))])
+    """item, its word count, seed and how often it has that. Items shorter than a tile have one seed of their own."""
+    schema = pa.schema(
+        [
+            ("item", pa.int64()),
+            ("n_words", pa.int32()),
+            ("size", pa.int32()),
+            ("seed", pa.list_(pa.int64())),
+            ("times", pa.list_(pa.int64())),
+        ]
+    )
 
     def run(c: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {name: [] for name in schema.names}
-        for item_id, text in zip(c["item_id"], c["text"]):
+        for item, text in zip(c["item"], c["text"]):
             words = words_of(text)
             if words:
                 size = min(least, len(words))
-                values = (item_id, len(words), size, seeds_of(text, size).view(np.int64).tolist())
+                seeds, times = np.unique(windows(hashed(words), size), return_counts=True)
+                values = (item, len(words), size, seeds.view(np.int64).tolist(), times.tolist())
                 for name, value in zip(schema.names, values):
                     out[name].append(value)
         return out
 
-    return map_columns(items, schema, run).withColumn("seed", F.explode("seed"))
+    lists = map_columns(items, schema, run).withColumn("both", F.explode(F.arrays_zip("seed", "times")))
+    return lists.select("item", "n_words", "size", "both.seed", "both.times")
 
 
 def seed_filter(seeds: DataFrame) -> np.ndarray:
@@ -221,7 +231,8 @@ def find_leaks(
     doc_id count as one document each and give one row for their best. Items of fewer words than a tile
     must occur whole.
     """
-    items = items_of(benchmark)
+    # An item is known by a number of its own, as texts may share an id.
+    items = stored(spark, items_of(benchmark).withColumn("item", F.monotonically_increasing_id()), "items")
     seeds = stored(spark, item_seeds(items, least), "item-seeds")
     sizes = sorted(row["size"] for row in seeds.select("size").distinct().collect())
     if not sizes:
@@ -232,21 +243,21 @@ def find_leaks(
     # A row is known by a number of its own, as ids may repeat.
     numbered = stored(spark, seeded.withColumn("row", F.monotonically_increasing_id()), "seeded")
     hits = numbered.select("row", F.explode("seeds").alias("seed"))
-    pairs = hits.join(seeds, "seed").groupBy("row", "item_id").agg(
-        F.count("*").alias("shared"), F.first("n_words").alias("n_words"), F.first("size").alias("size")
+    pairs = hits.join(seeds, "seed").groupBy("row", "item").agg(
+        F.sum("times").alias("shared"), F.first("n_words").alias("n_words"), F.first("size").alias("size")
     )
-    # Each shared seed covers at most ``size`` words of the item.
-    likely = pairs.where(F.col("shared") * F.col("size") >= coverage * F.col("n_words")).select("row", "item_id")
+    # Each occurrence of a shared seed covers at most ``size`` words of the item.
+    likely = pairs.where(F.col("shared") * F.col("size") >= coverage * F.col("n_words")).select("row", "item")
     item_words = map_columns(
         items,
-        pa.schema([("item_id", pa.int64()), ("item", pa.binary())]),
-        lambda c: {"item_id": c["item_id"], "item": [hashed(words_of(t)).tobytes() for t in c["text"]]},
+        pa.schema([("item", pa.int64()), ("item_id", pa.int64()), ("item_words", pa.binary())]),
+        lambda c: {"item": c["item"], "item_id": c["item_id"], "item_words": [hashed(words_of(t)).tobytes() for t in c["text"]]},
     )
     # The pairs of a document stay together up to a bound, so that its words travel once a pack.
     packed = (
-        likely.join(item_words, "item_id")
-        .groupBy("row", F.pmod(F.xxhash64("item_id"), F.lit(ITEM_PARTS)).alias("part"))
-        .agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
+        likely.join(item_words, "item")
+        .groupBy("row", F.pmod(F.xxhash64("item"), F.lit(ITEM_PARTS)).alias("part"))
+        .agg(F.collect_list(F.struct("item_id", "item_words")).alias("items"))
         .drop("part")
     )
     paired = packed.join(numbered.select("row", "doc_id", "words"), "row").select("doc_id", "words", "items")
@@ -257,7 +268,7 @@ def find_leaks(
             for row in batch.to_pylist():
                 document = np.frombuffer(row["words"], np.uint64)
                 for entry in row["items"]:
-                    item = np.frombuffer(entry["item"], np.uint64)
+                    item = np.frombuffer(entry["item_words"], np.uint64)
                     tiles = tiles_of(document, item, min(least, len(item)))
                     covered = sum(n for _, _, n in tiles)
                     if covered >= coverage * len(item):

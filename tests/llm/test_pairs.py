@@ -281,3 +281,13 @@ def test_neighbours_of_odd_rows(spark):
     got = [tuple(r) for r in ann.nearest(spark, frame, F.col("vec_id") % 100 == 0).orderBy("rank").collect()]
     assert got == [(0, 1, 5, 1.0), (0, 2, 8, 2**0.5)]
     assert ann.nearest(spark, frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_leaks_of_items_that_repeat_themselves(spark):
+    phrase = "say it once again right now"
+    long = " ".join(random.Random(3).choices(WORDS, k=400))
+    items = [(1, " ".join([phrase] * 10)), (2, long), (2, "a short one of seven words here")]
+    docs = [(1, f"before {items[0][1]} after"), (2, "here a short one of seven words here stands"), (3, phrase)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.find_leaks(spark, frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.coverage) for r in got} == {(1, 1, 1.0), (2, 2, 1.0)}
