@@ -5,7 +5,7 @@ from __future__ import annotations
 from contextlib import suppress
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakequery.operators.numbering import with_batch_id
@@ -101,6 +101,13 @@ def session_view_names(spark, sf_dir):
     return named_views(_sessions(spark, sf_dir)).select("session_id", "position", "view_name")
 
 
+def _written(df: DataFrame) -> int:
+    """Run the frame on the executors and give the rows that Spark counted meanwhile."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("append").save()
+    return seen.get["rows"]
+
+
 @plan(
     """
     SELECT c_nationkey AS nation, 'query' AS operation, 'success' AS status, count(*) AS row_count
@@ -115,12 +122,11 @@ def statement_log(spark, sf_dir):
     session = Session(spark, scratch_dir(spark, "log"))
     for nation in nations:
         customers = f"SELECT c_custkey FROM customer WHERE c_nationkey = {nation}"
-        n = spark.sql(customers).count()
-        if n:
-            session.query(customers, limit=n, view_name=f"good_{nation}").rows()
+        if not spark.sql(customers).isEmpty():
+            session.query(customers, view_name=f"good_{nation}").run(_written, rows_of=int)
             with suppress(PySparkException):
                 failing = f"SELECT raise_error('none') FROM ({customers})"
-                session.query(failing, view_name=f"bad_{nation}").run(lambda df: df.write.format("noop").mode("append").save())
+                session.query(failing, view_name=f"bad_{nation}").run(_written, rows_of=int)
     named = F.regexp_extract("view_name", "_([0-9]+)$", 1).cast("int")
     return session.log.table().select(
         named.alias("nation"), "operation", "status", F.coalesce("row_count", F.lit(-1)).alias("row_count")

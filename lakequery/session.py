@@ -49,10 +49,15 @@ class QueryResult:
         self._session, self._sql, self._view_name = session, sql, view_name
         self._whole, self._limit = df, limit
 
-    def run(self, action: Callable[[DataFrame], Result]) -> Result:
-        """Hand the frame to ``action``, and log the statement with the outcome of that."""
+    def run(
+        self, action: Callable[[DataFrame], Result], rows_of: Callable[[Result], int | None] = lambda found: None
+    ) -> Result:
+        """Hand the frame to ``action``, and log the statement with the outcome of that.
+
+        ``rows_of`` takes the row count for the log from what ``action`` returns.
+        """
         result, self.execution_time_ms = self._session._logged(
-            QUERY, self._sql, self._view_name, lambda: action(self.df), lambda found: None
+            QUERY, self._sql, self._view_name, lambda: action(self.df), rows_of
         )
         return result
 

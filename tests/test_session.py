@@ -235,3 +235,17 @@ def test_top_rows_are_encoded_after_they_are_chosen(session, spark, small):
     spark.read.parquet(f"{small}/orders.parquet").createOrReplaceTempView("orders")
     df = spark.sql("SELECT * FROM orders ORDER BY o_totalprice DESC")
     assert "TakeOrderedAndProject(limit=10" in plan_of(cap(row_json(df), 10))
+
+
+def test_logged_statements_leave_their_rows_on_the_executors(spark, small, monkeypatch):
+    from lakequery.plans.catalog import PLANS
+    from lakequery.session import QueryResult
+
+    def rows(self):
+        raise AssertionError("rows() holds a whole result in the driver")
+
+    monkeypatch.setattr(QueryResult, "rows", rows)
+    got = PLANS["statement_log"](spark, small).collect()
+    want = {r[0]: r[1] for r in spark.read.parquet(f"{small}/customer.parquet").groupBy("c_nationkey").count().collect()}
+    assert {r.nation: r.row_count for r in got if r.status == "success"} == want
+    assert {r.nation: r.row_count for r in got if r.status == "error"} == dict.fromkeys(want, -1)
