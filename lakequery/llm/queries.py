@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm import ann, decontaminate, language, licenses, near_duplicates, packing, pii, secrets, suffix_dedup, warc
+from lakequery.llm import (
+    ann,
+    decontaminate,
+    language,
+    licenses,
+    near_duplicates,
+    packing,
+    pii,
+    secrets,
+    suffix_dedup,
+    url_filters,
+    warc,
+)
 
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +87,11 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(spark, table(spark, sf_dir, "pages"))
+
+
+ORACLES["op13_url_filters"] = url_filters.oracle_sql()
