@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from lakequery.llm import (
     ann,
+    conversation_trie,
     decontaminate,
     language,
     licenses,
     near_duplicates,
     packing,
     pii,
+    resampling,
     secrets,
     suffix_dedup,
     url_filters,
@@ -95,3 +97,19 @@ def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_url_filters"] = url_filters.oracle_sql()
+
+
+@query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_resampling"] = resampling.oracle_sql()
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(spark, table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = conversation_trie.oracle_sql()
