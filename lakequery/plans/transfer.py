@@ -286,3 +286,19 @@ def stream_append(spark, sf_dir):
         state = scratch_dir(spark, f"stream-state-{attempt}")
         save_stream(_event_stream(spark, sf_dir), "json", target, state, "append", EMBEDDED)
     return _event_counts(spark.read.schema("event_id long, event_type string").json(target))
+
+
+@plan(
+    """
+    SELECT CAST(event_id % 7 AS BIGINT) AS day, count(*) AS n, count(props) AS with_props, sum(user_id)::BIGINT AS users
+    FROM events GROUP BY 1
+    """
+)
+def stream_checked_files(spark, sf_dir):
+    """Many files in several micro-batches, the columns of each held against those of the first."""
+    target, state = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-state")
+    save_stream(_event_stream(spark, sf_dir), "orc", target, state)
+    day = F.expr("event_id % 7").cast("long").alias("day")
+    return spark.read.orc(target).groupBy(day).agg(
+        F.count(F.lit(1)).alias("n"), F.count("props").alias("with_props"), F.sum("user_id").alias("users")
+    )

@@ -21,6 +21,7 @@ from lakequery.sinks.formats import (
     parse_mode,
 )
 from lakequery.storage import Storage
+from lakequery.streaming.fingerprint import check_files
 
 
 def check_columns(first: list[ColumnMeta], later: list[ColumnMeta]) -> None:
@@ -90,6 +91,15 @@ class StreamTarget:
             self.storage.delete_all([path for path in old if not path.endswith(f"_stream-{self.query_id}")])
             self.storage.delete(note)
 
+    def check_sources(self, batch_id: int, header: bool) -> None:
+        """Hold the batch's files against the columns of the first file, which is noted beside the manifests."""
+        note = f"{self.work}/columns.json"
+        noted = self.storage.exists(note)
+        fixed = json.loads(self.spark.read.option("wholetext", True).text(note).first()[0]) if noted else {}
+        found = check_files(self.spark, self.checkpoint, batch_id, fixed, header)
+        if found != fixed:
+            self.storage.write_text(note, json.dumps(found))
+
     def row_count(self) -> int:
         manifests = self.spark.read.schema("rows long").json(f"{self.work}/manifests")
         return int(manifests.agg(F.sum("rows")).first()[0] or 0)
@@ -103,9 +113,12 @@ def save_stream(
     mode: str | None = None,
     dialect: str = EMBEDDED,
     trigger: dict | None = None,
+    header: bool = False,
 ) -> SaveResult:
     """Run a streaming frame into the dataset ``path``; the result counts this stream's rows.
 
+    The first file fixes the columns: a Parquet or ORC file with others, or with ``header`` a CSV file with another
+    header line, fails its micro-batch before a row of it is stored, and the error names the file.
     A failed batch ends the export with its error and the same ``checkpoint`` resumes it, without
     storing or counting a row twice. A stream that overwrites drops what the target held after its
     last batch; until then, and where a batch fails, the old rows stay readable.
@@ -121,6 +134,7 @@ def save_stream(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         check_columns(first, columns(batch))
+        target.check_sources(batch_id, header)
         if save_mode == OVERWRITE and not target.began():
             target.supersede()
         target.write(batch, batch_id)
@@ -128,6 +142,8 @@ def save_stream(
     writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer.trigger(**(trigger or {"availableNow": True})).start().awaitTermination()
     if not storage.exists(f"{target.work}/manifests"):
-        write_batch(spark.createDataFrame([], df.schema), 0)
+        if save_mode == OVERWRITE and not target.began():
+            target.supersede()
+        target.write(spark.createDataFrame([], df.schema), 0)
     target.drop_superseded()
     return SaveResult(path, file_format, target.row_count())

@@ -138,3 +138,57 @@ def test_a_failed_overwrite_leaves_the_old_rows(spark, files, tmp_path):
     with pytest.raises(Exception, match="boom"):
         save_stream(failing, "parquet", out, str(tmp_path / "s2"))
     assert spark.read.parquet(out).count() == 1000
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "orc", "csv"])
+def test_a_foreign_file_fails_and_is_named(spark, tmp_path, file_format):
+    """It lacks a declared column, so Spark alone would store nulls."""
+    path, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+
+    def add(df):
+        df.coalesce(1).write.mode("append").option("header", True).format(file_format).save(path)
+
+    def read():
+        reader = spark.readStream.schema("id long, n long").option("header", True).option("maxFilesPerTrigger", 1)
+        return reader.format(file_format).load(path)
+
+    for k in range(3):
+        add(spark.range(10 * k, 10 * k + 10).withColumn("n", F.col("id") * 2))
+    assert save_stream(read(), "parquet", out, state, header=True).row_count == 30
+    known = set(glob.glob(f"{path}/part-*"))
+    add(spark.range(30, 33).withColumnRenamed("id", "other").withColumn("n", F.lit(1).cast("long")))
+    (foreign,) = set(glob.glob(f"{path}/part-*")) - known
+    with pytest.raises(StreamingQueryException, match=f"(?s)Inconsistent columns.*{foreign.rsplit('/', 1)[-1]} has"):
+        save_stream(read(), "parquet", out, state, header=True)
+    assert spark.read.parquet(out).count() == 30
+    with pytest.raises(StreamingQueryException, match="Inconsistent columns"):
+        save_stream(read(), "json", str(tmp_path / "other"), str(tmp_path / "fresh"), header=True)
+
+
+@pytest.mark.parametrize("change", ["CAST(id AS INT) AS id, n", "n, id", "id, n, 1 AS more"])
+def test_types_and_order_of_columns_are_fixed_too(spark, tmp_path, change):
+    path = str(tmp_path / "in")
+    rows = spark.range(4).withColumn("n", F.lit(1))
+    rows.coalesce(1).write.parquet(path)
+    stream_of = spark.readStream.schema("id long, n int").parquet(path)
+    save_stream(stream_of, "json", str(tmp_path / "out"), str(tmp_path / "state"))
+    rows.selectExpr(*change.split(", ")).coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(StreamingQueryException, match="Inconsistent columns"):
+        save_stream(stream_of, "json", str(tmp_path / "out"), str(tmp_path / "state"))
+
+
+def test_files_are_checked_past_a_compacted_list(spark, tmp_path):
+    """Spark folds its lists of files together every ten batches."""
+    path, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    spark.range(0, 24, 1, 24).write.parquet(path)
+    read = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(path)
+    assert save_stream(read, "parquet", out, state).row_count == 24
+    spark.range(1).withColumnRenamed("id", "it").coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(StreamingQueryException, match="Inconsistent columns"):
+        save_stream(read, "parquet", out, state)
+    assert spark.read.parquet(out).count() == 24
+
+
+def test_streams_without_files_have_nothing_to_check(spark, tmp_path):
+    rate = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 10).load()
+    assert save_stream(rate, "json", str(tmp_path / "out"), str(tmp_path / "state"), trigger={"once": True}).row_count == 10
