@@ -33,6 +33,14 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, schema)
 
 
+@plan("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_split_scan(spark, sf_dir):
+    """Texts full of line breaks, in files that tasks share."""
+    path = scratch_dir(spark, "csv")
+    write_dataset(table(spark, sf_dir, "documents"), "csv", path)
+    return read_csv(spark, path, "doc_id long, text string, lang string, source string, n_chars long", split=True)
+
+
 @plan("SELECT page_id, url, html FROM pages")
 def csv_pages(spark, sf_dir):
     """Markup is full of quotes, commas and line breaks."""
