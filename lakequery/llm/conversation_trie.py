@@ -411,6 +411,8 @@ def prefix_trie(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     children = grouped.select(above).union(tops.select(above)).where("above.depth >= 0").groupBy("above").agg(F.count("*").alias("n"))
     children = children.select("above.depth", "above.digest", F.col("n").alias("n_children"))
     nodes = grouped.join(children, NODE, "left").withColumn("n_children", F.coalesce("n_children", none))
+    # Stored, so that both sides of the next join come straight from files: then a node with very many members is split.
+    nodes = stored(spark, nodes, "trie-nodes")
 
     members = shared.drop("single", "parent_single", "parent").join(nodes.select(*NODE, "owner", "n_children"), NODE)
     members = stored(spark, members, "trie-members")
