@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakequery.functions.variants import encoded_variant
+
 EMBEDDED, MYSQL, POSTGRES, JSON = "embedded", "mysql", "postgres", "json"
 DIALECTS = (EMBEDDED, MYSQL, POSTGRES, JSON)
 
@@ -21,6 +23,9 @@ _JDBC_TYPE = "jdbcClientType"
 # Unsigned 64-bit names, whose decimal(20,0) carrier stays a JSON number.
 UNSIGNED_64 = ("ubigint", "uint64", "bigint unsigned")
 
+# Fixed value: how the native type of a column of unions begins, whose decimals become text like any others.
+UNION = "union"
+
 # Database types that hold JSON and reach Spark as text.
 JSON_TEXT = ("json", "jsonb")
 
@@ -98,7 +103,10 @@ class Encoder:
         native = (native or "").lower()
         if native in JSON_TEXT and isinstance(dtype, _TEXT) and self.dialect in (MYSQL, POSTGRES):
             return F.coalesce(F.try_parse_json(c), c.cast("variant"))
-        if isinstance(dtype, (T.BooleanType, T.VariantType, *_NUMERIC_AS_IS, *_TEXT)):
+        if isinstance(dtype, T.VariantType):
+            # Only the embedded dialect has unions; elsewhere a variant is a JSON document.
+            return encoded_variant(c, native.startswith(UNION)) if self.dialect == EMBEDDED else c
+        if isinstance(dtype, (T.BooleanType, *_NUMERIC_AS_IS, *_TEXT)):
             return c
         if isinstance(dtype, T.DecimalType):
             return c if native in UNSIGNED_64 else c.cast("string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakequery.functions.encode import EMBEDDED, JSON, MYSQL, POSTGRES, encode, row_json, stringify
+from lakequery.functions.encode import EMBEDDED, JSON, MYSQL, NATIVE_TYPE, POSTGRES, encode, row_json, stringify
 from lakequery.plans.registry import plan, table, views
 
 
@@ -228,3 +228,39 @@ _CUSTOMER_TYPES = """
 @plan("SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
 def encode_passthrough(spark, sf_dir):
     return encode(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), JSON)
+
+
+_UNION_MEMBERS = """
+    SELECT event_id, CASE event_type
+      WHEN 'click' THEN CAST(ts AS VARIANT)
+      WHEN 'view' THEN CAST(CAST(ts AS DATE) AS VARIANT)
+      WHEN 'error' THEN CAST(CAST(event_id AS DECIMAL(12,2)) + 0.25BD AS VARIANT)
+      WHEN 'purchase' THEN to_variant_object(named_struct(
+        'bytes', CAST(props AS BINARY), 'days', array(CAST(ts AS DATE), NULL), 'id', event_id,
+        'inner', named_struct('at', ts, 'price', CAST(user_id AS DECIMAL(9,1)) + 0.5BD, 'single', CAST(user_id + 0.5 AS FLOAT))))
+      ELSE CAST(event_type AS VARIANT) END AS member
+    FROM events
+"""
+
+
+@plan(
+    """
+    WITH forms AS (
+      SELECT *, 'timestamp(Microsecond, ' || epoch_us(ts) || ')' AS moment,
+        'date32:' || date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS day_text
+      FROM events
+    )
+    SELECT event_id, CASE event_type
+      WHEN 'click' THEN moment WHEN 'view' THEN day_text WHEN 'error' THEN event_id || '.25'
+      WHEN 'purchase' THEN '{"bytes":"0x' || lower(hex(props)) || '","days":["' || day_text || '",null],"id":' || event_id
+        || ',"inner":{"at":"' || moment || '","price":"' || user_id || '.5","single":' || user_id || '.5}}'
+      ELSE event_type END AS member
+    FROM forms
+    """
+)
+def encode_variant(spark, sf_dir):
+    """Unions of dates, times, decimals, bytes, text, and lists and objects of them."""
+    views(spark, sf_dir, "events")
+    rows = spark.sql(_UNION_MEMBERS)
+    unions = rows.select("event_id", F.col("member").alias("member", metadata={NATIVE_TYPE: "union"}))
+    return stringify(unions).withColumn("event_id", F.col("event_id").cast("long"))

@@ -197,3 +197,60 @@ def test_types_named_by_a_database(spark):
     assert json.loads(row_json(df, "embedded").first()[0]) == expected | {"j": '{"a":[1]}'}
     assert stringify(df, "postgres").first().asDict() == {"j": '{"a":[1]}', "k": "not json", "u": "5", "s": "x"}
     assert [c.data_type for c in columns(df)] == ["JSON", "jsonb", "BIGINT UNSIGNED", "VARCHAR"]
+
+
+MEMBERS = {
+    "date'2020-01-02'": '"date32:18263"',
+    "timestamp'1969-12-31 23:59:59.5'": '"timestamp(Microsecond, -500000)"',
+    "timestamp_ntz'2020-01-01 00:00:00.000001'": '"timestamp(Microsecond, 1577836800000001)"',
+    "X'01ff'": '"0x01ff"',
+    "CAST(0.1 AS FLOAT)": "0.10000000149011612",
+    "CAST('-Infinity' AS DOUBLE)": '"-inf"',
+    "CAST('NaN' AS FLOAT)": '"NaN"',
+    "1e3": "1000.0",
+    "12345678901234567.25BD": '"12345678901234567.25"',
+    "true": "true",
+    "7Y": "7",
+    "'date32'": '"date32"',
+    "CAST(NULL AS INT)": "null",
+}
+
+
+def test_members_of_unions_encode_as_columns_do(spark):
+    """Alone, in lists of unlike members, as values of objects and both within each other."""
+    union = {"native_type": "union(a, b)"}
+
+    def row(sql):
+        return row_json(spark.sql(f"SELECT {sql} AS v").select(F.col("v").alias("v", metadata=union))).first()[0]
+
+    for sql, want in MEMBERS.items():
+        alone = f"CAST({sql} AS VARIANT)"
+        assert row(alone) == f'{{"v":{want}}}'
+        assert row(f"to_variant_object(array({alone}, CAST('x' AS VARIANT)))") == f'{{"v":[{want},"x"]}}'
+        nested = f"to_variant_object(named_struct('k', named_struct('l', array(array({alone})), 'n', 1)))"
+        assert row(nested) == f'{{"v":{{"k":{{"l":[[{want}]],"n":1}}}}}}'
+        plain = row_json(spark.sql(f"SELECT array({sql}) AS v")).first()[0]
+        assert plain == f'{{"v":[{want}]}}'
+
+
+def test_json_variants_stay_as_they_are(spark):
+    """Fractions parsed from JSON are decimals inside, yet numbers."""
+    text = '{"a":[1.5,null,{"b":12345678901234567890.25}],"c":{},"d":[],"e":"date"}'
+    df = spark.sql(f"SELECT parse_json('{text}') AS v")
+    assert row_json(df).first()[0] == f'{{"v":{text}}}'
+    assert stringify(df).first()[0] == text
+    for dialect in ("mysql", "postgres", "json"):
+        assert row_json(df, dialect).first()[0] == f'{{"v":{text}}}'
+
+
+def test_variants_too_deep_fail_only_where_something_is_to_encode(spark):
+    def deep(sql):
+        for _ in range(10):
+            sql = f"to_variant_object(array({sql}))"
+        return spark.sql(f"SELECT {sql} AS v")
+
+    assert row_json(deep("CAST('x' AS VARIANT)")).first()[0] == '{"v":' + "[" * 10 + '"x"' + "]" * 10 + "}"
+    with pytest.raises(Exception, match="nested over 8 levels"):
+        row_json(deep("CAST(date'2020-01-02' AS VARIANT)")).collect()
+    with_null = spark.sql("SELECT CAST(NULL AS VARIANT) AS v UNION ALL SELECT CAST(X'00' AS VARIANT)")
+    assert sorted(r[0] for r in stringify(with_null).collect()) == ["", "0x00"]
