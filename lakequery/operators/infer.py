@@ -59,19 +59,22 @@ def infer_types(
     as text. Malformed JSON fails the query; null rows and other values than objects are skipped.
     """
     order = quoted(ord_col) if ord_col else F.monotonically_increasing_id()
-    pairs = df.select(
+    parsed = df.select(
         order.alias("ord"),
         quoted(json_col).alias("json"),
-        F.explode(json_object(quoted(json_col), T.MapType(T.StringType(), T.VariantType()))).alias("key", "value"),
+        parsed_json(quoted(json_col), T.MapType(T.StringType(), T.VariantType())).alias("doc"),
     )
+    pairs = parsed.select("ord", "json", F.explode(json_object("json", "doc")).alias("key", "value"))
     kinds = pairs.select("key", "ord", "json", F.schema_of_variant("value").alias("kind"))
     token = F.from_json("json", "map<string,string>")[F.col("key")]
     classes = kinds.select("key", "ord", value_class(F.col("kind"), token).alias("class"))
+    # One row per key and class is left of all rows of a task; the flags are worked out of those.
+    firsts = classes.groupBy("key", "class").agg(F.min("ord").alias("ord"))
 
     def seen(*classes: int) -> Column:
         return F.coalesce(F.bool_or(F.col("class").isin(*classes)), F.lit(False))
 
-    folded = classes.groupBy("key").agg(
+    folded = firsts.groupBy("key").agg(
         seen(_OTHER).alias("other"),
         seen(_FLAG).alias("flag"),
         seen(_INT).alias("int"),
@@ -99,14 +102,18 @@ def infer_types(
     )
 
 
-def json_object(text: Column, kind: T.DataType) -> Column:
-    """The text parsed as a JSON object, or null for another JSON value; malformed text is an error."""
+def parsed_json(text: Column, kind: T.DataType) -> Column:
+    """The text parsed once, for ``json_object`` to take from a column of its own projection."""
     form = T.StructType([T.StructField("row", kind), T.StructField("end", T.IntegerType())])
     # Spark's parsers stop after the first value; inside an object, text that follows is an error.
-    wrapped = F.from_json(F.concat(F.lit('{"row":'), text, F.lit(',"end":0}')), form)
-    bad = text.isNotNull() & wrapped["end"].isNull()
-    said = F.concat(F.lit("row is not one JSON value: "), text)
-    return F.when(bad, F.raise_error(said)).otherwise(wrapped["row"])
+    return F.from_json(F.concat(F.lit('{"row":'), text, F.lit(',"end":0}')), form)
+
+
+def json_object(text: str, parsed: str) -> Column:
+    """The JSON object in column ``parsed``, or null for another JSON value; malformed text is an error."""
+    bad = F.col(text).isNotNull() & F.col(parsed)["end"].isNull()
+    said = F.concat(F.lit("row is not one JSON value: "), F.col(text))
+    return F.when(bad, F.raise_error(said)).otherwise(F.col(parsed)["row"])
 
 
 def project_typed(df: DataFrame, json_col: str, types: Mapping[str, str]) -> DataFrame:
@@ -120,7 +127,9 @@ def project_typed(df: DataFrame, json_col: str, types: Mapping[str, str]) -> Dat
         for name, kind in types.items()
     ]
     kept = [quoted(c) for c in df.columns if c not in types and c != json_col]
-    parsed = df.select(*kept, json_object(quoted(json_col), T.StructType(fields)).alias("_lq_row"))
+    text = quoted(json_col)
+    parsed = df.select(*kept, text.alias("_lq_text"), parsed_json(text, T.StructType(fields)).alias("_lq_doc"))
+    parsed = parsed.select(*kept, json_object("_lq_text", "_lq_doc").alias("_lq_row"))
     out = []
     for name, kind in types.items():
         value = F.col("_lq_row")[name]
