@@ -20,7 +20,15 @@ SPARK_TYPES = {
 
 _UINT64_MAX = "18446744073709551615"
 # Classes of JSON values: booleans, integers of int64, integers above it, other numbers, the rest.
-_FLAG, _INT, _BIG, _FLOAT, _OTHER = range(1, 6)
+_FLAG, _INT, BIG, _FLOAT, _OTHER = range(1, 6)
+# What is kept of the classes of a key; flags of parts of the rows merge by "or".
+FLAGS = {
+    "other": (_OTHER,),
+    "flag": (_FLAG,),
+    "whole": (_INT,),
+    "number": (_INT, BIG, _FLOAT),
+    "wide": (BIG, _FLOAT),
+}
 _LONG_WHOLE = tuple(f"DECIMAL({digits},0)" for digits in range(19, 39))
 
 
@@ -39,7 +47,7 @@ def value_class(kind: Column, token: Column) -> Column:
         .when(kind == "BIGINT", _INT)
         .when(kind == "BOOLEAN", _FLAG)
         .when(kind == "DOUBLE", _FLOAT)
-        .when(kind.isin(*_LONG_WHOLE), F.when(unsigned, _BIG).otherwise(_FLOAT))
+        .when(kind.isin(*_LONG_WHOLE), F.when(unsigned, BIG).otherwise(_FLOAT))
         .when(kind.startswith("DECIMAL"), _FLOAT)
         .otherwise(_OTHER)
     )
@@ -53,10 +61,34 @@ def infer_types(
 ) -> DataFrame:
     """One row per key of the JSON objects in ``json_col``: ``column_name``, ``column_type``.
 
+    ``columns`` adds the keys that never hold a value, as text. See ``seen_classes``.
+    """
+    decided = seen_classes(df, json_col, ord_col).select(
+        F.col("key").alias("column_name"), decided_type(*map(F.col, FLAGS), F.col("first")).alias("column_type")
+    )
+    if columns is None:
+        return decided
+    named = df.sparkSession.createDataFrame(
+        [(name,) for name in dict.fromkeys(columns)], "column_name string"
+    )
+    return named.join(decided, "column_name", "left").select(
+        "column_name", F.coalesce("column_type", F.lit(UTF8)).alias("column_type")
+    )
+
+
+def decided_type(other: Column, flag: Column, whole: Column, number: Column, wide: Column, first: Column) -> Column:
+    """The type that holds all values of a key, of what classes were seen and of which the first was."""
+    is_text = other | (flag & number) | F.coalesce(first == BIG, F.lit(False))
+    return F.when(is_text, UTF8).when(flag, BOOL).when(wide, FLOAT64).when(whole, INT64).otherwise(UTF8)
+
+
+def seen_classes(df: DataFrame, json_col: str, ord_col: str | None = None) -> DataFrame:
+    """One row per key: ``key``, the ``FLAGS`` of the classes seen, and the class of the ``first`` value.
+
     The row-order rule reduces to flags and the class of the first value, which merge: each task
     folds its rows to one row per key before anything is shuffled. ``ord_col`` gives the row order
-    and is needed only to know the first value. ``columns`` adds the keys that never hold a value,
-    as text. Malformed JSON fails the query; null rows and other values than objects are skipped.
+    and is needed only to know the first value. Malformed JSON fails the query; null rows and other values
+    than objects are skipped.
     """
     order = quoted(ord_col) if ord_col else F.monotonically_increasing_id()
     parsed = df.select(
@@ -74,32 +106,10 @@ def infer_types(
     def seen(*classes: int) -> Column:
         return F.coalesce(F.bool_or(F.col("class").isin(*classes)), F.lit(False))
 
-    folded = firsts.groupBy("key").agg(
-        seen(_OTHER).alias("other"),
-        seen(_FLAG).alias("flag"),
-        seen(_INT).alias("int"),
-        seen(_INT, _BIG, _FLOAT).alias("number"),
-        seen(_BIG, _FLOAT).alias("wide"),
+    return firsts.groupBy("key").agg(
+        *[seen(*classes).alias(name) for name, classes in FLAGS.items()],
         F.min_by("class", F.when(F.col("class").isNotNull(), F.col("ord"))).alias("first"),
     )
-    is_text = F.col("other") | (F.col("flag") & F.col("number")) | (F.col("first") == _BIG)
-    decided = folded.select(
-        F.col("key").alias("column_name"),
-        F.when(is_text, UTF8)
-        .when(F.col("flag"), BOOL)
-        .when(F.col("wide"), FLOAT64)
-        .when(F.col("int"), INT64)
-        .otherwise(UTF8)
-        .alias("column_type"),
-    )
-    if columns is None:
-        return decided
-    named = df.sparkSession.createDataFrame(
-        [(name,) for name in dict.fromkeys(columns)], "column_name string"
-    )
-    return named.join(decided, "column_name", "left").select(
-        "column_name", F.coalesce("column_type", F.lit(UTF8)).alias("column_type")
-    )
 
 
 def parsed_json(text: Column, kind: T.DataType) -> Column:

@@ -11,12 +11,13 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lakequery.functions.encode import EMBEDDED
-from lakequery.plans.registry import plan, table
-from lakequery.sinks.dataset import write_dataset
-from lakequery.sources.compact_json import read_compact_json
+from lakequery.plans.registry import plan, table, views
+from lakequery.sinks.dataset import INFERRED, write_dataset
+from lakequery.sources.compact_json import read_compact_json, stream_compact_json
 from lakequery.sources.csv import read_csv, register_csv
 from lakequery.storage import scratch_dir
 from lakequery.streaming.export import save_stream
+from lakequery.streaming.inferred import read_inferred
 
 _CUSTOMER = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 _ORDERS = (
@@ -310,3 +311,44 @@ def stream_checked_files(spark, sf_dir):
     return spark.read.orc(target).groupBy(day).agg(
         F.count(F.lit(1)).alias("n"), F.count("props").alias("with_props"), F.sum("user_id").alias("users")
     )
+
+
+@plan("SELECT event_id, event_type, user_id, value FROM events")
+def compact_json_stream(spark, sf_dir):
+    """Header-typed files read as a stream in two runs; the second finds only the files that came meanwhile."""
+    source, target, state = (scratch_dir(spark, name) for name in ("compact", "stream-out", "stream-state"))
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value")
+    names, types = '["event_id","event_type","user_id","value"]', '["Int64","String","Nullable(Int64)","Nullable(Float64)"]'
+    for part in range(2):
+        chosen = events.where(F.col("event_id") % 3 == 0 if part else F.col("event_id") % 3 != 0).repartition(6)
+        line = F.to_json(F.array(*[F.col(c).cast("variant") for c in events.columns]))
+        _headed(chosen.select(line.alias("line")), f"{source}/{part}", names, types)
+        stream = stream_compact_json(spark, f"{source}/*", max_files=4)
+        save_stream(stream, "parquet", target, state)
+    return spark.read.parquet(target)
+
+
+@plan(
+    """
+    SELECT event_id, CASE WHEN event_id % 4 = 3 THEN event_id + 0.5 ELSE event_id END::DOUBLE AS amount,
+      CASE WHEN event_id % 4 = 2 THEN event_type ELSE user_id::VARCHAR END AS code,
+      user_id % 2 = 0 AS even
+    FROM events
+    """
+)
+def stream_inferred(spark, sf_dir):
+    """Columns that look whole in the first files; fractions and names come in later micro-batches."""
+    views(spark, sf_dir, "events")
+    path = scratch_dir(spark, "stream-in")
+    rows = spark.sql(
+        """SELECT event_id, event_id % 4 AS quarter, user_id % 2 = 0 AS even,
+             parse_json(concat(event_id, if(event_id % 4 = 3, '.5', ''))) AS amount,
+             if(event_id % 4 = 2, CAST(event_type AS VARIANT), CAST(user_id AS VARIANT)) AS code
+           FROM events"""
+    )
+    target, state = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-state")
+    for quarter in range(4):
+        rows.where(f"quarter = {quarter}").drop("quarter").write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.drop("quarter").schema).parquet(path)
+        save_stream(stream, "parquet", target, state, typing=INFERRED)
+    return read_inferred(spark, target, "parquet")

@@ -233,11 +233,13 @@ class Session:
         checkpoint: str,
         mode: str | None = None,
         view_name: str | None = None,
+        header: bool = False,
+        typing: str = DECLARED,
     ) -> SaveResult:
         """Export a streaming frame until its input is used up."""
 
         def work() -> SaveResult:
-            return save_stream(df, file_type, path, checkpoint, mode, self.dialect)
+            return save_stream(df, file_type, path, checkpoint, mode, self.dialect, header=header, typing=typing)
 
         label = f"stream into {path}"
         return self._logged(SAVE, label, view_name, work, lambda saved: saved.row_count)[0]

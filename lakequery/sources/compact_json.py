@@ -8,6 +8,7 @@ import re
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,6 +165,14 @@ def _cell(value: Column, token: Column, kind: str, declared: str) -> Column:
     return F.when(spelled & token.rlike(_WHOLE), token.try_cast(kind))
 
 
+def _columns(header: tuple[str, str]) -> tuple[list[str], list[str]]:
+    names = _string_array(header[0], "column name")
+    types = _string_array(header[1], "column type")
+    if len(names) != len(types):
+        raise CompactJsonError(f"the header names {len(names)} columns and types {len(types)}")
+    return names, types
+
+
 def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Typed rows of header-typed JSON line files; a second, filtered scan looks for rows like headers.
 
@@ -173,11 +182,7 @@ def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     header = _header(spark, path)
     if header is None:
         return spark.createDataFrame([], T.StructType([]))
-    names = _string_array(header[0], "column name")
-    types = _string_array(header[1], "column type")
-    if len(names) != len(types):
-        raise CompactJsonError(f"the header names {len(names)} columns and types {len(types)}")
-    kinds = [spark_type(t) for t in types]
+    names, types = _columns(header)
     lines = (
         spark.read.text(path)
         .select(
@@ -187,7 +192,12 @@ def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
         )
         .where(F.col("line") != "")
     )
-    data = _data_lines(lines, header)
+    return _typed_rows(_data_lines(lines, header), names, types)
+
+
+def _typed_rows(data: DataFrame, names: list[str], types: list[str]) -> DataFrame:
+    """The arrays in column ``line`` as columns of the header's names and types."""
+    kinds = [spark_type(t) for t in types]
     # Spark's parsers stop after the first JSON value of a text. Inside an object, text that follows
     # the array is an error, and "end" is only seen when the array was the whole line.
     wrapped = F.concat(F.lit('{"row":'), "line", F.lit(',"end":0}'))
@@ -213,3 +223,67 @@ def read_compact_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
             for i, (name, kind, declared) in enumerate(zip(names, kinds, types))
         ]
     )
+
+
+def _below_headers(header: tuple[str, str]):
+    """Lines without the two that open each file, which must be the header.
+
+    Lines of a block come in order and blocks are told apart by a number, so only where a block that opens a file
+    begins are lines looked at one by one.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, left, name = None, 0, None
+
+        def complete() -> None:
+            if left:
+                raise CompactJsonError(f"the header of {name} is not two lines within the first block of it")
+
+        for batch in batches:
+            blocks = batch.column("block").to_numpy()
+            edges = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+            keep = np.ones(len(blocks), bool)
+            for start, end in zip(edges, edges[1:]):
+                if start == end:
+                    continue
+                if blocks[start] != current:
+                    complete()
+                    current, name = blocks[start], batch.column("opened")[start].as_py()
+                    left = 0 if name is None else len(header)
+                for at in range(start, min(start + left, end)):
+                    if batch.column("line")[at].as_py() != header[len(header) - left]:
+                        raise CompactJsonError(f"{name} has a different header than the stream: {header}")
+                    keep[at], left = False, left - 1
+            yield batch.select(["line"]).filter(pa.array(keep))
+        complete()
+
+    return task
+
+
+def stream_compact_json(
+    spark: SparkSession,
+    path: str,
+    header: tuple[str, str] | None = None,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Header-typed JSON line files of a folder as a stream, with rows typed as ``read_compact_json`` types them.
+
+    The files that are there now fix the header; for a folder that is still empty give its two lines. Spark's file
+    source keeps which files have been read, and shares a large file between tasks, so a stream resumes where it
+    ended and a batch can be run again. A file with another or an incomplete header fails its batch.
+    """
+    found = header or _header(spark, path)
+    if found is None:
+        raise CompactJsonError(f"{path} has no file yet, so give the two header lines of the stream")
+    names, types = _columns(found)
+    reader = spark.readStream
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    meta = "_metadata.file_path", "_metadata.file_block_start"
+    lines = reader.text(path).select(
+        F.btrim("value", F.lit(_BLANK)).alias("line"),
+        F.xxhash64(*meta).alias("block"),
+        F.when(F.col(meta[1]) == 0, F.col(meta[0])).alias("opened"),
+    )
+    data = lines.where(F.col("line") != "").mapInArrow(_below_headers(found), "line string")
+    return _typed_rows(data, names, types)

@@ -9,19 +9,31 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.functions.encode import EMBEDDED
+from lakequery.functions.encode import EMBEDDED, row_json
 from lakequery.operators.capped import ColumnMeta, columns
-from lakequery.sinks.dataset import distinct_names, superseded, write_dataset
+from lakequery.operators.infer import project_typed
+from lakequery.sinks.dataset import (
+    DECLARED,
+    INFERRED,
+    counted,
+    distinct_names,
+    export_frame,
+    superseded,
+    write_parts,
+)
 from lakequery.sinks.formats import (
+    ORC,
     OVERWRITE,
+    PARQUET,
     ExportError,
     SaveResult,
     check_append,
     parse_format,
     parse_mode,
 )
-from lakequery.storage import Storage
+from lakequery.storage import Storage, drop_scratch, scratch_dir
 from lakequery.streaming.fingerprint import check_files
+from lakequery.streaming.inferred import Seen, classes_of, label_of, merged, types_of
 
 
 def check_columns(first: list[ColumnMeta], later: list[ColumnMeta]) -> None:
@@ -44,6 +56,7 @@ class StreamTarget:
     checkpoint: str
     file_format: str
     dialect: str
+    typing: str = DECLARED
 
     @cached_property
     def storage(self) -> Storage:
@@ -61,19 +74,48 @@ class StreamTarget:
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         staged, manifest = f"{self.work}/staged", f"{self.work}/manifests/{batch_id}.json"
-        saved = write_dataset(batch, self.file_format, staged, OVERWRITE, self.dialect)
+        self.storage.delete(staged)
+        encoded = scratch_dir(self.spark, "encoded") if self.typing == INFERRED else None
+        frame, found = self.typed(batch, batch_id, encoded) if encoded else (export_frame(batch, self.file_format, self.dialect), {})
+        frame, seen = counted(frame)
+        write_parts(frame, self.file_format, staged)
+        if encoded:
+            drop_scratch(self.spark, encoded)
+        label = f"{label_of(dict(found['types']))}-" if found else ""
         if self.storage.exists(manifest):
             old = json.loads(self.spark.read.text(manifest).first()[0])
             self.storage.delete_all([f"{self.path}/{name}" for name in old["files"]])
         moves = {
-            entry.path: f"part-{self.query_id}-{batch_id:08d}-{entry.name.removeprefix('part-')}"
+            entry.path: f"part-{self.query_id}-{batch_id:08d}-{label}{entry.name.removeprefix('part-')}"
             for entry in self.storage.children(staged)
             if entry.name.startswith("part-")
         }
-        record = {"batch_id": batch_id, "rows": saved.row_count, "files": list(moves.values())}
+        record = {"batch_id": batch_id, "rows": seen.get["rows"], "files": list(moves.values())}
+        record |= {name: json.dumps(value) for name, value in found.items()}
         self.storage.write_text(manifest, json.dumps(record))
         self.storage.rename_all({old: f"{self.path}/{name}" for old, name in moves.items()})
 
+    def typed(self, batch: DataFrame, batch_id: int, path: str) -> tuple[DataFrame, dict]:
+        """The batch under the types that hold all values up to it, and what its manifest says of them.
+
+        The encoded rows are stored in ``path``, so the batch is computed once.
+        """
+        row_json(batch, self.dialect).write.parquet(path)
+        rows, names = self.spark.read.schema("row string").parquet(path), batch.columns
+        own = classes_of(rows, "row", names)
+        types = types_of(merged(self.seen_before(batch_id), own), names)
+        return project_typed(rows, "row", types), {"classes": own, "types": list(types.items())}
+
+    def seen_before(self, batch_id: int) -> Seen:
+        """What all earlier batches showed of the columns: one small document per batch, those merged one by one."""
+        folder, seen = f"{self.work}/manifests", {}
+        if self.storage.exists(folder):
+            manifests = self.spark.read.schema("batch_id long, classes string").json(folder)
+            earlier = manifests.where(F.col("batch_id") < batch_id).orderBy("batch_id")
+            for row in earlier.toLocalIterator():
+                seen = merged(seen, json.loads(row["classes"] or "{}"))
+        return seen
+
     def began(self) -> bool:
         """Whether some batch of this query has noted what it replaces or stored a manifest."""
         return any(self.storage.exists(f"{self.work}/{name}") for name in ("superseded.json", "manifests"))
@@ -114,11 +156,15 @@ def save_stream(
     dialect: str = EMBEDDED,
     trigger: dict | None = None,
     header: bool = False,
+    typing: str = DECLARED,
 ) -> SaveResult:
     """Run a streaming frame into the dataset ``path``; the result counts this stream's rows.
 
     The first file fixes the columns: a Parquet or ORC file with others, or with ``header`` a CSV file with another
     header line, fails its micro-batch before a row of it is stored, and the error names the file.
+
+    ``typing="inferred"`` gives Parquet and ORC columns the types of the values so far, which widen as batches come;
+    ``read_inferred`` reads all parts under the widest.
     A failed batch ends the export with its error and the same ``checkpoint`` resumes it, without
     storing or counting a row twice. A stream that overwrites drops what the target held after its
     last batch; until then, and where a batch fails, the old rows stay readable.
@@ -126,8 +172,10 @@ def save_stream(
     spark = df.sparkSession
     file_format, save_mode = parse_format(file_type), parse_mode(mode)
     distinct_names(df)
+    if typing not in (DECLARED, INFERRED) or (typing == INFERRED and file_format not in (PARQUET, ORC)):
+        raise ExportError(f"typing of a {file_format} stream cannot be {typing}")
     storage = Storage(spark)
-    target = StreamTarget(spark, storage.qualify(path), checkpoint, file_format, dialect)
+    target = StreamTarget(spark, storage.qualify(path), checkpoint, file_format, dialect, typing)
     if not storage.exists(f"{checkpoint}/metadata"):
         check_append(spark, file_format, save_mode, path)
     first = columns(df)

@@ -27,8 +27,22 @@ _SOURCE_ENTRY = "path string, batchId long"
 _PRINTS = pa.schema([("path", pa.string()), ("columns", pa.string())])
 
 
+def _kind(dtype: pa.DataType) -> str:
+    """A type's name. Variants are shredded into other columns in each file, as its values happen to be."""
+    if pa.types.is_struct(dtype):
+        names = [field.name for field in dtype]
+        if {"metadata", "value"} <= set(names) <= {"metadata", "value", "typed_value"}:
+            return "variant"
+        return f"struct<{', '.join(f'{json.dumps(field.name)}: {_kind(field.type)}' for field in dtype)}>"
+    if pa.types.is_map(dtype):
+        return f"map<{_kind(dtype.key_type)}, {_kind(dtype.item_type)}>"
+    if pa.types.is_list(dtype) or pa.types.is_large_list(dtype):
+        return f"list<{_kind(dtype.value_type)}>"
+    return str(dtype)
+
+
 def _listed(schema: pa.Schema) -> str:
-    return json.dumps([[field.name, str(field.type)] for field in schema], ensure_ascii=False)
+    return json.dumps([[field.name, _kind(field.type)] for field in schema], ensure_ascii=False)
 
 
 def file_columns(uri: str, header: bool) -> str | None:

@@ -6,10 +6,11 @@ from pyspark.errors import PySparkException
 
 from lakequery.operators.capped import cap, columns
 from lakequery.sinks.dataset import write_dataset
-from lakequery.sources.compact_json import CompactJsonError, read_compact_json, spark_type
+from lakequery.sources.compact_json import CompactJsonError, read_compact_json, spark_type, stream_compact_json
 from lakequery.sources.csv import register_csv
 from lakequery.sources.jdbc import Database, Partitioning, bounds_sql
 from lakequery.storage import scratch_dir
+from lakequery.streaming.export import save_stream
 
 TYPED = '["id","name","score"]\n["UInt64","String","Float64"]\n'
 ROWS = '[1,"alice",98.5]\n[2,"bob",87.0]\n[3,"carol",91.2]\n'
@@ -256,3 +257,49 @@ def test_bad_cells_of_a_csv_fail(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name\n1,x\nabc,y\n")
     with pytest.raises(Exception):
         read_csv(spark, str(tmp_path), "id int, name string").collect()
+
+
+def test_header_typed_files_as_a_stream(spark, tmp_path):
+    """Large files are split, batches end, a restart reads only what is new."""
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    folder.mkdir()
+    for k in range(3):
+        write(folder / f"{k}.txt", TYPED + "".join(f'[{1000 * k + i},"n{i}",0.5]\n' for i in range(1000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4kb")
+    try:
+        stream = stream_compact_json(spark, str(folder), max_files=1)
+        assert stream.dtypes == read_compact_json(spark, str(folder)).dtypes
+        assert save_stream(stream, "parquet", out, state).row_count == 3000
+        write(folder / "3.txt", TYPED + '["3000","late",null]\n\n[3001,"later",1]\n')
+        assert save_stream(stream_compact_json(spark, str(folder), max_files=1), "parquet", out, state).row_count == 3002
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    read = spark.read.parquet(out)
+    assert read.selectExpr("count(*)", "count(DISTINCT id)", "count(score)").first()[:] == (3002, 3002, 3001)
+
+
+def test_rows_like_headers_in_a_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in ("p", "q"):
+        write(folder / name, '["a","b"]\n\n["String","String"]\n["a","b"]\n["x","1"]\n["String","String"]\n')
+    save_stream(stream_compact_json(spark, str(folder)), "json", str(tmp_path / "out"), str(tmp_path / "state"))
+    rows = spark.read.schema("a string, b string").json(str(tmp_path / "out")).collect()
+    assert sorted(tuple(r) for r in rows) == sorted([("a", "b"), ("x", "1"), ("String", "String")] * 2)
+
+
+@pytest.mark.parametrize("text", ['["a","c"]\n["Int8","Int8"]\n[1,2]\n', '["a","b"]\n', '["a","b"]\n["Int8","Int16"]\n'])
+def test_a_file_with_another_header_fails_the_stream(spark, tmp_path, text):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    header = ('["a","b"]', '["Int8","Int8"]')
+    with pytest.raises(CompactJsonError, match="no file yet"):
+        stream_compact_json(spark, str(folder))
+    stream = stream_compact_json(spark, str(folder), header)
+    write(folder / "good", "\n".join(header) + "\n[1,2]\n")
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    assert save_stream(stream, "parquet", out, state).row_count == 1
+    write(folder / "foreign", text)
+    with pytest.raises(Exception, match="foreign (has a different header|is not two lines)"):
+        save_stream(stream, "parquet", out, state)
+    assert spark.read.parquet(out).count() == 1

@@ -11,6 +11,7 @@ from lakequery.sinks.dataset import write_dataset
 from lakequery.sinks.formats import ExportError
 from lakequery.storage import Storage
 from lakequery.streaming.export import check_columns, save_stream
+from lakequery.streaming.inferred import read_inferred
 
 
 @pytest.fixture
@@ -192,3 +193,47 @@ def test_files_are_checked_past_a_compacted_list(spark, tmp_path):
 def test_streams_without_files_have_nothing_to_check(spark, tmp_path):
     rate = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 10).load()
     assert save_stream(rate, "json", str(tmp_path / "out"), str(tmp_path / "state"), trigger={"once": True}).row_count == 10
+
+
+def test_types_widen_as_batches_come(spark, tmp_path):
+    """Every value of every batch is kept, and the types are those of the same rows as one batch."""
+    path, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    batches = [
+        "1, null, true, 1, null",
+        "2, 7, true, 9223372036854775808, null",
+        "2.5, 8, 3, 3, null",
+        "3, 'x', 4, 4, null",
+    ]
+    names = ["a", "b", "c", "d", "e"]
+    for k, values in enumerate(batches):
+        cells = [f"parse_json('{v}')" if v[0] != "'" else f"CAST({v} AS VARIANT)" for v in values.split(", ")]
+        row = ", ".join(f"{cell} AS {name}" for cell, name in zip(cells, names))
+        spark.sql(f"SELECT {k} AS k, {row}").coalesce(1).write.mode("append").parquet(path)
+        read = spark.readStream.schema("k int, a variant, b variant, c variant, d variant, e variant").parquet(path)
+        saved = save_stream(read, "parquet", out, state, typing="inferred")
+        assert saved.row_count == k + 1
+    df = read_inferred(spark, out, "parquet")
+    assert [kind for _, kind in df.dtypes] == ["bigint", "double", "string", "string", "double", "string"]
+    assert [tuple(r) for r in df.orderBy("k").collect()] == [
+        (0, 1.0, None, "true", 1.0, None),
+        (1, 2.0, "7", "true", 9223372036854775808.0, None),
+        (2, 2.5, "8", "3", 3.0, None),
+        (3, 3.0, "x", "4", 4.0, None),
+    ]
+    write_dataset(spark.read.parquet(path).orderBy("k"), "parquet", str(tmp_path / "whole"), typing="inferred")
+    assert spark.read.parquet(str(tmp_path / "whole")).dtypes == df.dtypes
+    with pytest.raises(ExportError, match="typing of a csv stream"):
+        save_stream(read, "csv", str(tmp_path / "c"), str(tmp_path / "cs"), typing="inferred")
+    with pytest.raises(ExportError, match="no export of a stream"):
+        read_inferred(spark, path, "parquet")
+
+
+def test_an_inferred_batch_that_runs_again_replaces_itself(spark, files, tmp_path):
+    out, state = str(tmp_path / "out"), tmp_path / "state"
+    save_stream(stream(spark, files), "orc", out, str(state), typing="inferred")
+    for mark in glob.glob(f"{state}/commits/3") + glob.glob(f"{state}/commits/.3.crc"):
+        (state / "commits" / mark.rsplit("/", 1)[-1]).unlink()
+    assert save_stream(stream(spark, files), "orc", out, str(state), typing="inferred").row_count == 1000
+    df = read_inferred(spark, out, "orc")
+    assert df.dtypes == [("id", "bigint"), ("name", "string")]
+    assert df.count() == 1000 == df.select("id").distinct().count()
