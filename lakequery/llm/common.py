@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.storage import scratch_dir
+from lakequery.storage import drop_scratch, scratch_dir
 
 # How much text Python handles at a time where it works on whole batches.
 SLICE_BYTES = 4 << 20
@@ -60,7 +60,15 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read again: a lost executor then costs a read, not a rerun."""
     path = scratch_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read.scratch_path = path
+    return read
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that nothing reads any more."""
+    for table in tables:
+        drop_scratch(table.sparkSession, table.scratch_path)
 
 
 def documents(df: DataFrame) -> DataFrame:

@@ -32,7 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import stored
+from lakequery.llm.common import discard, stored
+from lakequery.operators.numbering import number_rows
 
 LENGTH = 100
 GRAM = 16
@@ -428,23 +429,26 @@ def window_rows(rows: DataFrame, bits: np.ndarray, shared: np.ndarray) -> DataFr
     return rows.mapInArrow(run, "g bigint, k bigint, doc_id bigint, lo bigint, hi bigint")
 
 
-def repeated_starts(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """doc_id, lo, hi: all windows that start between lo and hi occur earlier. ``rows``: doc_id, data."""
+def repeated_starts(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """doc_id, lo, hi: all windows that start between lo and hi occur earlier. ``rows``: doc_id, data.
+
+    Also the stored tables to discard once that has been read.
+    """
     counted = anchors(rows).groupBy("g").agg(F.sum("n").alias("n")).where("n > 1")
     runs = stored(spark, repeated_runs(rows, filter_of(counted.select("g"))), "runs")
     settled = stored(spark, settled_runs(runs), "settled")
+    discard(runs)
     heads = settled.where("head").drop("head")
     in_question = heads.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0))).first()[0]
     parts = 1 << max(0, int(in_question // PART_KEYS).bit_length())
     places = filter_of(head_places(heads))
+    within = settled.where("NOT head").drop("head")
     windows = stored(spark, sorted_windows(rows, places, parts), "windows")
+    repeats = stored(spark, within.unionByName(windows.where("part IS NULL").select("doc_id", "lo", "hi")), "repeats")
     shared = filter_of(shared_keys(windows.where("part IS NOT NULL")))
+    discard(settled, windows)
     across = stored(spark, window_rows(rows, places, shared), "across")
-    return (
-        settled.where("NOT head").drop("head")
-        .unionByName(windows.where("part IS NULL").select("doc_id", "lo", "hi"))
-        .unionByName(settled_runs(across).where("NOT head").drop("head"))
-    )
+    return repeats.unionByName(settled_runs(across).where("NOT head").drop("head")), [repeats, across]
 
 
 RESULT = pa.schema(
@@ -480,8 +484,7 @@ def digested(rows: DataFrame, touched: np.ndarray, with_text: bool) -> DataFrame
         for batch in batches:
             if not batch.num_rows:
                 continue
-            given, data = batch.column(0), batch.column(1).to_pylist()
-            ids = pc.fill_null(given, LAST_ID)
+            given, ids, data = batch.column(0), batch.column(1), batch.column(2).to_pylist()
             needed = with_text | held_by(touched, place_hash(ids.to_numpy(), np.zeros(len(ids), np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -497,18 +500,37 @@ def digested(rows: DataFrame, touched: np.ndarray, with_text: bool) -> DataFrame
     return rows.mapInArrow(run, "given bigint, doc_id bigint, data binary, size bigint, digest string")
 
 
+def identified(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """given, doc_id and data of each row: a number per document that rises with the given id.
+
+    That is the id itself where every id has one text. Otherwise the different pairs of id and text hash are
+    numbered, which takes a shuffle of the texts and a stored copy of them.
+    """
+    hashed = rows.withColumn("h", F.xxhash64("data")).withColumn("h2", F.xxhash64(F.lit(1), "data"))
+    texts = F.struct("h", "h2")
+    shared = hashed.groupBy("given").agg(F.min(texts).alias("low"), F.max(texts).alias("high"))
+    if not shared.where((F.col("low") != F.col("high")) | (F.col("given") == LAST_ID)).limit(1).count():
+        return rows.select("given", F.coalesce("given", F.lit(LAST_ID)).alias("doc_id"), "data")
+    pairs = hashed.select(F.col("given").isNull().alias("nameless"), "given", "h", "h2").distinct()
+    numbers = number_rows(pairs, ["nameless", "given", "h", "h2"], name="doc_id", unique=True)
+    of = numbers.select(F.col("given").alias("n_given"), F.col("h").alias("n_h"), F.col("h2").alias("n_h2"), "doc_id")
+    same = F.col("given").eqNullSafe(F.col("n_given")) & (F.col("h") == F.col("n_h")) & (F.col("h2") == F.col("n_h2"))
+    return stored(spark, hashed.join(of, same).select("given", "doc_id", "data"), "numbered-texts")
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept.
 
     kept is what is left, as bytes. Null texts are empty; texts under ``LENGTH`` bytes stay whole.
     Rows without an id come after all others. Rows that repeat id and text are the same document, in
-    which nothing is a repeat of itself; ids of different texts are taken to differ.
+    which nothing is a repeat of itself; different texts under one id, or under none, are documents of
+    their own, in the order of their hashes.
     """
     data = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col("doc_id").cast("long").alias("given"), data.alias("data"))
-    known = rows.select(F.coalesce("given", F.lit(LAST_ID)).alias("doc_id"), "data")
-    ranges = repeated_starts(spark, known.where(F.octet_length("data") >= LENGTH))
+    rows = identified(spark, docs.select(F.col("doc_id").cast("long").alias("given"), data.alias("data")))
+    ranges, used = repeated_starts(spark, rows.where(F.octet_length("data") >= LENGTH).select("doc_id", "data"))
     collected = stored(spark, ranges.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
+    discard(*used)
     touched = filter_of(head_places(collected.select("doc_id", F.lit(0).cast("long").alias("lo"))))
     joined = digested(rows, touched, with_text).join(collected, "doc_id", "left")
     schema = RESULT if with_text else RESULT.remove(RESULT.get_field_index("kept"))

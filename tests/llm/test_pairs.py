@@ -233,6 +233,26 @@ def test_repeats_of_odd_rows(spark):
     assert suffix_dedup.remove_repeats(spark, df.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_or_have_none_are_documents_of_their_own(spark):
+    """Ranges found in one of them must not reach the others."""
+    rng = random.Random(3)
+    a, b, c, d = ("".join(rng.choices("abcdefgh", k=260)) for _ in range(4))
+
+    def kept(docs):
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+        return sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.kept.decode()) for r in suffix_dedup.remove_repeats(spark, df).collect())
+
+    assert kept([(1, a), (None, b + a), (None, c)]) == [(False, 1, 260, a), (True, 0, 260, c), (True, 0, 520, b)]
+    assert kept([(1, a), (2, b + a), (2, c), (2, c), (3, d)]) == [
+        (False, 1, 260, a), (False, 2, 260, c), (False, 2, 260, c), (False, 2, 520, b), (False, 3, 260, d),
+    ]
+    both = kept([(None, b + a), (None, a + c), (None, d)])
+    assert [row[-1] for row in both if row[2] == 260] == [d]
+    assert sorted(row[-1] for row in both if row[2] == 520) in (sorted([b + a, c]), sorted([b, a + c]))
+    largest = 2**63 - 1
+    assert kept([(largest, a + b), (None, c + b)]) == [(False, largest, 520, a + b), (True, 0, 520, c)]
+
+
 def test_suffix_order_and_cover():
     shifts = {(a - b) % suffix_dedup.PERIOD for a in suffix_dedup.COVER for b in suffix_dedup.COVER}
     assert shifts == set(range(suffix_dedup.PERIOD))
