@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,9 +90,84 @@ def number_rows(
     sums are broadcast. Columns of any type and repeated names are kept. ``unique`` says that
     ``order`` is a key.
     """
-    spark = df.sparkSession
     if name in [c.lower() for c in df.columns]:
         raise ValueError(f"there is a column {name} already")
+    stored = store_in_order(df, order, unique)
+    offsets = stored.spark.createDataFrame([(p.number, p.start) for p in stored.parts], "_lq_part int, _lq_start long")
+    return (
+        stored.read(stored.path)
+        .withColumn("_lq_part", _part_of())
+        .join(F.broadcast(offsets), "_lq_part")
+        .select(*stored.given_back(), (F.col("_lq_start") + _position_of()).alias(name))
+    )
+
+
+def _part_of() -> Column:
+    return F.shiftright(F.col(_PLACE), _POSITION_BITS).cast("int")
+
+
+def _position_of() -> Column:
+    return F.col(_PLACE).bitwiseAND((1 << _POSITION_BITS) - 1)
+
+
+@dataclass(frozen=True)
+class Part:
+    """One file of a stored result: the number of its partition and of its first row, and how many rows it has."""
+
+    number: int
+    start: int
+    rows: int
+    file: str
+
+
+@dataclass(frozen=True)
+class StoredResult:
+    """A result written in order, with an index of where each file's rows stand in it: one entry per file.
+
+    Rows are found by position without a shuffle: the index names the files, and the places kept beside the
+    rows, which rise through a file, let its row groups be skipped.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    fields: list[tuple[str, T.DataType]]
+    parts: list[Part]
+
+    @property
+    def total(self) -> int:
+        return self.parts[-1].start + self.parts[-1].rows if self.parts else 0
+
+    def read(self, *paths: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def given_back(self) -> list[Column]:
+        return [
+            (F.col(f"_{i}").cast("interval") if isinstance(kind, T.CalendarIntervalType) else F.col(f"_{i}")).alias(n)
+            for i, (n, kind) in enumerate(self.fields)
+        ]
+
+    def rows(self, first: int, count: int, name: str = "row_ord") -> DataFrame:
+        """The rows from number ``first`` on, at most ``count``, with their number; only their files are opened."""
+        last = min(first + max(count, 0), self.total)
+        low = max(0, bisect_right(self.parts, first, key=lambda p: p.start) - 1)
+        wanted = [p for p in self.parts[low : bisect_left(self.parts, last, key=lambda p: p.start)] if p.start + p.rows > first]
+        if first >= last or not wanted:
+            return self.read(self.path).limit(0).select(*self.given_back(), F.lit(0).cast("long").alias(name))
+        # Only the first and the last of the files hold other rows as well, so two bounds do.
+        head, tail = wanted[0], wanted[-1]
+        from_place = (head.number << _POSITION_BITS) + first - head.start
+        to_place = (tail.number << _POSITION_BITS) + last - tail.start
+        rows = self.read(*[p.file for p in wanted]).where((F.col(_PLACE) >= from_place) & (F.col(_PLACE) < to_place))
+        starts = F.lit(head.start)
+        for p in wanted[1:]:
+            starts = F.when(_part_of() == p.number, F.lit(p.start)).otherwise(starts)
+        return rows.select(*self.given_back(), (starts + _position_of()).cast("long").alias(name))
+
+
+def store_in_order(df: DataFrame, order: list[str] | None = None, unique: bool = False) -> StoredResult:
+    """Write ``df`` once, in its own order or by ``order``, and index it; the driver sees one row per file."""
+    spark = df.sparkSession
     ordered, fields = _storable(df)
     if order:
         names = [column.lower() for column in df.columns]
@@ -98,23 +176,13 @@ def number_rows(
     placed = ordered.withColumn(_PLACE, F.monotonically_increasing_id())
     placed.write.option("maxRecordsPerFile", 0).parquet(path)
     fixed = spark.read.schema(placed.schema).parquet(path)
-    part = F.shiftright(F.col(_PLACE), _POSITION_BITS).cast("int").alias("_lq_part")
-    counts = sorted(fixed.groupBy(part).count().collect())
-    starts = [0, *accumulate(row["count"] for row in counts)]
-    offsets = spark.createDataFrame(
-        [(row["_lq_part"], start) for row, start in zip(counts, starts)],
-        "_lq_part int, _lq_start long",
-    )
-    position = F.col(_PLACE).bitwiseAND((1 << _POSITION_BITS) - 1)
-    given_back = [
-        (F.col(f"_{i}").cast("interval") if isinstance(kind, T.CalendarIntervalType) else F.col(f"_{i}")).alias(n)
-        for i, (n, kind) in enumerate(fields)
-    ]
-    return (
-        fixed.withColumn("_lq_part", part)
-        .join(F.broadcast(offsets), "_lq_part")
-        .select(*given_back, (F.col("_lq_start") + position).alias(name))
+    counted = fixed.groupBy(_part_of().alias("part")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("_metadata.file_path").alias("file")
     )
+    found = sorted(counted.collect())
+    starts = accumulate((row["rows"] for row in found), initial=0)
+    parts = [Part(row["part"], start, row["rows"], row["file"]) for row, start in zip(found, starts)]
+    return StoredResult(spark, path, placed.schema, fields, parts)
 
 
 def with_batch_id(
@@ -136,10 +204,18 @@ def with_batch_id(
 
 
 def pages(df: DataFrame, rows: int) -> DataFrame:
-    """The rows in result order, in partitions of ``rows`` rows each, to be read one by one."""
+    """The rows in result order, in partitions of ``rows`` rows each, for jobs that take a page per task."""
     numbered = number_rows(df, name="_lq_row")
     last = numbered.agg(F.max("_lq_row")).first()[0]
     count = 1 if last is None else last // rows + 1
     page = F.expr(f"CAST(_lq_row div {rows} AS INT)")
     placed = numbered.repartitionById(count, page).sortWithinPartitions("_lq_row")
     return placed.drop("_lq_row")
+
+
+def page_rows(df: DataFrame, rows: int) -> Iterator[Row]:
+    """The rows in result order, read ``rows`` at a time: the driver holds one such page, and no task more."""
+    stored = store_in_order(df)
+    for first in range(0, stored.total, rows):
+        page = stored.rows(first, rows, "_lq_row").collect()
+        yield from sorted(page, key=lambda row: row[-1])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakequery.operators.capped import query
-from lakequery.operators.numbering import with_batch_id
+from lakequery.operators.numbering import store_in_order, with_batch_id
 from lakequery.plans.registry import plan, table, views
 
 LINEITEM_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -93,6 +93,28 @@ def batch_tail(spark, sf_dir):
     return with_batch_id(events, 333, ["event_id"], unique=True).select("batch_id", "event_id")
 
 
+@plan(
+    """
+    WITH numbered AS (
+      SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+        row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS row_ord FROM lineitem)
+    SELECT row_ord // 333 AS page, l_orderkey, l_linenumber, row_ord FROM numbered
+    WHERE row_ord // 333 IN (0, 7, 12, (SELECT (count(*) - 1) // 333 FROM lineitem))
+    """
+)
+def page_lookup(spark, sf_dir):
+    """Single pages of a result in order, the last one short; each opens the files that hold it."""
+    result = store_in_order(table(spark, sf_dir, "lineitem").select(*LINEITEM_KEY), LINEITEM_KEY)
+    found = [
+        result.rows(333 * page, 333).withColumn("page", F.lit(page).cast("long"))
+        for page in sorted({0, 7, 12, (result.total - 1) // 333})
+    ]
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every.select("page", "l_orderkey", "l_linenumber", "row_ord")
+
+
 def sql_plan(name: str, tables: list[str], sql: str, oracle: str | None = None) -> None:
     """Register SQL that runs unchanged, whole, through Spark."""
 

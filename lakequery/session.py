@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakequery.functions.encode import EMBEDDED, row_json
 from lakequery.operators.capped import ColumnMeta, cap, columns, row_cap
-from lakequery.operators.numbering import chunk_size, pages, with_batch_id
+from lakequery.operators.numbering import chunk_size, page_rows, with_batch_id
 from lakequery.sinks.dataset import DECLARED, write_dataset
 from lakequery.sinks.formats import SaveResult
 from lakequery.sources.jdbc import Database, Partitioning, read_database
@@ -170,7 +170,7 @@ class Session:
     ) -> Iterator[QueryBatch]:
         meta, rows, sent, timer = columns(df), [], 0, Timer()
         try:
-            for line in pages(row_json(df, self.dialect), size * PAGE_CHUNKS).toLocalIterator():
+            for line in page_rows(row_json(df, self.dialect), size * PAGE_CHUNKS):
                 rows.append(json.loads(line[0]))
                 if len(rows) == size:
                     sent += size

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lakequery.operators.numbering import number_rows, spread_sort, with_batch_id
+from lakequery.operators.numbering import number_rows, page_rows, spread_sort, store_in_order, with_batch_id
 
 
 def test_numbers_are_dense_and_follow_the_order(spark):
@@ -58,3 +58,30 @@ def test_empty_result(spark):
 def test_numbering_does_not_use_an_unpartitioned_window(spark):
     plan = number_rows(spark.range(100), ["id"])._jdf.queryExecution().toString()
     assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_pages_open_only_their_files_and_shuffle_nothing(spark):
+    df = spark.range(0, 5000, 1, 9).select((F.col("id") * 7919 % 10_007).alias("k"))
+    want = sorted(r["k"] for r in df.collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        result = store_in_order(df, ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert result.total == 5000 and len(result.parts) > 2
+    edge = result.parts[1].start
+    for first, count in [(0, 1), (0, 5000), (edge - 3, 6), (edge, 10), (4990, 100), (4999, 1), (17, 4000)]:
+        page = result.rows(first, count)
+        got = {r["row_ord"]: r["k"] for r in page.collect()}
+        assert got == {n: want[n] for n in range(first, min(first + count, 5000))}
+        plan = page._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "_lq_place" in plan.split("PushedFilters", 1)[1].split("ReadSchema")[0]
+    assert len(result.rows(0, 5).inputFiles()) == 1 and len(result.rows(edge - 1, 2).inputFiles()) == 2
+    for first, count in [(5000, 10), (0, 0), (3, -1)]:
+        assert result.rows(first, count).count() == 0
+
+
+def test_rows_page_by_page(spark):
+    df = spark.sql("SELECT id FROM range(0, 1000, 1, 5) ORDER BY id DESC")
+    assert [r["id"] for r in page_rows(df, 64)] == list(range(999, -1, -1))
+    assert list(page_rows(spark.range(0), 64)) == []
