@@ -51,61 +51,61 @@ def test_format_and_mode_names():
 
 
 @pytest.mark.parametrize("name", FORMATS)
-def test_row_count_and_result_name(people, tmp_path, name):
-    saved = write_dataset(people, "xlsx" if name == "excel" else name, str(tmp_path / "t"))
+def test_row_count_and_result_name(stock, tmp_path, name):
+    saved = write_dataset(stock, "xlsx" if name == "excel" else name, str(tmp_path / "t"))
     assert (saved.file_type, saved.row_count) == (name, 2)
 
 
 @pytest.mark.parametrize("name, label", [("parquet", "parquet"), ("orc", "orc"), ("xlsx", "excel/xlsx")])
-def test_append_is_refused_where_files_cannot_grow(people, tmp_path, name, label):
+def test_append_is_refused_where_files_cannot_grow(stock, tmp_path, name, label):
     path = str(tmp_path / "t")
-    write_dataset(people, name, path, "append")
+    write_dataset(stock, name, path, "append")
     with pytest.raises(ExportError, match=f"Append mode is not supported for {label} exports"):
-        write_dataset(people, name, path, "append")
-    write_dataset(people, name, path)
+        write_dataset(stock, name, path, "append")
+    write_dataset(stock, name, path)
 
 
-def test_dataset_append_and_overwrite(spark, people, tmp_path):
+def test_dataset_append_and_overwrite(spark, stock, tmp_path):
     for name in ("csv", "json"):
         path = str(tmp_path / name)
-        write_dataset(people, name, path)
-        write_dataset(people, name, path, "append")
+        write_dataset(stock, name, path)
+        write_dataset(stock, name, path, "append")
         read = spark.read.json(path) if name == "json" else read_csv(spark, path)
         assert read.count() == 4
-        write_dataset(people, name, path)
+        write_dataset(stock, name, path)
         read = spark.read.json(path) if name == "json" else read_csv(spark, path)
-        assert sorted(tuple(r[c] for c in ("id", "name", "score")) for r in read.collect()) == [
-            (1, "alice", 98),
-            (2, "bob", 87),
+        assert sorted(tuple(r[c] for c in ("sku", "part", "bins")) for r in read.collect()) == [
+            (7, "rivet", 310),
+            (9, "nut, hex", 45),
         ]
 
 
-def test_dataset_json_append_checks_what_is_there(people, tmp_path):
+def test_dataset_json_append_checks_what_is_there(stock, tmp_path):
     path = tmp_path / "d"
     path.mkdir()
     (path / "x.csv").write_text("id,name\n")
     with pytest.raises(ExportError, match="does not hold JSON rows"):
-        write_dataset(people, "json", str(path), "append")
+        write_dataset(stock, "json", str(path), "append")
 
 
-def test_csv_append_needs_the_same_columns(spark, people, tmp_path):
+def test_csv_append_needs_the_same_columns(spark, stock, tmp_path):
     path = str(tmp_path / "t")
-    write_dataset(people, "csv", path)
+    write_dataset(stock, "csv", path)
     with pytest.raises(ExportError, match="its columns are"):
-        write_dataset(people.select("name", "id", "score"), "csv", path, "append")
+        write_dataset(stock.select("part", "sku", "bins"), "csv", path, "append")
     assert read_csv(spark, path).count() == 2
 
 
-def test_one_file_is_no_dataset(people, tmp_path):
+def test_one_file_is_no_dataset(stock, tmp_path):
     (tmp_path / "f").write_text("id\n1\n")
     with pytest.raises(ExportError, match="one file"):
-        write_dataset(people, "csv", str(tmp_path / "f"), "append")
-    assert write_dataset(people, "csv", str(tmp_path / "f")).row_count == 2
+        write_dataset(stock, "csv", str(tmp_path / "f"), "append")
+    assert write_dataset(stock, "csv", str(tmp_path / "f")).row_count == 2
 
 
-def test_a_failed_swap_rolls_back(spark, people, tmp_path, monkeypatch):
+def test_a_failed_swap_rolls_back(spark, stock, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
-    write_dataset(people, "csv", path)
+    write_dataset(stock, "csv", path)
     rename, calls = Storage.rename, []
 
     def second_fails(self, source, target):
@@ -116,30 +116,30 @@ def test_a_failed_swap_rolls_back(spark, people, tmp_path, monkeypatch):
 
     monkeypatch.setattr(Storage, "rename", second_fails)
     with pytest.raises(OSError, match="away"):
-        write_dataset(people.where("id = 1"), "csv", path)
+        write_dataset(stock.where("sku = 7"), "csv", path)
     assert read_csv(spark, path).count() == 2
 
 
 @pytest.mark.parametrize("name", FORMATS)
-def test_empty_result_keeps_columns(spark, people, tmp_path, name):
-    empty = people.where("id < 0")
+def test_empty_result_keeps_columns(spark, stock, tmp_path, name):
+    empty = stock.where("sku < 0")
     dataset = str(tmp_path / "d")
     assert write_dataset(empty, name, dataset).row_count == 0
     if name == "csv":
-        assert read_csv(spark, dataset).columns == ["id", "name", "score"]
+        assert read_csv(spark, dataset).columns == ["sku", "part", "bins"]
     elif name == "json":
         assert spark.read.text(dataset).count() == 0
     elif name == "excel":
         for path in glob.glob(f"{dataset}/*.xlsx"):
-            assert [[c[1] for c in r.values()] for r in sheet(path)] == [["id", "name", "score"]]
+            assert [[c[1] for c in r.values()] for r in sheet(path)] == [["sku", "part", "bins"]]
     else:
-        assert spark.read.format(name).load(dataset).columns == ["id", "name", "score"]
+        assert spark.read.format(name).load(dataset).columns == ["sku", "part", "bins"]
 
 
 @pytest.mark.parametrize("name", FORMATS)
-def test_failed_export_leaves_the_target(spark, people, tmp_path, name):
+def test_failed_export_leaves_the_target(spark, stock, tmp_path, name):
     path = str(tmp_path / "t")
-    write_dataset(people, name, path)
+    write_dataset(stock, name, path)
     before = data_files(path)
     failing = spark.sql("SELECT CASE WHEN id < 900 THEN id ELSE raise_error('boom') END AS id FROM range(1000)")
     with pytest.raises(PySparkException, match="boom"):
@@ -167,11 +167,11 @@ def test_save_has_no_row_cap(spark, tmp_path):
     assert session.save("SELECT id FROM range(5000)", "parquet", str(tmp_path / "t")).row_count == 5000
 
 
-def test_overwrite_may_read_its_own_target(spark, people, tmp_path):
+def test_overwrite_may_read_its_own_target(spark, stock, tmp_path):
     path = str(tmp_path / "t")
-    write_dataset(people, "parquet", path)
-    write_dataset(spark.read.parquet(path).withColumn("score", F.col("score") + 1), "parquet", path)
-    assert sorted(r["score"] for r in spark.read.parquet(path).collect()) == [88, 99]
+    write_dataset(stock, "parquet", path)
+    write_dataset(spark.read.parquet(path).withColumn("bins", F.col("bins") + 1), "parquet", path)
+    assert sorted(r["bins"] for r in spark.read.parquet(path).collect()) == [46, 311]
 
 
 def test_repeated_names_are_refused(spark, tmp_path):
@@ -258,32 +258,32 @@ def test_full_workbooks_roll_over(spark, tmp_path, monkeypatch):
     assert [int(c[1]) for r in rows for line in r[1:] for c in line.values()] == list(range(100))
 
 
-def test_count_needs_no_second_job(spark, people, tmp_path):
+def test_count_needs_no_second_job(spark, stock, tmp_path):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("export", "export")
-    write_dataset(people, "parquet", str(tmp_path / "t"))
+    write_dataset(stock, "parquet", str(tmp_path / "t"))
     jobs = tracker.getJobIdsForGroup("export")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(jobs) == 1
 
 
-def test_overwrite_where_a_rename_would_copy(spark, people, tmp_path, monkeypatch):
+def test_overwrite_where_a_rename_would_copy(spark, stock, tmp_path, monkeypatch):
     """Object stores get the new parts first and lose the old ones after."""
     monkeypatch.setattr(Storage, "renames_cheaply", lambda self, path: False)
     path = str(tmp_path / "t")
-    write_dataset(people, "json", path)
+    write_dataset(stock, "json", path)
     first = data_files(path)
-    write_dataset(spark.read.json(path).where("id = 1"), "json", path)
-    assert [r["id"] for r in spark.read.json(path).collect()] == [1]
+    write_dataset(spark.read.json(path).where("sku = 7"), "json", path)
+    assert [r["sku"] for r in spark.read.json(path).collect()] == [7]
     assert not {f for f in first if "/part-" in f} & set(data_files(path))
     with pytest.raises(PySparkException, match="boom"):
         write_dataset(spark.sql("SELECT raise_error('boom') AS x"), "json", path)
-    assert [r["id"] for r in spark.read.json(path).collect()] == [1]
+    assert [r["sku"] for r in spark.read.json(path).collect()] == [7]
 
 
-def test_no_leftovers_beside_a_target(people, tmp_path):
+def test_no_leftovers_beside_a_target(stock, tmp_path):
     for _ in range(2):
-        write_dataset(people, "csv", str(tmp_path / "t"))
+        write_dataset(stock, "csv", str(tmp_path / "t"))
     assert os.listdir(tmp_path) == ["t"]
 
 

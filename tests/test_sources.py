@@ -13,7 +13,7 @@ from lakequery.storage import scratch_dir
 from lakequery.streaming.export import save_stream
 
 TYPED = '["id","name","score"]\n["UInt64","String","Float64"]\n'
-ROWS = '[1,"alice",98.5]\n[2,"bob",87.0]\n[3,"carol",91.2]\n'
+ROWS = '[31,"quay",4.5]\n[32,"pier",-7.0]\n[40,"dock",0.25]\n'
 
 
 def write(path, text):
@@ -22,11 +22,11 @@ def write(path, text):
 
 
 def test_csv_view(spark, tmp_path):
-    path = write(tmp_path / "p.csv", 'id,name,score\n1,alice,98\n2,"b\no""b",87\n')
-    register_csv(spark, "csv_people", path)
-    df = spark.sql("SELECT id, name, score FROM csv_people ORDER BY id")
+    path = write(tmp_path / "p.csv", 'id,name,score\n31,quay,5\n32,"p\ni""er",-2\n')
+    register_csv(spark, "csv_places", path)
+    df = spark.sql("SELECT id, name, score FROM csv_places ORDER BY id")
     assert df.schema.simpleString() == "struct<id:int,name:string,score:int>"
-    assert [tuple(r) for r in df.collect()] == [(1, "alice", 98), (2, 'b\no"b', 87)]
+    assert [tuple(r) for r in df.collect()] == [(31, "quay", 5), (32, 'p\ni"er', -2)]
 
 
 def test_csv_schema_skips_detection(spark, tmp_path):
@@ -39,7 +39,7 @@ def test_compact_rows(spark, tmp_path):
     assert [tuple(c) for c in columns(df)] == [("id", "UInt64"), ("name", "String"), ("score", "Float64")]
     assert df.schema.simpleString() == "struct<id:decimal(20,0),name:string,score:double>"
     rows = cap(df, 2).collect()
-    assert [(int(r["id"]), r["name"], r["score"]) for r in rows] == [(1, "alice", 98.5), (2, "bob", 87.0)]
+    assert [(int(r["id"]), r["name"], r["score"]) for r in rows] == [(31, "quay", 4.5), (32, "pier", -7.0)]
 
 
 def test_compact_header_without_rows(spark, tmp_path):
@@ -226,7 +226,7 @@ def test_odd_paths_and_packed_files(spark, tmp_path):
     folder.mkdir()
     with gzip.open(folder / "rows x.txt.gz", "wt") as file:
         file.write(TYPED + ROWS)
-    assert read_compact_json(spark, str(folder)).selectExpr("sum(score)").first()[0] == 276.7
+    assert read_compact_json(spark, str(folder)).selectExpr("sum(score)").first()[0] == -2.25
     saved = write_dataset(spark.range(5), "xlsx", str(folder / "book s"))
     assert saved.row_count == 5 and list((folder / "book s").glob("*.xlsx"))
 
