@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,3 +92,16 @@ def slices(texts: list[str], bound: int = SLICE_BYTES) -> Iterator[range]:
         size += len(text)
     if start < len(texts):
         yield range(start, len(texts))
+
+
+def text_slices(batch: pa.RecordBatch, column: int, bound: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of a few megabytes of text together; a longer one stands alone. Nothing is copied."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), np.int64)
+    start, held = 0, 0
+    for k, size in enumerate(sizes.tolist()):
+        if held and held + size > bound:
+            yield batch.slice(start, k - start)
+            start, held = k, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)

@@ -15,6 +15,7 @@ import math
 import os
 import re
 import zlib
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -24,14 +25,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import documents, map_columns, slices, stored
+from lakequery.llm.common import documents, spark_schema, stored, text_slices
 
 CAPACITY = 4096
 END_ID = 1
 # Pieces of a group, on average, in every round.
 GROUP_PIECES = 2048
 # Chunks and parts whose ids a process keeps; a table starts anew at this size.
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 700_000
+# How much text is tokenized at a time: the more, the more words it has in common.
+SLICE_BYTES = 8 << 20
 
 PIECE = pa.schema(
     [
@@ -134,21 +137,20 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
     path = path or tokenizer_path()
     end = np.array([END_ID], "<u4").tobytes()
 
-    def run(c: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {name: [] for name in PIECE.names}
-        texts = [text or "" for text in c["text"]]
-        for rows in slices(texts):
-            every, bounds = chunk_tokenizer(path).encode(pa.array(texts[rows.start : rows.stop], pa.string()))
-            for k, row in enumerate(rows):
-                ids = every[bounds[k] : bounds[k + 1]].tobytes() + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    values = (c["doc_id"][row], piece, at // 4, len(part) // 4, zlib.crc32(part))
-                    for name, value in zip(PIECE.names, values):
-                        out[name].append(value)
-        return out
-
-    return map_columns(documents(docs), PIECE, run)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in text_slices(batch, 1, SLICE_BYTES):
+                out: list[tuple] = []
+                # The texts stay in Arrow: only what is new of their chunks becomes Python text.
+                every, bounds = chunk_tokenizer(path).encode(pc.fill_null(rows.column(1), ""))
+                for doc_id, low, high in zip(rows.column(0).to_pylist(), bounds.tolist(), bounds[1:].tolist()):
+                    ids = every[low:high].tobytes() + end
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at : at + 4 * capacity]
+                        out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PIECE)], schema=PIECE)
+
+    return documents(docs).mapInArrow(run, spark_schema(PIECE))
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

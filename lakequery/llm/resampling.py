@@ -19,11 +19,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import SLICE_BYTES, spark_schema, stored
+from lakequery.llm.common import SLICE_BYTES, spark_schema, stored, text_slices
 from lakequery.operators.numbering import number_rows
 
 BUCKETS = 10_000
@@ -70,19 +69,6 @@ def parts_of(text: bytes, bound: int = SLICE_BYTES) -> Iterator[list[bytes]]:
     yield text[start:].translate(TABLE).split()
 
 
-def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Neighbouring rows of a few megabytes of text together; a longer one stands alone."""
-    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), np.int64)
-    start, held = 0, 0
-    for k, size in enumerate(sizes.tolist()):
-        if held and held + size > SLICE_BYTES:
-            yield batch.slice(start, k - start)
-            start, held = k, 0
-        held += size
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def frequent_runs(texts: DataFrame, max_words: int, head_runs: int = HEAD_RUNS) -> dict[bytes, int]:
     """The CRC states of the words, and of the pairs where runs have two words, that occur most in all ``texts``.
 
@@ -96,7 +82,7 @@ def frequent_runs(texts: DataFrame, max_words: int, head_runs: int = HEAD_RUNS)
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
-            for rows in text_slices(batch, 0):
+            for rows in text_slices(batch, 0, SLICE_BYTES):
                 for text in rows.column(0).to_pylist():
                     for words in parts_of(text or b""):
                         counts.update(words)
@@ -170,7 +156,7 @@ def bags_of(rows: DataFrame, hasher: Hasher) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, SLICE_BYTES):
                 made = hasher.of_texts(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [
