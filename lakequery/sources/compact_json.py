@@ -203,19 +203,21 @@ def _typed_rows(data: DataFrame, names: list[str], types: list[str]) -> DataFram
     wrapped = F.concat(F.lit('{"row":'), "line", F.lit(',"end":0}'))
     parsed = data.select(
         "line",
-        F.from_json(wrapped, "row array<variant>, end int").alias("parsed"),
-        F.from_json(wrapped, "row array<string>").getField("row").alias("tokens"),
-    ).select("line", "parsed.end", F.col("parsed.row").alias("cells"), "tokens")
-    broken = F.col("cells").isNull() | F.col("end").isNull()
+        F.from_json(wrapped, "row array<variant>, end int").alias("doc"),
+        F.from_json(wrapped, "row array<string>").alias("texts"),
+    )
+    broken = F.col("doc.row").isNull() | F.col("doc.end").isNull()
     said = F.concat(
         F.when(broken, "line is not one JSON array: ").otherwise(
-            F.concat(F.lit(f"expected {len(names)} values, found "), F.size("cells").cast("string"), F.lit(": "))
+            F.concat(F.lit(f"expected {len(names)} values, found "), F.size("doc.row").cast("string"), F.lit(": "))
         ),
         "line",
     )
-    # A filter, not a column: it holds whatever columns are read, and for a count as well.
-    whole = F.when(broken | (F.size("cells") != len(names)), F.raise_error(said).cast("boolean")).otherwise(True)
-    return parsed.where(whole).select(
+    # A generator of one row: it holds whatever columns are read, for a count as well, and what it takes from
+    # is parsed once below it, where a filter or a projection would be merged with the parsing and repeat it.
+    row = F.array(F.struct(F.col("doc.row").alias("cells"), F.col("texts.row").alias("tokens")))
+    whole = F.when(broken | (F.size("doc.row") != len(names)), F.raise_error(said)).otherwise(row)
+    return parsed.select(F.inline(whole)).select(
         *[
             _cell(F.col("cells")[i], F.col("tokens")[i], kind, declared).alias(
                 name, metadata={NATIVE_TYPE: declared}
