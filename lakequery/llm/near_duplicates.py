@@ -6,8 +6,8 @@ the set. All coordinates of a shingle thus lie next to each other in one table o
 
 Documents of equal sets are one class, known by its smallest doc_id. Classes that agree in a band meet
 in a bucket. First each class is verified against the smallest one it meets, which connects large groups
-by as many comparisons as they have members, then against the leaders of its other buckets that are not
-in its component by then. Whatever bucket then still holds several components
+by as many comparisons as they have members, then, in two rounds, against one leader of each other component
+it meets that the sketch does not rule out. Whatever bucket then still holds several components
 has its remaining pairs across components verified, after a sketch has ruled out those far from the
 threshold. Links are confirmed on full sets; components follow by label propagation.
 """
@@ -18,6 +18,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import slices, spark_schema, stored
+from lakequery.llm.common import spark_schema, stored, text_slices
 
 WORDS = 5
 # Similarity of 75 in 100, held exactly in whole numbers.
@@ -35,13 +36,16 @@ BANDS, ROWS = 60, 6
 COORDINATES = BANDS * ROWS
 # Places on the circle, a power of two.
 CIRCLE = 1 << 18
-# Words of the sketch, 64 bits each, and the least number of equal bits of 512. At similarity 0.75
-# seven eighths are expected, 448 bits; 393 lies six standard deviations below.
-SKETCH_WORDS = 8
-MIN_EQUAL_BITS = 393
+# The sketch: four bits of each of 352 coordinates, 16 to a word. At similarity 0.75 such bits agree in 0.7656 of the
+# coordinates, 269.5, with a standard deviation under 8; the cut lies six of them below, at a similarity of about 0.6.
+SKETCH_WORDS = 22
+MIN_EQUAL = 222
 # Shingles of the members that meet a leader in one group.
 GROUP_SHINGLES = 40_000
-MAX_ROUNDS = 60
+# Signatures of texts seen before that a task keeps, as copies of one text lie in many tasks.
+KEPT_SIGNATURES = 2048
+# Rounds in which members try one leader of each other component they meet, before all that is left is compared.
+LEADER_ROUNDS = 2
 
 # What separates words.
 SPACES = re.compile("[\x20\x09-\x0d]+")
@@ -105,38 +109,70 @@ def bands_of(least: np.ndarray) -> list[int]:
 
 
 def sketch_of(least: np.ndarray) -> list[int]:
-    """512 bits: the first bit of every mixed coordinate, and a second bit of as many as fit."""
-    mixed = least.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    bits = np.concatenate([mixed >> np.uint64(63), (mixed >> np.uint64(62)) & np.uint64(1)])[: 64 * SKETCH_WORDS]
-    return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
+    """The top four bits of each mixed coordinate, 16 coordinates to a word."""
+    mixed = least[: 16 * SKETCH_WORDS].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(60)
+    shifts = np.arange(0, 64, 4, dtype=np.uint64)
+    return np.bitwise_or.reduce(mixed.reshape(SKETCH_WORDS, 16) << shifts, axis=1).view(np.int64).tolist()
+
+
+def sketches_agree(one: Column, other: Column) -> Column:
+    """Whether enough coordinates have equal bits."""
+    lowest = F.lit(0x1111111111111111)
+    differing = F.lit(0)
+    for k in range(SKETCH_WORDS):
+        x = one[k].bitwiseXOR(other[k])
+        folded = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        folded = folded.bitwiseOR(F.shiftrightunsigned(folded, 2)).bitwiseAND(lowest)
+        differing = differing + F.bit_count(folded)
+    return 16 * SKETCH_WORDS - differing >= MIN_EQUAL
 
 
 def signed(docs: DataFrame) -> DataFrame:
     """Set size, set digest, band keys and sketch of each row; the empty set has no bands."""
 
+    def sign(text: str) -> tuple:
+        hashes = shingles(text)
+        same = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+        if not len(hashes):
+            return 0, same, [], []
+        least = signature(hashes)
+        return len(hashes), same, bands_of(least), sketch_of(least)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, tuple] = {}
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for rows in slices([t or "" for t in texts]):
-                out: dict[str, list] = {name: [] for name in SIGNED.names}
-                for k in rows:
-                    hashes = shingles(texts[k])
-                    least = signature(hashes) if len(hashes) else None
-                    out["doc_id"].append(ids[k])
-                    out["n_shingles"].append(len(hashes))
-                    out["same"].append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                    out["bands"].append([] if least is None else bands_of(least))
-                    out["sketch"].append([] if least is None else sketch_of(least))
-                yield pa.RecordBatch.from_pydict(out, schema=SIGNED)
+            for part in text_slices(batch, 1):
+                rows = []
+                for text in part.column(1).to_pylist():
+                    key = xxhash.xxh3_128_digest(text or "")
+                    if key not in known:
+                        if len(known) >= KEPT_SIGNATURES:
+                            known.pop(next(iter(known)))
+                        known[key] = sign(text)
+                    rows.append(known[key])
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), list(SIGNED)[1:])]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema=SIGNED)
 
     return docs.mapInArrow(run, spark_schema(SIGNED))
 
 
-def verified(spark: SparkSession, edges: DataFrame, texts: DataFrame, sizes: DataFrame, label: str) -> DataFrame:
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """doc_id and the full set of each text (doc_id, text), as the bytes of its hashes in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, 1):
+                sets = [shingles(text).tobytes() for text in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["doc_id", "hashes"])
+
+    return texts.mapInArrow(run, "doc_id bigint, hashes binary")
+
+
+def verified(spark: SparkSession, edges: DataFrame, sets: DataFrame, sizes: DataFrame, label: str) -> DataFrame:
     """Of candidate pairs (a, b), each once, those whose full sets reach the similarity.
 
-    Members b that meet leader a are dealt into groups of bounded text; each group reads its leader
-    once. ``texts`` has doc_id and text of every class, ``sizes`` doc_id and n_shingles.
+    Members b that meet leader a are dealt into groups of bounded size; each group reads its leader
+    once. ``sets`` has doc_id and hashes of every class, ``sizes`` doc_id and n_shingles.
     """
     weighed = edges.join(sizes.withColumnRenamed("doc_id", "b"), "b")
     parts = F.greatest(F.lit(1), F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).alias("parts")
@@ -144,12 +180,12 @@ def verified(spark: SparkSession, edges: DataFrame, texts: DataFrame, sizes: Dat
     members = (
         edges.join(counted, "a")
         .withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
-        .join(texts.select(F.col("doc_id").alias("b"), "text"), "b")
-        .select("a", "part", "b", "text")
+        .join(sets.select(F.col("doc_id").alias("b"), "hashes"), "b")
+        .select("a", "part", "b", "hashes")
     )
     parts_of = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
-    leaders = counted.join(texts.select(F.col("doc_id").alias("a"), "text"), "a").select(
-        "a", parts_of, F.lit(None).cast("long").alias("b"), "text"
+    leaders = counted.join(sets.select(F.col("doc_id").alias("a"), "hashes"), "a").select(
+        "a", parts_of, F.lit(None).cast("long").alias("b"), "hashes"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +193,11 @@ def verified(spark: SparkSession, edges: DataFrame, texts: DataFrame, sizes: Dat
         own = np.zeros(0, np.uint64)
         for batch in batches:
             close: list[tuple[int, int]] = []
-            for a, b, text in zip(*(batch.column(name).to_pylist() for name in ("a", "b", "text"))):
+            for a, b, hashes in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("hashes")):
+                found = np.frombuffer(hashes.as_buffer(), np.uint64)
                 if b is None:
-                    own = shingles(text)
-                elif similar(own, shingles(text)):
+                    own = found.copy()
+                elif similar(own, found):
                     close.append((a, b))
             if close:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*close)], names=["a", "b"])
@@ -186,7 +223,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     current = stored(spark, pairs, "edges")
     if current.isEmpty():
         return current.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    for level in range(MAX_ROUNDS):
+    # The alternation is known to settle, in rounds that grow with the logarithm of the nodes; nothing ends it before.
+    for level in count():
         both = current.unionAll(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         large = (
@@ -212,7 +250,6 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         if small.join(hubs, "a", "left_semi").select("a").union(twice.select("a")).isEmpty():
             return small.select(F.col("a").alias("id"), F.col("b").alias("component"))
         current = small
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
 def _merged(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -251,18 +288,24 @@ def find_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     shared = stored(spark, buckets.join(leaders.select("bucket", "leader"), "bucket"), "buckets")
     members = shared.select("id").distinct()
     wanted = members.select(F.col("id").alias("doc_id"))
-    texts = stored(spark, rows.join(wanted, "doc_id", "left_semi"), "candidates")
+    sets = stored(spark, shingle_sets(rows.join(wanted, "doc_id", "left_semi")), "candidates")
     sizes = classes.select(F.col("id").alias("doc_id"), "n_shingles")
 
     # The smallest leader that each class meets connects most; others are tried where it has not.
     met = shared.where("id <> leader").groupBy(F.col("id").alias("b")).agg(F.min("leader").alias("a"))
     first = stored(spark, _comparable(met, sizes), "first")
-    links = verified(spark, first, texts, sizes, "first")
+    links = verified(spark, first, sets, sizes, "first")
     labels = _merged(spark, members.withColumn("component", F.col("id")), links)
-    others = stored(spark, _comparable(_unmet(shared, labels, first), sizes), "others")
-    labels = _merged(spark, labels, verified(spark, others, texts, sizes, "others"))
-    across = _across(spark, shared, labels, classes)
-    final = _merged(spark, labels, verified(spark, across, texts, sizes, "across"))
+    traits = classes.select("id", "n_shingles", "sketch")
+    tried = first
+    for level in range(LEADER_ROUNDS):
+        others = stored(spark, _unmet(shared, labels, traits, tried), f"others-{level}")
+        if others.isEmpty():
+            break
+        labels = _merged(spark, labels, verified(spark, others, sets, sizes, f"others-{level}"))
+        tried = tried.unionByName(others)
+    across = _across(spark, shared, labels, traits)
+    final = _merged(spark, labels, verified(spark, across, sets, sizes, "across"))
     placed = made.join(classes.select("same", "id"), "same", "left")
     placed = placed.join(final, "id", "left")
     component = F.when(F.col("doc_id").isNull(), None).when(F.col("n_shingles") == 0, F.col("doc_id"))
@@ -275,17 +318,30 @@ def find_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
-def _unmet(shared: DataFrame, labels: DataFrame, tried: DataFrame) -> DataFrame:
-    """Members and leaders of one bucket but different components, each pair once, without those tried."""
+def _unmet(shared: DataFrame, labels: DataFrame, traits: DataFrame, tried: DataFrame) -> DataFrame:
+    """Members and the first member of a bucket in another component that size and sketch allow, without those tried.
+
+    Of each other component a member tries one; what that leaves apart is compared in ``_across``.
+    """
     named = shared.select("bucket", "id").join(labels, "id")
     mixed = (
         named.groupBy("bucket")
         .agg(F.min(F.struct("id", "component")).alias("head"), F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low <> high")
-        .select("bucket", "head")
+        .select("bucket", F.col("head.id").alias("a"), F.col("head.component").alias("of_a"))
+    )
+    heads = mixed.join(_traits(traits, "a"), "a")
+    met = named.select("bucket", F.col("id").alias("b"), "component").join(_traits(traits, "b"), "b")
+    close = sketches_agree(F.col("sketch_a"), F.col("sketch_b")) & _sizes_allow(F.col("size_a"), F.col("size_b"))
+    pairs = met.join(heads, (met["bucket"] == heads["bucket"]) & (F.col("component") != F.col("of_a")) & close)
+    pairs = pairs.select("a", "b", "of_a").distinct().join(tried, ["a", "b"], "left_anti")
+    return pairs.groupBy("b", "of_a").agg(F.min("a").alias("a")).select("a", "b")
+
+
+def _traits(traits: DataFrame, name: str) -> DataFrame:
+    return traits.select(
+        F.col("id").alias(name), F.col("n_shingles").alias(f"size_{name}"), F.col("sketch").alias(f"sketch_{name}")
     )
-    pairs = named.join(mixed, "bucket").where("component <> head.component")
-    return pairs.select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def _named(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -306,7 +362,7 @@ def _sizes_allow(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _across(spark: SparkSession, shared: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def _across(spark: SparkSession, shared: DataFrame, labels: DataFrame, traits: DataFrame) -> DataFrame:
     """Pairs of one bucket but different components that size and sketch allow.
 
     Of each bucket all but its largest component are joined to all of it: a pair across components has
@@ -318,7 +374,6 @@ def _across(spark: SparkSession, shared: DataFrame, labels: DataFrame, classes:
         F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("components")
     )
     mixed = largest.where("components > 1").select("bucket", F.col("top.component").alias("largest"))
-    traits = classes.select("id", "n_shingles", "sketch")
     inside = stored(spark, named.join(mixed, "bucket").join(traits, "id"), "mixed")
     left = inside.where(F.col("component") != F.col("largest")).select(
         "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n_shingles").alias("nx"), F.col("sketch").alias("sx")
@@ -326,10 +381,7 @@ def _across(spark: SparkSession, shared: DataFrame, labels: DataFrame, classes:
     right = inside.select(
         "bucket", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n_shingles").alias("ny"), F.col("sketch").alias("sy")
     )
-    differing = sum(
-        (F.bit_count(F.col("sx")[k].bitwiseXOR(F.col("sy")[k])) for k in range(SKETCH_WORDS)), F.lit(0)
-    )
-    close = (64 * SKETCH_WORDS - differing >= MIN_EQUAL_BITS) & _sizes_allow(F.col("nx"), F.col("ny"))
+    close = sketches_agree(F.col("sx"), F.col("sy")) & _sizes_allow(F.col("nx"), F.col("ny"))
     pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("cx") != F.col("cy")) & close)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 

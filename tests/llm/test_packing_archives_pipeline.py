@@ -144,7 +144,7 @@ def test_broken_archives_are_errors():
 
 def test_queries_are_whole_and_registered():
     numbers = {int(name.split("_")[0][2:]) for name in PLANS}
-    assert numbers == set(range(1, 11)) and len(PLANS) == 10
+    assert numbers == set(range(1, 14)) and len(PLANS) == 13
 
 
 def test_pipeline(spark, small):

@@ -76,7 +76,7 @@ def test_links_that_cross_a_leader_are_found(spark):
     shared = classes.select("id", F.lit(0).cast("long").alias("bucket"))
     labels = classes.select("id", F.col("id").alias("component"))
     across = near_duplicates._across(spark, shared, labels, classes)
-    texts, sizes = df, classes.select(F.col("id").alias("doc_id"), "n_shingles")
+    texts, sizes = near_duplicates.shingle_sets(df), classes.select(F.col("id").alias("doc_id"), "n_shingles")
     links = near_duplicates.verified(spark, across, texts, sizes, "t")
     label, _ = slow_components(docs)
     got = {r.id: r.component for r in near_duplicates.components(spark, links).collect()}
