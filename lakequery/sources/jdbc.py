@@ -6,10 +6,14 @@ pushed into it; give ``partition`` for any large table, or a single task will re
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date, datetime
+from decimal import Decimal
+from itertools import groupby
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Protocol family, driver class and default port of each database.
 _FAMILIES = {
@@ -32,16 +36,23 @@ _TABLE_LISTS = {
     "clickhouse": "SELECT name AS table_name FROM system.tables WHERE database = currentDatabase()",
 }
 FETCH_SIZE = 10_000
+# How finely the quantile sketch tells ranks apart: one part in so many per task.
+RANKS_PER_TASK = 100
 
 
 @dataclass(frozen=True)
 class Partitioning:
-    """How tasks share a statement: ranges of a numeric, date or timestamp column."""
+    """How tasks share a statement: ranges of a numeric, date or timestamp column.
+
+    The ranges are equally wide, or with ``even`` hold about as many rows each, whatever the values are; that takes a
+    read of the column first. A value with more rows than a range should have then gets a range of its own.
+    """
 
     column: str
     tasks: int
     lower: object | None = None
     upper: object | None = None
+    even: bool = False
 
 
 @dataclass(frozen=True)
@@ -126,6 +137,52 @@ class Database:
         return options
 
 
+def even_bounds(values: DataFrame, tasks: int) -> list:
+    """Quantiles of the one column of ``values`` that cut it into ``tasks`` equal shares, by a mergeable sketch.
+
+    A value that takes up several shares appears as often. Empty where there is no value.
+    """
+    shares = [k / tasks for k in range(1, tasks)]
+    if not shares:
+        return []
+    sketch = F.percentile_approx(F.col(values.columns[0]), shares, RANKS_PER_TASK * tasks)
+    return list(values.agg(sketch).first()[0] or [])
+
+
+def literal(value: object) -> str:
+    """A bound as SQL that every family reads."""
+    if isinstance(value, datetime):
+        return f"'{value.isoformat(' ')}'"
+    if isinstance(value, date):
+        return f"'{value.isoformat()}'"
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    raise TypeError(f"a partition column cannot hold {value!r}")
+
+
+def range_predicates(column: str, bounds: list) -> list[str]:
+    """Conditions that share out every row, nulls too, each row to exactly one of them.
+
+    A bound that appears twice or more is a value of many rows, which gets a condition of its own.
+    """
+    cuts = [(bound, len(list(same)) > 1) for bound, same in groupby(bounds)]
+    if not cuts:
+        return []
+    out = [f"{column} < {literal(cuts[0][0])} OR {column} IS NULL"]
+    for (bound, alone), following in zip(cuts, [*cuts[1:], None]):
+        low = f"{column} >= {literal(bound)}"
+        if alone:
+            out.append(f"{column} = {literal(bound)}")
+            low = f"{column} > {literal(bound)}"
+        out.append(low if following is None else f"{low} AND {column} < {literal(following[0])}")
+    return out
+
+
+def column_sql(sql: str, column: str) -> str:
+    """The statement that gives the partition column alone."""
+    return f"SELECT {column} FROM ({sql.strip().rstrip(';')}) shared"
+
+
 def _has_port(host: str) -> bool:
     return host.rsplit("]", 1)[-1].count(":") == 1
 
@@ -145,6 +202,9 @@ def read_database(
 ) -> DataFrame:
     """The result of one statement as a frame; ``limit`` is applied by the database.
 
+    With ``partition.even`` tasks read the column in equally wide ranges once, and its quantiles then cut the
+    statement into conditions that the database evaluates. Rows that come meanwhile fall into one of them all the same.
+
     The statement becomes a derived table, and some databases ignore ORDER BY in one that has no
     LIMIT of its own. A statement whose order decides which rows are first should carry its LIMIT.
     """
@@ -157,5 +217,11 @@ def read_database(
         if low is None:
             partition = None
         else:
-            partition = Partitioning(partition.column, partition.tasks, low, high)
+            partition = replace(partition, lower=low, upper=high)
+    if partition is not None and partition.even:
+        column = spark.read.format("jdbc").options(**database.options(column_sql(sql, partition.column), partition)).load()
+        predicates = range_predicates(partition.column, even_bounds(column, partition.tasks))
+        if predicates:
+            options = database.options(sql)
+            return spark.read.jdbc(options.pop("url"), options.pop("dbtable"), predicates=predicates, properties=options)
     return spark.read.format("jdbc").options(**database.options(sql, partition)).load()

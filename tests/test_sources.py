@@ -1,5 +1,6 @@
 import gzip
 import json
+from datetime import date, datetime
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,7 +9,8 @@ from lakequery.operators.capped import cap, columns
 from lakequery.sinks.dataset import write_dataset
 from lakequery.sources.compact_json import CompactJsonError, read_compact_json, spark_type, stream_compact_json
 from lakequery.sources.csv import register_csv
-from lakequery.sources.jdbc import Database, Partitioning, bounds_sql
+from lakequery.sources import jdbc
+from lakequery.sources.jdbc import Database, Partitioning, bounds_sql, even_bounds, range_predicates, read_database
 from lakequery.storage import scratch_dir
 from lakequery.streaming.export import save_stream
 
@@ -303,3 +305,64 @@ def test_a_file_with_another_header_fails_the_stream(spark, tmp_path, text):
     with pytest.raises(Exception, match="foreign (has a different header|is not two lines)"):
         save_stream(stream, "parquet", out, state)
     assert spark.read.parquet(out).count() == 1
+
+
+def test_even_ranges_of_a_skewed_column(spark):
+    """A third of the rows share one key and the rest crowd at one end; every row has one range."""
+    df = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 77 WHEN id % 997 = 1 THEN NULL ELSE CAST(pow(1.0005, id) AS BIGINT) END AS k"
+    )
+    predicates = range_predicates("k", even_bounds(df, 16))
+    counts = [df.where(p).count() for p in predicates]
+    assert sum(counts) == 30_000 and len(predicates) <= 17
+    hot = [n for p, n in zip(predicates, counts) if p == "k = 77"]
+    assert len(hot) == 1 and hot[0] >= 10_000
+    assert max(n for p, n in zip(predicates, counts) if p != "k = 77") <= 2 * 30_000 / 16
+    total = df.where(" OR ".join(f"({p})" for p in predicates)).count()
+    assert total == 30_000
+
+
+def test_range_predicates():
+    assert range_predicates("k", []) == []
+    assert range_predicates("k", [3, 5, 5, 5, 9]) == [
+        "k < 3 OR k IS NULL", "k >= 3 AND k < 5", "k = 5", "k > 5 AND k < 9", "k >= 9",
+    ]
+    assert range_predicates("d", [datetime(2024, 1, 2, 3, 4, 5)])[1] == "d >= '2024-01-02 03:04:05'"
+    assert range_predicates("d", [date(2024, 1, 2)])[0] == "d < '2024-01-02' OR d IS NULL"
+    with pytest.raises(TypeError):
+        range_predicates("name", ["x"])
+
+
+def test_even_partitions_reach_the_reader(spark, monkeypatch):
+    """No database runs here: the frames it would give are put in its place."""
+    asked = []
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            asked.append(options)
+            return self
+
+        def load(self):
+            if "min(k)" in asked[-1]["dbtable"]:
+                return spark.sql("SELECT 0 AS lo, 999 AS hi")
+            return spark.range(1000).selectExpr("least(id, 400) AS k")
+
+        def jdbc(self, url, table, predicates, properties):
+            asked.append((url, table, predicates, properties))
+            return spark.range(1)
+
+    class FakeSpark:
+        read = Reader()
+
+    database = Database("postgres", "h", "shop", "u", "p")
+    read_database(FakeSpark(), database, "SELECT * FROM t;", Partitioning("k", 4, even=True))
+    bounds, column, (url, table, predicates, properties) = asked
+    assert "numPartitions" not in bounds and column["numPartitions"] == "4" and column["upperBound"] == "999"
+    assert column["dbtable"] == "(SELECT k FROM (SELECT * FROM t) shared) lakequery"
+    assert url == "jdbc:postgresql://h:5432/shop" and table == "(SELECT * FROM t) lakequery"
+    assert predicates[0].startswith("k < 24") or predicates[0].startswith("k < 25")
+    assert predicates[-2:] == ["k = 400", "k > 400"] and properties["fetchsize"] == str(jdbc.FETCH_SIZE)
+    assert "partitionColumn" not in properties
