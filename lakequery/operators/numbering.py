@@ -15,6 +15,8 @@ from lakequery.functions.encode import quoted
 from lakequery.storage import scratch_dir
 
 DEFAULT_BATCH_SIZE = 200
+# Up to so many first rows are picked by each task while it reads; more are sorted with all others.
+TOP_ROWS = 100_000
 
 # monotonically_increasing_id keeps the partition above this bit and the position below it.
 _POSITION_BITS = 33
@@ -165,6 +167,17 @@ class StoredResult:
         return rows.select(*self.given_back(), (starts + _position_of()).cast("long").alias(name))
 
 
+def first_rows(df: DataFrame, order: list[str] | None, count: int) -> DataFrame:
+    """The first rows in ``order``, ties by a hash of the row, or else in the order ``df`` has; all its columns are kept."""
+    if not order:
+        return df.limit(count)
+    names = [column.lower() for column in df.columns]
+    plain = df.toDF(*[f"_{i}" for i in range(len(names))])
+    keys = [F.col(f"_{names.index(key.lower())}") for key in order]
+    top = plain.withColumn(_HASHED, content_hash(plain)).orderBy(*keys, _HASHED).limit(count).drop(_HASHED)
+    return top.toDF(*df.columns)
+
+
 def store_in_order(df: DataFrame, order: list[str] | None = None, unique: bool = False) -> StoredResult:
     """Write ``df`` once, in its own order or by ``order``, and index it; the driver sees one row per file."""
     spark = df.sparkSession
@@ -194,8 +207,10 @@ def with_batch_id(
 ) -> DataFrame:
     """Add ``row_ord`` and ``batch_id``, so each chunk of the result is a group a job can use.
 
-    A ``limit`` keeps the rows numbered below it.
+    A ``limit`` keeps the rows numbered below it, of which a small number is chosen before anything is stored.
     """
+    if limit is not None and limit <= TOP_ROWS:
+        df = first_rows(df, order, max(limit, 0))
     numbered = number_rows(df, order, unique=unique)
     if limit is not None:
         numbered = numbered.where(F.col("row_ord") < max(limit, 0))

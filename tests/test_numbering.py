@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lakequery.operators.numbering import number_rows, page_rows, spread_sort, store_in_order, with_batch_id
+from lakequery.operators.numbering import first_rows, number_rows, page_rows, spread_sort, store_in_order, with_batch_id
 
 
 def test_numbers_are_dense_and_follow_the_order(spark):
@@ -85,3 +85,18 @@ def test_rows_page_by_page(spark):
     df = spark.sql("SELECT id FROM range(0, 1000, 1, 5) ORDER BY id DESC")
     assert [r["id"] for r in page_rows(df, 64)] == list(range(999, -1, -1))
     assert list(page_rows(spark.range(0), 64)) == []
+
+
+def test_a_small_limit_is_taken_while_reading(spark, tmp_path):
+    """No more rows than asked for are sorted and stored; ties are those of the whole result."""
+    path = str(tmp_path / "in")
+    spark.range(0, 20_000, 1, 6).selectExpr("id % 50 AS k", "id", "id AS K2").write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = first_rows(df, ["k"], 700)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    whole = {(r["id"], r["row_ord"]) for r in number_rows(df, ["k"]).where("row_ord < 700").collect()}
+    few = with_batch_id(df, 100, ["k"], limit=700)
+    assert {(r["id"], r["row_ord"]) for r in few.collect()} == whole
+    assert few.columns == ["k", "id", "K2", "row_ord", "batch_id"]
+    own = with_batch_id(df.orderBy(F.desc("id")), 100, limit=3)
+    assert sorted((r["row_ord"], r["id"]) for r in own.collect()) == [(0, 19_999), (1, 19_998), (2, 19_997)]
