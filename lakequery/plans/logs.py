@@ -8,10 +8,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakequery.log_compaction import live_files
 from lakequery.operators.numbering import with_batch_id
 from lakequery.plans.registry import plan, table, views
 from lakequery.session import Session
-from lakequery.statements import named_views, read_sessions, session_summary, time_text
+from lakequery.statements import StatementLog, named_views, read_sessions, session_summary, time_text
 from lakequery.storage import scratch_dir
 
 _STATEMENTS = """
@@ -131,3 +132,27 @@ def statement_log(spark, sf_dir):
     return session.log.table().select(
         named.alias("nation"), "operation", "status", F.coalesce("row_count", F.lit(-1)).alias("row_count")
     )
+
+
+@plan(
+    """
+    SELECT c_nationkey AS nation, count(*) AS row_count, 2 AS times, true AS bounded FROM customer GROUP BY c_nationkey
+    """
+)
+def log_compaction(spark, sf_dir):
+    """Sessions that each write files of their own, merged twice while others write on; no row is lost or doubled."""
+    path = scratch_dir(spark, "log")
+    counts = table(spark, sf_dir, "customer").groupBy("c_nationkey").count().collect()  # a row per nation
+    for _ in range(2):
+        for share in range(4):
+            log = StatementLog(spark, path)
+            for row in counts[share::4]:
+                log.append("query", "SELECT ...", f"nation_{row['c_nationkey']}", row["count"])
+            log.flush()
+        StatementLog(spark, path).compact(most=1)
+    rows = StatementLog(spark, path).table()
+    bounded = live_files(spark, path) <= rows.select("log_date").distinct().count()
+    nation = F.regexp_extract("view_name", "_([0-9]+)$", 1).cast("int").alias("nation")
+    return rows.groupBy(nation).agg(
+        F.max("row_count").alias("row_count"), F.count(F.lit(1)).cast("int").alias("times"), F.lit(bounded).alias("bounded")
+    )

@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakequery.log_compaction import MOST_FILES, merge_log, read_merged
 from lakequery.operators.numbering import number_rows
 from lakequery.storage import Storage
 
@@ -120,7 +121,12 @@ class StatementLog:
         self.flush()
         if not Storage(self.spark).exists(self.path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path)
+        return read_merged(self.spark, self.path, schema)
+
+    def compact(self, most: int = MOST_FILES) -> int:
+        """Merge the small files of days that have more than ``most``; sessions may write meanwhile."""
+        self.flush()
+        return merge_log(self.spark, self.path, LOG_SCHEMA, most)
 
     def info(self) -> SessionInfo:
         return SessionInfo(self.session_id, self.path)

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyarrow import fs as pafs
 from pyspark.sql import SparkSession
 
@@ -107,7 +108,6 @@ class Storage:
         if not fs.rename(src, dst):
             raise OSError(f"could not rename {source} to {target}")
 
-
     def write_text(self, path: str, text: str) -> None:
         """Create or replace a small file."""
         fs, p = self._resolve(path)
@@ -117,6 +117,21 @@ class Storage:
         finally:
             stream.close()
 
+    def create_text(self, path: str, text: str) -> bool:
+        """Create a small file only if there is none; whether this call made it."""
+        fs, p = self._resolve(path)
+        try:
+            stream = fs.create(p, False)
+        except Py4JJavaError as error:
+            if fs.exists(p):
+                return False
+            raise error
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        return True
+
 
 def open_filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """For Python code in tasks: the file system of a qualified path as Spark prints it."""

@@ -45,7 +45,7 @@ def test_entry(spark):
     assert df.columns[0] == "o_orderkey" and df.count() == 1000
 
 
-SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE"}
+SQL_TYPES = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE"}
 
 
 @pytest.mark.parametrize("name", sorted(PLANS))

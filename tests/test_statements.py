@@ -1,10 +1,13 @@
+import glob
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from lakequery import log_compaction
 from lakequery import statements as statements_module
-from lakequery.statements import named_views, read_sessions, session_summary, time_text
+from lakequery.statements import LOG_SCHEMA, StatementLog, named_views, read_sessions, session_summary, time_text
+from lakequery.storage import Storage
 
 
 def document(session_id, *views):
@@ -74,3 +77,61 @@ def test_a_session_may_span_many_chunks(spark, monkeypatch):
     df = spark.createDataFrame(rows, "session_id string, position int, view_name string")
     got = {(r["session_id"], r["position"]): r["view_name"] for r in named_views(df).collect()}
     assert got == {(s, p): f"view_{p + 1}" for s, p, _ in rows}
+
+
+def written_log(spark, path, sessions, rows=3):
+    for k in range(sessions):
+        log = StatementLog(spark, path)
+        for n in range(rows):
+            log.append("query", f"SELECT {k}", f"s{k}_{n}", n)
+        log.flush()
+
+
+def names(spark, path):
+    return sorted(r["view_name"] for r in StatementLog(spark, path).table().collect())
+
+
+def test_merged_logs_keep_every_row(spark, tmp_path):
+    path = str(tmp_path / "log")
+    written_log(spark, path, 6)
+    before = names(spark, path)
+    assert StatementLog(spark, path).compact(most=2) == 1
+    assert names(spark, path) == before and log_compaction.live_files(spark, path) == 1
+    assert StatementLog(spark, path).compact(most=2) == 0
+    written_log(spark, path, 3)  # beside the merged file
+    twice = sorted(before + [name for name in before if name < "s3"])
+    assert names(spark, path) == twice
+    assert StatementLog(spark, path).compact(most=2) == 1 and names(spark, path) == twice
+    assert log_compaction.drop_replaced(spark, path) == 10 and names(spark, path) == twice
+    assert len(glob.glob(f"{path}/log_date=*/*.parquet")) == 1
+    assert StatementLog(spark, path).table().schema["row_count"].dataType.typeName() == "long"
+
+
+def test_of_two_merges_from_one_state_one_is_late(spark, tmp_path, monkeypatch):
+    """Both saw the same files; the second commit must not count, or rows would be there twice."""
+    path = str(tmp_path / "log")
+    written_log(spark, path, 4)
+    before, stale = names(spark, path), log_compaction.read_manifests(spark, path)
+    (day,) = [d.name for d in (tmp_path / "log").iterdir() if d.name.startswith("log_date=")]
+    assert log_compaction.merge_day(spark, path, day, LOG_SCHEMA, 1)
+    with monkeypatch.context() as patched:
+        patched.setattr(log_compaction, "read_manifests", lambda *_: stale)
+        assert not log_compaction.merge_day(spark, path, day, LOG_SCHEMA, 1)
+    assert names(spark, path) == before and log_compaction.live_files(spark, path) == 1
+    assert len(glob.glob(f"{path}/{day}/merged-*.parquet")) == 1
+
+
+def test_a_merge_that_ends_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    written_log(spark, path, 4)
+    before = names(spark, path)
+
+    def dies(self, path, text):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Storage, "create_text", dies)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            StatementLog(spark, path).compact(most=1)
+    assert names(spark, path) == before and log_compaction.live_files(spark, path) == 4
+    assert StatementLog(spark, path).compact(most=1) == 1 and names(spark, path) == before
