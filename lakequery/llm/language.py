@@ -6,7 +6,8 @@ One-versus-rest linear support vector machines choose the language family; one-v
 vote among the languages of that family.
 
 Machines only rank languages, and two of them are each other's mirror, so what is in no known language
-is found apart: by how likely the n-grams of a text are in each language, against the labelled texts.
+is found after them: by how likely the n-grams of a text are in the language they name, against its
+labelled texts.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ SLOPE = 3.0
 UNSEEN = 0.05
 LEAST_SPREAD = 0.2
 MAX_SPREADS = 15.0
+# Score from which on the language that the machines name is the only one a text is held against. Under it
+# lie about 1 in 100 texts, such as those in two languages.
+SURE = 0.8
 FULL_VARIETY = 60
 
 # Languages of the larger families by ISO 639-1 code; any other is its own family.
@@ -238,15 +242,14 @@ class Known:
     A text's likelihood is a mean over words, so it is held against the spread of texts as varied.
     """
 
+    languages: list[str]
     weights: np.ndarray
     middle: np.ndarray
     spread: np.ndarray
 
-    def accepts(self, texts: list[str | None]) -> list[bool]:
-        """Whether each text has words and is as likely in some language as its labelled texts are."""
-        words = Words.of(texts)
-        below = (self.middle - words.means(self.weights)) * _narrowing(words.variety())[:, None]
-        return ((words.counts() > 0) & (below <= MAX_SPREADS * self.spread).any(1)).tolist()
+    def likely(self, means: np.ndarray, variety: np.ndarray) -> np.ndarray:
+        """Whether each text with these likelihoods is as likely in each language as its labelled texts are."""
+        return (self.middle - means) * _narrowing(variety)[:, None] <= MAX_SPREADS * self.spread
 
 
 def _narrowing(variety: np.ndarray) -> np.ndarray:
@@ -264,7 +267,7 @@ def know(langs: list[str], x: np.ndarray, variety: np.ndarray) -> Known | None:
     so junk among the labelled texts does not move them; a lone text is measured against itself.
     """
     labels = np.array(langs)
-    weights, middle, spread = [], [], []
+    languages, weights, middle, spread = [], [], [], []
     for language in sorted(set(langs)):
         rows = np.flatnonzero((labels == language) & (variety > 0))
         if not len(rows):
@@ -272,6 +275,7 @@ def know(langs: list[str], x: np.ndarray, variety: np.ndarray) -> Known | None:
         sums = x[rows].sum(0, dtype=np.float64)
         others, n = (1, len(rows) - 1) if len(rows) > 1 else (0, 1)
         found = np.array([x[k] @ _likelihood(np.maximum(0, sums - others * x[k]), n) for k in rows])
+        languages.append(language)
         weights.append(_likelihood(sums, len(rows)))
         middle.append(np.median(found))
         spread.append(1.4826 * np.median(np.abs(found - middle[-1]) * _narrowing(variety[rows])))
@@ -279,7 +283,38 @@ def know(langs: list[str], x: np.ndarray, variety: np.ndarray) -> Known | None:
         return None
     # Few or equal texts show no spread; then that of the other languages holds.
     least = max(LEAST_SPREAD, float(np.median(spread)))
-    return Known(np.stack(weights, 1), np.array(middle), np.maximum(spread, least))
+    return Known(languages, np.stack(weights, 1), np.array(middle), np.maximum(spread, least))
+
+
+@dataclass
+class Identifier:
+    """The machines, which name a text's language, and what the labelled texts of that language are like."""
+
+    model: Model
+    known: Known
+
+    def accepts(self, texts: list[str | None]) -> list[bool]:
+        """Whether each text has words and is likely in the language that the machines name, or, if they are unsure, in any."""
+        words = Words.of(texts)
+        machines = self.model.weights.shape[1]
+        means = words.means(np.hstack([self.model.weights, self.known.weights]))
+        places = {language: k for k, language in enumerate(self.known.languages)}
+        named = [self.model.decide(row) for row in means[:, :machines] + self.model.bias]
+        likely = self.known.likely(means[:, machines:], words.variety())
+        return [
+            bool(count and (row[places[language]] if score >= SURE else row.any()))
+            for count, row, (language, score) in zip(words.counts(), likely, named)
+        ]
+
+
+def identifier(docs: DataFrame) -> Identifier | None:
+    """All machines and likelihoods, fitted on a sample of the rows with a language and words."""
+    langs, x, variety = sample(docs)
+    taught = np.flatnonzero(variety > 0)
+    langs, x = [langs[k] for k in taught], x[taught]
+    if not langs:
+        return None
+    return Identifier(fit(langs, x), know(langs, x, variety[taught]))
 
 
 def sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -383,18 +418,18 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: those without letters, or too unlikely in every language, go.
+    """Documents in a known language: those without letters, or too unlikely in the language the machines name, go.
 
-    Rows keep all columns. Where no row has a language to learn from, nothing can be judged, and
+    Where the machines are unsure, as of a text in two languages, it goes if unlikely in all. Rows keep all columns. Where no row has a language to learn from, nothing can be judged, and
     only the texts without letters go.
     """
     rows = with_fold(docs)
-    known = know(*sample(rows.where(~F.col("held_out") & F.col("doc_id").isNotNull())))
+    found = identifier(rows.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
 
     def keep(texts: list) -> list[bool]:
-        if known is None:
+        if found is None:
             return [bool(n) for n in Words.of(texts).counts()]
         parts = slices([t or "" for t in texts], SLICE_BYTES)
-        return [kept for rows in parts for kept in known.accepts(texts[rows.start : rows.stop])]
+        return [kept for rows in parts for kept in found.accepts(texts[rows.start : rows.stop])]
 
     return keep_rows(docs, "text", keep)

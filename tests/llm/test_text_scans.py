@@ -219,6 +219,24 @@ def test_texts_of_no_known_language_go(spark, small):
         assert kept == {r.doc_id for r in known.collect()} <= clean
 
 
+def test_the_language_stage_judges_a_text_in_the_language_the_machines_name(spark):
+    """Labelled junk makes one language take any text, but only texts that the machines give it."""
+    rng = random.Random(9)
+    english = "the cat and dog of this house were with them when there was nothing else that they could do".split()
+    junk = ["".join(rng.choices("àéîõüçñßøåłśžð", k=6)) for _ in range(3000)]
+    french = "le chat et le chien de la maison sont dans une rue que nous avons vue avec eux pour toujours".split()
+    spanish = "los perros y las casas son para ella una cosa muy buena cuando hay algo que hacer por ahora".split()
+    rows = [(i, " ".join(rng.choices(english, k=60)), "en") for i in range(200)]
+    rows += [(2000 + i, " ".join(rng.choices(spanish, k=60)), "es") for i in range(200)]
+    rows += [(1000 + i, " ".join(rng.choices(french, k=60) if i % 2 else rng.choices(junk, k=60)), "fr") for i in range(200)]
+    # Bits of English words in an order that no English text has.
+    odd = " ".join("".join(rng.choices(["th", "wh", "he", "ng"], k=rng.randint(2, 4))) for _ in range(60))
+    docs = spark.createDataFrame([*rows, (9000, odd, None)], "doc_id long, text string, lang string")
+    named = {r.doc_id: r.lang_pred for r in language.identify(docs).collect()}
+    kept = {r.doc_id for r in language.language_stage(spark, docs, "").collect()}
+    assert named[9000] == "en" and kept == {i for i, _, _ in rows}
+
+
 WRAPPED = [base64.b64encode(data).decode() for data in (RSA, PKCS8, SSH)]
 
 
