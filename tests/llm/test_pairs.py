@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lakequery.llm import ann, decontaminate, near_duplicates, suffix_dedup
+from lakequery.llm import ann, common, decontaminate, near_duplicates, suffix_dedup
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -100,6 +102,27 @@ def test_circulant_signature_estimates_similarity():
     assert (1 - 0.75**near_duplicates.ROWS) ** near_duplicates.BANDS < 1e-5
 
 
+def test_stored_tables_are_written_in_bounded_batches_without_lasting_shuffles(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    def shuffles():
+        folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+        return {path.name for folder in folders for path in Path(folder.getPath()).rglob("shuffle_*")}
+
+    before, bound = shuffles(), "spark.sql.execution.arrow.maxBytesPerBatch"
+    kept = spark.conf.get(bound)
+    rows = spark.range(0, 4000, 1, 2).select("id", F.repeat(F.lit("x"), 20_000).alias("text")).repartition(2, "id")
+    table = common.stored(spark, rows.mapInArrow(sizes, "n long, size long"), "t")
+    ends = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < ends:  # Spark deletes in the background
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(bound) == kept
+    batches = table.collect()
+    assert sum(r.n for r in batches) == 4000 and max(r["size"] for r in batches) < 8 << 20
+
+
 def test_null_ids_and_empty_tables_of_classes(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f")], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.component_id, r.kept) for r in near_duplicates.find_classes(spark, df).collect())
