@@ -244,10 +244,13 @@ def filter_of(hashes: DataFrame) -> np.ndarray:
     parts = hashes.groupBy(F.floor(place / BUCKET_BITS).alias("bucket")).agg(
         F.bitmap_construct_agg(place % BUCKET_BITS).alias("bits")
     )
+    # Stored first, so that the shuffles behind the hashes leave nothing on disk.
+    kept = stored(hashes.sparkSession, parts, "filter")
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in parts.toLocalIterator():
+    for row in kept.toLocalIterator():
         at = row.bucket * BUCKET_BITS // 8
         bits[at : at + BUCKET_BITS // 8] = np.frombuffer(bytes(row.bits), np.uint8)
+    discard(kept)
     return bits
 
 
@@ -300,9 +303,15 @@ def repeated_runs(rows: DataFrame, bits: np.ndarray) -> DataFrame:
 
 
 def settled_runs(runs: DataFrame) -> DataFrame:
+    """Repeats, and firsts of which ``g`` has several: doc_id, lo, hi and whether it is such a first. Runs without ``g`` are repeats."""
+    settled = settled_keys(runs.where("g IS NOT NULL"))
+    return settled.unionByName(runs.where("g IS NULL").select("doc_id", "lo", "hi", F.lit(False).alias("head")))
+
+
+def settled_keys(runs: DataFrame) -> DataFrame:
     """Of runs, or windows, in the order of both keys and place: repeats, and firsts of which ``g`` has several.
 
-    Columns: doc_id, lo, hi and whether it is such a first. A block gives an anchor's equal runs once,
+    Columns: doc_id, lo, hi and whether it is such a first. ``runs`` is read once. A block gives an anchor's equal runs once,
     so even a passage of very many documents is a bounded number of rows; they stream by in order.
     """
 
@@ -327,9 +336,8 @@ def settled_runs(runs: DataFrame) -> DataFrame:
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 3, pa.bool_()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lo", "hi", "head"])
 
-    ordered = runs.where("g IS NOT NULL").repartition("g").sortWithinPartitions("g", "k", "doc_id", "lo")
-    settled = ordered.mapInArrow(run, "doc_id bigint, lo bigint, hi bigint, head boolean")
-    return settled.unionByName(runs.where("g IS NULL").select("doc_id", "lo", "hi", F.lit(False).alias("head")))
+    ordered = runs.repartition("g").sortWithinPartitions("g", "k", "doc_id", "lo")
+    return ordered.mapInArrow(run, "doc_id bigint, lo bigint, hi bigint, head boolean")
 
 
 def place_hash(doc_ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -446,8 +454,8 @@ def repeated_starts(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, li
     repeats = stored(spark, within.unionByName(windows.where("part IS NULL").select("doc_id", "lo", "hi")), "repeats")
     shared = filter_of(shared_keys(windows.where("part IS NOT NULL")))
     discard(settled, windows)
-    across = stored(spark, window_rows(rows, places, shared), "across")
-    return repeats.unionByName(settled_runs(across).where("NOT head").drop("head")), [repeats, across]
+    across = settled_keys(window_rows(rows, places, shared))
+    return repeats.unionByName(across.where("NOT head").drop("head")), [repeats]
 
 
 RESULT = pa.schema(

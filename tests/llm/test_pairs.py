@@ -102,23 +102,33 @@ def test_circulant_signature_estimates_similarity():
     assert (1 - 0.75**near_duplicates.ROWS) ** near_duplicates.BANDS < 1e-5
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    return {path for folder in folders for path in Path(folder.getPath()).rglob("shuffle_*.data")}
+
+
+def lasting(spark, before, least=1):
+    """New shuffle files of some size that are not deleted soon, as Spark deletes in the background."""
+
+    def new():
+        return [path for path in shuffle_files(spark) - before if path.exists() and path.stat().st_size >= least]
+
+    ends = time.monotonic() + 10
+    while new() and time.monotonic() < ends:
+        time.sleep(0.2)
+    return new()
+
+
 def test_stored_tables_are_written_in_bounded_batches_without_lasting_shuffles(spark):
     def sizes(batches):
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
 
-    def shuffles():
-        folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
-        return {path.name for folder in folders for path in Path(folder.getPath()).rglob("shuffle_*")}
-
-    before, bound = shuffles(), "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, bound = shuffle_files(spark), "spark.sql.execution.arrow.maxBytesPerBatch"
     kept = spark.conf.get(bound)
     rows = spark.range(0, 4000, 1, 2).select("id", F.repeat(F.lit("x"), 20_000).alias("text")).repartition(2, "id")
     table = common.stored(spark, rows.mapInArrow(sizes, "n long, size long"), "t")
-    ends = time.monotonic() + 20
-    while shuffles() - before and time.monotonic() < ends:  # Spark deletes in the background
-        time.sleep(0.2)
-    assert not shuffles() - before and spark.conf.get(bound) == kept
+    assert not lasting(spark, before) and spark.conf.get(bound) == kept
     batches = table.collect()
     assert sum(r.n for r in batches) == 4000 and max(r["size"] for r in batches) < 8 << 20
 
@@ -256,6 +266,16 @@ def test_repeats_of_odd_rows(spark):
     assert suffix_dedup.remove_repeats(spark, df.limit(0)).count() == 0
 
 
+def test_passes_leave_no_shuffles_and_one_table_behind(spark):
+    rng = random.Random(2)
+    part = bytes(rng.choices(b"abcdef", k=300))
+    rows = [(i, bytes(rng.choices(b"abcdef", k=200)) + part[i:]) for i in range(8)]
+    before = shuffle_files(spark)
+    ranges, used = suffix_dedup.repeated_starts(spark, spark.createDataFrame(rows, "doc_id long, data binary"))
+    assert not lasting(spark, before, least=200) and len(used) == 1  # a sum of one row a task is smaller
+    assert {r.doc_id for r in ranges.collect()} == set(range(1, 8))
+
+
 def test_texts_that_share_an_id_or_have_none_are_documents_of_their_own(spark):
     """Ranges found in one of them must not reach the others."""
     rng = random.Random(3)
