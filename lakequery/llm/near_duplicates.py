@@ -9,7 +9,8 @@ in a bucket. First each class is verified against the smallest one it meets, whi
 by as many comparisons as they have members, then, in two rounds, against one leader of each other component
 it meets that the sketch does not rule out. Whatever bucket then still holds several components
 has its remaining pairs across components verified, after a sketch has ruled out those far from the
-threshold. Links are confirmed on full sets; components follow by label propagation.
+threshold and counts modulo two those that surely differ in too many shingles. Links are confirmed on
+full sets; components follow by label propagation.
 """
 
 from __future__ import annotations
@@ -40,6 +41,9 @@ CIRCLE = 1 << 18
 # coordinates, 269.5, with a standard deviation under 8; the cut lies six of them below, at a similarity of about 0.6.
 SKETCH_WORDS = 22
 MIN_EQUAL = 222
+# Bits of a set's parities: which shares of the hash range hold an odd number of its shingles. Bits that differ are never
+# more than the shingles that only one set has, and hardly fewer in sets of up to about 500.
+PARITY_BITS = 2048
 # Shingles of the members that meet a leader in one group.
 GROUP_SHINGLES = 40_000
 # Signatures of texts seen before that a task keeps, as copies of one text lie in many tasks.
@@ -115,6 +119,24 @@ def sketch_of(least: np.ndarray) -> list[int]:
     return np.bitwise_or.reduce(mixed.reshape(SKETCH_WORDS, 16) << shifts, axis=1).view(np.int64).tolist()
 
 
+def parities_of(hashes: np.ndarray) -> list[int]:
+    """For each share of the hash range whether it holds an odd number of the set, 64 shares to a word."""
+    shares = (hashes * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - (PARITY_BITS.bit_length() - 1))
+    odd = np.bincount(shares.astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def parities_allow(one: Column, other: Column, sizes: Column) -> Column:
+    """Whether sets with these sketches, of ``sizes`` shingles together, can reach the similarity by their parities.
+
+    At it, a share of (100 - PERCENT) in (100 + PERCENT) of both sets' shingles is in one of them only.
+    """
+    one, other = (F.slice(sketch, SKETCH_WORDS + 1, PARITY_BITS // 64) for sketch in (one, other))
+    words = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differing = F.aggregate(words, F.lit(0), lambda total, n: total + n)
+    return (100 + PERCENT) * differing <= (100 - PERCENT) * sizes
+
+
 def sketches_agree(one: Column, other: Column) -> Column:
     """Whether enough coordinates have equal bits."""
     lowest = F.lit(0x1111111111111111)
@@ -128,7 +150,7 @@ def sketches_agree(one: Column, other: Column) -> Column:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """Set size, set digest, band keys and sketch of each row; the empty set has no bands."""
+    """Set size, set digest, band keys and sketch (with the parities behind it) of each row; the empty set has no bands."""
 
     def sign(text: str) -> tuple:
         hashes = shingles(text)
@@ -136,7 +158,7 @@ def signed(docs: DataFrame) -> DataFrame:
         if not len(hashes):
             return 0, same, [], []
         least = signature(hashes)
-        return len(hashes), same, bands_of(least), sketch_of(least)
+        return len(hashes), same, bands_of(least), sketch_of(least) + parities_of(hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, tuple] = {}
@@ -319,7 +341,7 @@ def find_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def _unmet(shared: DataFrame, labels: DataFrame, traits: DataFrame, tried: DataFrame) -> DataFrame:
-    """Members and the first member of a bucket in another component that size and sketch allow, without those tried.
+    """Members and the first member of a bucket in another component that their traits allow, without those tried.
 
     Of each other component a member tries one; what that leaves apart is compared in ``_across``.
     """
@@ -330,18 +352,21 @@ def _unmet(shared: DataFrame, labels: DataFrame, traits: DataFrame, tried: DataF
         .where("low <> high")
         .select("bucket", F.col("head.id").alias("a"), F.col("head.component").alias("of_a"))
     )
-    heads = mixed.join(_traits(traits, "a"), "a")
-    met = named.select("bucket", F.col("id").alias("b"), "component").join(_traits(traits, "b"), "b")
-    close = sketches_agree(F.col("sketch_a"), F.col("sketch_b")) & _sizes_allow(F.col("size_a"), F.col("size_b"))
-    pairs = met.join(heads, (met["bucket"] == heads["bucket"]) & (F.col("component") != F.col("of_a")) & close)
+    heads = mixed.join(traits.select(_trait_columns("a")), "a")
+    met = named.select("bucket", F.col("id").alias("b"), "component").join(traits.select(_trait_columns("b")), "b")
+    pairs = met.join(heads, (met["bucket"] == heads["bucket"]) & (F.col("component") != F.col("of_a")) & _close("a", "b"))
     pairs = pairs.select("a", "b", "of_a").distinct().join(tried, ["a", "b"], "left_anti")
     return pairs.groupBy("b", "of_a").agg(F.min("a").alias("a")).select("a", "b")
 
 
-def _traits(traits: DataFrame, name: str) -> DataFrame:
-    return traits.select(
-        F.col("id").alias(name), F.col("n_shingles").alias(f"size_{name}"), F.col("sketch").alias(f"sketch_{name}")
-    )
+def _trait_columns(name: str) -> list[Column]:
+    return [F.col("id").alias(name), F.col("n_shingles").alias(f"size_{name}"), F.col("sketch").alias(f"sketch_{name}")]
+
+
+def _close(one: str, other: str) -> Column:
+    """Whether size, sketch and parities leave it open that the sets reach the similarity."""
+    sizes, sketches = ([F.col(f"{trait}_{name}") for name in (one, other)] for trait in ("size", "sketch"))
+    return _sizes_allow(*sizes) & sketches_agree(*sketches) & parities_allow(*sketches, sizes[0] + sizes[1])
 
 
 def _named(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -363,7 +388,7 @@ def _sizes_allow(a: Column, b: Column) -> Column:
 
 
 def _across(spark: SparkSession, shared: DataFrame, labels: DataFrame, traits: DataFrame) -> DataFrame:
-    """Pairs of one bucket but different components that size and sketch allow.
+    """Pairs of one bucket but different components that their traits allow.
 
     Of each bucket all but its largest component are joined to all of it: a pair across components has
     a side outside the largest one, so nothing is lost, and a large group alone makes no pairs.
@@ -375,14 +400,9 @@ def _across(spark: SparkSession, shared: DataFrame, labels: DataFrame, traits: D
     )
     mixed = largest.where("components > 1").select("bucket", F.col("top.component").alias("largest"))
     inside = stored(spark, named.join(mixed, "bucket").join(traits, "id"), "mixed")
-    left = inside.where(F.col("component") != F.col("largest")).select(
-        "bucket", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n_shingles").alias("nx"), F.col("sketch").alias("sx")
-    )
-    right = inside.select(
-        "bucket", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n_shingles").alias("ny"), F.col("sketch").alias("sy")
-    )
-    close = sketches_agree(F.col("sx"), F.col("sy")) & _sizes_allow(F.col("nx"), F.col("ny"))
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("cx") != F.col("cy")) & close)
+    left = inside.where(F.col("component") != F.col("largest")).select("bucket", F.col("component").alias("cx"), *_trait_columns("x"))
+    right = inside.select("bucket", F.col("component").alias("cy"), *_trait_columns("y"))
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("cx") != F.col("cy")) & _close("x", "y"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

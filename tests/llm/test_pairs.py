@@ -86,6 +86,50 @@ def test_links_that_cross_a_leader_are_found(spark):
     assert {i: got.get(i, i) for i in firsts} == {i: label[i] for i in firsts}
 
 
+def test_near_copies_below_the_threshold_are_told_from_links(spark):
+    """Of 80 copies of one text all pairs are similar to 0.6 or more, but only those of a copy and its own copy are links."""
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(20_000)]
+    base = rng.choices(words, k=200)
+    docs = []
+    for i in range(40):
+        copy = list(base)
+        for at in rng.sample(range(5, 195, 10), 4):
+            copy[at] = rng.choice(words)
+        docs += [(2 * i, " ".join(copy)), (2 * i + 1, " ".join([*copy[:-1], "end"]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    traits = near_duplicates.signed(df).withColumnRenamed("doc_id", "id").select("id", "n_shingles", "sketch")
+    shared = traits.select("id", F.lit(0).cast("long").alias("bucket"))
+    label, sets = slow_components(docs)
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) < 0.75 * len(sets[a] | sets[b])]
+    assert len(pairs) > 2500 and all(len(sets[a] & sets[b]) > 0.6 * len(sets[a] | sets[b]) for a, b in pairs)
+    links = {(a, b) for a in sets for b in sets if a < b} - set(pairs)
+    across = near_duplicates._across(spark, shared, traits.select("id", F.col("id").alias("component")), traits)
+    got = {(r.a, r.b) for r in across.collect()}
+    assert got >= links and len(got - links) < 0.1 * len(pairs)
+
+
+def test_parities_rule_no_link_out(spark):
+    """Sets of all sizes at the least similarity of a link, and so large that most bits are chance."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for n in (1, 4, 7, 70, 700, 7000, 70_000):
+        for _ in range(5):
+            hashes = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            small = rng.permutation(hashes)[: -(-75 * len(hashes) // 100)]
+            half = len(hashes) // 7
+            moved = np.concatenate([hashes[half:], rng.integers(0, 1 << 63, half).astype(np.uint64)])
+            for other in (small, moved):
+                assert near_duplicates.similar(hashes, np.unique(other))
+                sketches = [[0] * near_duplicates.SKETCH_WORDS + near_duplicates.parities_of(s) for s in (hashes, other)]
+                rows.append((*sketches, len(hashes) + len(other)))
+    far = [rng.integers(0, 1 << 63, 300).astype(np.uint64) for _ in range(2)]
+    rows.append((*[[0] * near_duplicates.SKETCH_WORDS + near_duplicates.parities_of(s) for s in far], 600))
+    df = spark.createDataFrame(rows, "x array<long>, y array<long>, sizes long").coalesce(1)
+    allowed = [r[0] for r in df.select(near_duplicates.parities_allow(F.col("x"), F.col("y"), F.col("sizes"))).collect()]
+    assert allowed == [True] * (len(rows) - 1) + [False]
+
+
 def test_components_of_long_chains(spark):
     edges = spark.range(0, 500).select((F.col("id") + 1).alias("a"), F.col("id").alias("b"))
     more = spark.createDataFrame([(1000, 1001), (1001, 1002), (1002, 1000), (7000, 7000)], "a long, b long")
