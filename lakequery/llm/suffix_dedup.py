@@ -38,6 +38,8 @@ LENGTH = 100
 GRAM = 16
 SPAN = LENGTH - GRAM + 1
 BLOCK_BYTES = 2 << 20
+# Windows of a block whose anchors are found at a time, as what that takes is many times their bytes.
+CHUNK_WINDOWS = 1 << 16
 # Window keys that meet in one group, about.
 PART_KEYS = 1 << 17
 # Bits of a filter, a fixed size; two filters at most are sent to all tasks.
@@ -82,28 +84,33 @@ class Block:
         empty = np.zeros(0, np.int64)
         if n <= 0:
             return np.zeros(0, np.uint64), empty, empty
-        words = self.words[: self.size].astype(np.uint64)
-        hashes = mixed(words[: self.size - 7] * C1 + np.roll(words, -8)[: self.size - 7] * C2)[: n + SPAN - 1]
-        # The leftmost least gram of each window: hash above, place below, least of a sliding span.
-        keys = (hashes & np.uint64(~((1 << 24) - 1) & (1 << 64) - 1)) | np.arange(len(hashes), dtype=np.uint64)
-        blocks = -(-len(keys) // SPAN)
+        anchor = np.empty(n, np.int32)
+        for at in range(0, n, CHUNK_WINDOWS):
+            anchor[at : at + CHUNK_WINDOWS] = self.anchors(at, min(CHUNK_WINDOWS, n - at))
+        valid = np.ones(n, bool)
+        for end in self.ends[:-1].tolist():
+            valid[max(0, end - LENGTH + 1) : end] = False
+        joined = (anchor[1:] == anchor[:-1]) & valid[1:] & valid[:-1]
+        starts, ends = valid.copy(), valid.copy()
+        starts[1:] &= ~joined
+        ends[:-1] &= ~joined
+        first, last = np.flatnonzero(starts), np.flatnonzero(ends)
+        at = anchor[first].astype(np.int64)
+        return mixed(self.words[at].astype(np.uint64) * C1 + self.words[at + 8].astype(np.uint64) * C2), first, last
+
+    def anchors(self, start: int, n: int) -> np.ndarray:
+        """Where the leftmost least gram of each of ``n`` windows from ``start`` on begins."""
+        size = n + SPAN - 1
+        words = self.words[start : start + size + 8].astype(np.uint64)
+        hashes = mixed(words[:size] * C1 + words[8 : size + 8] * C2)
+        # Hash above, place below, least of a sliding span.
+        keys = (hashes & np.uint64(~((1 << 24) - 1) & (1 << 64) - 1)) | np.arange(size, dtype=np.uint64)
+        blocks = -(-size // SPAN)
         padded = np.full(blocks * SPAN, np.uint64((1 << 64) - 1))
-        padded[: len(keys)] = keys
+        padded[:size] = keys
         ahead = np.minimum.accumulate(padded.reshape(blocks, SPAN), axis=1).ravel()
         behind = np.minimum.accumulate(padded.reshape(blocks, SPAN)[:, ::-1], axis=1)[:, ::-1].ravel()
-        anchor = (np.minimum(behind[:n], ahead[SPAN - 1 : SPAN - 1 + n]) & np.uint64((1 << 24) - 1)).astype(np.int64)
-        valid = np.ones(n + 1, bool)
-        valid[n] = False
-        for end in self.ends[:-1].tolist():
-            valid[max(0, end - LENGTH + 1) : end] = False
-        starts = np.flatnonzero(valid)
-        if not len(starts):
-            return np.zeros(0, np.uint64), empty, empty
-        new = np.ones(len(starts), bool)
-        new[1:] = (np.diff(anchor[starts]) != 0) | (np.diff(starts) != 1)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(starts)) - 1
-        return hashes[anchor[starts[first]]], starts[first], starts[last]
+        return (np.minimum(behind[:n], ahead[SPAN - 1 : SPAN - 1 + n]) & np.uint64((1 << 24) - 1)).astype(np.int32) + np.int32(start)
 
     def keys(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Hashes of strings of the block."""
@@ -133,15 +140,32 @@ def shifts() -> np.ndarray:
     return table
 
 
+def in_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows by their columns, the first one most significant, and which of them begin a group of equal rows.
+
+    Only rows that the columns before leave equal are sorted by the next one.
+    """
+    order = np.argsort(columns[0])
+    ordered = columns[0][order]
+    new = np.ones(len(order), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    for column in columns[1:]:
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        at = np.flatnonzero(tied)
+        group, members = np.cumsum(new)[at], order[at]
+        values = column[members]
+        within = np.lexsort((values, group))
+        order[at], values = members[within], values[within]
+        new[at[1:]] |= values[1:] != values[:-1]
+    return order, new
+
+
 def names(columns: list[np.ndarray]) -> np.ndarray:
     """Dense ranks of rows by their columns, the first one most significant."""
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), bool)
-    for column in columns:
-        ordered = column[order]
-        new[1:] |= ordered[1:] != ordered[:-1]
+    order, new = in_order(columns)
     ranks = np.empty(len(order), np.int64)
-    ranks[order] = np.cumsum(new) + 1
+    ranks[order] = np.cumsum(new)
     return ranks
 
 
@@ -151,9 +175,10 @@ def sample_ranks(block: Block, starts: np.ndarray) -> np.ndarray:
     covered = np.zeros(size + 1, np.int32)
     np.add.at(covered, starts, 1)
     np.add.at(covered, starts + 4 * PERIOD, -1)
-    inside = np.flatnonzero((np.cumsum(covered[:size]) > 0) & np.isin(np.arange(size) % PERIOD, COVER))
+    sampled = np.resize(np.isin(np.arange(PERIOD), COVER), size)
+    inside = np.flatnonzero((np.cumsum(covered[:size], dtype=np.int32) > 0) & sampled)
     inside = inside[inside + PERIOD + 8 <= size]
-    ranks = np.zeros(size + 4 * PERIOD, np.int64)
+    ranks = np.zeros(size + 4 * PERIOD, np.int32)
     ranks[inside] = names([block.words[inside + at] for at in (0, 8, 16, PERIOD - 8)])
     for step in (PERIOD, 2 * PERIOD):
         ranks[inside] = names([ranks[inside], ranks[inside + step]])
@@ -197,13 +222,8 @@ def sorted_classes(block: Block, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     first = block.text[starts]
     for bucket in np.unique(first):
         members = starts[first == bucket]
-        columns = [block.words[members + at] for at in (0, 8, 16, PERIOD - 8)]
-        order = np.lexsort(columns[::-1])
+        order, new = in_order([block.words[members + at] for at in (0, 8, 16, PERIOD - 8)])
         members = members[order]
-        new = np.ones(len(members), bool)
-        new[1:] = False
-        for column in columns:
-            new[1:] |= column[order][1:] != column[order][:-1]
         group = np.cumsum(new)
         tied = ~new
         tied[:-1] |= ~new[1:]

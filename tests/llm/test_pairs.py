@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -283,6 +284,30 @@ def test_blocks_hold_every_window_once():
     assert sorted(found) == [(i, s) for i, t in docs for s in range(len(t) - suffix_dedup.LENGTH + 1)]
 
 
+def test_anchors_of_a_block_are_found_in_bounded_memory(monkeypatch):
+    rng = np.random.default_rng(6)
+    block = suffix_dedup.Block([(i, 0, rng.integers(97, 100, 20_000).astype(np.uint8).tobytes()) for i in range(100)])
+    tracemalloc.start()
+    whole = block.runs()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * block.size
+    monkeypatch.setattr(suffix_dedup, "CHUNK_WINDOWS", 777)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, block.runs()))
+
+
+def test_ties_alone_are_sorted_on():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 2, 3000):
+        columns = [rng.integers(0, 12, n).astype(np.uint64) for _ in range(4)]
+        rows = list(zip(*columns))
+        order, new = suffix_dedup.in_order(columns)
+        assert [rows[k] for k in order] == sorted(rows)
+        assert new.sum() == len(set(rows)) and sorted(order) == list(range(n))
+        ranks = {row: k for k, row in enumerate(sorted(set(rows)), 1)}
+        assert suffix_dedup.names(columns).tolist() == [ranks[row] for row in rows]
+
+
 def test_repeats_are_removed_exactly(spark):
     rng = random.Random(11)
     base = ["".join(rng.choices("abcdefgh é", k=rng.randint(50, 700))) for _ in range(8)]
