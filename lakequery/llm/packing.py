@@ -35,6 +35,8 @@ GROUP_PIECES = 2048
 CACHED_CHUNKS = 700_000
 # How much text is tokenized at a time: the more, the more words it has in common.
 SLICE_BYTES = 8 << 20
+# In the pipeline, whose workers hold what other stages took as well; a slice takes over 20 times its bytes.
+STAGE_SLICE_BYTES = 2 << 20
 
 PIECE = pa.schema(
     [
@@ -129,9 +131,10 @@ def chunk_tokenizer(path: str) -> ChunkTokenizer:
     return ChunkTokenizer(path)
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Every document's tokens cut at ``capacity``: doc_id, piece, start, length, ids_crc32.
 
+    About ``slice_bytes`` of text are tokenized at a time, which changes time and memory alone.
     A null or empty text has the end id alone. Null and repeated doc_ids give their pieces as others.
     """
     path = path or tokenizer_path()
@@ -139,7 +142,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in text_slices(batch, 1, SLICE_BYTES):
+            for rows in text_slices(batch, 1, slice_bytes):
                 out: list[tuple] = []
                 # The texts stay in Arrow: only what is new of their chunks becomes Python text.
                 every, bounds = chunk_tokenizer(path).encode(pc.fill_null(rows.column(1), ""))
@@ -149,6 +152,8 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
                         part = ids[at : at + 4 * capacity]
                         out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PIECE)], schema=PIECE)
+        # The worker stays for other tasks, and would keep what this one took.
+        pa.default_memory_pool().release_unused()
 
     return documents(docs).mapInArrow(run, spark_schema(PIECE))
 
@@ -280,12 +285,12 @@ def _packed(rows: DataFrame, capacity: int) -> DataFrame:
     return rows.groupBy("grp").applyInPandas(run, PACKED)
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def pack_documents(spark: SparkSession, docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """All documents, tokenized whole and packed: a row per piece with its sequence and offset."""
-    return pack(spark, pieces(docs))
+    return pack(spark, pieces(docs, slice_bytes=slice_bytes))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(spark, docs)
+    return pack_documents(spark, docs, STAGE_SLICE_BYTES)
 
 

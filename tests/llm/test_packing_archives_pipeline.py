@@ -104,6 +104,11 @@ def test_pieces_of_odd_documents(spark):
     assert packing.pack_documents(spark, docs.limit(0)).count() == 0
 
 
+def test_slices_of_text_change_no_piece(spark):
+    docs = spark.createDataFrame([(i, f"Text number {i}, " * i) for i in range(40)], "doc_id long, text string").coalesce(1)
+    assert sorted(packing.pieces(docs, slice_bytes=100).collect()) == sorted(packing.pieces(docs).collect())
+
+
 def test_pages_survive_archives(spark, small, tmp_path):
     rng = random.Random(1)
     big, nasty = "".join(rng.choices("abcé☃\r\n", k=120_000)), "x WARC/1.1\r\nWARC-Type: response\r\n\r\n" * 60

@@ -9,7 +9,7 @@ import re
 import duckdb
 import pytest
 
-from lakequery.llm import language, licenses, pii, secrets
+from lakequery.llm import common, language, licenses, pii, secrets
 from lakequery.llm.queries import ORACLES, PLANS
 
 
@@ -258,3 +258,9 @@ def test_keys_and_tokens_glued_to_what_is_in_front():
     for front in ("Authorization_", "headers_.", "eyJ_", "a.b."):
         assert secrets.scan_text(front + token)[1] == [("jwt", len(front), len(front + token))]
     assert secrets.scan_text("ab" + RSA.hex())[1][-1] == ("der_key", 2, 2 + 2 * len(RSA))
+
+
+def test_stages_judge_a_few_megabytes_at_a_time(spark):
+    docs = spark.range(0, 100, 1, 1).selectExpr("id AS doc_id", "repeat('ab ', 40000) AS text")
+    kept = common.keep_rows(docs, "text", lambda texts: [sum(map(len, texts)) <= common.SLICE_BYTES] * len(texts))
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(100))
