@@ -3,9 +3,10 @@
 A byte goes if some string of ``LENGTH`` bytes that covers it also starts earlier. Sorting all suffixes
 of a corpus is out of reach, so passes over the texts narrow down what is sorted:
 
-1. Each window of ``LENGTH`` bytes has an anchor, its least hashed 16-byte gram, which depends on its
-   bytes alone; equal windows have equal anchors. Neighbouring windows of one anchor are a run. Anchors
-   that occur once cannot hold a repeated window.
+1. Each window of ``LENGTH`` bytes has an anchor, its least hashed gram of ``GRAM`` bytes, which depends on
+   its bytes alone; equal windows have equal anchors. Neighbouring windows of one anchor are a run. Anchors
+   that occur once cannot hold a repeated window. A gram is long enough that unlike texts hardly share one,
+   so what is in question does not grow with chance.
 2. Runs of equal bytes are repeated as a whole; only the first of each stays in question, and only if
    its anchor also occurs within other bytes.
 3. The windows still in question are suffixes to be sorted, block by block of documents. Within a
@@ -35,7 +36,8 @@ from lakequery.llm.common import discard, stored
 from lakequery.operators.numbering import number_rows
 
 LENGTH = 100
-GRAM = 16
+# A multiple of a word's 8 bytes.
+GRAM = 40
 SPAN = LENGTH - GRAM + 1
 BLOCK_BYTES = 2 << 20
 # Windows of a block whose anchors are found at a time, as what that takes is many times their bytes.
@@ -59,6 +61,15 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
+def folded(words: list[np.ndarray]) -> np.ndarray:
+    """The words of each gram as one number, which still has to be mixed."""
+    total = words[0].astype(np.uint64)
+    for word in words[1:]:
+        total *= C1
+        total += word.astype(np.uint64, copy=False)
+    return total * C2
+
+
 class Block:
     """Pieces of documents side by side: bytes, and for each window start its document and offset."""
 
@@ -96,13 +107,13 @@ class Block:
         ends[:-1] &= ~joined
         first, last = np.flatnonzero(starts), np.flatnonzero(ends)
         at = anchor[first].astype(np.int64)
-        return mixed(self.words[at].astype(np.uint64) * C1 + self.words[at + 8].astype(np.uint64) * C2), first, last
+        return mixed(folded([self.words[at + k] for k in range(0, GRAM, 8)])), first, last
 
     def anchors(self, start: int, n: int) -> np.ndarray:
         """Where the leftmost least gram of each of ``n`` windows from ``start`` on begins."""
         size = n + SPAN - 1
-        words = self.words[start : start + size + 8].astype(np.uint64)
-        hashes = mixed(words[:size] * C1 + words[8 : size + 8] * C2)
+        words = self.words[start : start + size + GRAM - 8].astype(np.uint64)
+        hashes = mixed(folded([words[k : k + size] for k in range(0, GRAM, 8)]))
         # Hash above, place below, least of a sliding span.
         keys = (hashes & np.uint64(~((1 << 24) - 1) & (1 << 64) - 1)) | np.arange(size, dtype=np.uint64)
         blocks = -(-size // SPAN)

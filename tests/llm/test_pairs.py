@@ -296,6 +296,14 @@ def test_anchors_of_a_block_are_found_in_bounded_memory(monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(whole, block.runs()))
 
 
+def test_texts_that_share_a_phrase_share_no_anchor():
+    rng = np.random.default_rng(8)
+    around = [rng.integers(97, 123, 300).astype(np.uint8).tobytes() for _ in range(50)]
+    block = suffix_dedup.Block([(i, 0, text[:150] + b" in the course of the year " + text[150:]) for i, text in enumerate(around)])
+    found = block.runs()[0]
+    assert len(found) == len(np.unique(found))
+
+
 def test_ties_alone_are_sorted_on():
     rng = np.random.default_rng(7)
     for n in (0, 1, 2, 3000):
