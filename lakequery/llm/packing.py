@@ -152,8 +152,9 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, s
                         part = ids[at : at + 4 * capacity]
                         out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PIECE)], schema=PIECE)
-        # The worker stays for other tasks, and would keep what this one took.
-        pa.default_memory_pool().release_unused()
+        if slice_bytes < SLICE_BYTES:
+            # Memory is short: the worker stays for other tasks, and would keep what this one took.
+            pa.default_memory_pool().release_unused()
 
     return documents(docs).mapInArrow(run, spark_schema(PIECE))
 
