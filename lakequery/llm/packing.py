@@ -35,8 +35,10 @@ GROUP_PIECES = 2048
 CACHED_CHUNKS = 700_000
 # How much text is tokenized at a time: the more, the more words it has in common.
 SLICE_BYTES = 8 << 20
-# In the pipeline, whose workers hold what other stages took as well; a slice takes over 20 times its bytes.
+# In the pipeline, whose workers hold what other stages took as well; a slice takes over 20 times its bytes, what is kept
+# of a chunk about 200 bytes.
 STAGE_SLICE_BYTES = 2 << 20
+STAGE_CACHED_CHUNKS = 100_000
 
 PIECE = pa.schema(
     [
@@ -63,7 +65,7 @@ class ChunkTokenizer:
     The vocabulary's rules never join characters over white space, so the ids of a text are those of
     the chunks between its blanks, in order. Chunks in plain ASCII are cut further at the rules' own
     borders and others before trailing punctuation, so that `word`, `Word` and `word,` share work.
-    Each distinct part goes through the tokenizer once a process, until the tables start anew.
+    Each distinct part goes through the tokenizer once a process, until the tables start anew or are dropped.
     """
 
     def __init__(self, path: str):
@@ -98,8 +100,16 @@ class ChunkTokenizer:
             for chunk, parts in cuts.items():
                 self.chunks[chunk] = b"".join(map(self.parts.__getitem__, parts))
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in one array, and where each text's begin (and the last ones end)."""
+    def forget(self) -> None:
+        """Drop what was learned of chunks, which changes time and memory alone."""
+        self.chunks.clear()
+        self.parts.clear()
+
+    def encode(self, texts: pa.Array, cached: int = CACHED_CHUNKS) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in one array, and where each text's begin (and the last ones end).
+
+        A table of more than ``cached`` chunks or parts starts anew, which changes time and memory alone.
+        """
         for blank in "\n\r\t":
             texts = pc.replace_substring(texts, blank, " ")
         split = pc.split_pattern(texts, " ")
@@ -107,7 +117,7 @@ class ChunkTokenizer:
         distinct, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         known = self.chunks
         for table in (self.chunks, self.parts):
-            if len(table) > CACHED_CHUNKS:
+            if len(table) > cached:
                 table.clear()
         self._fill([chunk for chunk in distinct if chunk not in known])
         found = [known[chunk] for chunk in distinct]
@@ -139,21 +149,25 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, s
     """
     path = path or tokenizer_path()
     end = np.array([END_ID], "<u4").tobytes()
+    # With small slices memory is short.
+    short = slice_bytes < SLICE_BYTES
+    cached = STAGE_CACHED_CHUNKS if short else CACHED_CHUNKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in text_slices(batch, 1, slice_bytes):
                 out: list[tuple] = []
                 # The texts stay in Arrow: only what is new of their chunks becomes Python text.
-                every, bounds = chunk_tokenizer(path).encode(pc.fill_null(rows.column(1), ""))
+                every, bounds = chunk_tokenizer(path).encode(pc.fill_null(rows.column(1), ""), cached)
                 for doc_id, low, high in zip(rows.column(0).to_pylist(), bounds.tolist(), bounds[1:].tolist()):
                     ids = every[low:high].tobytes() + end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PIECE)], schema=PIECE)
-        if slice_bytes < SLICE_BYTES:
-            # Memory is short: the worker stays for other tasks, and would keep what this one took.
+        if short:
+            # The worker stays for other tasks, and would keep what this one took.
+            chunk_tokenizer(path).forget()
             pa.default_memory_pool().release_unused()
 
     return documents(docs).mapInArrow(run, spark_schema(PIECE))

@@ -109,6 +109,31 @@ def test_slices_of_text_change_no_piece(spark):
     assert sorted(packing.pieces(docs, slice_bytes=100).collect()) == sorted(packing.pieces(docs).collect())
 
 
+def test_stage_keeps_few_chunks_and_drops_them_after_a_task(monkeypatch):
+    """Workers stay for the other stages, and would hold the chunks of every text they have seen."""
+
+    class Docs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(packing, "documents", lambda docs: docs)
+    monkeypatch.setattr(packing, "STAGE_CACHED_CHUNKS", 100, raising=False)
+    texts = [" ".join(f"w{k}x{i}" for i in range(20)) for k in range(200)]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    tokenizer = packing.chunk_tokenizer(packing.tokenizer_path())
+    tokenizer.chunks.clear(), tokenizer.parts.clear()
+    want = [row for part in packing.pieces(Docs())(iter([batch])) for row in part.to_pylist()]
+    tokenizer.chunks.clear(), tokenizer.parts.clear()
+    found, most = [], 0
+    for part in packing.pieces(Docs(), slice_bytes=1000)(iter([batch])):
+        found += part.to_pylist()
+        most = max(most, len(tokenizer.chunks))
+    assert found == want and len(found) == len(texts)
+    # What one slice adds to a table that has just not reached its bound.
+    assert most <= 100 + 1000 / len("w0x0 ")
+    assert not tokenizer.chunks and not tokenizer.parts
+
+
 def test_pages_survive_archives(spark, small, tmp_path):
     rng = random.Random(1)
     big, nasty = "".join(rng.choices("abcé☃\r\n", k=120_000)), "x WARC/1.1\r\nWARC-Type: response\r\n\r\n" * 60
