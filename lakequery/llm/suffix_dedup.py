@@ -9,11 +9,11 @@ of a corpus is out of reach, so passes over the texts narrow down what is sorted
    so what is in question does not grow with chance.
 2. Runs of equal bytes are repeated as a whole; only the first of each stays in question, and only if
    its anchor also occurs within other bytes.
-3. The windows still in question are suffixes to be sorted, block by block of documents. Within a
-   block they are sorted one bucket of equal first bytes at a time; suffixes that agree in their first
-   ``PERIOD`` bytes are put in order by the ranks of a difference-cover sample, which are made once a
-   block: for any two suffixes some short shift lands on two sample positions whose ranks decide. Equal
-   windows are neighbours in that order.
+3. The windows still in question are cut out of their texts and laid side by side in blocks, where they
+   are suffixes to be sorted. Within a block they are sorted one bucket of equal first bytes at a time;
+   suffixes that agree in their first ``PERIOD`` bytes are put in order by the ranks of a difference-cover
+   sample, which are made once a block: for any two suffixes some short shift lands on two sample
+   positions whose ranks decide. Equal windows are neighbours in that order.
 4. Each block's different windows meet those of other blocks as sorted keys; only windows whose key
    blocks share become rows, and the first place of each decides.
 
@@ -27,12 +27,12 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakequery.llm.common import discard, stored
+from lakequery.llm.common import discard, spark_schema, stored
 from lakequery.operators.numbering import number_rows
 
 LENGTH = 100
@@ -40,10 +40,12 @@ LENGTH = 100
 GRAM = 40
 SPAN = LENGTH - GRAM + 1
 BLOCK_BYTES = 2 << 20
+# Less where all windows of a block are sorted.
+QUESTION_BYTES = 1 << 19
 # Windows of a block whose anchors are found at a time, as what that takes is many times their bytes.
 CHUNK_WINDOWS = 1 << 16
-# Window keys that meet in one group, about.
-PART_KEYS = 1 << 17
+# Keys of blocks that a task sends on together.
+SENT_KEYS = 1 << 20
 # Bits of a filter, a fixed size; two filters at most are sent to all tasks.
 FILTER_BITS = 1 << 27
 BUCKET_BITS = 32768
@@ -74,15 +76,26 @@ class Block:
     """Pieces of documents side by side: bytes, and for each window start its document and offset."""
 
     def __init__(self, pieces: list[tuple[int, int, bytes]]):
-        data = b"".join(piece for _, _, piece in pieces)
+        ids, offsets, sizes = (np.array(c, np.int64) for c in ([p[0] for p in pieces], [p[1] for p in pieces], [len(p[2]) for p in pieces]))
+        self.lay(ids, offsets, sizes, b"".join(piece for _, _, piece in pieces))
+
+    @classmethod
+    def packed(cls, row: dict) -> Block:
+        """A block as ``row`` packs it."""
+        block = cls.__new__(cls)
+        block.lay(*(np.frombuffer(row[name], np.int64) for name in ("ids", "offsets", "sizes")), row["data"])
+        return block
+
+    def row(self) -> dict:
+        places = {"ids": self.ids, "offsets": self.offsets + self.ends - self.sizes, "sizes": self.sizes}
+        return {name: [values.tobytes()] for name, values in places.items()} | {"data": [self.text[: self.size].tobytes()]}
+
+    def lay(self, ids: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, data: bytes) -> None:
         self.text = np.frombuffer(data + bytes(PAD + LENGTH), np.uint8)
         self.words = np.ndarray((len(self.text) - 7,), ">u8", self.text, strides=(1,))
-        sizes = np.array([len(piece) for _, _, piece in pieces], np.int64)
-        ends = np.cumsum(sizes)
-        self.size = int(ends[-1]) if len(ends) else 0
-        self.ids = np.array([doc_id for doc_id, _, _ in pieces], np.int64)
-        self.offsets = np.array([offset for _, offset, _ in pieces], np.int64) - (ends - sizes)
-        self.ends = ends
+        self.size = len(data)
+        self.ids, self.sizes, self.ends = ids, sizes, np.cumsum(sizes)
+        self.offsets = offsets - (self.ends - sizes)
 
     def place(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """doc_id and offset in the document of positions of the block."""
@@ -98,46 +111,45 @@ class Block:
         anchor = np.empty(n, np.int32)
         for at in range(0, n, CHUNK_WINDOWS):
             anchor[at : at + CHUNK_WINDOWS] = self.anchors(at, min(CHUNK_WINDOWS, n - at))
-        valid = np.ones(n, bool)
         for end in self.ends[:-1].tolist():
-            valid[max(0, end - LENGTH + 1) : end] = False
-        joined = (anchor[1:] == anchor[:-1]) & valid[1:] & valid[:-1]
-        starts, ends = valid.copy(), valid.copy()
-        starts[1:] &= ~joined
-        ends[:-1] &= ~joined
-        first, last = np.flatnonzero(starts), np.flatnonzero(ends)
+            anchor[max(0, end - LENGTH + 1) : end] = -1
+        cuts = np.flatnonzero(anchor[1:] != anchor[:-1])
+        first, last = np.append(0, cuts + 1), np.append(cuts, n - 1)
         at = anchor[first].astype(np.int64)
-        return mixed(folded([self.words[at + k] for k in range(0, GRAM, 8)])), first, last
+        first, last, at = first[at >= 0], last[at >= 0], at[at >= 0]
+        # An anchor is a least hash, so nearly all begin with zero bits; mixed once more they fill filters and ranges evenly.
+        return mixed(mixed(folded([self.words[at + k] for k in range(0, GRAM, 8)])) * C1), first, last
+
+    def starts(self) -> np.ndarray:
+        """Where every window begins."""
+        sizes = self.sizes - LENGTH + 1
+        return np.repeat(self.ends - self.sizes - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
     def anchors(self, start: int, n: int) -> np.ndarray:
         """Where the leftmost least gram of each of ``n`` windows from ``start`` on begins."""
         size = n + SPAN - 1
         words = self.words[start : start + size + GRAM - 8].astype(np.uint64)
-        hashes = mixed(folded([words[k : k + size] for k in range(0, GRAM, 8)]))
-        # Hash above, place below, least of a sliding span.
-        keys = (hashes & np.uint64(~((1 << 24) - 1) & (1 << 64) - 1)) | np.arange(size, dtype=np.uint64)
-        blocks = -(-size // SPAN)
-        padded = np.full(blocks * SPAN, np.uint64((1 << 64) - 1))
-        padded[:size] = keys
-        ahead = np.minimum.accumulate(padded.reshape(blocks, SPAN), axis=1).ravel()
-        behind = np.minimum.accumulate(padded.reshape(blocks, SPAN)[:, ::-1], axis=1)[:, ::-1].ravel()
-        return (np.minimum(behind[:n], ahead[SPAN - 1 : SPAN - 1 + n]) & np.uint64((1 << 24) - 1)).astype(np.int32) + np.int32(start)
-
-    def keys(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Hashes of strings of the block."""
-        out = np.empty(len(starts), np.uint64)
-        for k, (start, length) in enumerate(zip(starts.tolist(), lengths.tolist())):
-            out[k] = int.from_bytes(hashlib.blake2b(self.text[start : start + length].data, digest_size=8).digest(), "little")
-        return out
-
-    def window_keys(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent hashes of each whole window."""
-        one, two = np.full(len(starts), C2), np.full(len(starts), C1)
+        keys = mixed(folded([words[k : k + size] for k in range(0, GRAM, 8)]))
+        # Hash above, place below, least of a sliding span that doubles.
+        keys &= np.uint64(~((1 << 24) - 1) & (1 << 64) - 1)
+        keys |= np.arange(size, dtype=np.uint64)
+        span = 1
+        while span < SPAN:
+            step = min(span, SPAN - span)
+            keys, span = np.minimum(keys[:-step], keys[step:]), span + step
+        return (keys & np.uint64((1 << 24) - 1)).astype(np.int32) + np.int32(start)
+
+    def keys(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hashes of runs of windows, of which the first and the last hold all bytes, as a run is no longer than ``SPAN``."""
+        return mixed(self.window_key(first, 0) + mixed(self.window_key(last, 1) * C1 + (last - first).astype(np.uint64)) * C2)
+
+    def window_key(self, starts: np.ndarray, kind: int) -> np.ndarray:
+        """One of two independent hashes of each whole window."""
+        key = np.full(len(starts), (C2, C1)[kind])
         for at in (*range(0, LENGTH - 8, 8), LENGTH - 8):
             word = self.words[starts + at].astype(np.uint64)
-            one = mixed(one * C1 + word)
-            two = mixed((two ^ word) * C2 + np.uint64(at))
-        return one, two
+            key = mixed((key ^ word) * C2 + np.uint64(at) if kind else key * C1 + word)
+        return key
 
 
 @cache
@@ -250,17 +262,26 @@ def sorted_classes(block: Block, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def blocks_of(batches: Iterator[pa.RecordBatch], bound: int = BLOCK_BYTES) -> Iterator[Block]:
     """Blocks of bounded size; a long document is cut so that each window lies in exactly one piece."""
+
+    def pieces() -> Iterator[tuple[int, int, bytes]]:
+        for batch in batches:
+            for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for start in range(0, max(0, len(data) - LENGTH + 1), bound):
+                    yield doc_id, start, data[start : start + bound + LENGTH - 1]
+
+    return gathered(pieces(), bound)
+
+
+def gathered(pieces: Iterator[tuple[int, int, bytes]], bound: int) -> Iterator[Block]:
+    """Blocks of about ``bound`` bytes at most; a larger piece stands alone."""
     held: list[tuple[int, int, bytes]] = []
     size = 0
-    for batch in batches:
-        for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for start in range(0, max(0, len(data) - LENGTH + 1), bound):
-                piece = data[start : start + bound + LENGTH - 1]
-                if held and size + len(piece) > bound:
-                    yield Block(held)
-                    held, size = [], 0
-                held.append((doc_id, start, piece))
-                size += len(piece)
+    for piece in pieces:
+        if held and size + len(piece[2]) > bound:
+            yield Block(held)
+            held, size = [], 0
+        held.append(piece)
+        size += len(piece[2])
     if held:
         yield Block(held)
 
@@ -294,15 +315,47 @@ def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
 
-def anchors(rows: DataFrame) -> DataFrame:
-    """Pass 1: the anchors of each block and how often each occurs there."""
+def share_count(spark: SparkSession) -> int:
+    """Into how many ranges keys are dealt: a power of two, several for each partition."""
+    return 1 << (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+
+
+class Shares:
+    """Keys of several blocks, which leave as sorted rows (part, keys), one for each of ``parts`` equal ranges of keys."""
+
+    def __init__(self, parts: int):
+        self.bounds = np.arange(1, parts, dtype=np.uint64) * np.uint64((1 << 64) // parts if parts > 1 else 0)
+        self.held: list[np.ndarray] = []
+
+    def add(self, keys: np.ndarray) -> Iterator[tuple[list[int], list[bytes]]]:
+        self.held.append(keys)
+        if sum(map(len, self.held)) >= SENT_KEYS:
+            yield self.sent()
+
+    def sent(self) -> tuple[list[int], list[bytes]]:
+        whole = np.sort(np.concatenate([np.zeros(0, np.uint64), *self.held]))
+        self.held = []
+        cuts = [0, *np.searchsorted(whole, self.bounds).tolist(), len(whole)]
+        full = [k for k in range(len(cuts) - 1) if cuts[k] < cuts[k + 1]]
+        return full, [whole[cuts[k] : cuts[k + 1]].tobytes() for k in full]
+
+
+def anchors(rows: DataFrame, parts: int) -> DataFrame:
+    """Pass 1: the anchors of blocks as shares, those that occur several times in their block twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shares = Shares(parts)
         for block in blocks_of(batches):
             found, n = np.unique(block.runs()[0], return_counts=True)
-            yield _batch({"g": found.view(np.int64), "n": n})
+            for sent in shares.add(np.repeat(found, np.minimum(n, 2))):
+                yield _share_rows(*sent)
+        yield _share_rows(*shares.sent())
 
-    return rows.mapInArrow(run, "g bigint, n bigint")
+    return rows.mapInArrow(run, "part int, keys binary")
+
+
+def _share_rows(parts: list[int], keys: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(keys, pa.binary())], names=["part", "keys"])
 
 
 def repeated_runs(rows: DataFrame, bits: np.ndarray) -> DataFrame:
@@ -316,7 +369,7 @@ def repeated_runs(rows: DataFrame, bits: np.ndarray) -> DataFrame:
             g, first, last = block.runs()
             kept = held_by(bits, g)
             g, first, last = g[kept], first[kept], last[kept]
-            keys = block.keys(first, last - first + LENGTH)
+            keys = block.keys(first, last)
             doc_ids, low = block.place(first)
             order = np.lexsort((low, doc_ids, keys, g))
             new = np.ones(len(order), bool)
@@ -347,25 +400,34 @@ def settled_keys(runs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchor = key = place = None
-        waiting: tuple | None = None  # the first run of an anchor, while it is the only one
+        before: list[np.ndarray] = []  # the first run of the last key
+        waiting = False  # whether it is the only key of its anchor so far
         for batch in batches:
-            out: list[tuple] = []
-            for g, k, doc_id, low, high in zip(*(column.to_pylist() for column in batch.columns)):
-                if g != anchor:
-                    waiting = (doc_id, low, high, True)
-                elif k != key:
-                    if waiting:
-                        out.append(waiting)
-                        waiting = None
-                    out.append((doc_id, low, high, True))
-                elif (doc_id, low) != place:  # the same place, read twice, is no repeat of itself
-                    out.append((doc_id, low, high, False))
-                if (g, k) != (anchor, key):
-                    anchor, key, place = g, k, (doc_id, low)
-            if out:
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 3, pa.bool_()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lo", "hi", "head"])
+            if not batch.num_rows:
+                continue
+            columns = [column.to_numpy() for column in batch.columns]
+            if before:
+                columns = [np.concatenate(pair) for pair in zip(before, columns)]
+            g, k, doc_ids, low, high = columns
+            new_g, new = np.ones(len(g), bool), np.ones(len(g), bool)
+            new_g[1:] = np.diff(g) != 0
+            new[1:] = new_g[1:] | (np.diff(k) != 0)
+            leader = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
+            # The same place, read twice, is no repeat of itself.
+            again = ~new & ((doc_ids != doc_ids[leader]) | (low != low[leader]))
+            firsts = np.flatnonzero(new)
+            only = new_g[firsts]
+            if before:
+                only[0] = waiting
+            several = ~only
+            several[:-1] |= ~new_g[firsts[1:]]
+            if before and not waiting:
+                several[0] = False
+            rows = np.concatenate([firsts[several], np.flatnonzero(again)])
+            before, waiting = [column[firsts[-1:]] for column in columns], bool(only[-1] and not several[-1])
+            if len(rows):
+                head = np.arange(len(rows)) < several.sum()
+                yield _batch({"doc_id": doc_ids[rows], "lo": low[rows], "hi": high[rows], "head": head})
 
     ordered = runs.repartition("g").sortWithinPartitions("g", "k", "doc_id", "lo")
     return ordered.mapInArrow(run, "doc_id bigint, lo bigint, hi bigint, head boolean")
@@ -386,26 +448,60 @@ def head_places(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "lo").mapInArrow(run, "g bigint")
 
 
-def windows_in_question(block: Block, bits: np.ndarray) -> np.ndarray:
-    """The window starts of a block's runs whose place the filter holds."""
-    _, first, last = block.runs()
-    kept = held_by(bits, place_hash(*block.place(first)))
-    sizes = (last - first + 1)[kept]
-    return np.repeat(first[kept] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+def in_question(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """Blocks of the windows that start in the ranges ``heads`` has for a document, a packed block per row.
 
+    Neighbouring ranges are one piece of text. A document comes with its own ranges, so this does not depend on how much is in question elsewhere.
+    """
 
-def sorted_windows(rows: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
+        for batch in batches:
+            row, low, high = ranges_of(batch.column(2))
+            new = np.ones(len(row), bool)
+            new[1:] = (np.diff(row) != 0) | (low[1:] > high[:-1] + 1)
+            at = np.flatnonzero(new)
+            high = np.maximum.reduceat(high, at) if len(at) else high
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for n, start, last in zip(row[at].tolist(), low[at].tolist(), high.tolist()):
+                for cut in range(start, last + 1, QUESTION_BYTES):
+                    yield ids[n], cut, texts[n][cut : min(last + 1, cut + QUESTION_BYTES) + LENGTH - 1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in gathered(pieces(batches), QUESTION_BYTES):
+            yield pa.RecordBatch.from_pydict(block.row(), schema=PACKED)
+
+    listed = heads.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    return rows.join(listed, "doc_id").select("doc_id", "data", "ranges").mapInArrow(run, spark_schema(PACKED))
+
+
+def ranges_of(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, lo and hi of the ranges of all rows, in order."""
+    flat = lists.flatten()
+    low, high = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64, copy=False) for k in (0, 1))
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lists)), sizes)
+    order = np.lexsort((high, low, row))
+    return row, low[order], high[order]
+
+
+def packed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield Block.packed(batch.slice(k, 1).to_pylist()[0])
+
+
+def sorted_windows(blocks: DataFrame, parts: int) -> DataFrame:
     """Pass 3: windows sorted in their block.
 
-    Rows are either repeats within the block (doc_id, lo, hi), or the sorted keys of the block's
-    different windows that fall in one of ``parts`` equal shares of the key range (part, keys).
+    Rows are either repeats within the block (doc_id, lo, hi), or the keys of different windows of
+    blocks as shares (part, keys).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks_of(batches):
-            ordered, kinds = sorted_classes(block, windows_in_question(block, bits))
-            if not len(ordered):
-                continue
+        shares = Shares(parts)
+        nowhere = [np.zeros(0, np.int64)] * 3
+        for block in packed_blocks(batches):
+            ordered, kinds = sorted_classes(block, block.starts())
             doc_ids, offsets = block.place(ordered)
             order = np.lexsort((offsets, doc_ids, kinds))
             is_first = np.ones(len(order), bool)
@@ -413,10 +509,8 @@ def sorted_windows(rows: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
             # The same place of the same document, read twice, is no repeat of itself.
             leader = np.maximum.accumulate(np.where(is_first, np.arange(len(order)), 0))
             same = (doc_ids[order] == doc_ids[order[leader]]) & (offsets[order] == offsets[order[leader]])
-            keys = np.sort(block.window_keys(ordered[order[is_first]])[0])
-            cuts = np.searchsorted(keys, np.arange(parts, dtype=np.uint64) << np.uint64(64 - (parts.bit_length() - 1))) if parts > 1 else np.array([0])
-            shares = [(k, share) for k, share in enumerate(np.split(keys, cuts[1:])) if len(share)]
-            yield _window_rows([k for k, _ in shares], [share.tobytes() for _, share in shares], *[np.zeros(0, np.int64)] * 3)
+            for sent in shares.add(block.window_key(ordered[order[is_first]], 0)):
+                yield _window_rows(*sent, *nowhere)
             rest = np.sort(ordered[order[~is_first & ~same]])
             if len(rest):
                 breaks = np.flatnonzero(np.diff(rest) != 1)
@@ -424,8 +518,9 @@ def sorted_windows(rows: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
                 # A stretch of neighbours never crosses pieces, as the last starts of a piece are no windows.
                 ids, at = block.place(low)
                 yield _window_rows([], [], ids, at, at + high - low)
+        yield _window_rows(*shares.sent(), *nowhere)
 
-    return rows.mapInArrow(run, "part int, keys binary, doc_id bigint, lo bigint, hi bigint")
+    return blocks.mapInArrow(run, "part int, keys binary, doc_id bigint, lo bigint, hi bigint")
 
 
 def _window_rows(parts: list[int], keys: list[bytes], ids: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
@@ -438,25 +533,36 @@ def _window_rows(parts: list[int], keys: list[bytes], ids: np.ndarray, low: np.n
     return pa.RecordBatch.from_arrays(columns, names=["part", "keys", "doc_id", "lo", "hi"])
 
 
-def shared_keys(windows: DataFrame) -> DataFrame:
-    """The column ``g``: window keys that more than one block holds."""
+def shared_keys(shares: DataFrame) -> DataFrame:
+    """The column ``g``: keys that occur several times in the shares; a task holds those of one part at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, [np.zeros(0, np.uint64)]
+
+        def several() -> pa.RecordBatch:
+            keys = np.sort(np.concatenate(held))
+            return _batch({"g": np.unique(keys[1:][keys[1:] == keys[:-1]]).view(np.int64)})
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        keys = np.sort(np.concatenate([np.frombuffer(share, np.uint64) for share in frame["keys"]]))
-        return pd.DataFrame({"g": np.unique(keys[1:][keys[1:] == keys[:-1]]).view(np.int64)})
+        for batch in batches:
+            for k, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if k != part:
+                    yield several()
+                    part, held = k, []
+                held.append(np.frombuffer(keys, np.uint64))
+        yield several()
 
-    return windows.select("part", "keys").groupBy("part").applyInPandas(run, "g bigint")
+    return shares.select("part", "keys").repartition("part").sortWithinPartitions("part").mapInArrow(run, "g bigint")
 
 
-def window_rows(rows: DataFrame, bits: np.ndarray, shared: np.ndarray) -> DataFrame:
+def window_rows(blocks: DataFrame, shared: np.ndarray) -> DataFrame:
     """Pass 4: keys and place of the first of each kind of windows of a block whose key blocks share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks_of(batches):
-            starts = windows_in_question(block, bits)
-            one, two = block.window_keys(starts)
+        for block in packed_blocks(batches):
+            starts = block.starts()
+            one = block.window_key(starts, 0)
             kept = held_by(shared, one)
-            one, two = one[kept], two[kept]
+            one, two = one[kept], block.window_key(starts[kept], 1)
             ids, at = block.place(starts[kept])
             order = np.lexsort((at, ids, two, one))
             one, two, ids, at = one[order], two[order], ids[order], at[order]
@@ -464,7 +570,7 @@ def window_rows(rows: DataFrame, bits: np.ndarray, shared: np.ndarray) -> DataFr
             new[1:] = (np.diff(one) != 0) | (np.diff(two) != 0)
             yield _batch({"g": one[new].view(np.int64), "k": two[new].view(np.int64), "doc_id": ids[new], "lo": at[new], "hi": at[new]})
 
-    return rows.mapInArrow(run, "g bigint, k bigint, doc_id bigint, lo bigint, hi bigint")
+    return blocks.mapInArrow(run, "g bigint, k bigint, doc_id bigint, lo bigint, hi bigint")
 
 
 def repeated_starts(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -472,23 +578,21 @@ def repeated_starts(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, li
 
     Also the stored tables to discard once that has been read.
     """
-    counted = anchors(rows).groupBy("g").agg(F.sum("n").alias("n")).where("n > 1")
-    runs = stored(spark, repeated_runs(rows, filter_of(counted.select("g"))), "runs")
+    parts = share_count(spark)
+    runs = stored(spark, repeated_runs(rows, filter_of(shared_keys(anchors(rows, parts)))), "runs")
     settled = stored(spark, settled_runs(runs), "settled")
     discard(runs)
-    heads = settled.where("head").drop("head")
-    in_question = heads.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0))).first()[0]
-    parts = 1 << max(0, int(in_question // PART_KEYS).bit_length())
-    places = filter_of(head_places(heads))
-    within = settled.where("NOT head").drop("head")
-    windows = stored(spark, sorted_windows(rows, places, parts), "windows")
-    repeats = stored(spark, within.unionByName(windows.where("part IS NULL").select("doc_id", "lo", "hi")), "repeats")
+    blocks = stored(spark, in_question(rows, settled.where("head")), "in-question")
+    windows = stored(spark, sorted_windows(blocks, parts), "windows")
     shared = filter_of(shared_keys(windows.where("part IS NOT NULL")))
-    discard(settled, windows)
-    across = settled_keys(window_rows(rows, places, shared))
-    return repeats.unionByName(across.where("NOT head").drop("head")), [repeats]
+    across = settled_keys(window_rows(blocks, shared))
+    found = settled.unionByName(across).where("NOT head").drop("head")
+    repeats = stored(spark, found.unionByName(windows.where("part IS NULL").select("doc_id", "lo", "hi")), "repeats")
+    discard(settled, blocks, windows)
+    return repeats, [repeats]
 
 
+PACKED = pa.schema([(name, pa.binary()) for name in ("ids", "offsets", "sizes", "data")])
 RESULT = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -501,18 +605,22 @@ RESULT = pa.schema(
 )
 
 
-def removed(n_bytes: int, ranges: list[dict]) -> list[tuple[int, int]]:
-    """Maximal runs of bytes covered by windows that start in the ranges."""
-    spans: list[list[int]] = []
-    for low, high in sorted((r["lo"], r["hi"]) for r in ranges):
-        end = min(n_bytes, high + LENGTH)
-        if low >= end:
-            continue
-        if spans and low <= spans[-1][1]:
-            spans[-1][1] = max(end, spans[-1][1])
-        else:
-            spans.append([low, end])
-    return [(low, end) for low, end in spans]
+def removed(sizes: np.ndarray, lists: pa.Array) -> list[list[tuple[int, int]]]:
+    """For each text, given by its size, the maximal runs of bytes covered by windows that start in its ranges."""
+    row, low, high = ranges_of(lists)
+    end = np.minimum(sizes[row], high + LENGTH)
+    row, low, end = row[low < end], low[low < end], end[low < end]
+    # Ends so far, with each text's own numbers behind those of the texts before it.
+    base = row * (int(sizes.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(end + base)
+    new = np.ones(len(row), bool)
+    new[1:] = (np.diff(row) != 0) | (low[1:] + base[1:] > reach[:-1])
+    at = np.flatnonzero(new)
+    ends = (reach - base)[np.append(at[1:] - 1, len(row) - 1)] if len(at) else end
+    spans: list[list[tuple[int, int]]] = [[] for _ in range(len(sizes))]
+    for n, start, stop in zip(row[at].tolist(), low[at].tolist(), ends.tolist()):
+        spans[n].append((start, stop))
+    return spans
 
 
 def digested(rows: DataFrame, touched: np.ndarray, with_text: bool) -> DataFrame:
@@ -570,18 +678,21 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, with_text: bool = True)
     collected = stored(spark, ranges.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "ranges")
     discard(*used)
     touched = filter_of(head_places(collected.select("doc_id", F.lit(0).cast("long").alias("lo"))))
-    joined = digested(rows, touched, with_text).join(collected, "doc_id", "left")
+    # Stored, as only then tasks hand Python small batches of text.
+    joined = stored(spark, digested(rows, touched, with_text), "digests").join(collected, "doc_id", "left")
     schema = RESULT if with_text else RESULT.remove(RESULT.get_field_index("kept"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {name: [] for name in RESULT.names}
-            for given, text, found, size, digest in zip(*(batch.column(name).to_pylist() for name in ("given", "data", "ranges", "size", "digest"))):
+            if not batch.num_rows:
+                continue
+            covered = removed(batch.column("size").to_numpy(), batch.column("ranges"))
+            for given, text, spans, size, digest in zip(*(batch.column(name).to_pylist() for name in ("given", "data")), covered, *(batch.column(name).to_pylist() for name in ("size", "digest"))):
                 if text is None:
                     for name, value in zip(RESULT.names, (given, size, 0, 0, digest, None)):
                         out[name].append(value)
                     continue
-                spans = removed(len(text), found or [])
                 at, parts = 0, []
                 for low, end in spans:
                     parts.append(text[at:low])

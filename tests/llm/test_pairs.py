@@ -316,6 +316,86 @@ def test_ties_alone_are_sorted_on():
         assert suffix_dedup.names(columns).tolist() == [ranks[row] for row in rows]
 
 
+def test_anchors_fill_a_filter_evenly():
+    """An anchor is a least hash; taken as it is, nearly all would share their first bits, and with them places of the filter."""
+    block = suffix_dedup.Block([(1, 0, np.random.default_rng(5).integers(97, 123, 200_000).astype(np.uint8).tobytes())])
+    found = np.unique(block.runs()[0])
+    assert len(found) > 5000
+    assert 0.1 < (found < np.uint64(1 << 61)).mean() < 0.15
+    bits = np.zeros(suffix_dedup.FILTER_BITS // 8, np.uint8)
+    np.bitwise_or.at(bits, suffix_dedup._places(found) >> 3, (1 << (suffix_dedup._places(found) & 7)).astype(np.uint8))
+    assert np.unpackbits(bits).sum() > 0.999 * len(found) and suffix_dedup.held_by(bits, found).all()
+
+
+def test_keys_leave_in_few_rows_and_meet_again(spark):
+    rng = random.Random(4)
+    part = bytes(rng.choices(b"abcdef", k=300))
+    docs = [(i, bytes(rng.choices(b"abcdef", k=200)) + part * (i < 3)) for i in range(40)]
+    rows = spark.createDataFrame(docs, "doc_id long, data binary").coalesce(1)
+    many = suffix_dedup.anchors(rows, 64).collect()
+    assert len(many) <= 64 and sorted({r.part for r in many}) == [r.part for r in many]
+    keys = [np.frombuffer(r["keys"], np.uint64) for r in many]
+    assert all((np.diff(k.astype(object)) >= 0).all() and set(k >> np.uint64(58)) == {r.part} for r, k in zip(many, keys))
+    seen, n = np.unique(np.concatenate(keys), return_counts=True)
+    shared = suffix_dedup.shared_keys(suffix_dedup.anchors(rows.repartition(5), 64)).collect()
+    assert sorted(r.g for r in shared) == sorted(seen[n > 1].view(np.int64).tolist()) and shared
+    assert suffix_dedup.shared_keys(suffix_dedup.anchors(rows.limit(0), 1)).count() == 0
+
+
+def test_blocks_in_question_hold_the_windows_of_the_ranges(spark, monkeypatch):
+    rng = random.Random(6)
+    docs = [(i, bytes(rng.choices(b"abc", k=rng.randint(100, 900)))) for i in range(12)]
+    ranges = [(i, low, min(len(t) - 100, low + rng.randint(0, 60))) for i, t in docs[:9] for low in range(0, len(t) - 99, 97)]
+    ranges += [(0, low, low) for low in range(len(docs[0][1]) - 99)]
+    monkeypatch.setattr(suffix_dedup, "QUESTION_BYTES", 400)
+    blocks = suffix_dedup.in_question(
+        spark.createDataFrame([*docs, docs[1]], "doc_id long, data binary"), spark.createDataFrame(ranges, "doc_id long, lo long, hi long")
+    ).collect()
+    found = []
+    for block in (suffix_dedup.Block.packed(r.asDict()) for r in blocks):
+        starts = block.starts()
+        assert block.size <= 400 + suffix_dedup.LENGTH - 1 and block.row() == suffix_dedup.Block.packed({k: v[0] for k, v in block.row().items()}).row()
+        ids, at = block.place(starts)
+        assert all(bytes(block.text[s : s + 100]) == docs[i][1][o : o + 100] for s, i, o in zip(starts.tolist(), ids.tolist(), at.tolist()))
+        found += zip(ids.tolist(), at.tolist())
+    want = {(i, at) for i, low, high in ranges for at in range(low, high + 1)}
+    assert sorted(found) == sorted([*want, *(w for w in want if w[0] == 1)])
+
+
+def slow_settled(runs):
+    first, places = {}, {}
+    for g, k, doc_id, low, high in sorted(runs):
+        first.setdefault(g, {}).setdefault(k, (doc_id, low, high))
+    heads = [(*run, True) for keys in first.values() if len(keys) > 1 for run in keys.values()]
+    return sorted(heads + [(d, a, b, False) for g, k, d, a, b in runs if (d, a) != first[g][k][:2]])
+
+
+@pytest.mark.parametrize("rows", [1, 2, 7, 1000])
+def test_runs_are_settled_across_batches(spark, rows):
+    rng = random.Random(rows)
+    runs = [(g, rng.randint(-2, 2) << 61, d, low, low + 5) for g in [-(1 << 63), 5, 6, 7, (1 << 63) - 1] * 6 for d, low in [(rng.randint(0, 4), rng.randint(0, 3))]]
+    runs += [(9, 1, 1, 1, 6), (9, 1, 1, 1, 6), (10, 1, 1, 1, 6), (10, 2, 1, 2, 7)]
+    with common.settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+        got = suffix_dedup.settled_keys(spark.createDataFrame(runs, "g long, k long, doc_id long, lo long, hi long")).collect()
+    assert sorted(map(tuple, got)) == slow_settled(runs)
+
+
+def test_removed_spans_of_many_texts():
+    rng = random.Random(7)
+    sizes = [rng.randint(0, 900) for _ in range(60)]
+    lists = [None if n % 7 == 0 else [{"lo": a, "hi": a + rng.randint(0, 40)} for a in rng.choices(range(950), k=rng.randint(0, 9))] for n in range(60)]
+    kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
+    got = suffix_dedup.removed(np.array(sizes), pa.array([None, *lists, None], kind)[1:-1])
+    for size, ranges, spans in zip(sizes, lists, got):
+        covered = np.zeros(size + 2, bool)
+        for r in ranges or []:
+            covered[1 + r["lo"] : 1 + min(size, r["hi"] + suffix_dedup.LENGTH)] = True
+        covered[-1] = False
+        edges = np.flatnonzero(np.diff(covered.astype(int)))
+        assert spans == list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+    assert suffix_dedup.removed(np.zeros(0, np.int64), pa.array([], kind)) == []
+
+
 def test_repeats_are_removed_exactly(spark):
     rng = random.Random(11)
     base = ["".join(rng.choices("abcdefgh é", k=rng.randint(50, 700))) for _ in range(8)]
